@@ -1,0 +1,5 @@
+"""No streaming operators: every input of this engine is a bounded table.
+
+Incremental runs are batch runs that skip keys already written
+(:func:`quizloom.plans.generate.generate_questions`).
+"""
