@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.functions.vectors import hash_embedder
+from quizloom.operators.columns import spread
 from quizloom.operators.upsert import last_rows
 from quizloom.plans.index import embed_corpus
 from quizloom.plans.seeding import flatten_leaves, pipeline_leaves
@@ -22,7 +23,7 @@ embed = hash_embedder(EMBED_DIM)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,7 @@
 """Parsing of multiple-choice questions and of the answers models give to them.
 
-All patterns run in ``(?d)``/``(?s)`` modes that make Java's ``.`` and ``^`` agree
-with the patterns' Python meaning, and use explicit Unicode classes for digits and
-whitespace.
+The flags give Java's regexes the patterns' Python meaning: ``(?U)`` for Unicode
+whitespace, digits and case, ``(?d)`` so that only a line feed ends a line.
 """
 
 from pyspark.sql import Column
@@ -18,11 +17,11 @@ from quizloom.functions.text import (
 
 # The text patterns that decide what counts as a question, an answer
 # key or a model's choice.
-BLOCK_PATTERN = rf"(?s)Q{DIGIT}+\..+?Answer:{SPACE}*[A-F0-8]"
-MCQ_PATTERN = rf"(?s)Q{DIGIT}+\.{SPACE}*(.*?)\n(\({DIGIT}+\).*?\n)Answer:{SPACE}*({DIGIT}+)"
-OPTION_LABEL = rf"^\({DIGIT}+\){SPACE}*"
-KEY_PATTERN = rf"(?iu)Answer:{SPACE}*([A-F1-8])"
-STEM_PATTERN = rf"(?s)\A(.*?)\n{SPACE}*-?\(1\)"
+BLOCK_PATTERN = rf"(?sU)Q{DIGIT}+\..+?Answer:{SPACE}*[A-F0-8]"
+MCQ_PATTERN = rf"(?sU)Q{DIGIT}+\.{SPACE}*(.*?)\n(\({DIGIT}+\).*?\n)Answer:{SPACE}*({DIGIT}+)"
+OPTION_LABEL = rf"(?U)^\({DIGIT}+\){SPACE}*"
+KEY_PATTERN = rf"(?U)[Aa][Nn][Ss\u017f][Ww][Ee][Rr]:{SPACE}*([A-Fa-f1-8])"
+STEM_PATTERN = rf"(?sU)\A(.*?)\n{SPACE}*-?\(1\)"
 CHOICE_PATTERNS = (
     rf"Answer:{SPACE}*([1-8])",
     rf"<final_answer>{SPACE}*([1-8]){SPACE}*</final_answer>",
@@ -32,6 +31,7 @@ CHOICE_PATTERNS = (
     rf"^{SPACE}*\(*([1-8])\)",
 )
 LONE_DIGIT = r"(?<![\p{L}\p{N}_])([1-8])(?![\p{L}\p{N}_])"
+ANSWER_LINE = rf"(?U)\A{SPACE}*[Aa][Nn][Ss][Ww][Ee][Rr]:"
 INVALID_ANSWER = "Error: Invalid Answer Index"
 ERROR_PREFIX = "Error:"
 DIFFICULTY_STEPS = ((0.75, "easy"), (0.50, "medium"), (0.25, "hard"))
@@ -71,23 +71,34 @@ def parse_mcq(q: Column) -> Column:
     lazy group per option selects the same span but backtracks exponentially.
     Letter answers do not parse, and a wrapped option line becomes its own option.
     """
-    number_text = extract(q, MCQ_PATTERN, 3)
-    block = strip(F.regexp_extract(q, MCQ_PATTERN, 2))
+    whole = extract(q, MCQ_PATTERN, 0)
+    parts = F.transform(F.array(whole), lambda m: F.when(m.isNotNull(), _mcq_parts(m)))
+    return F.transform(parts, lambda p: F.when(p.isNotNull(), _with_answer_text(p)))[0]
+
+
+def _mcq_parts(match: Column) -> Column:
+    """Parts of a matched question; searching the match again is cheap."""
+    block = strip(F.regexp_extract(match, MCQ_PATTERN, 2))
     options = F.transform(
         F.split(block, "\n"), lambda o: F.regexp_replace(strip(o), OPTION_LABEL, "")
     )
-    number = number_text.try_cast("bigint")
+    return F.struct(
+        strip(F.regexp_extract(match, MCQ_PATTERN, 1)).alias("question"),
+        options.alias("options"),
+        F.regexp_extract(match, MCQ_PATTERN, 3).try_cast("bigint").alias("number"),
+    )
+
+
+def _with_answer_text(parts: Column) -> Column:
+    number, options = parts["number"], parts["options"]
     chosen = F.when(
         number.between(1, F.size(options)), F.get(options, (number - 1).cast("int"))
     ).otherwise(F.lit(INVALID_ANSWER))
-    return F.when(
-        number_text.isNotNull(),
-        F.struct(
-            strip(F.regexp_extract(q, MCQ_PATTERN, 1)).alias("question"),
-            options.alias("options"),
-            chosen.alias("answer_text"),
-            number.alias("answer_number"),
-        ),
+    return F.struct(
+        parts["question"].alias("question"),
+        options.alias("options"),
+        chosen.alias("answer_text"),
+        number.alias("answer_number"),
     )
 
 
@@ -105,7 +116,7 @@ def model_choice(raw: Column) -> Column:
 
     The order of the patterns decides, not the order of matches in the text.
     """
-    tries = [extract(raw, f"(?imud){p}") for p in CHOICE_PATTERNS]
+    tries = [extract(raw, f"(?imdU){p}") for p in CHOICE_PATTERNS]
     return F.coalesce(*tries, extract(raw, LONE_DIGIT)).cast("int")
 
 
@@ -118,7 +129,7 @@ def judge_prompt(q: Column, instructions: Column | str) -> Column:
     """The question without its answer lines, framed by the instructions."""
     if isinstance(instructions, str):
         instructions = F.lit(instructions)
-    shown = F.filter(split_lines(q), lambda ln: ~F.lower(strip(ln)).startswith("answer:"))
+    shown = F.filter(split_lines(q), lambda ln: ~ln.rlike(ANSWER_LINE))
     return F.concat(
         instructions, F.lit("\n"), F.array_join(shown, "\n"), F.lit("\n\nYour answer:")
     )

@@ -13,13 +13,13 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same set inside a regex character class.
-_SPACE_SET = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE = f"[{_SPACE_SET}]"
-NON_SPACE = f"[^{_SPACE_SET}]"
-DIGIT = r"\p{Nd}"
+# The same set, its complement and all decimal digits under Java's (?U) flag. Spelling
+# the characters out instead makes matching ten times slower.
+SPACE = r"[\s\x1c-\x1f]"
+NON_SPACE = r"[^\s\x1c-\x1f]"
+DIGIT = r"\d"
 # The line boundaries of Python's str.splitlines().
-LINE_BREAK = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
+LINE_BREAK = r"[\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029](?:(?<=\r)\n)?"
 
 
 def strip(text: Column) -> Column:
@@ -29,7 +29,7 @@ def strip(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated words."""
-    return F.regexp_count(text, F.lit(f"{NON_SPACE}+"))
+    return F.regexp_count(text, F.lit(f"(?U){NON_SPACE}+"))
 
 
 def has_min_words(text: Column, n: int) -> Column:
@@ -41,12 +41,12 @@ def has_min_words(text: Column, n: int) -> Column:
     if n <= 0:
         return text.isNotNull()
     words_before = rf"(?:{NON_SPACE}++{SPACE}++){{{n - 1}}}"
-    return text.rlike(rf"\A{SPACE}*+{words_before}{NON_SPACE}")
+    return text.rlike(rf"(?U)\A{SPACE}*+{words_before}{NON_SPACE}")
 
 
 def words(text: Column) -> Column:
     """Array of the lower-cased words of the text."""
-    return F.regexp_extract_all(F.lower(text), F.lit(f"{NON_SPACE}+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(f"(?U){NON_SPACE}+"), F.lit(0))
 
 
 def split_lines(text: Column) -> Column:

@@ -11,6 +11,7 @@ from quizloom.functions.mcq import (
     panel_choice,
     report_line,
 )
+from quizloom.operators.columns import with_computed
 
 KEY = ["file_path", "pos"]
 MISSING_KEY = "Answer tag missing."
@@ -18,7 +19,7 @@ MISSING_KEY = "Answer tag missing."
 
 def with_keys(questions: DataFrame) -> DataFrame:
     """Questions with their answer key; NULL marks a question that is not graded."""
-    return questions.withColumn("correct", answer_key(F.col("q_raw")))
+    return with_computed(questions, "correct", answer_key(F.col("q_raw")))
 
 
 def gradable(keyed: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quizloom.functions.mcq import question_stem
 from quizloom.functions.models import faithfulness_by_overlap, relevancy_by_overlap
 from quizloom.operators.bundles import context
+from quizloom.operators.columns import with_computed
 from quizloom.operators.storage import materialise
 from quizloom.plans.retrieval import BUNDLE_K, passages_for
 from quizloom.sources.questions import first_questions
@@ -18,9 +19,8 @@ SAMPLE = 15
 def question_stems(questions: DataFrame, limit: int | None = SAMPLE) -> DataFrame:
     """Stems of the first ``limit`` questions; those without one drop out afterwards."""
     chosen = first_questions(questions, limit)
-    return chosen.select(
-        "file_path", "pos", question_stem(F.col("q_raw")).alias("query")
-    ).filter(F.col("query") != "")
+    stems = with_computed(chosen, "query", question_stem(F.col("q_raw")))
+    return stems.filter(F.col("query") != "").select("file_path", "pos", "query")
 
 
 def evaluate_rag(

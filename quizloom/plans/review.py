@@ -4,17 +4,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.functions.mcq import parse_mcq
+from quizloom.operators.columns import with_computed
 from quizloom.operators.numbering import shuffle_key
 from quizloom.operators.storage import materialise
 
 
 def parsed_questions(questions: DataFrame) -> DataFrame:
     """``file_path, pos`` and the parsed fields; texts that do not parse drop out."""
-    return (
-        questions.select("file_path", "pos", parse_mcq(F.col("q_raw")).alias("mcq"))
-        .filter(F.col("mcq").isNotNull())
-        .select("file_path", "pos", "mcq.*")
-    )
+    parsed = with_computed(questions, "mcq", parse_mcq(F.col("q_raw")))
+    return parsed.filter(F.col("mcq").isNotNull()).select("file_path", "pos", "mcq.*")
 
 
 def widest(parsed: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom import schemas
+from quizloom.operators.columns import spread
 from quizloom.operators.numbering import row_positions
 
 
@@ -23,7 +24,7 @@ def read_corpus(
     is_text = rows.schema[text_col].dataType.typeName() in ("string", "varchar", "char")
     text = F.col(text_col) if is_text else F.lit(None).cast("string")
     if id_col is not None:
-        return rows.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
+        return spread(rows).select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     return row_positions(rows.select(text.alias("text")), "doc_id").select("doc_id", "text")
 
 
