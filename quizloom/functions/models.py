@@ -11,6 +11,7 @@ calls; a caller that uses a result twice must write it first
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 from typing import Iterator
 
 import pandas as pd
@@ -75,10 +76,12 @@ def judge_panel(makers: dict[str, Callable[[], Callable]], workers: int = 1) ->
 
     def make_client():
         clients: dict = {}
+        opening = Lock()
 
         def ask(prompt, model):
-            if model not in clients:
-                clients[model] = makers[model]()
+            with opening:
+                if model not in clients:
+                    clients[model] = makers[model]()
             return clients[model](prompt)
 
         return ask

@@ -1,34 +1,38 @@
 """Paths, completed writes and materialised intermediate results."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Make sure checkpoints go to the shared folder the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the session's checkpoint folder.
 
-    Only a local session may fall back to a folder of its own.
+    Only a local session without one falls back to a folder of its own.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="quizloom-")
-    context.setCheckpointDir(shared)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="quizloom-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write the rows once and read them from there on.
+    """Write the rows as a table in the shared folder and read them from there on.
 
     Used where rows come from model calls, or where several passes over an expensive
-    result would repeat it. The copy survives the loss of executors.
+    result would repeat it. Each row is computed once, the copy survives the loss of
+    executors, and unlike a checkpoint's rows, later reads fetch only the columns they
+    need.
     """
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/quizloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _file_system(spark: SparkSession, path: str):

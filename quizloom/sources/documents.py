@@ -12,19 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quizloom import schemas
-
-
-def _whole_files(spark: SparkSession, path: str, pattern: str, rank: int) -> DataFrame:
-    return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
-        .text(path)
-        .select(
-            F.col("value").alias("text"),
-            F.col("_metadata.file_path").alias("path"),
-            F.lit(rank).alias("format_rank"),
-        )
-    )
+from quizloom.sources.json_text import parse, read_texts
 
 
 @F.pandas_udf(T.StringType())
@@ -42,19 +30,15 @@ def _yaml_to_json(texts: pd.Series) -> pd.Series:
 
 def _read(spark, path, schema: T.StructType, yaml_rank: int, json_rank: int) -> DataFrame:
     """One row per file; ``doc`` is NULL where the file does not parse."""
-    yaml_files = _whole_files(spark, path, "*.yaml", yaml_rank)
-    json_files = _whole_files(spark, path, "*.json", json_rank)
+    yaml_files = _files(spark, path, "*.yaml", yaml_rank)
+    json_files = _files(spark, path, "*.json", json_rank)
     files = yaml_files.withColumn("text", _yaml_to_json("text")).unionByName(json_files)
-    marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    options = {"columnNameOfCorruptRecord": "_bad"}
-    doc = F.from_json("text", marked, options)
-    parsed = files.select("path", "format_rank", doc.alias("doc"))
-    good = F.col("doc").isNotNull() & F.col("doc._bad").isNull()
-    return parsed.select(
-        "path",
-        "format_rank",
-        F.when(good, F.col("doc").dropFields("_bad")).alias("doc"),
-    )
+    return files.select("path", "format_rank", parse(F.col("text"), schema).alias("doc"))
+
+
+def _files(spark, path, pattern, rank) -> DataFrame:
+    files = read_texts(spark, path, pattern, file_per_row=True)
+    return files.select("text", "path", F.lit(rank).alias("format_rank"))
 
 
 def read_taxonomies(spark: SparkSession, path: str) -> DataFrame:
@@ -64,8 +48,8 @@ def read_taxonomies(spark: SparkSession, path: str) -> DataFrame:
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """A single YAML taxonomy file."""
-    files = _whole_files(spark, path, "*", 0).withColumn("text", _yaml_to_json("text"))
-    doc = F.from_json("text", schemas.TAXONOMY)
+    files = _files(spark, path, "*", 0)
+    doc = parse(_yaml_to_json("text"), schemas.TAXONOMY)
     return files.select("path", "format_rank", doc.alias("doc"))
 
 

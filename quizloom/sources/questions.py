@@ -2,22 +2,20 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quizloom import schemas
+from quizloom.operators.columns import with_computed
+from quizloom.sources.json_text import parse, read_texts
 
 
-def _read_json(spark, path, schema, file_per_row) -> DataFrame:
-    marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    return (
-        spark.read.schema(marked)
-        .option("columnNameOfCorruptRecord", "_bad")
-        .option("multiLine", file_per_row)
-        .option("pathGlobFilter", "*.json")
-        .json(path)
-        .withColumn("_path", F.col("_metadata.file_path"))
-        .withColumn("_name", F.col("_metadata.file_name"))
-    )
+def _documents(spark, path, schema, file_per_row, skip_bad) -> DataFrame:
+    """``path, name, doc`` of JSON documents; unreadable ones raise or are left out."""
+    texts = read_texts(spark, path, "*.json", file_per_row)
+    doc = parse(F.col("text"), schema)
+    if not skip_bad:
+        doc = F.coalesce(doc, F.raise_error(F.concat(F.lit("unreadable JSON in "), F.col("path"))))
+    rows = with_computed(texts, "doc", doc)
+    return rows.filter(F.col("doc").isNotNull()).select("path", "name", "doc")
 
 
 def _stem(name: str):
@@ -26,8 +24,8 @@ def _stem(name: str):
 
 def read_bundles(spark: SparkSession, path: str, file_per_row: bool = False) -> DataFrame:
     """Bundles, one per line as this engine writes them, or one per file."""
-    rows = _read_json(spark, path, schemas.BUNDLE, file_per_row)
-    return rows.filter(F.col("_bad").isNull()).select(*schemas.BUNDLE.names)
+    rows = _documents(spark, path, schemas.BUNDLE, file_per_row, skip_bad=False)
+    return rows.select("doc.*")
 
 
 def read_question_sets(
@@ -39,24 +37,18 @@ def read_question_sets(
     the file's stem. Sets that share a file get the path their own file would have.
     Unreadable sets raise, or are left out with ``skip_bad``.
     """
-    rows = _read_json(spark, path, schemas.QUESTION_SET, file_per_row)
-    bad = F.col("_bad").isNotNull()
-    if skip_bad:
-        rows = rows.filter(~bad)
-    else:
-        fail = F.raise_error(F.concat(F.lit("not a question set: "), F.col("_path")))
-        rows = rows.withColumn("mcqs", F.when(bad, fail).otherwise(F.col("mcqs")))
+    rows = _documents(spark, path, schemas.QUESTION_SET, file_per_row, skip_bad)
     if file_per_row:
-        file_path = F.col("_path")
-        taxonomy_id = F.coalesce("taxonomy_id", _stem("_name"))
+        file_path = F.col("path")
+        taxonomy_id = F.coalesce("doc.taxonomy_id", _stem("name"))
     else:
-        taxonomy_id = F.col("taxonomy_id")
+        taxonomy_id = F.col("doc.taxonomy_id")
         folder = F.lit(path.rstrip("/") + "/")
         file_path = F.concat(folder, taxonomy_id, F.lit(".json"))
     return rows.select(
         file_path.alias("file_path"),
         taxonomy_id.alias("taxonomy_id"),
-        F.coalesce("mcqs", F.array().cast("array<string>")).alias("mcqs"),
+        F.coalesce("doc.mcqs", F.array().cast("array<string>")).alias("mcqs"),
     )
 
 
@@ -80,7 +72,11 @@ def write_document(document: DataFrame, path: str) -> None:
 
 
 def write_sheet(sheet: DataFrame, path: str) -> None:
-    """Standard CSV with a header; quotes are doubled and empty cells stay empty."""
+    """Standard CSV with a header; quotes are doubled and empty cells stay empty.
+
+    Lines end with a line feed: with another line separator Spark's writer would also
+    rewrite the line feeds inside texts.
+    """
     (
         sheet.write.mode("overwrite")
         .option("header", True)
@@ -90,6 +86,5 @@ def write_sheet(sheet: DataFrame, path: str) -> None:
         .option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("lineSep", "\r\n")
         .csv(path)
     )

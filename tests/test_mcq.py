@@ -1,0 +1,175 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from quizloom.functions import mcq
+
+
+TWO = "Q1. First?\n(1) a\n(2) b\n(3) c\nAnswer: 3\nQ2. Second?\n(1) a\n(2) b\nAnswer: 2"
+
+
+def blocks(evaluate, texts, pattern=None):
+    if pattern is None:
+        return evaluate(mcq.extract_blocks, texts)
+    return evaluate(lambda x: mcq.extract_blocks_with(x, F.lit(pattern)), texts)
+
+
+def test_blocks(evaluate):
+    first, second = TWO.split("\nQ2")
+    assert blocks(evaluate, [TWO, "Q1. x\nAnswer: 12", "nothing", None]) == [
+        [first, "Q2" + second],
+        ["Q1. x\nAnswer: 1"],
+        [],
+        None,
+    ]
+
+
+def test_blocks_with_a_class_that_misses_answers(evaluate):
+    assert blocks(evaluate, [TWO], r"Q\d+\..+?Answer:\s*[1-12]") == [[TWO]]
+    assert blocks(evaluate, ["Q1. x\nAnswer: 4"], r"Q\d+\.(.+?)\nAnswer") == [[" x"]]
+
+
+def test_capture_groups(evaluate):
+    patterns = [r"a(b)c", r"a\(b", r"[(](x)(?:y)", r"(?=a)(?<n>b)(?<!c)", r"(a)(b)", r"[^]()](a)", "x"]
+    assert evaluate(mcq.capture_groups, patterns) == [1, 0, 1, 1, 2, 1, 0]
+
+
+def reference_parse(text):
+    """What the option-by-option pattern, the definition of the format, yields."""
+    m = re.search(r"Q\d+\.\s*(.*?)\n((?:\(\d+\).*?\n)+)Answer:\s*(\d+)", text, re.S)
+    if m is None:
+        return None
+    options = [re.sub(r"^\(\d+\)\s*", "", o.strip()) for o in m[2].strip().split("\n")]
+    n = int(m[3])
+    chosen = options[n - 1] if 1 <= n <= len(options) else mcq.INVALID_ANSWER
+    return (m[1].strip(), options, chosen, n)
+
+
+def parsed(evaluate, texts):
+    found = evaluate(mcq.parse_mcq, texts)
+    return [None if r is None else tuple(r) for r in found]
+
+
+def test_parse_edge_cases(evaluate):
+    texts = [
+        "Q1. What?\n(1) a\n(2)  b \nAnswer: 2",
+        "Q1. What?\n(1) a\n(2) b\nAnswer: C",
+        "Q1. What?\n(1) a\nAnswer: 0",
+        "Q1. What?\n(1) a\nAnswer: 2",
+        "Q1. What?\n(1) a\nstill a\n(2) b\nAnswer: 3",
+        "Q1. Two\nlines?\n(1) a\nAnswer: 1",
+        "Q1.\n(1) a\n(2) b\nAnswer: 1",
+        "no question",
+    ]
+    assert parsed(evaluate, texts) == [reference_parse(t) for t in texts]
+    assert parsed(evaluate, ["Q1. x\n(1) a\nAnswer: 99999999999999999999"])[0][2:] == (
+        mcq.INVALID_ANSWER,
+        None,
+    )
+    assert evaluate(mcq.parse_mcq, [None]) == [None]
+
+
+def test_parse_matches_the_format_definition_on_random_text(evaluate):
+    rng = random.Random(3)
+    pieces = ["Q2. ", "\n", "\n(1) ", "\n(2)", "(3) x", "\nAnswer: 1", "Answer:", "2", " ", "\xa0", "y"]
+    texts = ["Q1. " + "".join(rng.choices(pieces, k=rng.randint(3, 12))) for _ in range(3000)]
+    texts += ["Q7. q\n(1) a\n" + t for t in texts[:1000]]
+    expected = [reference_parse(t) for t in texts]
+    assert sum(e is not None for e in expected) > 300
+    assert parsed(evaluate, texts) == expected
+
+
+def test_parse_of_many_options_without_an_answer_ends(evaluate):
+    options = "".join(f"({i}) option\n" for i in range(1, 400))
+    assert parsed(evaluate, [f"Q1. Long?\n{options}Answer: C"]) == [None]
+
+
+def test_answer_key(evaluate):
+    texts = [
+        "answer: c",
+        "Answer: because",
+        "Answer: G",
+        "Answer: (3)",
+        "none",
+        "ANSWER:\n 8",
+        "Answer: 12",
+        "Anſwer: 4",
+        "Answer: 9 Answer: 2",
+        None,
+    ]
+    assert evaluate(mcq.answer_key, texts) == [3, 2, None, None, None, 8, 1, 4, 2, None]
+
+
+def reference_choice(text):
+    patterns = [
+        r"Answer:\s*([1-8])",
+        r"<final_answer>\s*([1-8])\s*</final_answer>",
+        r"The correct option is \s*\(*([1-8])",
+        r"The final answer is \s*\(*([1-8])",
+        r"My choice is \s*\(*([1-8])",
+        r"^\s*\(*([1-8])\)",
+    ]
+    for p in patterns:
+        m = re.search(p, text, re.M | re.I)
+        if m:
+            return int(m[1])
+    m = re.search(r"\b([1-8])\b", text)
+    return int(m[1]) if m else None
+
+
+def test_model_choice(evaluate):
+    texts = [
+        "The final answer is (4)",
+        "5 ... Answer: 2",
+        "12",
+        "maybe 7",
+        "",
+        "text\n 3) because",
+        "text\r3) x 4",
+        "<FINAL_ANSWER> 6 </final_answer>",
+        "the correct OPTION is ((2",
+        "é5 x5 _5",
+        "The fınal answer is 3, not 4",
+        "9 8",
+    ]
+    assert evaluate(mcq.model_choice, texts) == [reference_choice(t) for t in texts]
+
+
+def test_model_choice_on_random_text(evaluate):
+    rng = random.Random(4)
+    pieces = ["answer:", "My choice is ", "The final answer is ", "(", ")", "1", "5", "9", " ", "\n", "\r", "x", "é"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 9))) for _ in range(3000)]
+    assert evaluate(mcq.model_choice, texts) == [reference_choice(t) for t in texts]
+
+
+def test_panel_choice_ignores_errors(evaluate):
+    assert evaluate(mcq.panel_choice, ["Error: 3", "error 3", None, ""]) == [None, 3, None, None]
+
+
+def test_question_stem(evaluate):
+    texts = ["Q1. What?\n -(1) a", "Q1. What?\n\n(1) a\n(1) b", "Q1. What? (1) a", "\n(1)", None]
+    assert evaluate(mcq.question_stem, texts) == ["Q1. What?", "Q1. What?", "", "", None]
+
+
+def test_judge_prompt(evaluate):
+    texts = ["Q1. What?\r\n(1) a\n  ANSWER: 3\nAnswered: no\n", " answer: x", "Anſwer: 1"]
+    shown = ["Q1. What?\n(1) a\nAnswered: no", "", "Anſwer: 1"]
+    assert evaluate(lambda x: mcq.judge_prompt(x, "Choose."), texts) == [
+        f"Choose.\n{s}\n\nYour answer:" for s in shown
+    ]
+
+
+def test_difficulty(evaluate):
+    tags = evaluate(mcq.difficulty_tag, [1.0, 0.75, 0.5, 0.25, 0.24, 0.0], "double")
+    assert tags == ["easy", "easy", "medium", "hard", "very_hard", "very_hard"]
+
+
+@pytest.mark.parametrize("value, line", [(0.5, "  m                       acc=50.00%  (C:1 I:2 U:3)")])
+def test_report_line(evaluate, value, line):
+    def report(x):
+        counts = [F.lit(i).cast("bigint") for i in (1, 2, 3)]
+        return mcq.report_line(F.lit("m"), x, *counts)
+
+    assert evaluate(report, [value], "double") == [line]
