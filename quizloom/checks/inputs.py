@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quizloom.functions.vectors import hash_embedder
 from quizloom.operators.columns import spread
+from quizloom.operators.storage import materialise
 from quizloom.operators.upsert import last_rows
 from quizloom.plans.index import embed_corpus
 from quizloom.plans.seeding import flatten_leaves, pipeline_leaves
@@ -31,7 +32,8 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed_corpus(corpus(spark, sf_dir), embed)
+    """The documents' index, stored as in real use."""
+    return materialise(embed_corpus(corpus(spark, sf_dir), embed))
 
 
 def options_text(lang: Column, source: Column, n_chars: Column) -> Column:

@@ -26,7 +26,8 @@ def embedder(make_client: Callable[[], Callable[[list], Sequence]]) -> Callable:
 
     ``make_client`` runs once per task and returns a function from a list of texts
     to one equally long vector per text. NULL texts get a NULL vector and are never
-    sent to the client.
+    sent to the client. Calls are marked nondeterministic, or a filter on the vectors
+    would make Catalyst embed every text twice.
     """
 
     @F.arrow_udf(EMBEDDING)
@@ -38,7 +39,7 @@ def embedder(make_client: Callable[[], Callable[[list], Sequence]]) -> Callable:
             vectors = np.asarray(client(present), dtype=np.float32) if present else None
             yield _list_array([t is not None for t in texts], vectors)
 
-    return embed
+    return embed.asNondeterministic()
 
 
 def _list_array(present: list, vectors: np.ndarray | None) -> pa.Array:

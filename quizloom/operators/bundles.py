@@ -4,8 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.operators.joins import salted_join
+from quizloom.operators.storage import materialise
 
-BROADCAST_HITS = 1_000_000
+BROADCAST_HITS = 200_000
 
 
 def with_text(hits: DataFrame, chunks: DataFrame, n_hits: int) -> DataFrame:
@@ -18,6 +19,7 @@ def with_text(hits: DataFrame, chunks: DataFrame, n_hits: int) -> DataFrame:
     chunks = chunks.select("chunk_id", "doc_id", "text")
     if n_hits <= BROADCAST_HITS:
         return chunks.join(F.broadcast(hits), "chunk_id")
+    hits = materialise(hits)
     winners = chunks.join(hits.select("chunk_id").distinct(), "chunk_id", "left_semi")
     return salted_join(hits, winners, "chunk_id", F.col("query_id"))
 

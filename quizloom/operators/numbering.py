@@ -3,58 +3,71 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_WIDTH = 1 << 10
-_SUPER_WIDTH = 1 << 12
-# Rows spread over this many buckets per hex digit of a hash prefix.
+BUCKET_WIDTH = 1 << 8
+# Bits of a bucket number that are summed up in one group.
+_GROUP_BITS = 12
+# Hash digits that choose a row's bucket in a shuffle.
 HASH_DIGITS = 4
 
 
-def number_by_bucket(df: DataFrame, bucket: Column, order_by: list, out: str) -> DataFrame:
+def number_by_bucket(
+    df: DataFrame, bucket: Column, order_by: list, out: str, max_bucket: int
+) -> DataFrame:
     """Number rows 0, 1, 2, ... in the order of (bucket, order_by).
 
-    ``bucket`` must be a non-negative number that rises with the wanted order. A
-    row's number is its place in the bucket plus the sizes of all lower buckets.
-    Sizes are summed in two levels, so the only single-task step handles one row per
-    4,096 buckets; rows move once, to their bucket.
+    ``bucket`` must be a number in 0..max_bucket that rises with the wanted order. A
+    row's number is its place in the bucket plus the sizes of all lower buckets. Rows
+    move once, to their bucket; everything else works on one row per bucket.
     """
-    keyed = df.withColumn("_bucket", bucket.cast("bigint"))
-    sizes = (
-        keyed.groupBy("_bucket")
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_super", F.floor(F.col("_bucket") / _SUPER_WIDTH))
-    )
-    before = (Window.unboundedPreceding, -1)
-    in_super = Window.partitionBy("_super").orderBy("_bucket").rowsBetween(*before)
-    over_supers = Window.orderBy("_super").rowsBetween(*before)
-    supers = (
-        sizes.groupBy("_super")
-        .agg(F.sum("_rows").alias("_super_rows"))
-        .select(
-            "_super",
-            F.coalesce(F.sum("_super_rows").over(over_supers), F.lit(0)).alias("_base"),
-        )
-    )
-    starts = (
-        sizes.withColumn("_within", F.coalesce(F.sum("_rows").over(in_super), F.lit(0)))
-        .join(supers, "_super")
-        .select("_bucket", (F.col("_base") + F.col("_within")).alias("_start"))
-    )
+    # Never NULL, so that the joins below add no filters of their own to the uses of
+    # ``sizes`` and Spark computes it once.
+    keyed = df.withColumn("_bucket", F.coalesce(bucket.cast("bigint"), F.lit(0)))
+    sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_by)) - 1
     return (
         keyed.withColumn("_place", place)
-        .join(starts, "_bucket")
+        .join(_starts(sizes, max_bucket), "_bucket")
         .withColumn(out, F.col("_start") + F.col("_place"))
         .drop("_bucket", "_place", "_start")
     )
 
 
-def dense_ids(df: DataFrame, key: str, out: str, width: int = BUCKET_WIDTH) -> DataFrame:
+def _starts(sizes: DataFrame, max_bucket: int) -> DataFrame:
+    """``_bucket, _start``: the number of rows in all lower buckets.
+
+    Buckets are summed in groups of 4,096 neighbours and the groups in turn, so no
+    task ever orders more than one group, however many buckets there are.
+    """
+    window = Window.orderBy("_bucket")
+    if max_bucket >> _GROUP_BITS:
+        sizes = sizes.withColumn("_group", F.shiftright("_bucket", _GROUP_BITS))
+        window = Window.partitionBy("_group").orderBy("_bucket")
+    lower = F.sum("_rows").over(window.rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.withColumn("_start", F.coalesce(lower, F.lit(0)))
+    if not max_bucket >> _GROUP_BITS:
+        return starts.select("_bucket", "_start")
+    groups = sizes.groupBy(F.col("_group").alias("_bucket")).agg(F.sum("_rows").alias("_rows"))
+    bases = _starts(groups, max_bucket >> _GROUP_BITS).select(
+        F.col("_bucket").alias("_group"), F.col("_start").alias("_base")
+    )
+    return starts.join(bases, "_group").select(
+        "_bucket", (F.col("_base") + F.col("_start")).alias("_start")
+    )
+
+
+def dense_ids(
+    df: DataFrame, key: str, out: str, max_key: int | None = None, width: int = BUCKET_WIDTH
+) -> DataFrame:
     """Dense 0-based ids in the order of a unique, non-negative integer key.
 
     A bucket is a range of ``width`` key values and so holds at most ``width`` rows,
-    whatever the data.
+    whatever the data; keys may be sparse. ``max_key`` saves a pass over ``df`` where
+    an upper bound of the keys is known or cheaper to find elsewhere.
     """
-    return number_by_bucket(df, F.floor(F.col(key) / width), [F.col(key)], out)
+    if max_key is None:
+        max_key = df.agg(F.max(key)).first()[0] or 0
+    bucket = F.expr(f"`{key}` div {width}")
+    return number_by_bucket(df, bucket, [F.col(key)], out, max_key // width)
 
 
 def row_positions(df: DataFrame, out: str) -> DataFrame:
@@ -98,5 +111,6 @@ def shuffled_positions(
     """
     hashed = df.withColumn("_shuffle", shuffle_key(seed, key)).withColumn("_key", key)
     bucket = F.conv(F.substring("_shuffle", 1, digits), 16, 10)
-    numbered = number_by_bucket(hashed, bucket, [F.col("_shuffle"), F.col("_key")], out)
+    order = [F.col("_shuffle"), F.col("_key")]
+    numbered = number_by_bucket(hashed, bucket, order, out, 16**digits - 1)
     return numbered.drop("_shuffle", "_key")

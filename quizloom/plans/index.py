@@ -19,9 +19,14 @@ def usable_documents(corpus: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
 
 
 def chunk_corpus(corpus: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``chunk_id, doc_id, text`` of the usable documents, ids dense in doc order."""
+    """``chunk_id, doc_id, text`` of the usable documents, ids dense in doc order.
+
+    The largest id is taken from all documents, which reads the id column alone.
+    """
     kept = usable_documents(corpus.select("doc_id", "text"), min_words)
-    return dense_ids(kept, "doc_id", "chunk_id").select("chunk_id", "doc_id", "text")
+    max_id = corpus.agg(F.max("doc_id")).first()[0] or 0
+    numbered = dense_ids(kept, "doc_id", "chunk_id", max_key=max_id)
+    return numbered.select("chunk_id", "doc_id", "text")
 
 
 def embed_corpus(corpus: DataFrame, embed: Callable, min_words: int = MIN_WORDS) -> DataFrame:

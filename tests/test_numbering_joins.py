@@ -17,6 +17,14 @@ def test_dense_ids(spark, parts):
     ]
 
 
+def test_sparse_ids_need_several_levels(spark):
+    keys = sorted({(i * 2654435761987) % (1 << 62) for i in range(2000)} | {0, 1, (1 << 62) - 1})
+    df = spark.createDataFrame([(k,) for k in keys], "k LONG")
+    found = dense_ids(df.repartition(4), "k", "n").collect()
+    assert sorted((r["n"], r["k"]) for r in found) == list(enumerate(keys))
+    assert dense_ids(df.limit(0), "k", "n").count() == 0
+
+
 @pytest.mark.parametrize("parts", [1, 4, 16])
 def test_shuffled_positions(spark, parts):
     df = spark.range(500).repartition(parts)
