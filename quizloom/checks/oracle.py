@@ -255,6 +255,14 @@ prompts AS (
 runs AS (SELECT taxonomy_id, done, length(prompt) AS n FROM prompts)"""
 
 _SHOWN = r"list_filter(string_split(q_raw, chr(10)), lambda l: NOT starts_with(lower(trim(l)), 'answer:'))"
+_PROMPT = f"""'{INSTRUCTIONS.replace("'", "''")}' || {NL} || array_to_string({_SHOWN}, {NL})
+       || {NL} || {NL} || 'Your answer:'"""
+_ASKED_ROWS = ", ".join(f"({i}, '{m}')" for i, m in enumerate(PANEL[:-1]))
+_SHEET = """question AS "Question Text",
+       coalesce(options[1], '') AS "Option 1", coalesce(options[2], '') AS "Option 2",
+       coalesce(options[3], '') AS "Option 3", coalesce(options[4], '') AS "Option 4",
+       coalesce(options[5], '') AS "Option 5", coalesce(options[6], '') AS "Option 6",
+       answer_text AS "Answer Text\""""
 _STEM = r"trim(regexp_extract(q_raw, '\A(.*?)\n\s*\-?\(1\)', 1, 's'), chr(10) || ' ')"
 
 _TOKENS = r"list_distinct(regexp_extract_all(lower({0}), '\S+'))"
@@ -360,8 +368,7 @@ SELECT pos, question, array_to_string(options, '|') AS options, answer_text, ans
     "model_answer": f"WITH {CHOICES} SELECT pos, model, any_choice, choice FROM choices",
     "judge_prompt": f"""
 WITH {QUESTIONS}
-SELECT pos, '{INSTRUCTIONS.replace("'", "''")}' || {NL} || array_to_string({_SHOWN}, {NL})
-       || {NL} || {NL} || 'Your answer:' AS prompt FROM q""",
+SELECT pos, {_PROMPT} AS prompt FROM q""",
     "question_stem": f"""
 WITH {QUESTIONS} SELECT pos, query FROM (SELECT pos, {_STEM} AS query FROM q) WHERE query <> ''""",
     "first_stems": f"""
@@ -407,6 +414,38 @@ SELECT file_path AS file, pos, CAST(NULL AS VARCHAR) AS question_error, model,
        choice AS answer, correct, raw FROM graded
 UNION ALL
 SELECT file_path, pos, 'Answer tag missing.', NULL, NULL, NULL, NULL FROM keyed WHERE correct IS NULL""",
+    "panel_asked": f"""
+WITH {KEYED}, panel(i, model) AS (VALUES {_ASKED_ROWS}),
+asked AS (
+  SELECT file_path, pos, model, i + length({_PROMPT}) AS n
+  FROM keyed, panel WHERE correct IS NOT NULL
+)
+SELECT file_path, pos, model,
+       CASE n % 7 WHEN 0 THEN 'Error: ConnectionError: reset' WHEN 1 THEN 'no idea'
+                  ELSE 'Answer: ' || (n % 4 + 1) END AS raw
+FROM asked""",
+    "panel_document": f"""
+WITH {SUMMARY}
+SELECT (SELECT count(*) FROM q) AS total_questions, model, correct, incorrect, unanswered, total,
+       accuracy FROM summary""",
+    "index_files": f"""
+WITH {CHUNKS}, {_embedded("ce", "chunks", "chunk_id")}
+SELECT chunk_id, doc_id, text, round(list_sum(v), 4) AS total FROM chunks JOIN ce USING (chunk_id)""",
+    "bundle_files": """
+SELECT CAST(doc_id AS VARCHAR) AS taxonomy_id, CAST(NULL AS VARCHAR) AS difficulty,
+       doc_id AS chunk_id, doc_id, text, 1.0::DOUBLE AS score FROM documents""",
+    "question_set_files": f"""
+WITH {SEVERAL}
+SELECT 'Set.' || doc_id || '.json' AS file_name, 'Set.' || doc_id AS taxonomy_id, pos, block AS q_raw
+FROM ({_blocks(_F1, 0)})""",
+    "review_sheet_csv": f"""
+WITH {PARSED} SELECT {_SHEET}, CAST(answer_number AS VARCHAR) AS "Answer Number" FROM parsed""",
+    "leaf_store": f"""
+WITH {FLAT}
+SELECT leaf_id AS id, topic AS label, difficulty FROM (
+  SELECT *, 0 AS load FROM flat WHERE p_size <= 30 UNION ALL
+  SELECT *, 1 AS load FROM flat WHERE p_size >= 20)
+QUALIFY row_number() OVER (PARTITION BY leaf_id ORDER BY load DESC, p_partkey DESC) = 1""",
     "shuffle_order": f"""
 WITH {QUESTIONS}
 SELECT file_path, pos, row_number() OVER
@@ -416,11 +455,7 @@ FROM q""",
 WITH {PARSED}
 SELECT row_number() OVER (ORDER BY md5('{SEED}:' || file_path || '#' || pos), file_path || '#' || pos) - 1
          AS position,
-       question AS "Question Text",
-       coalesce(options[1], '') AS "Option 1", coalesce(options[2], '') AS "Option 2",
-       coalesce(options[3], '') AS "Option 3", coalesce(options[4], '') AS "Option 4",
-       coalesce(options[5], '') AS "Option 5", coalesce(options[6], '') AS "Option 6",
-       answer_text AS "Answer Text", answer_number AS "Answer Number"
+       {_SHEET}, answer_number AS "Answer Number"
 FROM parsed""",
     "widest_options": f"WITH {PARSED} SELECT CAST(max(len(options)) AS BIGINT) AS max_options FROM parsed",
     "rag_eval": f"""

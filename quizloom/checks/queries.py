@@ -1,5 +1,7 @@
 """Registered queries: every operator over the whole of the driver's tables."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,11 @@ from quizloom.operators import panel
 from quizloom.operators.joins import salted_join
 from quizloom.operators.numbering import shuffled_positions
 from quizloom.operators.similarity import top_k
-from quizloom.operators.storage import materialise
-from quizloom.operators.upsert import merge_fields, upsert_counts
+from quizloom.operators.storage import materialise, shared_folder
+from quizloom.operators.upsert import merge_fields, read_store, upsert_counts, write_store
 from quizloom.plans import generate, index, rag, retrieval, review, seeding
-from quizloom.plans.panel import grade_responses
+from quizloom.plans.panel import Judge, ask_panel, grade_responses
+from quizloom.sources import questions as files
 
 
 def _long(column) -> Column:
@@ -457,6 +460,100 @@ def panel_debug(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stub_judge(i: int):
+    """Stands for a judge that answers, gives up or fails by prompt length."""
+
+    def make_client():
+        def judge(prompt):
+            n = len(prompt) + i
+            if n % 7 == 0:
+                raise ConnectionError("reset")
+            return "no idea" if n % 7 == 1 else f" Answer: {n % 4 + 1}\n"
+
+        return judge
+
+    return make_client
+
+
+def panel_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies of a panel of clients, one of them switched off."""
+    judges = [
+        Judge(m, _stub_judge(i), enabled=m != inputs.PANEL[-1])
+        for i, m in enumerate(inputs.PANEL)
+    ]
+    asked = ask_panel(inputs.questions(spark, sf_dir), judges, inputs.INSTRUCTIONS)
+    return asked.select("file_path", _long("pos").alias("pos"), "model", "raw")
+
+
+def panel_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary written as one JSON object and read back."""
+    path = _new_folder(spark)
+    files.write_document(_panel(spark, sf_dir).document(), path)
+    counts = "correct LONG, incorrect LONG, unanswered LONG, total LONG, accuracy DOUBLE"
+    document = spark.read.schema(f"total_questions LONG, models MAP<STRING, STRUCT<{counts}>>")
+    opened = document.json(path).select("total_questions", F.explode("models").alias("model", "m"))
+    return opened.select("total_questions", "model", "m.*")
+
+
+# --- files ------------------------------------------------------------------------
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/quizloom-{uuid.uuid4().hex}"
+
+
+def index_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index built, left alone by a second build, and read back."""
+    path = _new_folder(spark)
+    index.build_index(inputs.corpus(spark, sf_dir), path, inputs.embed)
+    built = index.build_index(inputs.corpus(spark, sf_dir).limit(0), path, inputs.embed)
+    total = F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double"))
+    return built.select("chunk_id", "doc_id", "text", F.round(total, 4).alias("total"))
+
+
+def bundle_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _new_folder(spark)
+    files.write_json(_document_bundles(spark, sf_dir), path)
+    read = files.read_bundles(spark, path)
+    return read.select(
+        "taxonomy_id", "difficulty", F.explode("passages").alias("p")
+    ).select("taxonomy_id", "difficulty", "p.*")
+
+
+def question_set_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Question sets written, a second run's sets appended, all read and flattened."""
+    path = _new_folder(spark)
+    replies = _several_mcqs(spark, sf_dir).select(
+        F.concat(F.lit("Set."), F.col("doc_id").cast("string")).alias("taxonomy_id"), "raw"
+    )
+    sets = replies.select("taxonomy_id", mcq.extract_blocks(F.col("raw")).alias("mcqs"))
+    files.write_json(sets, path)
+    empty = replies.select(F.concat("taxonomy_id", F.lit(".empty")).alias("taxonomy_id"))
+    files.write_json(empty.withColumn("mcqs", F.array().cast("array<string>")), path, "append")
+    questions = files.explode_questions(files.read_question_sets(spark, path))
+    name = F.substring_index("file_path", "/", -1).alias("file_name")
+    return questions.select(name, "taxonomy_id", _long("pos").alias("pos"), "q_raw")
+
+
+def review_sheet_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review sheet written as CSV and read back as text."""
+    path = _new_folder(spark)
+    files.write_sheet(review.review_sheet(inputs.questions(spark, sf_dir), inputs.SEED), path)
+    csv = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    sheet = csv.csv(path)
+    return sheet.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in sheet.columns])
+
+
+def leaf_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads into a versioned store, and the pipeline's view of the newest."""
+    path = _new_folder(spark)
+    docs = inputs.taxonomies(spark, sf_dir)
+    for part in (docs.filter(F.col("p_size") <= 30), docs.filter(F.col("p_size") >= 20)):
+        stored = read_store(spark, path, schemas.STORED_LEAF)
+        write_store(seeding.upsert_leaves(stored, seeding.flatten_leaves(part)), path)
+    return seeding.read_leaves(spark, path)
+
+
 # --- review sheet and RAG evaluation ----------------------------------------------
 
 
@@ -549,6 +646,13 @@ QUERIES = {
         panel_outcomes,
         panel_summary,
         panel_debug,
+        panel_asked,
+        panel_document,
+        index_files,
+        bundle_files,
+        question_set_files,
+        review_sheet_csv,
+        leaf_store,
         shuffle_order,
         review_sheet,
         widest_options,

@@ -11,7 +11,6 @@ calls; a caller that uses a result twice must write it first
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from threading import Lock
 from typing import Iterator
 
 import pandas as pd
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quizloom.functions.mcq import ERROR_PREFIX
 from quizloom.functions.text import words
-from quizloom.schemas import GRADE, REPLY
+from quizloom.schemas import GRADE, PANEL_REPLIES, REPLY
 
 DEFAULT_THRESHOLD = 0.5
 
@@ -67,35 +66,36 @@ def text_model(make_client: Callable[[], Callable], workers: int = 1) -> Callabl
     return lambda *cols: single(cols[0]) if len(cols) == 1 else several(*cols)
 
 
-def judge_panel(makers: dict[str, Callable[[], Callable]], workers: int = 1) -> Callable:
-    """Column function (prompt, model name) -> reply text or ``Error: ...``.
+def judge_panel(
+    makers: dict[str, Callable[[], Callable]], workers: int | None = None
+) -> Callable:
+    """Column function prompt -> ``ARRAY<STRUCT<model, raw>>``, one entry per model.
 
-    A task opens a model's client when its first row arrives, so rows of all models
-    may share a task and no model's rows have to be gathered.
+    ``raw`` is the stripped reply, or ``Error: ...`` for a failed call. A prompt
+    reaches the task once for the whole panel, whose models are asked at the same time
+    unless ``workers`` says otherwise; a task opens one client per model.
     """
+    models = list(makers)
 
-    def make_client():
-        clients: dict = {}
-        opening = Lock()
+    @F.pandas_udf(PANEL_REPLIES)
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        clients = [makers[m]() for m in models]
+        run = _mapper(len(models) if workers is None else workers)
 
-        def ask(prompt, model):
-            with opening:
-                if model not in clients:
-                    clients[model] = makers[model]()
-            return clients[model](prompt)
-
-        return ask
-
-    reply = text_model(make_client, workers)
+        def one(prompt, client):
+            try:
+                return str(client(prompt)).strip()
+            except Exception as exc:  # noqa: BLE001 - any client error is a reply
+                return f"{ERROR_PREFIX} {type(exc).__name__}: {exc}"
 
-    def ask(prompt: Column, model: Column) -> Column:
-        answer = reply(prompt, model)
-        return F.transform(
-            F.array(answer),
-            lambda r: F.coalesce(r["raw"], F.concat(F.lit(f"{ERROR_PREFIX} "), r["error"])),
-        )[0]
+        for batch in batches:
+            prompts = [p for p in batch for _ in clients]
+            raws = iter(run(one, prompts, clients * len(batch)))
+            yield pd.Series(
+                [[{"model": m, "raw": next(raws)} for m in models] for _ in batch], dtype=object
+            )
 
-    return ask
+    return ask.asNondeterministic()
 
 
 def model_grader(make_client: Callable[[], Callable], workers: int = 1) -> Callable:

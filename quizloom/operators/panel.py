@@ -26,15 +26,6 @@ def gradable(keyed: DataFrame) -> DataFrame:
     return keyed.filter(F.col("correct").isNotNull())
 
 
-def ask_pairs(questions: DataFrame, models: list[str]) -> DataFrame:
-    """One row per question and model.
-
-    The panel is a short list of names, so this is a narrow explode, not a join.
-    """
-    names = F.array(*[F.lit(m) for m in models]).cast("array<string>")
-    return questions.withColumn("model", F.explode(names))
-
-
 def _choices(responses: DataFrame) -> DataFrame:
     """Answers reduced to a number before anything is shuffled."""
     return responses.select(
@@ -186,7 +177,6 @@ def debug_rows(questions: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "ask_pairs",
     "debug_rows",
     "graded",
     "gradable",

@@ -55,31 +55,29 @@ def ask_panel(
     questions: DataFrame,
     judges: list[Judge],
     instructions: str,
-    workers: int = 1,
+    workers: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Every enabled judge's reply to every gradable question, stored once.
 
-    The rows of a question stay together and are spread by question, not by model:
-    a panel of eight models would otherwise make eight large tasks.
+    Work is spread by question, not by model: a panel of eight models would otherwise
+    make eight large tasks. Pairing questions with models is a narrow explode.
     """
     enabled = [j for j in judges if j.enabled]
     keyed = panel.gradable(panel.with_keys(questions)).select(*panel.KEY, "q_raw")
     if partitions is not None:
         keyed = keyed.repartition(partitions, *panel.KEY)
     prompts = keyed.select(*panel.KEY, judge_prompt(F.col("q_raw"), instructions).alias("prompt"))
-    pairs = panel.ask_pairs(prompts, [j.name for j in enabled])
     ask = judge_panel({j.name: j.make_client for j in enabled}, workers)
-    return materialise(
-        pairs.select(*panel.KEY, "model", ask(F.col("prompt"), F.col("model")).alias("raw"))
-    )
+    replies = prompts.select(*panel.KEY, F.explode(ask(F.col("prompt"))).alias("reply"))
+    return materialise(replies.select(*panel.KEY, "reply.model", "reply.raw"))
 
 
 def evaluate_panel(
     questions: DataFrame,
     judges: list[Judge],
     instructions: str,
-    workers: int = 1,
+    workers: int | None = None,
     partitions: int | None = None,
 ) -> PanelResult:
     """Ask the panel and hold what is needed for its reports."""

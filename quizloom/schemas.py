@@ -50,5 +50,6 @@ PARSED_MCQ = _row(question=_TEXT, options=_TEXTS, answer_text=_TEXT, answer_numb
 RESPONSE = _row(file_path=_TEXT, pos=_INT, model=_TEXT, raw=_TEXT)
 STATUS = _row(taxonomy_id=_TEXT, status=_TEXT, error=_TEXT)
 REPLY = _row(raw=_TEXT, error=_TEXT)
+PANEL_REPLIES = ArrayType(_row(model=_TEXT, raw=_TEXT))
 GRADE = _row(passing=BooleanType(), score=_DOUBLE)
 EMBEDDING = ArrayType(FloatType())
