@@ -120,7 +120,7 @@ def retrieve_with_text_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bundles(spark, sf_dir) -> DataFrame:
     leaves = inputs.leaves(spark, sf_dir)
-    return retrieval.build_bundles(leaves, inputs.index(spark, sf_dir), inputs.embed)
+    return retrieval.build_bundles(leaves, inputs.index(spark, sf_dir), inputs.embed, stored=True)
 
 
 def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -602,7 +602,8 @@ def rag_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
         q_raw.alias("q_raw"),
     )
     graded = rag.evaluate_rag(
-        q, inputs.index(spark, sf_dir), inputs.embed, text_model(stub_answerer), limit=None
+        q, inputs.index(spark, sf_dir), inputs.embed, text_model(stub_answerer), limit=None,
+        stored=True,
     )
     return graded.withColumn("pos", _long("pos"))
 

@@ -7,23 +7,43 @@ from quizloom.operators.joins import salted_join
 from quizloom.operators.storage import materialise
 
 BROADCAST_HITS = 200_000
+# Hits whose files are looked up before any text is read.
+LOCATED_HITS = 10_000
 
 
-def with_text(hits: DataFrame, chunks: DataFrame, n_hits: int) -> DataFrame:
+def with_text(
+    hits: DataFrame, chunks: DataFrame, n_hits: int, stored: bool = False
+) -> DataFrame:
     """Fetch document and text of ranked hits, after top-k has cut them down.
 
     Up to ``BROADCAST_HITS`` hits (narrow rows, counted by the caller) go to the
     chunk scan, so texts that did not win never move. Beyond that the winning chunks
     are picked by a semi-join and joined with hot chunks split.
+
+    ``stored`` says that ``chunks`` is read from files. Then few hits are located
+    first, by a scan of the id column, and only their files are opened for text.
     """
+    if stored or n_hits > BROADCAST_HITS:
+        hits = materialise(hits)
+    if stored and n_hits <= LOCATED_HITS:
+        chunks = _in_files_of(hits, chunks)
     chunks = chunks.select("chunk_id", "doc_id", "text")
     if n_hits <= BROADCAST_HITS:
         return chunks.join(F.broadcast(hits), "chunk_id")
-    hits = materialise(hits)
     winners = chunks.join(hits.select("chunk_id").distinct(), "chunk_id", "left_semi")
     return salted_join(hits, winners, "chunk_id", F.col("query_id"))
 
 
+def _in_files_of(hits: DataFrame, chunks: DataFrame) -> DataFrame:
+    """The chunks of the files that hold a hit; at most one file per hit."""
+    path = F.col("_metadata.file_path")
+    located = chunks.select("chunk_id", path.alias("path")).join(
+        F.broadcast(hits.select("chunk_id").distinct()), "chunk_id", "left_semi"
+    )
+    paths = [r["path"] for r in located.select("path").distinct().collect()]
+    return chunks.filter(path.isin(paths))
+
+
 def collect_passages(hits: DataFrame, key: str) -> DataFrame:
     """One row per key with its passages, best first; a key has at most k of them."""
     fields = ("chunk_id", "doc_id", "text", "score")

@@ -36,7 +36,7 @@ def build_benchmark(
         raise ValueError("no taxonomy leaves in the store; seed it first")
     template = get_prompt(spark, prompt_store, prompt_id)
     index = build_index(corpus, f"{folder}/index", embed)
-    write_json(build_bundles(leaves, index, embed, k), f"{folder}/bundles")
+    write_json(build_bundles(leaves, index, embed, k, stored=True), f"{folder}/bundles")
     bundles = read_bundles(spark, f"{folder}/bundles")
     done = stored_sets(spark, f"{folder}/questions")
     sets, status = generate_questions(

@@ -32,6 +32,7 @@ def evaluate_rag(
     relevant: Callable | None = None,
     limit: int | None = SAMPLE,
     k: int = BUNDLE_K,
+    stored: bool = False,
 ) -> DataFrame:
     """Answer each question from its k best passages and grade the answer.
 
@@ -45,7 +46,7 @@ def evaluate_rag(
     queries = stems.select(
         F.struct("file_path", "pos").alias("query_id"), F.col("query").alias("text")
     )
-    found = passages_for(queries, index, embed, k)
+    found = passages_for(queries, index, embed, k, stored)
     read = queries.join(found, "query_id", "left").select(
         "query_id",
         F.col("text").alias("query"),

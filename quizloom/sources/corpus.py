@@ -8,6 +8,9 @@ from quizloom.operators.columns import spread
 from quizloom.operators.numbering import row_positions
 
 
+ROWS_PER_FILE = 1 << 15
+
+
 def read_corpus(
     spark: SparkSession,
     path: str,
@@ -46,4 +49,6 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    index.select(*schemas.INDEX.names).write.mode("overwrite").parquet(path)
+    """Files are kept small, as a lookup of few chunks opens only the files they are in."""
+    rows = index.select(*schemas.INDEX.names).write.mode("overwrite")
+    rows.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)

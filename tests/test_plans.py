@@ -12,6 +12,7 @@ from quizloom import schemas
 from quizloom.functions.models import model_grader, text_model
 from quizloom.functions.vectors import embedder, hash_embedder
 from quizloom.operators.upsert import write_store
+from quizloom.operators.bundles import with_text
 from quizloom.plans import generate, review
 from quizloom.plans.benchmark import build_benchmark
 from quizloom.plans.index import build_index, embed_corpus
@@ -82,6 +83,33 @@ def test_retrieve_and_bundles(spark, corpus):
     assert [b["passages"] for b in empty] == [[], []]
 
 
+def files_opened(plan):
+    """Files that the scan with the text column read."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return files_opened(plan.executedPlan())
+    if "QueryStage" in name:
+        return files_opened(plan.plan())
+    if name.startswith("Scan parquet") and "text#" in plan.toString():
+        return plan.metrics().get("numFiles").get().value()
+    children = plan.children()
+    return sum(files_opened(children.apply(i)) for i in range(children.size()))
+
+
+def test_only_the_winners_files_are_opened_for_text(spark, tmp_path):
+    path = str(tmp_path / "chunks")
+    rows = spark.range(100).select(
+        F.col("id").alias("chunk_id"), F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")
+    )
+    rows.repartitionByRange(20, "chunk_id").write.parquet(path)
+    chunks = spark.read.parquet(path)
+    hits = spark.createDataFrame([("q", 3, 1), ("q", 97, 2), ("r", 3, 1)], "query_id STRING, chunk_id LONG, rank INT")
+    found = with_text(hits, chunks, n_hits=3, stored=True)
+    assert {(r["query_id"], r["text"]) for r in found.collect()} == {("q", "3"), ("q", "97"), ("r", "3")}
+    assert files_opened(found._jdf.queryExecution().executedPlan()) == 2
+    assert with_text(hits.limit(0), chunks, n_hits=0, stored=True).count() == 0
+
+
 def generator():
     def reply(prompt):
         if "apple" in prompt.split("|")[0]:
