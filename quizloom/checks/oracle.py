@@ -50,6 +50,7 @@ replies AS (
   FROM (SELECT *, (n_chars + (doc_id + i) // 2) % 4 + 1 AS pick FROM documents, panel)
 )"""
 
+# The patterns that decide what a model chose.
 _CHOICES = (
     r"Answer:\s*([1-8])",
     r"<final_answer>\s*([1-8])\s*</final_answer>",

@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quizloom import schemas
 from quizloom.operators.storage import materialise, path_exists
@@ -25,11 +26,14 @@ def build_benchmark(
     n: int = QUESTIONS,
     k: int = BUNDLE_K,
     options: int = OPTIONS,
+    batches: int = 1,
 ) -> dict[str, int]:
     """Build index, bundles and question sets under ``folder``.
 
     The index is built once and bundles are rewritten each run. Bundles that already
-    have a question set are skipped. Returns success, skipped and failed counts.
+    have a question set are skipped. Question sets are saved after each of ``batches``
+    even parts of the bundles, so a run that breaks off repeats one part at most.
+    Returns success, skipped and failed counts.
     """
     leaves = read_leaves(spark, leaf_store)
     if leaves.isEmpty():
@@ -38,13 +42,23 @@ def build_benchmark(
     index = build_index(corpus, f"{folder}/index", embed)
     write_json(build_bundles(leaves, index, embed, k, stored=True), f"{folder}/bundles")
     bundles = read_bundles(spark, f"{folder}/bundles")
-    done = stored_sets(spark, f"{folder}/questions")
-    sets, status = generate_questions(
-        bundles, template, generator, done, prompt_id=prompt_id, n=n, options=options
-    )
-    status = materialise(status)
-    write_json(sets, f"{folder}/questions", mode="append")
-    return status_counts(status).first().asDict()
+    done = materialise(stored_sets(spark, f"{folder}/questions").select("taxonomy_id"))
+    counts = dict.fromkeys(("success", "skipped", "failed"), 0)
+    for batch in range(batches):
+        part = F.pmod(F.xxhash64("taxonomy_id"), F.lit(batches)) == batch
+        sets, status = generate_questions(
+            bundles.filter(part),
+            template,
+            generator,
+            done.filter(part),
+            prompt_id=prompt_id,
+            n=n,
+            options=options,
+        )
+        write_json(sets, f"{folder}/questions", mode="append")
+        for name, rows in status_counts(status).first().asDict().items():
+            counts[name] += rows
+    return counts
 
 
 def stored_sets(spark: SparkSession, path: str) -> DataFrame:

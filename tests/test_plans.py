@@ -144,7 +144,8 @@ def test_whole_run_and_resume(spark, corpus, tmp_path):
     write_store(spark.createDataFrame(prompts, schemas.PROMPT), prompt_store)
 
     assert build_benchmark(spark, **args) == {"success": 1, "skipped": 0, "failed": 2}
-    again = build_benchmark(spark, **{**args, "generator": text_model(lambda: lambda p: "none")})
+    args.update(generator=text_model(lambda: lambda prompt: "none"), batches=3)
+    again = build_benchmark(spark, **args)
     assert again == {"success": 2, "skipped": 1, "failed": 0}
     sets = files.read_question_sets(spark, f"{args['folder']}/questions")
     found = {r["taxonomy_id"]: r["mcqs"] for r in sets.collect()}
