@@ -14,6 +14,7 @@ from quizloom.functions.text import has_min_words, strip, word_count
 from quizloom.functions.vectors import inner_product
 from quizloom.operators import bundles as bundle_ops
 from quizloom.operators import panel
+from quizloom.operators.columns import with_computed
 from quizloom.operators.joins import salted_join
 from quizloom.operators.numbering import shuffled_positions
 from quizloom.operators.similarity import top_k
@@ -216,11 +217,9 @@ def _several_mcqs(spark, sf_dir) -> DataFrame:
 
 def mcq_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     replies = _several_mcqs(spark, sf_dir)
-    blocks = replies.select(
-        _long("doc_id").alias("doc_id"),
-        F.posexplode(mcq.extract_blocks(F.col("raw"))).alias("pos", "block"),
-    )
-    return blocks.select("doc_id", _long("pos").alias("pos"), "block")
+    found = with_computed(replies, "blocks", mcq.extract_blocks(F.col("raw")))
+    blocks = found.select("doc_id", F.posexplode("blocks").alias("pos", "block"))
+    return blocks.select(_long("doc_id").alias("doc_id"), _long("pos").alias("pos"), "block")
 
 
 def mcq_extract_custom_regex(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,7 +84,7 @@ def judge_panel(
 
         def one(prompt, client):
             try:
-                return str(client(prompt)).strip()
+                return client(prompt).strip()
             except Exception as exc:  # noqa: BLE001 - any client error is a reply
                 return f"{ERROR_PREFIX} {type(exc).__name__}: {exc}"
 

@@ -9,6 +9,7 @@ from quizloom.functions.mcq import extract_blocks, extract_blocks_with, reply_fa
 from quizloom.functions.prompts import render, template_tokens, unknown_fields
 from quizloom.functions.taxonomy import leaf_label
 from quizloom.operators.bundles import context
+from quizloom.operators.columns import with_computed
 from quizloom.operators.joins import lookup_join
 from quizloom.operators.storage import materialise
 
@@ -101,7 +102,8 @@ def parse_replies(replies: DataFrame) -> DataFrame:
     blocks = F.when(pattern.isNull(), extract_blocks(raw)).otherwise(
         extract_blocks_with(raw, pattern)
     )
-    return replies.filter(raw.isNotNull()).select("taxonomy_id", blocks.alias("mcqs"))
+    succeeded = replies.filter(raw.isNotNull())
+    return with_computed(succeeded, "mcqs", blocks).select("taxonomy_id", "mcqs")
 
 
 def statuses(bundles: DataFrame, done: DataFrame, replies: DataFrame) -> DataFrame:
