@@ -21,13 +21,16 @@ def inner_product(left: Column, right: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
 
-def embedder(make_client: Callable[[], Callable[[list], Sequence]]) -> Callable:
+def embedder(
+    make_client: Callable[[], Callable[[list], Sequence]], batch_size: int | None = None
+) -> Callable:
     """Column function text -> vector backed by an embedding client.
 
     ``make_client`` runs once per task and returns a function from a list of texts
     to one equally long vector per text. NULL texts get a NULL vector and are never
     sent to the client. Calls are marked nondeterministic, or a filter on the vectors
-    would make Catalyst embed every text twice.
+    would make Catalyst embed every text twice. ``batch_size`` limits the texts per call;
+    without it a call gets a whole Arrow batch.
     """
 
     @F.arrow_udf(EMBEDDING)
@@ -36,7 +39,9 @@ def embedder(make_client: Callable[[], Callable[[list], Sequence]]) -> Callable:
         for batch in batches:
             texts = batch.to_pylist()
             present = [t for t in texts if t is not None]
-            vectors = np.asarray(client(present), dtype=np.float32) if present else None
+            step = batch_size or max(1, len(present))
+            parts = [client(present[at : at + step]) for at in range(0, len(present), step)]
+            vectors = np.concatenate(parts).astype(np.float32) if parts else None
             yield _list_array([t is not None for t in texts], vectors)
 
     return embed.asNondeterministic()

@@ -16,7 +16,8 @@ def with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on inputs with fewer scan partitions than there are cores.
 
-    A large input has more partitions than that and is left alone.
+    A large input has more partitions than that and is left alone. For plain scans
+    only: asking a plan with shuffles for its partitions would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -3,13 +3,19 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+# Rows of any width, such as prompt templates, that may be broadcast.
+LOOKUP_ROWS = 10_000
+# Rows of a key and a number that may be broadcast.
+NARROW_ROWS = 100_000
 HOT_ROWS = 100_000
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """True if the table has at most that many rows; reads no more than needed."""
-    return df.limit(rows + 1).count() <= rows
+    """True if the table has at most that many rows.
+
+    A count runs in parallel; a limit would send its rows from every task to one.
+    """
+    return df.count() <= rows
 
 
 def salted_join(
@@ -33,7 +39,7 @@ def salted_join(
         .filter(F.col("_n") > hot_rows)
         .select(key, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts"))
     )
-    if at_most(parts, BROADCAST_ROWS):
+    if at_most(parts, NARROW_ROWS):
         parts = F.broadcast(parts)
     split_facts = (
         facts.join(parts, key, "left")
@@ -60,7 +66,7 @@ def lookup_join(
     key: str,
     spread_by: Column,
     how: str = "inner",
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """Join with a lookup of unique keys: broadcast if counted small, else salted."""
     if at_most(lookup, max_broadcast_rows):

@@ -1,7 +1,11 @@
 """Loading of taxonomies and prompt templates into keyed stores."""
 
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from quizloom import schemas
 from quizloom.functions.mcq import capture_groups
@@ -92,9 +96,28 @@ def read_leaves(spark: SparkSession, store: str) -> DataFrame:
 
 
 def valid_prompts(prompts: DataFrame) -> DataFrame:
-    """Templates that have an id and a pattern with at most one capturing group."""
-    groups = F.coalesce(capture_groups(F.col("parser_regex")), F.lit(0))
-    return prompts.filter(F.col("prompt_id").isNotNull() & (groups <= 1))
+    """Templates that have an id and a usable pattern, or none.
+
+    A usable pattern compiles and has at most one capturing group; one that does not
+    would fail every bundle's job, not only those of its template.
+    """
+    pattern = F.col("parser_regex")
+    usable = pattern.isNull() | (_compiles(pattern) & (capture_groups(pattern) <= 1))
+    return prompts.filter(F.col("prompt_id").isNotNull() & usable)
+
+
+@F.pandas_udf(BooleanType())
+def _compiles(patterns: pd.Series) -> pd.Series:
+    """True for patterns valid in Python and without constructs Java does not know."""
+
+    def check(pattern):
+        try:
+            re.compile(pattern or "")
+        except re.error:
+            return False
+        return not re.search(r"\(\?[P#(]|\{,", pattern or "")
+
+    return patterns.map(check)
 
 
 def latest_prompts(prompts: DataFrame) -> DataFrame:

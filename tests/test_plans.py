@@ -52,14 +52,14 @@ def test_index(spark, corpus, tmp_path):
 def test_embedder_gets_only_present_texts(spark):
     def make():
         def embed(texts):
-            assert None not in texts
+            assert None not in texts and len(texts) <= 2
             return [[len(t), 1.0] for t in texts]
 
         return embed
 
-    rows = spark.createDataFrame([("abc",), (None,), ("",)], "t STRING")
-    found = [r[0] for r in rows.coalesce(1).select(embedder(make)(F.col("t"))).collect()]
-    assert found == [[3.0, 1.0], None, [0.0, 1.0]]
+    rows = spark.createDataFrame([("abc",), (None,), ("",), ("ab",)], "t STRING").coalesce(1)
+    found = [r[0] for r in rows.select(embedder(make, batch_size=2)(F.col("t"))).collect()]
+    assert found == [[3.0, 1.0], None, [0.0, 1.0], [2.0, 1.0]]
 
 
 def test_retrieve_and_bundles(spark, corpus):
@@ -108,6 +108,10 @@ def test_only_the_winners_files_are_opened_for_text(spark, tmp_path):
     assert {(r["query_id"], r["text"]) for r in found.collect()} == {("q", "3"), ("q", "97"), ("r", "3")}
     assert files_opened(found._jdf.queryExecution().executedPlan()) == 2
     assert with_text(hits.limit(0), chunks, n_hits=0, stored=True).count() == 0
+    many = with_text(hits, chunks, n_hits=10**9, stored=True)
+    assert sorted(map(str, many.select(*found.columns).collect())) == sorted(
+        map(str, found.collect())
+    )
 
 
 def generator():

@@ -100,8 +100,9 @@ def test_prompt_store(spark, tmp_path):
     put(folder, "c.json", {"template": "no id"})
     put(folder, "d.json", "{broken")
     put(folder, "e.json", prompt("three", parser_regex="(a)(b)"))
+    put(folder, "f.json", prompt("four", parser_regex="(unclosed"))
     first = seeding.seed_prompts(spark, str(folder), store)
-    assert first == {"upserted": 2, "modified": 0, "skipped": 3}
+    assert first == {"upserted": 2, "modified": 0, "skipped": 4}
     assert seeding.seed_prompts(spark, str(folder), store)["modified"] == 0
 
     put(tmp_path / "q", "z.json", prompt("two", template="T2b", version=2))
