@@ -1,6 +1,5 @@
 """Paths, completed writes and materialised intermediate results."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,18 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the session's checkpoint folder.
 
-    Only a local session without one falls back to a folder of its own.
+    A session without one gets a folder in the warehouse, which executors share too.
     """
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="quizloom-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(f"{warehouse}/quizloom-checkpoints")
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str = "table") -> str:
+    """A path in the shared folder that nothing else uses; the folder is not made."""
+    return f"{shared_folder(spark)}/quizloom-{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that no plan reads any more."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write the rows as a table in the shared folder and read them from there on.
 
@@ -30,7 +39,7 @@ def materialise(df: DataFrame) -> DataFrame:
     need.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/quizloom-{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
