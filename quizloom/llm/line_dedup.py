@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizloom.llm.text import SPACES, UPPER
+from quizloom.llm.text import SPACES, UPPER, with_fields
 from quizloom.operators.storage import materialise, new_folder
 
 MIN_CHARS = 10
@@ -185,5 +185,6 @@ def line_dedup(
         .join(drops.select(F.col("id").alias("_id"), F.col("drop").alias("_drop")), "_id", "left")
         .select(*rest, "text", "_drop")
     )
-    schema = base.select(*rest, "text").schema.add("n_lines", "long").add("n_dropped", "long")
-    return rows.mapInArrow(_rebuild, schema.add("kept_sha256", "string"))
+    added = {"n_lines": "long", "n_dropped": "long", "kept_sha256": "string"}
+    schema = with_fields(base.select(*rest, "text").schema, added)
+    return rows.mapInArrow(_rebuild, schema)

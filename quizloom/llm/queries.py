@@ -3,7 +3,21 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizloom.llm import exact_dedup, line_dedup
+from quizloom.llm import (
+    exact_dedup,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    secrets,
+    toxicity,
+    warc,
+)
+
+# Stands for a key that a user would read from a secret store.
+PII_KEY = "key of the registered query"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +31,27 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(documents, PII_KEY)
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.archive_round_trip(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train_toxicity(documents, labels)
+    return toxicity.score_toxicity(documents, model).select(
+        "doc_id", "held_out", "score", "predicted"
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     index = exact_dedup.build_index(documents)
@@ -25,9 +60,46 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.train_quality(documents, labels)
+    return quality.judge_quality(documents, model).drop("text")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(documents).select("doc_id", "domain", "lang", "source", "epoch")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(documents)
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan_secrets(documents).drop("text")
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.near_duplicates(documents).select(
+        "doc_id", "class_id", "n_links", "n_copies", "kept"
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_pii": op2_pii,
+    "op3_warc": op3_warc,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_quality": op6_quality,
+    "op7_mixing": op7_mixing,
+    "op8_packing": op8_packing,
+    "op9_secrets": op9_secrets,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -62,4 +134,24 @@ ORACLE = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM normal WINDOW same AS (PARTITION BY norm)""",
+    "op3_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex
+            FROM pages
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY body) AS first_id FROM payloads
+        ), groups AS (
+            SELECT *, [('0x' || substr(hex, 5 * i + 1, 5))::INTEGER FOR i IN range(8)] AS fives
+            FROM firsts
+        ), digits AS (
+            SELECT *, flatten([[(v >> 15) & 31, (v >> 10) & 31, (v >> 5) & 31, v & 31]
+                               FOR v IN fives]) AS bits
+            FROM groups
+        )
+        SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+               list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', b + 1, 1) FOR b IN bits],
+                              'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM digits""",
 }

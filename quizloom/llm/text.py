@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The characters that separate words and are stripped from lines.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -24,3 +25,11 @@ def single_spaced(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
+
+
+def with_fields(schema: StructType, fields: dict[str, str]) -> StructType:
+    """A new schema with further fields, given as name to type."""
+    longer = StructType(list(schema.fields))
+    for name, kind in fields.items():
+        longer.add(name, kind)
+    return longer
