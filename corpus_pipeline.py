@@ -1,10 +1,60 @@
-"""A training corpus from raw documents: filter, dedup, mix and pack."""
+"""A training corpus from raw documents: filter, deduplicate, mix and pack.
+
+Each stage takes the documents its predecessor kept and returns documents of the same
+columns; the last returns the packed pieces. Between stages documents are stored as
+tables in the shared folder, so a lost executor costs one stage's work at most.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quizloom.llm import line_dedup, mixing, ngram_join, packing, quality
+from quizloom.operators.storage import materialise
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep; trained on the labelled ones among them."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = quality.train_quality(docs, labels)
+    judged = quality.judge_quality(docs, model)
+    return judged.filter("kept").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier document has."""
+    kept = line_dedup.line_dedup(docs).select(*docs.columns)
+    return kept.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return ngram_join.near_dedup(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents by target weights; one read in two epochs is there twice."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents' pieces with their places in sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", keep_good),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_join", keep_one_of_near),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-STAGES: list = []
+# The quality model, the banded join and the packing have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise ValueError("no stages yet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

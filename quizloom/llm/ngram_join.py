@@ -54,8 +54,8 @@ def choose_bands(similarity: float, recall: float, max_hashes: int = MAX_HASHES)
     """
     best = None
     for rows in range(1, max_hashes + 1):
-        miss = 1 - similarity**rows
-        bands = math.ceil(math.log(1 - recall) / math.log(miss)) if miss > 0 else 1
+        equal = similarity**rows
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-equal)) if equal < 1 else 1
         if bands * rows <= max_hashes and bands <= 63:
             best = (bands, rows)
     if best is None:

@@ -8,7 +8,7 @@ separators, gets the same pseudonym everywhere. Whoever has the key can undo it.
 
 Kinds: ``email`` (the part before the @), ``ip`` (IPv4), ``date`` (year-month-day,
 day.month.year, month/day/year or, where that is no date, day/month/year), ``ssn``,
-``phone`` (ten digits, North American), ``card`` (13 to 19 digits with a right check digit).
+``phone`` (ten digits), ``card`` (13 to 19 digits with a right check digit).
 What looks like one of them but is not valid stays as it is.
 
 All of it is column expressions; no row depends on another and nothing is shuffled.
@@ -151,17 +151,27 @@ def _card(key: str, value: Column) -> Column:
 
 
 def _phone(key: str, value: Column) -> Column:
-    """Area codes and exchanges begin with 2 to 9."""
+    """Area codes and exchanges that begin with 2 to 9, as they should, still do so after.
+
+    Numbers that begin otherwise are permuted among themselves.
+    """
 
     def permute(digits):
-        area = _number(F.substr(digits, F.lit(1), F.lit(3))) - 200
-        rest = _number(F.substr(digits, F.lit(4), F.lit(7))) - 2_000_000
-        pair = feistel(key, "phone", area, rest, F.lit(800), F.lit(8_000_000))
+        area = _number(F.substr(digits, F.lit(1), F.lit(3)))
+        rest = _number(F.substr(digits, F.lit(4), F.lit(7)))
+        area_low, areas = [F.when(area < 200, a).otherwise(b) for a, b in ((0, 200), (200, 800))]
+        rest_low, rests = [
+            F.when(rest < 2_000_000, a).otherwise(b)
+            for a, b in ((0, 2_000_000), (2_000_000, 8_000_000))
+        ]
+        pair = feistel(key, "phone", area - area_low, rest - rest_low, areas, rests)
         new = _let(
-            pair, lambda p: F.concat((p["l"] + 200).cast("string"), (p["r"] + 2_000_000).cast("string"))
+            pair,
+            lambda p: F.concat(
+                _padded(p["l"] + area_low, F.lit(3)), _padded(p["r"] + rest_low, F.lit(7))
+            ),
         )
-        valid = digits.rlike("^[2-9][0-9]{2}[2-9]")
-        return F.when(valid, _let(new, lambda n: _refill(value, n)))
+        return _let(new, lambda n: _refill(value, n))
 
     return _let(_digits(value), permute)
 
@@ -330,10 +340,10 @@ def pseudonymise(documents: DataFrame, key: str) -> DataFrame:
 
     parts = F.transform(F.split("text", PATTERN), piece)
     text = F.when(F.size("_new") > 0, F.array_join(parts, "")).otherwise(F.col("text"))
-    counts = [
-        F.coalesce(F.size(F.filter("_new", lambda m, k=kind: m["kind"] == k)), F.lit(0))
-        .cast("bigint")
-        .alias(f"n_{kind}")
-        for kind in KINDS
-    ]
+
+    def count(kind: str) -> Column:
+        of_kind = F.filter("_new", lambda m: m["kind"] == kind)
+        return F.coalesce(F.size(of_kind), F.lit(0)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in KINDS]
     return mapped.select(*[text.alias("text") if c == "text" else F.col(c) for c in columns], *counts)

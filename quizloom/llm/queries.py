@@ -102,6 +102,50 @@ QUERIES = {
     "op10_ngram_join": op10_ngram_join,
 }
 
+def _sql_weights(level: str) -> str:
+    cases = "".join(f" WHEN {level} = '{k}' THEN {w}" for k, w in mixing.WEIGHTS[level].items())
+    return f"CASE{cases} ELSE {mixing.OTHER} END" if cases else str(mixing.OTHER)
+
+
+def _sql_budgets() -> str:
+    """Budgets of every level of the tree, as CTEs ``level0``, ``level1``, ..."""
+    parts = []
+    for depth, level in enumerate(mixing.LEVELS):
+        path, family = mixing.LEVELS[: depth + 1], mixing.LEVELS[:depth]
+        key = ", ".join(path)
+        inside = f"PARTITION BY {', '.join(family)}" if family else ""
+        if family:
+            same = " AND ".join(f"n.{c} IS NOT DISTINCT FROM u.{c}" for c in family)
+            source = f"nodes{depth} n JOIN level{depth - 1} u ON {same}"
+            given = "u.budget"
+        else:
+            source, given = f"nodes{depth} n", "least((SELECT budget FROM total), sum(n.cap) OVER ())"
+        columns = ", ".join(f"n.{c}" for c in path)
+        parts.append(f"""
+        nodes{depth} AS (
+            SELECT {key}, sum(cap) AS cap, {_sql_weights(level)} AS w FROM leaves GROUP BY {key}
+        ), family{depth} AS (
+            SELECT {columns}, n.cap, n.w, {given} AS given FROM {source}
+        ), ranked{depth} AS (
+            SELECT *,
+                   given - coalesce(sum(cap) OVER (
+                       {inside} ORDER BY cap / w, {level}
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+                   sum(w) OVER ({inside} ORDER BY cap / w, {level}
+                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w
+            FROM family{depth}
+        ), filled{depth} AS (
+            SELECT *, remaining > 0 AND cap * open_w <= w * remaining AS is_full
+            FROM ranked{depth}
+        ), level{depth} AS (
+            SELECT {key}, CASE WHEN is_full THEN cap ELSE
+                   w * (given - coalesce(sum(cap) FILTER (is_full) OVER ({inside}), 0))
+                   // sum(w) FILTER (NOT is_full) OVER ({inside}) END AS budget
+            FROM filled{depth}
+        )""")
+    return ",".join(parts)
+
+
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE = {
@@ -154,4 +198,36 @@ ORACLE = {
                CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> first_id THEN first_id END AS refers_to
         FROM digits""",
+    "op7_mixing": rf"""
+        WITH docs AS (
+            SELECT doc_id, lang, source,
+                   CASE WHEN regexp_extract(source, '([0-9]{{1,9}})$', 1) <> '' THEN 'domain' ||
+                        (regexp_extract(source, '([0-9]{{1,9}})$', 1)::INTEGER % {mixing.DOMAINS})
+                   END AS domain,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens,
+                   md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')) AS row
+            FROM documents
+        ), leaves AS (
+            SELECT domain, lang, source, sum(tokens) AS tokens,
+                   sum(tokens) * {mixing.MAX_EPOCHS} AS cap
+            FROM docs GROUP BY ALL
+        ), total AS (SELECT floor(sum(tokens) * 0.8)::BIGINT AS budget FROM docs),
+        {_sql_budgets()}, plan AS (
+            SELECT l.domain, l.lang, l.source,
+                   CASE WHEN l.tokens > 0 THEN b.budget // l.tokens ELSE 0 END AS whole,
+                   CASE WHEN l.tokens > 0 THEN b.budget % l.tokens ELSE 0 END AS part
+            FROM leaves l JOIN level2 b ON l.domain IS NOT DISTINCT FROM b.domain
+                AND l.lang IS NOT DISTINCT FROM b.lang AND l.source IS NOT DISTINCT FROM b.source
+        ), reading AS (
+            SELECT d.*, p.whole, p.part, sum(d.tokens) OVER (
+                       PARTITION BY d.domain, d.lang, d.source
+                       ORDER BY md5('{mixing.SEED}:' || p.whole || ':' || d.row)
+                       RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+            FROM docs d JOIN plan p ON d.domain IS NOT DISTINCT FROM p.domain
+                AND d.lang IS NOT DISTINCT FROM p.lang AND d.source IS NOT DISTINCT FROM p.source
+        )
+        SELECT doc_id, domain, lang, source, unnest(range(
+                   (whole + CASE WHEN part > 0 AND upto <= part THEN 1 ELSE 0 END)::BIGINT
+               )) AS epoch
+        FROM reading""",
 }
