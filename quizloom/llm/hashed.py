@@ -13,40 +13,47 @@ BITS = 18
 BLOCK_CHARS = 1 << 20
 WORD_CACHE = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _slots(values: np.ndarray, bits: int) -> np.ndarray:
-    return ((values * _MIX) >> np.uint64(64 - bits)).astype(np.int32)
+_STEP = np.uint64(0x100000001B3)
 
 
 class NGrams:
     """Distinct feature slots of a text: character n-grams and, if asked, words.
 
-    Words give unigrams and bigrams. Slots lie in 0..2^bits-1.
+    Words give unigrams and bigrams. Slots lie in 0..2^bits-1. With ``only``, a mask of
+    slots, others are left out early.
     """
 
-    def __init__(self, orders=(3, 4, 5), words=False, bits=BITS):
+    def __init__(self, orders=(3, 4, 5), words=False, bits=BITS, lower=False, only=None):
         self.orders, self.words, self.bits = orders, words, bits
-        self._seen = np.zeros(1 << bits, dtype=bool)
+        self.lower, self.only = lower, only
+        self._last = np.zeros(1 << bits, dtype=np.int32)
         self._word_hash: dict[str, int] = {}
 
-    def _characters(self, text: str) -> None:
-        widest = max(self.orders)
-        for at in range(0, max(len(text), 1), BLOCK_CHARS):
-            block = text[at : at + BLOCK_CHARS + widest - 1]
-            codes = np.frombuffer(block.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-            codes = codes.astype(np.uint64) + np.uint64(1)
-            rolling = codes
-            for n in range(1, widest + 1):
-                if n > 1:
-                    if len(codes) < n:
-                        break
-                    rolling = rolling[: len(codes) - n + 1] * np.uint64(0x100000001B3)
-                    rolling = rolling + codes[n - 1 :]
-                if n in self.orders:
-                    self._seen[_slots(rolling ^ np.uint64(n << 56), self.bits)] = True
-
-    def _words(self, text: str) -> None:
+    def _distinct(self, slots: np.ndarray) -> np.ndarray:
+        """The slots without repeats, unordered: of equal ones only the last stays."""
+        place = np.arange(len(slots), dtype=np.int32)
+        self._last[slots] = place
+        return slots[self._last[slots] == place]
+
+    def _slots(self, codes: np.ndarray) -> np.ndarray:
+        slots = ((codes * _MIX) >> np.uint64(64 - self.bits)).astype(np.int32)
+        return slots if self.only is None else slots[self.only[slots]]
+
+    def _characters(self, block: str) -> list[np.ndarray]:
+        codes = np.frombuffer(block.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        codes = codes.astype(np.uint64) + np.uint64(1)
+        rolling, found = codes, []
+        for n in range(1, max(self.orders) + 1):
+            if n > 1:
+                if len(codes) < n:
+                    break
+                rolling = rolling[: len(codes) - n + 1] * _STEP
+                rolling = rolling + codes[n - 1 :]
+            if n in self.orders:
+                found.append(self._slots(rolling ^ np.uint64(n << 56)))
+        return found
+
+    def _word_slots(self, text: str) -> list[np.ndarray]:
         known = self._word_hash
         if len(known) > WORD_CACHE:
             known.clear()
@@ -55,17 +62,26 @@ class NGrams:
             if word not in known:
                 known[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) + 1
         codes = np.fromiter((known[w] for w in words), dtype=np.uint64, count=len(words))
-        self._seen[_slots(codes ^ np.uint64(11 << 56), self.bits)] = True
-        if len(codes) > 1:
-            pairs = codes[:-1] * np.uint64(0x100000001B3) + codes[1:]
-            self._seen[_slots(pairs ^ np.uint64(12 << 56), self.bits)] = True
+        pairs = codes[:-1] * _STEP + codes[1:]
+        return [
+            self._slots(codes ^ np.uint64(11 << 56)),
+            self._slots(pairs ^ np.uint64(12 << 56)),
+        ]
 
     def __call__(self, text: str) -> np.ndarray:
-        self._seen[:] = False
-        self._characters(text)
+        if self.lower:
+            text = text.lower()
+        found = []
+        overlap = max(self.orders) - 1
+        for at in range(0, max(len(text), 1), BLOCK_CHARS):
+            parts = self._characters(text[at : at + BLOCK_CHARS + overlap])
+            if parts:
+                found.append(self._distinct(np.concatenate(parts)))
         if self.words:
-            self._words(text)
-        return np.flatnonzero(self._seen).astype(np.int32)
+            found += [self._distinct(part) for part in self._word_slots(text)]
+        if not found:
+            return np.empty(0, dtype=np.int32)
+        return found[0] if len(found) == 1 else self._distinct(np.concatenate(found))
 
 
 def labelled_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:

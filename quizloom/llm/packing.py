@@ -19,6 +19,7 @@ Repeated rows are packed once each. Only documents longer than the capacity are
 import functools
 import os
 import re
+import sys
 import zlib
 from array import array
 
@@ -35,45 +36,91 @@ from quizloom.operators.storage import materialise
 
 CAPACITY = 2048
 # A piece of at most this share of a sequence is small.
-SMALL_SHARE = 1 / 8
+SMALL_SHARE = 1 / 3
 GROUPS = 96
 SHARD_PIECES = 40_000
 END_ID = 0
 
 # The vocabulary drops white space and never joins across it, so words can be encoded
-# one by one and remembered.
+# one by one and remembered. Python splits at a few control characters more.
 _WORD = re.compile(r"[^ \t\n\r]+")
-_CACHE_WORDS = 1 << 19
+_NOT_SPACE = "\x1c\x1d\x1e\x1f"
+_CACHE_WORDS = 1 << 20
 _CACHE_CHARS = 64
+# Letters that are a single unit for the vocabulary's splitter and composed as they are;
+# one closing mark is a unit of its own.
+_PLAIN = re.compile(
+    "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)"
+)
 
 
-class WordEncoder:
-    """Token ids of texts as little-endian unsigned 32-bit numbers."""
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Fixed values: printable bytes stand for themselves, the others for the characters
+    from 256 on.
+    """
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in printable)
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class WordEncoder(dict):
+    """Token ids of texts as little-endian unsigned 32-bit numbers; a cache by word.
+
+    Words are remembered, and so are the letters of plain words without their case and
+    closing mark; those go straight to the vocabulary's model, all others through the
+    whole tokenizer.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
-        found = self._tokenizer.encode_batch(words, add_special_tokens=False)
-        return {w: np.asarray(e.ids, dtype="<u4").tobytes() for w, e in zip(words, found)}
-
-    def __call__(self, text: str) -> bytes:
-        words = _WORD.findall(text)
-        known = self._known
-        if len(known) > _CACHE_WORDS:
-            known.clear()
-        missing = [w for w in set(words) if w not in known]
-        if missing:
-            long = {w for w in missing if len(w) > _CACHE_CHARS}
-            known.update(self._encode([w for w in missing if w not in long]))
-            if long:
-                extra = self._encode(list(long))
-                return b"".join([extra[w] if w in extra else known[w] for w in words])
-        return b"".join([known[w] for w in words])
+        self._model = self._tokenizer.model
+        self._bytes = _byte_characters()
+        self._letters: dict[str, bytes] = {}
+
+    def _plain(self, letters: str) -> bytes:
+        ids = self._letters.get(letters)
+        if ids is None:
+            spelled = letters
+            if not letters.isascii():
+                spelled = letters.encode().decode("latin-1").translate(self._bytes)
+            ids = _packed([token.id for token in self._model.tokenize(spelled)])
+            if len(letters) <= _CACHE_CHARS:
+                self._letters[letters] = ids
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        plain = _PLAIN.fullmatch(word)
+        if plain:
+            letters, mark = plain.groups()
+            ids = self._plain(letters.lower())
+            if mark:
+                ids += self[mark]
+        else:
+            ids = _packed(self._tokenizer.encode(word, add_special_tokens=False).ids)
+        if len(word) <= _CACHE_CHARS:
+            self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        for cache in (self, self._letters):
+            if len(cache) > _CACHE_WORDS:
+                cache.clear()
+        odd = any(c in text for c in _NOT_SPACE)
+        words = _WORD.findall(text) if odd else text.split()
+        return b"".join(map(self.__getitem__, words))
+
+
+def _packed(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -97,13 +144,13 @@ def token_pieces(
     """
 
     def cut(batches):
-        encode = _encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         unit = TaskContext.get().partitionId() << 33
         for batch in batches:
             columns = {name: array("q") for name in ("piece", "start", "length", "crc", "unit")}
             docs, ids = [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                tokens = encode(text.as_py() or "") + END_ID.to_bytes(4, "little")
+                tokens = encoder.encode(text.as_py() or "") + END_ID.to_bytes(4, "little")
                 for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
                     part = tokens[at : at + 4 * capacity]
                     docs.append(doc_id)
@@ -223,6 +270,31 @@ class Bins:
         return sequence, room
 
 
+class Shelf:
+    """Pieces not yet placed, found by their length."""
+
+    def __init__(self, lengths: np.ndarray, pieces: np.ndarray, capacity: int):
+        self.by_length: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.present = 0  # bit n is set if some piece has n tokens
+        for piece in pieces.tolist():
+            self.by_length[lengths[piece]].append(piece)
+            self.present |= 1 << int(lengths[piece])
+
+    def take(self, most: int) -> int | None:
+        """A longest piece of at most ``most`` tokens."""
+        length = (self.present & ((1 << (most + 1)) - 1)).bit_length() - 1
+        if length < 0:
+            return None
+        piece = self.by_length[length].pop()
+        if not self.by_length[length]:
+            self.present &= ~(1 << length)
+        return piece
+
+    def rest(self) -> list[int]:
+        """All pieces left, longest first."""
+        return [piece for pieces in reversed(self.by_length) for piece in pieces]
+
+
 def pack_lengths(
     lengths: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -238,25 +310,28 @@ def pack_lengths(
     large_end = int((descending > capacity * SMALL_SHARE).sum())
     large = order[full:large_end]
     waiting = []
-    if len(large):
+    if large_end > full:
+        large = order[full:large_end]
         sizes, group = linear_groups(lengths[large], groups)
         demand = np.bincount(group, minlength=len(sizes)).astype(np.float64)
         columns, amount = configurations(sizes, demand, capacity)
-        members = [list(large[group == g]) for g in range(len(sizes))]
+        shelf = Shelf(lengths, large, capacity)
         for column, times in zip(columns.T.astype(int), np.floor(amount + 1e-9).astype(int)):
-            places = np.repeat(np.arange(len(sizes)), column)
+            places = np.repeat(sizes, column)[::-1].tolist()
             for _ in range(times):
-                room = capacity
-                number = None
-                for g in places:
-                    if members[g]:
-                        number = bins.new() if number is None else number
-                        piece = members[g].pop()
-                        sequence[piece], offset[piece] = number, capacity - room
-                        room -= int(lengths[piece])
+                number, room = None, capacity
+                for i, place in enumerate(places):
+                    # Pieces are shorter than their places. What that leaves over goes to
+                    # the last place, which takes the longest piece that still fits.
+                    piece = shelf.take(room if 0 < i == len(places) - 1 else min(place, room))
+                    if piece is None:
+                        continue
+                    number = bins.new() if number is None else number
+                    sequence[piece], offset[piece] = number, capacity - room
+                    room -= int(lengths[piece])
                 if number is not None:
                     bins.add(number, room)
-        waiting = sorted((p for m in members for p in m), key=lambda p: -lengths[p])
+        waiting = shelf.rest()
     for piece in [*waiting, *order[large_end:]]:
         length = int(lengths[piece])
         number, room = bins.best_fit(length)

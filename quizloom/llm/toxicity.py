@@ -21,15 +21,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.hashed import BITS, NGrams, fit_logistic, labelled_sample
+from quizloom.llm.hashed import NGrams, fit_logistic, labelled_sample
 from quizloom.llm.text import with_fields
 
-ORDERS = (3, 4, 5)
+ORDERS = (3, 4, 5, 6)
+BITS = 20
 SAMPLE = 20_000
 THRESHOLD = 0.7
-# Slots with a smaller absolute log-count ratio carry no weight.
-MIN_RATIO = 1.0
-L2 = 1e-3
+# Slots with a smaller absolute log-count ratio, or in fewer training documents, carry
+# no weight.
+MIN_RATIO = 2.0
+MIN_DOCUMENTS = 5
+L2 = 1e-5
 
 
 @dataclass
@@ -51,9 +54,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def _ngrams(orders, only=None) -> NGrams:
+    return NGrams(orders, bits=BITS, lower=True, only=only)
+
+
 def _slot_counts(orders):
     def count(batches):
-        ngrams = NGrams(orders)
+        ngrams = _ngrams(orders)
         counts = np.zeros((2, 1 << BITS), dtype=np.int64)
         rows = [0, 0]
         for batch in batches:
@@ -75,9 +82,9 @@ def _slot_counts(orders):
 
 def _chosen_slots(orders, chosen: np.ndarray):
     def choose(batches):
-        ngrams = NGrams(orders)
+        ngrams = _ngrams(orders, chosen)
         for batch in batches:
-            kept = [s[chosen[s]] for s in (ngrams(t.as_py() or "") for t in batch.column("text"))]
+            kept = [ngrams(t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_pydict(
                 {"y": batch.column("y"), "slots": pa.array(kept, pa.list_(pa.int32()))}
             )
@@ -91,6 +98,7 @@ def train_toxicity(
     sample: int = SAMPLE,
     orders: tuple[int, ...] = ORDERS,
     min_ratio: float = MIN_RATIO,
+    min_documents: int = MIN_DOCUMENTS,
     l2: float = L2,
 ) -> ToxicityModel:
     """Fit on labelled documents outside the held-out third.
@@ -102,16 +110,16 @@ def train_toxicity(
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = rows.select("text", "y")
     counted = rows.mapInArrow(_slot_counts(orders), "y INT, slot INT, n BIGINT")
-    sums = counted.groupBy("y", "slot").agg(F.sum("n").alias("n")).toPandas()
-    counts, totals = np.zeros((2, 1 << BITS)), np.zeros(2)
-    for y in (0, 1):
-        of = sums[sums["y"] == y]
-        slots, n = of["slot"].to_numpy(), of["n"].to_numpy()
-        counts[y, slots[slots >= 0]] = n[slots >= 0]
-        totals[y] = n[slots < 0].sum()
+    clean, toxic = (F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0)) for y in (0, 1))
+    sums = counted.groupBy("slot").agg(clean.alias("clean"), toxic.alias("toxic"))
+    common = (F.col("slot") < 0) | (F.col("clean") + F.col("toxic") >= min_documents)
+    table = sums.filter(common).toPandas()
+    totals = table[table["slot"] < 0][["clean", "toxic"]].sum()
+    table = table[table["slot"] >= 0]
     # Shares of documents, smoothed by one document each.
-    share = (counts + 1) / (totals[:, None] + 2)
-    ratio = np.log(share[1] / share[0])
+    share = {y: (table[y].to_numpy() + 1) / (totals[y] + 2) for y in ("clean", "toxic")}
+    ratio = np.zeros(1 << BITS)
+    ratio[table["slot"].to_numpy()] = np.log(share["toxic"] / share["clean"])
     ratio[np.abs(ratio) < min_ratio] = 0
     slots = rows.mapInArrow(_chosen_slots(orders, ratio != 0), "y INT, slots ARRAY<INT>").toPandas()
     weights, intercept = fit_logistic(
@@ -120,9 +128,7 @@ def train_toxicity(
         ratio,
         l2,
     )
-    return ToxicityModel(
-        orders, (weights * ratio).astype(np.float64), ratio**2, intercept
-    )
+    return ToxicityModel(orders, weights * ratio, ratio**2, intercept)
 
 
 def score_toxicity(
@@ -132,7 +138,7 @@ def score_toxicity(
     base = documents.drop("held_out", "score", "predicted")
 
     def score(batches):
-        ngrams = NGrams(model.orders)
+        ngrams = _ngrams(model.orders, model.squares > 0)
         for batch in batches:
             scores = [model.score(ngrams(t.as_py() or "")) for t in batch.column("text")]
             columns = {name: batch.column(name) for name in batch.schema.names}
