@@ -35,7 +35,7 @@ from quizloom.operators.storage import materialise
 
 N = 5
 SIMILARITY = 0.8
-RECALL = 0.9995
+RECALL = 0.99995
 # Hash functions that a signature may have.
 MAX_HASHES = 384
 BLOCK_MEMBERS = 2048
@@ -55,6 +55,8 @@ def choose_bands(similarity: float, recall: float, max_hashes: int = MAX_HASHES)
     best = None
     for rows in range(1, max_hashes + 1):
         equal = similarity**rows
+        if equal < 1e-12:
+            break
         bands = math.ceil(math.log(1 - recall) / math.log1p(-equal)) if equal < 1 else 1
         if bands * rows <= max_hashes and bands <= 63:
             best = (bands, rows)
@@ -163,21 +165,20 @@ def sketches(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return materialise(texts.mapInArrow(sketch, schema))
 
 
-def shared_buckets(members: DataFrame) -> DataFrame:
-    """``bucket, members`` of buckets with several members, one for each member list.
+def shared_buckets(rows: DataFrame) -> DataFrame:
+    """The ``uid, bucket`` of buckets with several members, one bucket per member list.
 
     Lists are told apart by their length and two sums of member hashes. Of buckets with
     equal lists the lowest band stays, as it is there that their pairs are counted.
     """
-    lists = members.groupBy("bucket").agg(
-        F.count("*").alias("members"),
+    several = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    together = materialise(rows.join(several, "bucket"))
+    lists = together.groupBy("bucket", "members").agg(
         F.bit_xor(F.xxhash64("uid")).alias("first"),
         F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("second"),
     )
-    several = lists.filter("members > 1")
-    return several.groupBy("members", "first", "second").agg(F.min("bucket").alias("bucket")).select(
-        "bucket", "members"
-    )
+    chosen = lists.groupBy("members", "first", "second").agg(F.min("bucket").alias("bucket"))
+    return materialise(together.join(chosen.select("bucket"), "bucket", "left_semi"))
 
 
 def _compare(group: dict, similarity: float):
@@ -297,9 +298,7 @@ def find_links(
 
     ``members`` are ``uid, id, key, buckets`` of documents with different n-gram sets.
     """
-    rows = members.select("uid", F.explode("buckets").alias("bucket"))
-    buckets = materialise(shared_buckets(rows))
-    shared = materialise(rows.join(buckets, "bucket"))
+    shared = shared_buckets(members.select("uid", F.explode("buckets").alias("bucket")))
     wanted = members.join(shared.select("uid").distinct(), "uid", "left_semi")
     sets = materialise(_gram_sets(documents, wanted, n))
     blocks = F.ceil(F.col("members") / block_members).cast("int")
@@ -372,10 +371,13 @@ def near_duplicates(
     worded = sketched.filter("digest IS NOT NULL")
     same = materialise(
         worded.groupBy("digest").agg(
-            F.min("uid").alias("uid"), F.min("id").alias("first_id"), F.count("*").alias("n_copies")
+            F.min("uid").alias("uid"),
+            F.min(F.struct("id", "key")).alias("first"),
+            F.count("*").alias("n_copies"),
         )
     )
-    members = worded.join(same.select("uid"), "uid", "left_semi").select("uid", "id", "key", "buckets")
+    members = worded.join(same.select("uid"), "uid", "left_semi")
+    members = materialise(members.select("uid", "id", "key", "buckets"))
     found = find_links(documents, members, n, similarity, block_members)
     links = found.groupBy("uid").agg(F.sum("links").alias("n_links"))
     labels = connected(found.select(F.col("uid").alias("a"), F.col("root").alias("b")))
@@ -386,21 +388,21 @@ def near_duplicates(
         .withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     )
     classes = materialise(classes)
-    firsts = classes.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    classes = classes.join(firsts, "label").select("digest", "label", "class_id", "n_links", "n_copies")
-    joined = sketched.select("id", "key", "digest").join(classes, "digest", "left")
     # Of a class's documents with its smallest doc_id, that with the smallest text key.
-    chosen = (
-        joined.filter("id = class_id")
-        .groupBy("label")
-        .agg(F.min("key").alias("best"))
-        .withColumnRenamed("label", "_label")
+    firsts = classes.groupBy("label").agg(F.min("first").alias("first"))
+    classes = classes.drop("first").join(firsts, "label").select(
+        "digest",
+        F.col("first.id").alias("class_id"),
+        F.col("first.key").alias("best"),
+        "n_links",
+        "n_copies",
     )
+    joined = sketched.select("id", "key", "digest").join(classes, "digest", "left")
     alone = F.col("digest").isNull()
-    marked = joined.join(chosen, F.col("label") == F.col("_label"), "left")
-    return marked.select(
+    class_id = F.coalesce("class_id", "id")
+    return joined.select(
         F.when(F.col("id") != _LAST, F.col("id")).alias("doc_id"),
-        F.when(F.coalesce("class_id", "id") != _LAST, F.coalesce("class_id", "id")).alias("class_id"),
+        F.when(class_id != _LAST, class_id).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
         (alone | ((F.col("id") == F.col("class_id")) & (F.col("key") == F.col("best")))).alias("kept"),
