@@ -1,0 +1,127 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from helpers import edge_documents, empty_documents
+
+from quizloom.llm.ngram_join import choose_bands, connected, near_dedup, near_duplicates
+from quizloom.llm.text import WORD_RE
+
+LAST = (1 << 63) - 1
+
+
+def grams(text):
+    w = WORD_RE.findall(text or "")
+    n = min(5, len(w))
+    return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if n else frozenset()
+
+
+def brute(rows):
+    """doc_id, class_id, n_links, n_copies by comparing all pairs."""
+    sets = sorted({grams(t) for _, t in rows} - {frozenset()}, key=lambda s: sorted(s))
+    label = list(range(len(sets)))
+    links = [0] * len(sets)
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * len(sets[i] | sets[j]) - 1e-9:
+                links[i] += 1
+                links[j] += 1
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    place = {s: i for i, s in enumerate(sets)}
+    size = Counter(grams(t) for _, t in rows)
+    first = {}
+    for d, t in rows:
+        if grams(t):
+            k = label[place[grams(t)]]
+            first[k] = min(first.get(k, LAST), LAST if d is None else d)
+    out = []
+    for d, t in rows:
+        s = grams(t)
+        if s:
+            c = first[label[place[s]]]
+            out.append((d, None if c == LAST else c, links[place[s]], size[s]))
+        else:
+            out.append((d, d, 0, 1))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "class_id", "n_links", "n_copies").collect()), key=repr)
+
+
+def corpus(seed, base, copies, length=120):
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(500)]
+    rows, doc_id = [], 0
+    for _ in range(base):
+        text = [r.choice(vocabulary) for _ in range(r.randrange(30, length))]
+        for _ in range(r.randrange(1, copies)):
+            edited = list(text)
+            for _ in range(r.randrange(4)):
+                edited[r.randrange(len(edited))] = r.choice(vocabulary)
+            rows.append((doc_id, " ".join(edited)))
+            doc_id += 1
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_against_all_pairs(spark, block):
+    rows = corpus(1, 40, 12)
+    rows += [(1000 + i, rows[0][1]) for i in range(50)] + [(1000, rows[0][1])]
+    rows += [(2000, "few words"), (2001, "few  words"), (2002, None), (2003, ""), (None, rows[5][1])]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    result = near_duplicates(docs, recall=0.99999, block_members=block)
+    assert found(result) == brute(rows)
+    # One document of each class stays.
+    kept = [r.doc_id for r in near_dedup(docs, recall=0.99999).collect()]
+    classes = {c for _, c, _, _ in brute(rows)}
+    assert sorted(kept, key=repr) == sorted(classes, key=repr)
+
+
+def test_a_large_loose_group(spark):
+    """Many variants of one text: classes and link counts without a row per pair."""
+    r = random.Random(2)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(250):
+        text = list(base)
+        for _ in range(r.randrange(1, 6)):
+            text[r.randrange(200)] = f"n{r.randrange(10_000)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got, want = found(near_duplicates(docs, recall=0.999999, block_members=64)), brute(rows)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert sum(g[2] for g in got) >= 0.995 * sum(w[2] for w in want)
+    assert all(g[2] <= w[2] for g, w in zip(got, want))
+
+
+def test_edge_rows(spark):
+    docs = edge_documents(spark, "class_id")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert found(near_duplicates(docs)) == brute(rows)
+    kept = near_dedup(docs)
+    assert kept.columns == docs.columns
+    assert near_duplicates(empty_documents(spark)).count() == 0
+
+
+def test_bands():
+    for recall in (0.9, 0.99, 0.9995):
+        bands, rows = choose_bands(0.8, recall)
+        assert 1 - (1 - 0.8**rows) ** bands >= recall
+        assert bands * rows <= 384
+    assert choose_bands(1.0, 0.99)[0] == 1
+    with pytest.raises(ValueError):
+        choose_bands(0.01, 0.999999)
+
+
+def test_connected_long_chain(spark):
+    n = 300
+    order = np.random.default_rng(4).permutation(n).tolist()
+    edges = [(order[i], order[i + 1]) for i in range(n - 1)] + [(1000, 1001), (1001, 1002), (5, 5)]
+    labels = connected(spark.createDataFrame(edges, "a BIGINT, b BIGINT"))
+    found = {r.uid: r.label for r in labels.collect()}
+    assert found == {i: 0 for i in range(1, n)} | {1001: 1000, 1002: 1000}

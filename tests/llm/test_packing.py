@@ -1,0 +1,93 @@
+import zlib
+
+import numpy as np
+import pytest
+from helpers import edge_documents, empty_documents
+from tokenizers import Tokenizer
+
+from quizloom.llm.packing import (
+    WordEncoder,
+    configurations,
+    default_tokenizer,
+    linear_groups,
+    pack_documents,
+    pack_lengths,
+)
+
+ODD = [
+    "İstanbul, naïve’s café. don't I'LL <|endoftext|>x áb ΣΑΣ. ﬁne ＡＢ 12,5 x\x0by \x1cz \x85q\xa0w e r​t … ß. ẞ ŉ",
+    "",
+    "  \n\t",
+    "word" * 40 + " " + "x" * 100 + ", y. ªº",
+    "日本語 テキスト。 emoji😀😀! a.b,c;d Ünïcödé! ÅNGSTRÖM; Å <|ENDOFTEXT|>",
+]
+
+
+def test_words_give_the_whole_texts_ids():
+    encoder, whole = WordEncoder(default_tokenizer()), Tokenizer.from_file(default_tokenizer())
+    for text in [*ODD, *ODD]:
+        ids = np.frombuffer(encoder.encode(text), dtype="<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids
+
+
+def check_packing(rows, capacity):
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert all(end <= capacity for end in ends.values())
+    return len(ends)
+
+
+def test_edge_rows(spark):
+    docs = edge_documents(spark, "sequence_id")
+    whole = Tokenizer.from_file(default_tokenizer())
+    rows = pack_documents(docs).collect()
+    expected = []
+    for d in docs.collect():
+        ids = [*whole.encode(d.text or "", add_special_tokens=False).ids, 0]
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            part = np.array(ids[start : start + 2048], dtype="<u4").tobytes()
+            expected.append((d.doc_id, piece, start, len(part) // 4, zlib.crc32(part)))
+    found = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    check_packing(rows, 2048)
+    assert pack_documents(empty_documents(spark)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["mixed", "thirds", "large", "small", "ties"])
+def test_close_to_the_bound(kind):
+    random = np.random.default_rng(3)
+    lengths = {
+        "mixed": random.integers(1, 2049, 4000),
+        "thirds": np.repeat([682, 683, 1365], 900),
+        "large": random.integers(1100, 2049, 500),
+        "small": random.integers(1, 60, 3000),
+        "ties": np.full(1000, 512),
+    }[kind]
+    sequence, offset = pack_lengths(lengths)
+    used = np.zeros(sequence.max() + 1, dtype=int)
+    for i in np.lexsort((offset, sequence)):
+        assert offset[i] == used[sequence[i]]
+        used[sequence[i]] += lengths[i]
+    assert used.max() <= 2048
+    bound = max(-(-lengths.sum() // 2048), (lengths > 1024).sum())
+    assert len(used) <= bound * 1.02 + 2
+
+
+def test_configurations_cover_the_demand():
+    lengths = np.sort(np.random.default_rng(1).integers(300, 2049, 2000))[::-1]
+    sizes, group = linear_groups(lengths, 20)
+    assert (sizes[group] >= lengths).all()
+    demand = np.bincount(group).astype(float)
+    columns, amount = configurations(sizes, demand, 2048)
+    assert (sizes @ columns <= 2048).all()
+    assert np.allclose(columns @ amount, demand)
+
+
+def test_shards(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "repeat('a b c ', cast(id as int)) AS text")
+    rows = pack_documents(docs, shard_pieces=100).collect()
+    assert len(rows) >= 300
+    check_packing(rows, 2048)
+    assert len({r.sequence_id >> 32 for r in rows}) > 1
