@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.functions.vectors import hash_embedder
-from quizloom.operators.columns import spread
 from quizloom.operators.storage import materialise
 from quizloom.operators.upsert import last_rows
 from quizloom.plans.index import embed_corpus
@@ -24,7 +23,7 @@ embed = hash_embedder(EMBED_DIM)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +151,10 @@ def leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every region as a prompt template; one pattern has the class ``[1-12]``."""
+    """Every region as a prompt template; one pattern has the class ``[1-12]``.
+
+    The fourth has a named group and an open repetition, the fifth two groups.
+    """
     r = table(spark, sf_dir, "region")
     name = F.col("r_name")
     template = F.concat(
@@ -162,10 +164,12 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     key = F.col("r_regionkey")
     pattern = (
+        # Fixed value: the class [1-12] means 1 or 2.
         F.when(key == 0, r"Q\d+\..+?Answer:\s*[1-12]")
         .when(key == 1, r"Q\d+\.(.+?)Answer:\s*[1-8]")
         .when(key == 2, F.lit(None).cast("string"))
-        .otherwise(r"Q\d+\.[^?]+Answer:\s*\d+")
+        .when(key == 3, r"Q(?P<no>\d{1,2})\d{,9}\.[^?]+Answer:\s*\d+")
+        .otherwise(r"(Q\d+)\..+?Answer:\s*([A-F0-8])")
     )
     return r.select(
         F.concat(F.lit("mcq_"), F.lower(name)).alias("prompt_id"),
@@ -173,5 +177,5 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("for "), name).alias("description"),
         template.alias("template"),
         pattern.alias("parser_regex"),
-        key.cast("double").alias("version"),
+        key.cast("string").alias("version"),
     )

@@ -235,11 +235,16 @@ _CUSTOM = " UNION ALL ".join(
             (r"Q\d+\..+?Answer:\s*[1-12]", 0),
             (r"Q\d+\.(.+?)Answer:\s*[1-8]", 1),
             (_F1, 0),
-            (r"Q\d+\.[^?]+Answer:\s*\d+", 0),
-            (r"Q\d+\.[^?]+Answer:\s*\d+", 0),
+            (r"Q(\d{1,2})\d{0,9}\.[^?]+Answer:\s*\d+", 1),
         ]
     )
 )
+_CUSTOM += r"""
+ UNION ALL SELECT doc_id, pos - 1 AS pos, '["' || a || '","' || b || '"]' AS block FROM (
+    SELECT doc_id, unnest(regexp_extract_all(raw, '(Q\d+)\..+?Answer:\s*([A-F0-8])', 1, 's')) AS a,
+           unnest(regexp_extract_all(raw, '(Q\d+)\..+?Answer:\s*([A-F0-8])', 2, 's')) AS b,
+           generate_subscripts(regexp_extract_all(raw, '(Q\d+)\..+?Answer:\s*([A-F0-8])', 1, 's'), 1) AS pos
+    FROM replies WHERE doc_id % 5 = 4)"""
 
 
 def _filled(region: str, text: str, n: int, tag: str, label: str) -> str:

@@ -387,7 +387,7 @@ def question_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sampling step: stems of the first fifteen questions by file and position."""
-    stems = rag.question_stems(inputs.questions(spark, sf_dir))
+    stems = rag.question_stems(inputs.questions(spark, sf_dir), limit=15)
     return stems.select("file_path", _long("pos").alias("pos"), "query")
 
 

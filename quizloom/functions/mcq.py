@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quizloom.functions.text import (
-    DIGIT,
     SPACE,
     extract,
     split_lines,
@@ -17,10 +16,10 @@ from quizloom.functions.text import (
 
 # The text patterns that decide what counts as a question, an answer
 # key or a model's choice.
-BLOCK_PATTERN = rf"(?sU)Q{DIGIT}+\..+?Answer:{SPACE}*[A-F0-8]"
-MCQ_PATTERN = rf"(?sU)Q{DIGIT}+\.{SPACE}*(.*?)\n(\({DIGIT}+\).*?\n)Answer:{SPACE}*({DIGIT}+)"
-OPTION_LABEL = rf"(?U)^\({DIGIT}+\){SPACE}*"
-KEY_PATTERN = rf"(?U)[Aa][Nn][Ss\u017f][Ww][Ee][Rr]:{SPACE}*([A-Fa-f1-8])"
+BLOCK_PATTERN = rf"(?sU)Q\d+\..+?Answer:{SPACE}*[A-F0-8]"
+MCQ_PATTERN = rf"(?sU)Q\d+\.{SPACE}*(.*?)\n(\(\d+\).*?\n)Answer:{SPACE}*(\d+)"
+OPTION_LABEL = rf"(?U)^\(\d+\){SPACE}*"
+KEY_PATTERN = rf"(?iU)Answer:{SPACE}*([A-F1-8])"
 STEM_PATTERN = rf"(?sU)\A(.*?)\n{SPACE}*-?\(1\)"
 CHOICE_PATTERNS = (
     rf"Answer:{SPACE}*([1-8])",
@@ -31,6 +30,8 @@ CHOICE_PATTERNS = (
     rf"^{SPACE}*\(*([1-8])\)",
 )
 LONE_DIGIT = r"(?<![\p{L}\p{N}_])([1-8])(?![\p{L}\p{N}_])"
+# Letter by letter, as without regard to case the long s would match an s, which it must
+# not here.
 ANSWER_LINE = rf"(?U)\A{SPACE}*[Aa][Nn][Ss][Ww][Ee][Rr]:"
 INVALID_ANSWER = "Error: Invalid Answer Index"
 ERROR_PREFIX = "Error:"
@@ -52,15 +53,23 @@ def capture_groups(pattern: Column) -> Column:
     return F.regexp_count(bare, F.lit(r"\((?!\?)|\(\?P?<(?![=!])"))
 
 
-def extract_blocks_with(raw: Column, pattern: Column) -> Column:
+def extract_blocks_with(raw: Column, pattern: Column, groups: Column | None = None) -> Column:
     """Blocks found by a template's own pattern, dot matching line breaks.
 
-    A pattern with one capturing group yields that group, one without yields the
-    whole match. Patterns with more groups have no text result; reject them first
-    (:func:`capture_groups`).
+    A pattern with one capturing group yields that group, one without yields the whole
+    match. One with several yields all its groups as a JSON list of texts.
     """
-    group = F.least(capture_groups(pattern), F.lit(1))
-    return F.regexp_extract_all(raw, F.concat(F.lit("(?sdU)"), pattern), group)
+    groups = capture_groups(pattern) if groups is None else groups
+    whole = F.concat(F.lit("(?sdU)"), pattern)
+    single = F.regexp_extract_all(raw, whole, F.least(groups, F.lit(1)))
+    by_group = F.transform(
+        F.sequence(F.lit(1), F.greatest(groups, F.lit(1))),
+        lambda g: F.regexp_extract_all(raw, whole, g),
+    )
+    several = F.transform(
+        single, lambda _, i: F.to_json(F.transform(by_group, lambda of_group: F.get(of_group, i)))
+    )
+    return F.when(groups > 1, several).otherwise(single)
 
 
 def parse_mcq(q: Column) -> Column:
@@ -162,6 +171,7 @@ def accuracy(correct: Column, total: Column) -> Column:
 def report_line(
     model: Column, acc: Column, correct: Column, incorrect: Column, unanswered: Column
 ) -> Column:
+    # Fixed value: the line of the report.
     return F.format_string(
         "  %-22s  acc=%.2f%%  (C:%d I:%d U:%d)",
         model,

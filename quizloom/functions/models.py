@@ -66,6 +66,19 @@ def text_model(make_client: Callable[[], Callable], workers: int = 1) -> Callabl
     return lambda *cols: single(cols[0]) if len(cols) == 1 else several(*cols)
 
 
+def _client(make_client: Callable[[], Callable]) -> Callable:
+    """The client, or one that fails every call with the error of building it."""
+    try:
+        return make_client()
+    except Exception as exc:  # noqa: BLE001 - a judge that cannot be built is a row value
+        error = exc
+
+    def broken(*_):
+        raise error
+
+    return broken
+
+
 def judge_panel(
     makers: dict[str, Callable[[], Callable]], workers: int | None = None
 ) -> Callable:
@@ -79,7 +92,7 @@ def judge_panel(
 
     @F.pandas_udf(PANEL_REPLIES)
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        clients = [makers[m]() for m in models]
+        clients = [_client(makers[m]) for m in models]
         run = _mapper(len(models) if workers is None else workers)
 
         def one(prompt, client):
@@ -99,9 +112,10 @@ def judge_panel(
 
 
 def model_grader(make_client: Callable[[], Callable], workers: int = 1) -> Callable:
-    """Column function (question, answer, context) -> ``STRUCT<passing, score>``.
+    """Column function (question, answer, context) -> ``STRUCT<passing, score, error>``.
 
-    The client returns a (passing, score) pair; a failed call grades as NULLs.
+    The client returns a (passing, score) pair; a failed call has no grades but an error.
+    A NULL answer is not graded.
     """
 
     @F.pandas_udf(GRADE)
@@ -109,14 +123,16 @@ def model_grader(make_client: Callable[[], Callable], workers: int = 1) -> Calla
         client, run = make_client(), _mapper(workers)
 
         def one(*args):
+            if args[1] is None:
+                return None, None, None
             try:
                 passing, score = client(*args)
-                return bool(passing), float(score)
-            except Exception:  # noqa: BLE001 - an ungraded row stays in the report
-                return None, None
+                return bool(passing), float(score), None
+            except Exception as exc:  # noqa: BLE001 - an ungraded row stays in the report
+                return None, None, f"{type(exc).__name__}: {exc}"
 
         for batch in batches:
-            yield pd.DataFrame(run(one, *batch), columns=["passing", "score"], dtype=object)
+            yield pd.DataFrame(run(one, *batch), columns=["passing", "score", "error"], dtype=object)
 
     return grade.asNondeterministic()
 
@@ -125,7 +141,10 @@ def _overlap(part: Column, whole: Column, threshold: float) -> Column:
     distinct = F.array_distinct(words(part))
     shared = F.size(F.array_intersect(distinct, words(whole)))
     score = F.coalesce(F.try_divide(shared, F.size(distinct)), F.lit(0.0))
-    return F.struct((score >= threshold).alias("passing"), score.alias("score"))
+    error = F.lit(None).cast("string")
+    return F.struct(
+        (score >= threshold).alias("passing"), score.alias("score"), error.alias("error")
+    )
 
 
 def faithfulness_by_overlap(threshold: float = DEFAULT_THRESHOLD) -> Callable:

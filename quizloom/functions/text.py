@@ -17,7 +17,6 @@ WHITESPACE = (
 # the characters out instead makes matching ten times slower.
 SPACE = r"[\s\x1c-\x1f]"
 NON_SPACE = r"[^\s\x1c-\x1f]"
-DIGIT = r"\d"
 # The line boundaries of Python's str.splitlines().
 LINE_BREAK = r"[\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029](?:(?<=\r)\n)?"
 

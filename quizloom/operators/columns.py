@@ -1,4 +1,4 @@
-"""Columns and partitions for work that is expensive per row."""
+"""Columns for work that is expensive per row."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,13 +11,3 @@ def with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
     regex over a whole text would run for each of them. A one-row generator is not.
     """
     return df.select("*", F.explode_outer(F.array(value)).alias(name))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on inputs with fewer scan partitions than there are cores.
-
-    A large input has more partitions than that and is left alone. For plain scans
-    only: asking a plan with shuffles for its partitions would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from quizloom.operators.storage import child_folders, is_complete
 
@@ -40,9 +41,15 @@ def _merge(stored, incoming, key, whole_rows) -> DataFrame:
     both = old.join(new, key, "full")
     if whole_rows:
         return both.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
-    return both.select(
-        *[F.coalesce(f"_new.{c}", f"_old.{c}").alias(c) for c in stored.columns]
-    )
+
+    def merged(c: str) -> Column:
+        was, now = F.col(f"_old.{c}"), F.col(f"_new.{c}")
+        if isinstance(stored.schema[c].dataType, MapType):
+            both_maps = F.map_zip_with(was, now, lambda _, a, b: F.coalesce(b, a))
+            return F.coalesce(both_maps, now, was).alias(c)
+        return F.coalesce(now, was).alias(c)
+
+    return both.select(*[merged(c) for c in stored.columns])
 
 
 def upsert_counts(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
@@ -54,9 +61,14 @@ def upsert_counts(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame
     new = incoming.select(key, F.struct(*stored.columns).alias("_new"))
     changed = F.lit(False)
     for c in stored.columns:
-        changed |= F.col(f"_new.{c}").isNotNull() & ~F.col(f"_new.{c}").eqNullSafe(
-            F.col(f"_old.{c}")
-        )
+        was, now = F.col(f"_old.{c}"), F.col(f"_new.{c}")
+        if isinstance(stored.schema[c].dataType, MapType):
+            differs = F.exists(
+                F.map_entries(now), lambda e: ~e["value"].eqNullSafe(F.element_at(was, e["key"]))
+            )
+        else:
+            differs = ~now.eqNullSafe(was)
+        changed |= now.isNotNull() & F.coalesce(differs, F.lit(True))
     known = F.col("_old").isNotNull()
     return new.join(old, key, "left").agg(
         F.count_if(~known).alias("upserted"), F.count_if(known & changed).alias("modified")

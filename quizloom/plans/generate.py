@@ -2,10 +2,12 @@
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.functions.mcq import extract_blocks, extract_blocks_with, reply_failed
+from quizloom.functions.patterns import to_java
 from quizloom.functions.prompts import render, template_tokens, unknown_fields
 from quizloom.functions.taxonomy import leaf_label
 from quizloom.operators.bundles import context
@@ -26,15 +28,51 @@ def pending_bundles(bundles: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def with_template(bundles: DataFrame, prompts: DataFrame) -> DataFrame:
-    """Add each bundle's template, cut into tokens; NULL where the id is unknown."""
-    templates = prompts.select(
+    """Add each bundle's template, cut into tokens; NULL where the id is unknown.
+
+    Patterns come in the dialect that runs them, with their number of groups, or with
+    the reason why they cannot run.
+    """
+    templates = with_runnable_patterns(prompts).select(
         "prompt_id",
         template_tokens(F.col("template")).alias("tokens"),
         "parser_regex",
+        "pattern_groups",
+        "pattern_problem",
     )
     return lookup_join(bundles, templates, "prompt_id", F.col("taxonomy_id"), how="left")
 
 
+def with_runnable_patterns(prompts: DataFrame) -> DataFrame:
+    """Replace ``parser_regex`` by a pattern that Spark can run.
+
+    Adds ``pattern_groups``, and ``pattern_problem`` where there is no such pattern. The
+    distinct patterns of the templates are few; each is compiled once, by the dialect
+    that will run it.
+    """
+    spark = prompts.sparkSession
+    compiler = spark._jvm.java.util.regex.Pattern
+    rows = []
+    for (pattern,) in prompts.select("parser_regex").distinct().collect():
+        if pattern is None:
+            continue
+        try:
+            runnable, groups = to_java(pattern)
+            compiler.compile(f"(?sdU){runnable}")
+            rows.append((pattern, runnable, groups, None))
+        except ValueError as error:
+            rows.append((pattern, None, None, f"unusable pattern: {error}"))
+        except Py4JJavaError as error:
+            reason = error.java_exception.getDescription()
+            rows.append((pattern, None, None, f"unusable pattern: {reason}"))
+    known = spark.createDataFrame(
+        rows, "_pattern STRING, _runnable STRING, pattern_groups INT, pattern_problem STRING"
+    )
+    joined = prompts.join(known, prompts["parser_regex"] == known["_pattern"], "left")
+    columns = [c if c != "parser_regex" else F.col("_runnable").alias(c) for c in prompts.columns]
+    return joined.select(*columns, "pattern_groups", "pattern_problem")
+
+
 def bundle_prompt(tokens: Column, n: int, options: int, difficulty: Column) -> Column:
     """The prompt of a bundle row with ``taxonomy_id`` and ``passages``."""
     return render(
@@ -54,15 +92,15 @@ def render_prompts(
 ) -> DataFrame:
     """Add ``prompt``, ``parser_regex`` and ``problem`` to bundles with ``prompt_id``.
 
-    ``problem`` says why a bundle has no prompt: an unknown template, or a template
-    with fields no value exists for.
+    ``problem`` says why a bundle has no prompt: an unknown template, one whose pattern
+    cannot run, or one with fields no value exists for.
     """
     rows = with_template(bundles, prompts)
     difficulty = F.col("difficulty") if "difficulty" in bundles.columns else F.lit(None)
     unknown = unknown_fields(F.col("tokens"), FIELDS)
     problem = F.when(
         F.col("tokens").isNull(), F.concat(F.lit("unknown prompt "), F.col("prompt_id"))
-    ).when(
+    ).when(F.col("pattern_problem").isNotNull(), F.col("pattern_problem")).when(
         F.size(unknown) > 0, F.concat(F.lit("unknown fields "), F.array_join(unknown, " "))
     )
     prompt = bundle_prompt(F.col("tokens"), n, options, difficulty.cast("string"))
@@ -74,11 +112,16 @@ def render_prompts(
 def generate_replies(rendered: DataFrame, generator: Callable) -> DataFrame:
     """Ask the generator for every prompt; ``raw`` is set exactly if it succeeded.
 
-    Replies are stored before use, so a bundle is never asked for twice. A reply that
+    Replies are stored before use, so a bundle is asked for once; only a task that is run
+    again, after a loss say, asks again for its own bundles. A reply that
     only reports an error is a failure, not an empty question set.
     """
     asked = rendered.select(
-        "taxonomy_id", "parser_regex", "problem", generator(F.col("prompt")).alias("reply")
+        "taxonomy_id",
+        "parser_regex",
+        "pattern_groups",
+        "problem",
+        generator(F.col("prompt")).alias("reply"),
     )
     stored = materialise(asked)
     raw = F.col("reply.raw")
@@ -87,6 +130,7 @@ def generate_replies(rendered: DataFrame, generator: Callable) -> DataFrame:
     return stored.select(
         "taxonomy_id",
         "parser_regex",
+        "pattern_groups",
         F.when(~failed, raw).alias("raw"),
         F.when(failed, error).alias("error"),
     )
@@ -100,7 +144,7 @@ def parse_replies(replies: DataFrame) -> DataFrame:
     """
     raw, pattern = F.col("raw"), F.col("parser_regex")
     blocks = F.when(pattern.isNull(), extract_blocks(raw)).otherwise(
-        extract_blocks_with(raw, pattern)
+        extract_blocks_with(raw, pattern, F.col("pattern_groups"))
     )
     succeeded = replies.filter(raw.isNotNull())
     return with_computed(succeeded, "mcqs", blocks).select("taxonomy_id", "mcqs")
@@ -108,7 +152,7 @@ def parse_replies(replies: DataFrame) -> DataFrame:
 
 def statuses(bundles: DataFrame, done: DataFrame, replies: DataFrame) -> DataFrame:
     """``taxonomy_id, status, error`` of every bundle of a run."""
-    skipped = bundles.join(done.select("taxonomy_id"), "taxonomy_id", "left_semi").select(
+    skipped = bundles.select("taxonomy_id").join(done.select("taxonomy_id"), "taxonomy_id", "left_semi").select(
         "taxonomy_id",
         F.lit(SKIPPED).alias("status"),
         F.lit(None).cast("string").alias("error"),

@@ -10,7 +10,7 @@ from quizloom.functions.mcq import judge_prompt
 from quizloom.functions.models import judge_panel
 from quizloom.operators import panel
 from quizloom.operators.storage import materialise
-from quizloom.sources.questions import write_document, write_json
+from quizloom.sources.questions import write_document, write_ordered
 
 
 @dataclass(frozen=True)
@@ -46,9 +46,9 @@ class PanelResult:
     def write(self, folder: str, debug: bool = False) -> None:
         """Model summary, question report and, on request, the debug rows."""
         write_document(self.document(), f"{folder}/summary")
-        write_json(self.per_question(), f"{folder}/questions")
+        write_ordered(self.per_question(), f"{folder}/questions", "file_path", "pos")
         if debug:
-            write_json(self.debug(), f"{folder}/debug")
+            write_ordered(self.debug(), f"{folder}/debug", "file", "pos")
 
 
 def ask_panel(

@@ -11,13 +11,11 @@ from quizloom.operators.bundles import context
 from quizloom.operators.columns import with_computed
 from quizloom.operators.storage import materialise
 from quizloom.plans.retrieval import BUNDLE_K, passages_for
-from quizloom.sources.questions import first_questions
+from quizloom.sources.questions import first_questions, write_ordered
 
-SAMPLE = 15
 
-
-def question_stems(questions: DataFrame, limit: int | None = SAMPLE) -> DataFrame:
-    """Stems of the first ``limit`` questions; those without one drop out afterwards."""
+def question_stems(questions: DataFrame, limit: int | None = None) -> DataFrame:
+    """Stems of all questions, or of the first ``limit``; then those without one drop out."""
     chosen = first_questions(questions, limit)
     stems = with_computed(chosen, "query", question_stem(F.col("q_raw")))
     return stems.filter(F.col("query") != "").select("file_path", "pos", "query")
@@ -30,15 +28,18 @@ def evaluate_rag(
     answerer: Callable,
     faithful: Callable | None = None,
     relevant: Callable | None = None,
-    limit: int | None = SAMPLE,
+    limit: int | None = None,
     k: int = BUNDLE_K,
     stored: bool = False,
 ) -> DataFrame:
     """Answer each question from its k best passages and grade the answer.
 
     ``answerer`` is a column function (question, context) -> ``STRUCT<raw, error>``;
-    graders are column functions (question, answer, context) -> ``STRUCT<passing,
-    score>`` and compare words by default. Passages are found by ``chunk_id``.
+    graders are column functions (question, answer, context) -> ``STRUCT<passing, score,
+    error>`` and compare words by default. Passages are found by ``chunk_id``.
+
+    A question whose answer failed has no response and no grades, and says why in
+    ``error``; so does one whose grading failed.
     """
     faithful = faithful or faithfulness_by_overlap()
     relevant = relevant or relevancy_by_overlap()
@@ -54,14 +55,19 @@ def evaluate_rag(
     )
     answered = materialise(
         read.withColumn("reply", answerer(F.col("query"), F.col("context")))
-    ).withColumn("response", F.coalesce("reply.raw", F.lit("")))
+    )
+    failed = F.col("reply.error").isNotNull()
+    answered = answered.withColumn(
+        "response", F.when(~failed, F.coalesce("reply.raw", F.lit("")))
+    )
     triple = (F.col("query"), F.col("response"), F.col("context"))
     graded = answered.select(
         "query_id.*",
         "query",
         "response",
-        faithful(*triple).alias("f"),
-        relevant(*triple).alias("r"),
+        "reply.error",
+        F.when(~failed, faithful(*triple)).alias("f"),
+        F.when(~failed, relevant(*triple)).alias("r"),
     )
     return graded.select(
         "file_path",
@@ -72,4 +78,10 @@ def evaluate_rag(
         F.col("f.score").alias("faithfulness_score"),
         F.col("r.passing").alias("is_relevant"),
         F.col("r.score").alias("relevancy_score"),
+        F.coalesce("error", "f.error", "r.error").alias("error"),
     )
+
+
+def write_rag_report(graded: DataFrame, path: str) -> None:
+    """The evaluation as JSON lines, by file and position."""
+    write_ordered(graded, path, "file_path", "pos")

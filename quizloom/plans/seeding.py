@@ -1,14 +1,9 @@
 """Loading of taxonomies and prompt templates into keyed stores."""
 
-import re
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from quizloom import schemas
-from quizloom.functions.mcq import capture_groups
 from quizloom.functions.taxonomy import leaf_id
 from quizloom.operators.storage import materialise
 from quizloom.operators.upsert import (
@@ -96,40 +91,31 @@ def read_leaves(spark: SparkSession, store: str) -> DataFrame:
 
 
 def valid_prompts(prompts: DataFrame) -> DataFrame:
-    """Templates that have an id and a usable pattern, or none.
-
-    A usable pattern compiles and has at most one capturing group; one that does not
-    would fail every bundle's job, not only those of its template.
-    """
-    pattern = F.col("parser_regex")
-    usable = pattern.isNull() | (_compiles(pattern) & (capture_groups(pattern) <= 1))
-    return prompts.filter(F.col("prompt_id").isNotNull() & usable)
-
-
-@F.pandas_udf(BooleanType())
-def _compiles(patterns: pd.Series) -> pd.Series:
-    """True for patterns valid in Python and without constructs Java does not know."""
-
-    def check(pattern):
-        try:
-            re.compile(pattern or "")
-        except re.error:
-            return False
-        return not re.search(r"\(\?[P#(]|\{,", pattern or "")
-
-    return patterns.map(check)
+    """Templates that have an id. Everything else about them is checked where it is used."""
+    return prompts.filter(F.col("prompt_id").isNotNull())
 
 
 def latest_prompts(prompts: DataFrame) -> DataFrame:
     """One template per id; of several, each field's last value counts."""
-    rows = prompts.select(*schemas.PROMPT.names, "load_order")
-    return last_fields(rows, "prompt_id", F.col("load_order")).drop("load_order")
+    names = [c for c in schemas.PROMPT.names if c != "extra"]
+    latest = last_fields(prompts.select(*names, "load_order"), "prompt_id", F.col("load_order"))
+    latest = latest.drop("load_order")
+    if "extra" not in prompts.columns:
+        return latest
+    fields = prompts.select("prompt_id", "load_order", F.explode("extra").alias("name", "value"))
+    last = fields.filter(F.col("value").isNotNull()).groupBy("prompt_id", "name")
+    last = last.agg(F.max_by("value", "load_order").alias("value"))
+    extra = last.groupBy("prompt_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("extra")
+    )
+    return latest.join(extra, "prompt_id", "left")
 
 
 def seed_prompts(spark: SparkSession, folder: str, store: str) -> dict[str, int]:
     """Load a folder of templates; returns upserted, modified and skipped counts.
 
-    Files that do not parse and templates that are not valid are skipped.
+    Documents are stored with all their fields. Files that do not parse and templates
+    without an id are skipped.
     """
     docs = read_prompts(spark, folder)
     order = F.struct("format_rank", "path").alias("load_order")

@@ -38,7 +38,9 @@ PROMPT = _row(
     description=_TEXT,
     template=_TEXT,
     parser_regex=_TEXT,
-    version=_DOUBLE,
+    version=_TEXT,
+    # Fields of the document that are none of the above.
+    extra=MapType(_TEXT, _TEXT),
 )
 PASSAGE = _row(chunk_id=_LONG, doc_id=_LONG, text=_TEXT, score=_DOUBLE)
 BUNDLE = _row(
@@ -51,5 +53,5 @@ RESPONSE = _row(file_path=_TEXT, pos=_INT, model=_TEXT, raw=_TEXT)
 STATUS = _row(taxonomy_id=_TEXT, status=_TEXT, error=_TEXT)
 REPLY = _row(raw=_TEXT, error=_TEXT)
 PANEL_REPLIES = ArrayType(_row(model=_TEXT, raw=_TEXT))
-GRADE = _row(passing=BooleanType(), score=_DOUBLE)
+GRADE = _row(passing=BooleanType(), score=_DOUBLE, error=_TEXT)
 EMBEDDING = ArrayType(FloatType())

@@ -7,7 +7,7 @@ position inside the file. The order is part of the rows, not of the scan.
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,12 +28,12 @@ def _yaml_to_json(texts: pd.Series) -> pd.Series:
     return texts.map(convert)
 
 
-def _read(spark, path, schema: T.StructType, yaml_rank: int, json_rank: int) -> DataFrame:
+def _read(spark, path, as_doc, yaml_rank: int, json_rank: int) -> DataFrame:
     """One row per file; ``doc`` is NULL where the file does not parse."""
     yaml_files = _files(spark, path, "*.yaml", yaml_rank)
     json_files = _files(spark, path, "*.json", json_rank)
     files = yaml_files.withColumn("text", _yaml_to_json("text")).unionByName(json_files)
-    return files.select("path", "format_rank", parse(F.col("text"), schema).alias("doc"))
+    return files.select("path", "format_rank", as_doc(F.col("text")).alias("doc"))
 
 
 def _files(spark, path, pattern, rank) -> DataFrame:
@@ -43,7 +43,7 @@ def _files(spark, path, pattern, rank) -> DataFrame:
 
 def read_taxonomies(spark: SparkSession, path: str) -> DataFrame:
     """All ``*.yaml``, then all ``*.json`` taxonomies of a folder."""
-    return _read(spark, path, schemas.TAXONOMY, yaml_rank=0, json_rank=1)
+    return _read(spark, path, lambda text: parse(text, schemas.TAXONOMY), yaml_rank=0, json_rank=1)
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
@@ -54,8 +54,20 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    """All ``*.json``, then all ``*.yaml`` templates of a folder."""
-    return _read(spark, path, schemas.PROMPT, yaml_rank=1, json_rank=0)
+    """All ``*.json``, then all ``*.yaml`` templates of a folder, with all their fields."""
+    return _read(spark, path, _prompt, yaml_rank=1, json_rank=0)
+
+
+def _prompt(text: Column) -> Column:
+    """A template's known fields as texts, whatever their type, and all others."""
+    fields = F.from_json(text, "MAP<STRING, STRING>")
+    known = [c for c in schemas.PROMPT.names if c != "extra"]
+    others = F.map_filter(fields, lambda name, _: ~name.isin(known))
+    doc = F.struct(
+        *[F.element_at(fields, c).alias(c) for c in known],
+        F.when(F.size(others) > 0, others).alias("extra"),
+    )
+    return F.when(fields.isNotNull(), doc)
 
 
 def one_row_or_error(rows: DataFrame, key: str, value: str) -> DataFrame:

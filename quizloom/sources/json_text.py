@@ -6,12 +6,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_texts(spark: SparkSession, path: str, pattern: str, file_per_row: bool) -> DataFrame:
-    """``text, path, name`` of the files that match; empty lines are no rows."""
+    """``text, path, name, place`` of the files that match; empty lines are no rows.
+
+    ``place`` numbers the rows of a scan partition; with the path it names a line.
+    """
     files = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=file_per_row)
     rows = files.select(
         F.col("value").alias("text"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("name"),
+        F.monotonically_increasing_id().alias("place"),
     )
     return rows if file_per_row else rows.filter(F.btrim("text") != "")
 

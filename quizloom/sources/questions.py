@@ -15,7 +15,7 @@ def _documents(spark, path, schema, file_per_row, skip_bad) -> DataFrame:
     if not skip_bad:
         doc = F.coalesce(doc, F.raise_error(F.concat(F.lit("unreadable JSON in "), F.col("path"))))
     rows = with_computed(texts, "doc", doc)
-    return rows.filter(F.col("doc").isNotNull()).select("path", "name", "doc")
+    return rows.filter(F.col("doc").isNotNull()).select("path", "name", "place", "doc")
 
 
 def _stem(name: str):
@@ -34,7 +34,8 @@ def read_question_sets(
     """``file_path, taxonomy_id, mcqs`` of stored question sets.
 
     A set without ``mcqs`` has none; one without an id, in a file of its own, takes
-    the file's stem. Sets that share a file get the path their own file would have.
+    the file's stem. Sets that share a file get the path their own file would have;
+    those without an id get their file's path and their number in the scan of it.
     Unreadable sets raise, or are left out with ``skip_bad``.
     """
     rows = _documents(spark, path, schemas.QUESTION_SET, file_per_row, skip_bad)
@@ -44,7 +45,9 @@ def read_question_sets(
     else:
         taxonomy_id = F.col("doc.taxonomy_id")
         folder = F.lit(path.rstrip("/") + "/")
-        file_path = F.concat(folder, taxonomy_id, F.lit(".json"))
+        # A set without an id is known by its file and its place there.
+        place = F.concat("path", F.lit("#"), F.col("place").cast("string"))
+        file_path = F.coalesce(F.concat(folder, taxonomy_id, F.lit(".json")), place)
     return rows.select(
         file_path.alias("file_path"),
         taxonomy_id.alias("taxonomy_id"),
@@ -66,6 +69,11 @@ def write_json(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     rows.write.mode(mode).json(path)
 
 
+def write_ordered(rows: DataFrame, path: str, *order: str) -> None:
+    """JSON lines whose files, by name, follow the order."""
+    write_json(rows.orderBy(*order), path)
+
+
 def write_document(document: DataFrame, path: str) -> None:
     """A one-row document as a single text file."""
     document.coalesce(1).write.mode("overwrite").text(path)

@@ -12,6 +12,7 @@ from quizloom import schemas
 from quizloom.functions.models import model_grader, text_model
 from quizloom.functions.vectors import embedder, hash_embedder
 from quizloom.operators.upsert import write_store
+from quizloom.functions.patterns import to_java
 from quizloom.operators.bundles import with_text
 from quizloom.plans import generate, review
 from quizloom.plans.benchmark import build_benchmark
@@ -144,7 +145,7 @@ def test_whole_run_and_resume(spark, corpus, tmp_path):
     with pytest.raises(ValueError, match="no prompt_id 'p'"):
         build_benchmark(spark, **args)
     template = "{leaf_label} {diff_tag} {n} {options}|{context}"
-    prompts = [("p", None, None, template, None, 1.0)]
+    prompts = [("p", None, None, template, None, "1.0", None)]
     write_store(spark.createDataFrame(prompts, schemas.PROMPT), prompt_store)
 
     assert build_benchmark(spark, **args) == {"success": 1, "skipped": 0, "failed": 2}
@@ -159,23 +160,74 @@ def test_whole_run_and_resume(spark, corpus, tmp_path):
 
 def test_template_problems(spark):
     bundles = spark.createDataFrame(
-        [("A.b.c", "one"), ("A.b.d", "two"), ("A.b.e", "bad")], "taxonomy_id STRING, prompt_id STRING"
+        [("A.b.c", "one"), ("A.b.d", "two"), ("A.b.e", "bad"), ("A.b.f", "open"), ("A.b.g", "pair")],
+        "taxonomy_id STRING, prompt_id STRING",
     ).withColumn("passages", F.array().cast(schemas.BUNDLE["passages"].dataType))
     prompts = spark.createDataFrame(
-        [("one", "", "", "{leaf_label}", r"Q\d+", 1.0), ("bad", "", "", "{nope}", None, 1.0)], schemas.PROMPT
+        [
+            ("one", "", "", "{leaf_label}", r"Q\d+", "1.0", None),
+            ("bad", "", "", "{nope}", None, "1.0", None),
+            ("open", "", "", "{leaf_label}", r"Q(\d+", "v2", None),
+            ("pair", "", "", "{leaf_label}", r"(Q)(?P<no>\d{,3})(?=[[ ]|\Z)", None, None),
+        ],
+        schemas.PROMPT,
     )
     done = spark.createDataFrame([], schemas.QUESTION_SET)
     echo = text_model(lambda: lambda prompt: f"Q1 {prompt} Q22")
     sets, status = generate.generate_questions(bundles, prompts, echo, done)
-    assert [(r["taxonomy_id"], r["mcqs"]) for r in sets.collect()] == [("A.b.c", ["Q1", "Q22"])]
+    assert sorted((r["taxonomy_id"], r["mcqs"]) for r in sets.collect()) == [
+        ("A.b.c", ["Q1", "Q22"]),
+        ("A.b.g", ['["Q","1"]', '["Q","22"]']),
+    ]
     lines = {r["line"] for r in generate.status_lines(status).collect()}
     assert lines == {
         "Success: A.b.c",
         "Failed: A.b.d with error: unknown prompt two",
         "Failed: A.b.e with error: unknown fields {nope}",
+        "Failed: A.b.f with error: unusable pattern: missing ), unterminated subpattern at position 1",
+        "Success: A.b.g",
     }
 
 
+@pytest.mark.parametrize(
+    "pattern,text",
+    [
+        (r"(?P<a>x+)-(?P=a)", "xx-xx x-xx"),
+        (r"a{,2}b\Z", "aaab b"),
+        (r"[[a]+", "[a[ b"),
+        (r"[]a&&b]+", "a&]b c"),
+        (r"[^]x]+", "ab]x"),
+        (r"[a\]&~|]+(?#note)c", "a]&~|c"),
+        (r"\[\d\]", "[1] [2]"),
+    ],
+)
+def test_patterns_mean_the_same(spark, pattern, text):
+    import re
+
+    java, groups = to_java(pattern)
+    row = spark.createDataFrame([(text, java)], "t STRING, p STRING")
+    found = row.select(F.regexp_extract_all("t", F.concat(F.lit("(?sdU)"), "p"), F.lit(0))).first()[0]
+    assert found == [m.group() for m in re.finditer(pattern, text, re.DOTALL)]
+    assert groups == re.compile(pattern).groups
+
+
+def test_patterns_without_a_form():
+    for pattern in ("(", "(a)(?(1)b|c)"):
+        with pytest.raises(ValueError):
+            to_java(pattern)
+
+
+def test_sets_without_an_id(spark, tmp_path):
+    """Their questions keep a key of their own, and the panel finds their replies."""
+    (tmp_path / "a.json").write_text(
+        '{"mcqs": ["Q1. a\\n(1) x\\nAnswer: 1", "Q2. b\\n(1) x\\nAnswer: 1"]}\n'
+        '{"mcqs": ["Q3. c\\n(1) x\\nAnswer: 1"]}\n{"taxonomy_id": "T", "mcqs": ["Q4. d\\nAnswer: 1"]}\n'
+    )
+    q = files.explode_questions(files.read_question_sets(spark, str(tmp_path)))
+    keys = {(r["file_path"], r["pos"]) for r in q.collect()}
+    assert len(keys) == 4 and all(path is not None for path, _ in keys)
+
+
 def questions_of(spark, texts):
     rows = [(f"f{i % 2}.json", "T", i, t) for i, t in enumerate(texts)]
     return spark.createDataFrame(rows, schemas.QUESTION)

@@ -102,14 +102,20 @@ def test_prompt_store(spark, tmp_path):
     put(folder, "e.json", prompt("three", parser_regex="(a)(b)"))
     put(folder, "f.json", prompt("four", parser_regex="(unclosed"))
     first = seeding.seed_prompts(spark, str(folder), store)
-    assert first == {"upserted": 2, "modified": 0, "skipped": 4}
+    assert first == {"upserted": 4, "modified": 0, "skipped": 2}
     assert seeding.seed_prompts(spark, str(folder), store)["modified"] == 0
 
-    put(tmp_path / "q", "z.json", prompt("two", template="T2b", version=2))
+    put(tmp_path / "q", "z.json", prompt("two", template="T2b", version="v2", owner="me", tags=[1]))
     again = seeding.seed_prompts(spark, str(tmp_path / "q"), store)
     assert again == {"upserted": 0, "modified": 1, "skipped": 0}
     two = seeding.get_prompt(spark, store, "two").first()
-    assert (two["template"], two["description"], two["version"]) == ("T2b", "kept", 2.0)
+    assert (two["template"], two["description"], two["version"]) == ("T2b", "kept", "v2")
+    assert two["extra"] == {"owner": "me", "tags": "[1]"}
+    put(tmp_path / "r", "z.json", prompt("two", owner="you"))
+    again = seeding.seed_prompts(spark, str(tmp_path / "r"), store)
+    assert again == {"upserted": 0, "modified": 1, "skipped": 0}
+    two = seeding.get_prompt(spark, store, "two").first()
+    assert two["extra"] == {"owner": "you", "tags": "[1]"}
     with pytest.raises(ValueError, match="missing"):
         seeding.get_prompt(spark, store, "missing")
 
