@@ -11,7 +11,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from quizloom.checks.queries import QUERIES
+from quizloom.checks.registry import QUERIES
 
 HEADLINE = [
     "corpus_filter",

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.functions.vectors import hash_embedder
-from quizloom.operators.storage import materialise
+from quizloom.operators.storage import new_folder
 from quizloom.operators.upsert import last_rows
 from quizloom.plans.index import embed_corpus
 from quizloom.plans.seeding import flatten_leaves, pipeline_leaves
+from quizloom.sources.corpus import read_index, write_index
 
 PANEL = ["alder", "birch", "cedar", "elm", "fir", "hazel", "larch", "maple"]
 SILENT_MODEL = "willow"
@@ -32,7 +33,9 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents' index, stored as in real use."""
-    return materialise(embed_corpus(corpus(spark, sf_dir), embed))
+    path = new_folder(spark, "index")
+    write_index(embed_corpus(corpus(spark, sf_dir), embed), path)
+    return read_index(spark, path)
 
 
 def options_text(lang: Column, source: Column, n_chars: Column) -> Column:

@@ -282,6 +282,31 @@ def _overlap(part: str, whole: str) -> str:
     )
 
 
+_RAG = f"""
+WITH {CHUNKS}, {_embedded("ce", "chunks", "chunk_id")},
+items AS (
+  SELECT item_id, trim('Q' || item_id || '. ' || text, chr(10) || ' ') AS query
+  FROM benchmark WHERE item_id % 9 <> 4
+),
+{_embedded("qe", "items", "item_id", "query")},
+qv AS (SELECT item_id AS query_id, v FROM qe),
+{_hits("qv", "ce", 4)},
+read AS (
+  SELECT query_id AS item_id, string_agg(text, {NL} || {NL} ORDER BY rank) AS context
+  FROM hits JOIN chunks USING (chunk_id) GROUP BY query_id
+),
+answered AS (
+  SELECT item_id, query, context, array_to_string(list_append(list_filter(
+           regexp_extract_all(lower(query), '\\S+'),
+           lambda w: list_contains(regexp_extract_all(lower(context), '\\S+'), w)), 'hence'), ' ') AS response
+  FROM items JOIN read USING (item_id)
+),
+scored AS (
+  SELECT *, {_overlap("response", "context")} AS f,
+         {_overlap("query", "(response || ' ' || context)")} AS r
+  FROM answered
+)"""
+
 ORACLE = {
     "corpus_filter": r"""
 SELECT doc_id, n_words FROM (
@@ -293,10 +318,16 @@ WITH {_embedded("e", "documents", "doc_id")}
 SELECT doc_id, dim, round(CAST(w AS DOUBLE), 6) AS w FROM e_cells""",
     "topk_retrieval": _TOPK,
     "topk_retrieval_grid": _TOPK,
+    "topk_few_vectors": f"""
+WITH own AS (
+  SELECT vec_id AS query_id, vec_id AS chunk_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings
+), few AS (SELECT * FROM own WHERE label = 0), {_hits("own", "few", 1000)}
+SELECT query_id, rank, chunk_id, round(score, 6) AS score FROM hits""",
     "score_check": f"""
 WITH {_OWN_HITS}
 SELECT query_id, chunk_id, round(score, 6) AS score, true AS same FROM hits WHERE rank <= 3""",
     "retrieve_with_text": _WITH_TEXT,
+    "retrieve_with_text_ranges": _WITH_TEXT,
     "retrieve_with_text_salted": _WITH_TEXT,
     "bundles": f"""
 WITH {LEAVES}, {CHUNKS}, {_embedded("ce", "chunks", "chunk_id")}, {_embedded("qe", "leaves", "id", "label")},
@@ -464,31 +495,50 @@ SELECT row_number() OVER (ORDER BY md5('{SEED}:' || file_path || '#' || pos), fi
        {_SHEET}, answer_number AS "Answer Number"
 FROM parsed""",
     "widest_options": f"WITH {PARSED} SELECT CAST(max(len(options)) AS BIGINT) AS max_options FROM parsed",
-    "rag_eval": f"""
-WITH {CHUNKS}, {_embedded("ce", "chunks", "chunk_id")},
-items AS (
-  SELECT item_id, trim('Q' || item_id || '. ' || text, chr(10) || ' ') AS query
-  FROM benchmark WHERE item_id % 9 <> 4
-),
-{_embedded("qe", "items", "item_id", "query")},
-qv AS (SELECT item_id AS query_id, v FROM qe),
-{_hits("qv", "ce", 4)},
-read AS (
-  SELECT query_id AS item_id, string_agg(text, {NL} || {NL} ORDER BY rank) AS context
-  FROM hits JOIN chunks USING (chunk_id) GROUP BY query_id
-),
-answered AS (
-  SELECT item_id, query, context, array_to_string(list_append(list_filter(
-           regexp_extract_all(lower(query), '\\S+'),
-           lambda w: list_contains(regexp_extract_all(lower(context), '\\S+'), w)), 'hence'), ' ') AS response
-  FROM items JOIN read USING (item_id)
-),
-scored AS (
-  SELECT *, {_overlap("response", "context")} AS f,
-         {_overlap("query", "(response || ' ' || context)")} AS r
-  FROM answered
-)
+    "rag_eval": f"""{_RAG}
 SELECT 'items.json' AS file_path, item_id AS pos, query, response, f >= 0.5 AS is_faithful,
-       f AS faithfulness_score, r >= 0.5 AS is_relevant, r AS relevancy_score
+       f AS faithfulness_score, r >= 0.5 AS is_relevant, r AS relevancy_score,
+       CAST(NULL AS VARCHAR) AS error
 FROM scored""",
+    "rag_eval_failures": f"""{_RAG},
+runs AS (SELECT *, length(query) % 3 = 0 AS failed FROM scored)
+SELECT 'items.json' AS file_path, item_id AS pos, query,
+       CASE WHEN NOT failed THEN response END AS response,
+       CASE WHEN NOT failed THEN f >= 0.5 END AS is_faithful,
+       CASE WHEN NOT failed THEN f END AS faithfulness_score,
+       CASE WHEN NOT failed THEN r >= 0.5 END AS is_relevant,
+       CASE WHEN NOT failed THEN r END AS relevancy_score,
+       CASE WHEN failed THEN 'TimeoutError: ' || length(query) || ' characters' END AS error
+FROM runs""",
+    "question_sets_without_id": f"""
+WITH {SEVERAL}
+SELECT pos, block AS q_raw, 1::BIGINT AS rows_of_key, true AS has_key FROM ({_blocks(_F1, 0)})""",
+    "prompt_files": """
+SELECT 'mcq_' || lower(n_name) AS prompt_id, 'for ' || n_name AS template,
+       'v' || CASE WHEN n_regionkey = 1 THEN 2 ELSE 1 END || '.' || n_nationkey AS version,
+       CASE n_regionkey WHEN 0 THEN '(?P<b>Q\d{,3})' WHEN 1 THEN '(Q\d+)(.+?)Answer'
+            WHEN 2 THEN 'Q(\d' END AS parser_regex,
+       CAST(n_regionkey AS VARCHAR) AS region,
+       CASE WHEN n_regionkey = 1 THEN 'again' END AS note
+FROM nation""",
+    "taxonomy_files": """
+SELECT 'Parts.' || p_brand || '.' || replace(p_name, ' ', '') || '.' || p_partkey AS id,
+       p_name || '.' || p_partkey AS label,
+       CASE WHEN p_size > 33 THEN 'H' WHEN p_size > 16 THEN 'M' ELSE 'E' END AS difficulty FROM part""",
+    "chunk_files": """
+SELECT doc_id AS chunk_id, doc_id, text, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total
+FROM documents LEFT JOIN embeddings ON vec_id = doc_id""",
+    "corpus_positions": """
+SELECT row_number() OVER (ORDER BY n_chars % 3, doc_id) - 1 AS position, text FROM documents""",
+    "panel_files": f"""
+WITH {KEYED}, panel(i, model) AS (VALUES {_ASKED_ROWS}),
+asked AS (
+  SELECT file_path, pos, correct, length(prompt) + i AS n
+  FROM (SELECT file_path, pos, correct, {_PROMPT} AS prompt FROM keyed WHERE correct IS NOT NULL), panel
+),
+marked AS (SELECT *, CASE WHEN n % 7 > 1 THEN n % 4 + 1 END AS choice FROM asked)
+SELECT file_path, pos, count(*) FILTER (choice = correct) AS correct_models,
+       count(*) FILTER (choice <> correct) AS incorrect_models,
+       count(*) FILTER (choice IS NULL) AS unanswered_models, count(*) AS debug_rows
+FROM marked GROUP BY ALL""",
 }

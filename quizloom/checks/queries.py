@@ -38,7 +38,7 @@ def corpus_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.chunk_corpus(inputs.corpus(spark, sf_dir)).select("doc_id", "chunk_id")
+    return index.chunk_ids(inputs.corpus(spark, sf_dir))
 
 
 def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,13 +76,23 @@ def topk_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_retrieval_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through the block grid that large query sets take."""
+    """The same with queries in many blocks."""
     found = top_k(
         _vectors(spark, sf_dir),
         _own_queries(spark, sf_dir),
         k=4,
-        broadcast_bytes=0,
-        block_bytes=256 << 10,
+        block_bytes=64 << 10,
+    )
+    return _hits(found)
+
+
+def topk_few_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of one label, fewer than k, against all queries."""
+    vectors = inputs.table(spark, sf_dir, "embeddings").filter("label = 0")
+    found = top_k(
+        vectors.select(F.col("vec_id").alias("chunk_id"), "embedding"),
+        _own_queries(spark, sf_dir),
+        k=1000,
     )
     return _hits(found)
 
@@ -103,7 +113,17 @@ def score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retrieve_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = materialise(top_k(_vectors(spark, sf_dir), _own_queries(spark, sf_dir), k=4))
     chunks = index.chunk_corpus(inputs.corpus(spark, sf_dir))
-    found = bundle_ops.with_text(hits, chunks, n_hits=hits.count())
+    found = bundle_ops.with_text(hits, chunks)
+    return found.select(
+        "query_id", _long("rank").alias("rank"), "chunk_id", "doc_id", "text"
+    )
+
+
+def retrieve_with_text_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with more winners than are broadcast at a time."""
+    hits = top_k(_vectors(spark, sf_dir), _own_queries(spark, sf_dir), k=4)
+    chunks = index.chunk_corpus(inputs.corpus(spark, sf_dir))
+    found = bundle_ops.with_text(hits, chunks, id_bytes=1 << 11)
     return found.select(
         "query_id", _long("rank").alias("rank"), "chunk_id", "doc_id", "text"
     )
@@ -121,7 +141,7 @@ def retrieve_with_text_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bundles(spark, sf_dir) -> DataFrame:
     leaves = inputs.leaves(spark, sf_dir)
-    return retrieval.build_bundles(leaves, inputs.index(spark, sf_dir), inputs.embed, stored=True)
+    return retrieval.build_bundles(leaves, inputs.index(spark, sf_dir), inputs.embed)
 
 
 def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -584,8 +604,8 @@ def stub_answerer():
     return answer
 
 
-def rag_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items as questions over the documents."""
+def rag_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items as questions, some of them without options."""
     items = inputs.table(spark, sf_dir, "benchmark")
     q_raw = F.concat(
         F.lit("Q"),
@@ -594,15 +614,19 @@ def rag_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text"),
         F.when(F.col("item_id") % 9 == 4, "\nno options").otherwise("\n -(1) yes\n(2) no\nAnswer: 1"),
     )
-    q = items.select(
+    return items.select(
         F.lit("items.json").alias("file_path"),
         F.lit("Items").alias("taxonomy_id"),
         F.col("item_id").cast("int").alias("pos"),
         q_raw.alias("q_raw"),
     )
+
+
+def rag_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items as questions over the documents."""
+    q = rag_questions(spark, sf_dir)
     graded = rag.evaluate_rag(
-        q, inputs.index(spark, sf_dir), inputs.embed, text_model(stub_answerer), limit=None,
-        stored=True,
+        q, inputs.index(spark, sf_dir), inputs.embed, text_model(stub_answerer)
     )
     return graded.withColumn("pos", _long("pos"))
 
@@ -615,8 +639,10 @@ QUERIES = {
         hash_embed,
         topk_retrieval,
         topk_retrieval_grid,
+        topk_few_vectors,
         score_check,
         retrieve_with_text,
+        retrieve_with_text_ranges,
         retrieve_with_text_salted,
         bundles,
         leaf_flatten,

@@ -3,45 +3,41 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.operators.joins import salted_join
-from quizloom.operators.storage import materialise
+from quizloom.operators.storage import materialise, new_folder
 
-BROADCAST_HITS = 200_000
-# Hits whose files are looked up before any text is read.
-LOCATED_HITS = 10_000
+# Bytes of ids that are broadcast at a time.
+ID_BYTES = 64 << 20
+_BYTES_PER_ID = 16
 
 
-def with_text(
-    hits: DataFrame, chunks: DataFrame, n_hits: int, stored: bool = False
-) -> DataFrame:
+def with_text(hits: DataFrame, chunks: DataFrame, id_bytes: int = ID_BYTES) -> DataFrame:
     """Fetch document and text of ranked hits, after top-k has cut them down.
 
-    Up to ``BROADCAST_HITS`` hits (narrow rows, counted by the caller) go to the
-    chunk scan, so texts that did not win never move. Beyond that the winning chunks
-    are picked by a semi-join and joined with hot chunks split.
-
-    ``stored`` says that ``chunks`` is read from files. Then few hits are located
-    first, by a scan of the id column, and only their files are opened for text.
+    The distinct ids of the winners are broadcast to the scan of the chunks, so texts
+    that did not win never move. Ids that are more than ``id_bytes`` go in several
+    ranges, one after the other; a scan of an index in id order skips what lies outside.
+    The winning texts are then joined with the hits.
     """
-    if stored or n_hits > BROADCAST_HITS:
-        hits = materialise(hits)
-    if stored and n_hits <= LOCATED_HITS:
-        chunks = _in_files_of(hits, chunks)
+    hits = materialise(hits)
     chunks = chunks.select("chunk_id", "doc_id", "text")
-    if n_hits <= BROADCAST_HITS:
-        return chunks.join(F.broadcast(hits), "chunk_id")
-    winners = chunks.join(hits.select("chunk_id").distinct(), "chunk_id", "left_semi")
-    return salted_join(hits, winners, "chunk_id", F.col("query_id"))
-
-
-def _in_files_of(hits: DataFrame, chunks: DataFrame) -> DataFrame:
-    """The chunks of the files that hold a hit; at most one file per hit."""
-    path = F.col("_metadata.file_path")
-    located = chunks.select("chunk_id", path.alias("path")).join(
-        F.broadcast(hits.select("chunk_id").distinct()), "chunk_id", "left_semi"
-    )
-    paths = [r["path"] for r in located.select("path").distinct().collect()]
-    return chunks.filter(path.isin(paths))
+    ids = hits.select("chunk_id").distinct()
+    ranges = -(-ids.count() * _BYTES_PER_ID // id_bytes)
+    if ranges <= 1:
+        return hits.join(chunks.join(F.broadcast(ids), "chunk_id", "left_semi"), "chunk_id")
+    ids = materialise(ids)
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = ids.agg(F.percentile_approx("chunk_id", shares, 100 * ranges)).first()[0]
+    path = new_folder(hits.sparkSession, "winners")
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        inside = F.lit(True)
+        if low is not None:
+            inside &= F.col("chunk_id") > low
+        if high is not None:
+            inside &= F.col("chunk_id") <= high
+        part = F.broadcast(ids.filter(inside))
+        chunks.filter(inside).join(part, "chunk_id", "left_semi").write.mode("append").parquet(path)
+    winners = hits.sparkSession.read.schema(chunks.schema).parquet(path)
+    return hits.join(winners, "chunk_id")
 
 
 def collect_passages(hits: DataFrame, key: str) -> DataFrame:

@@ -3,11 +3,13 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quizloom.operators.storage import materialise
+
 BUCKET_WIDTH = 1 << 8
 # Bits of a bucket number that are summed up in one group.
 _GROUP_BITS = 12
-# Hash digits that choose a row's bucket in a shuffle.
-HASH_DIGITS = 4
+# Rows that a bucket of a shuffle should hold.
+SHUFFLE_ROWS = 1 << 12
 
 
 def number_by_bucket(
@@ -70,29 +72,40 @@ def dense_ids(
     return number_by_bucket(df, bucket, [F.col(key)], out, max_key // width)
 
 
+# Bytes of a table with one row per scan split that may be broadcast.
+SPLIT_TABLE_BYTES = 128 << 20
+
+
 def row_positions(df: DataFrame, out: str) -> DataFrame:
-    """Dense 0-based ids in scan order, for sources that carry no id column.
+    """Dense 0-based ids by file path and place in the file, for files without an id column.
 
-    Spark's running id already counts rows inside a partition; adding the sizes of
-    earlier partitions makes it dense. The input is scanned twice and never shuffled:
-    the joined table has one row per scan partition.
+    ``df`` must be a scan of files. Spark packs splits into tasks by size, so a row's
+    running number in its task is taken relative to the first of its split, and splits
+    are ordered by path and offset. The input is scanned twice, the first time without
+    its columns. Rows are not shuffled as long as the table of splits, a path and three
+    numbers each, is small enough to be broadcast; its size is checked.
     """
-    running = F.monotonically_increasing_id()
-    numbered = df.select("*", running.alias("_running")).withColumn(
-        "_part", F.shiftright("_running", 33)
-    )
-    sizes = df.select(F.shiftright(running, 33).alias("_part")).groupBy("_part").agg(
-        F.count("*").alias("_rows")
+    split = [
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    ]
+    numbered = df.select("*", *split, F.monotonically_increasing_id().alias("_running"))
+    splits = numbered.groupBy("_path", "_block").agg(
+        F.count("*").alias("_rows"), F.min("_running").alias("_first")
     )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+    before = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialise(
+        splits.select(
+            "_path", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+        )
     )
-    place = F.col("_running") - F.shiftleft(F.col("_part"), 33)
+    size = starts.agg(F.sum(F.octet_length("_path") + 24)).first()[0] or 0
+    if size <= SPLIT_TABLE_BYTES:
+        starts = F.broadcast(starts)
     return (
-        numbered.join(F.broadcast(starts), "_part")
-        .withColumn(out, F.col("_start") + place)
-        .drop("_part", "_running", "_start")
+        numbered.join(starts, ["_path", "_block"])
+        .withColumn(out, F.col("_start") + F.col("_running") - F.col("_first"))
+        .drop("_path", "_block", "_running", "_first", "_start")
     )
 
 
@@ -102,13 +115,19 @@ def shuffle_key(seed: int | str, key: Column) -> Column:
 
 
 def shuffled_positions(
-    df: DataFrame, seed: int | str, key: Column, out: str = "position", digits: int = HASH_DIGITS
+    df: DataFrame, seed: int | str, key: Column, out: str = "position", digits: int | None = None
 ) -> DataFrame:
     """Add each row's 0-based position in a seeded shuffle of all rows.
 
-    ``key`` must be unique. Hash prefixes split the rows into even buckets, so the
-    order is global without a global sort.
+    ``key`` must be unique. Hash prefixes of so many ``digits`` split the rows into even
+    buckets, so the order is global without a global sort; without ``digits`` their
+    number follows from a count of the rows.
     """
+    if digits is None:
+        digits = 1
+        buckets = df.count() // SHUFFLE_ROWS
+        while 16**digits < buckets:
+            digits += 1
     hashed = df.withColumn("_shuffle", shuffle_key(seed, key)).withColumn("_key", key)
     bucket = F.conv(F.substring("_shuffle", 1, digits), 16, 10)
     order = [F.col("_shuffle"), F.col("_key")]

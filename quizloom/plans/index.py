@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quizloom.functions.text import has_min_words
 from quizloom.operators.numbering import dense_ids
-from quizloom.operators.storage import is_complete
+from quizloom.operators.storage import is_complete, materialise
 from quizloom.sources.corpus import read_index, write_index
 
 MIN_WORDS = 20
@@ -19,14 +19,21 @@ def usable_documents(corpus: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
 
 
 def chunk_corpus(corpus: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``chunk_id, doc_id, text`` of the usable documents, ids dense in doc order.
+    """``chunk_id, doc_id, text`` of the usable documents, ids dense in doc order."""
+    numbers = chunk_ids(corpus, min_words)
+    return corpus.select("doc_id", "text").join(numbers, "doc_id").select(
+        "chunk_id", "doc_id", "text"
+    )
 
-    The largest id is taken from all documents, which reads the id column alone.
+
+def chunk_ids(corpus: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, chunk_id`` of the usable documents.
+
+    One scan reads the texts and stores the ids of those with enough words; everything
+    after that works on ids.
     """
-    kept = usable_documents(corpus.select("doc_id", "text"), min_words)
-    max_id = corpus.agg(F.max("doc_id")).first()[0] or 0
-    numbered = dense_ids(kept, "doc_id", "chunk_id", max_key=max_id)
-    return numbered.select("chunk_id", "doc_id", "text")
+    kept = materialise(usable_documents(corpus.select("doc_id", "text"), min_words).select("doc_id"))
+    return dense_ids(kept, "doc_id", "chunk_id").select("doc_id", "chunk_id")
 
 
 def embed_corpus(corpus: DataFrame, embed: Callable, min_words: int = MIN_WORDS) -> DataFrame:

@@ -20,26 +20,23 @@ def retrieve(
     index: DataFrame,
     embed: Callable,
     k: int = QUERY_K,
-    stored: bool = False,
 ) -> DataFrame:
     """The k best chunks per query: ``query_id, rank, chunk_id, doc_id, text, score``.
 
     ``queries`` has a unique ``query_id`` and a ``text``. The query vectors are stored
     first, so each text is embedded once. Scoring reads only ids and vectors; texts
-    are fetched for the winners. ``stored`` tells that the index is read from files, so
-    that only the winners' files are opened for text.
+    are fetched for the winners.
     """
     vectors = materialise(queries.select("query_id", embed(F.col("text")).alias("embedding")))
-    hits = top_k(index, vectors, k)
-    found = with_text(hits, index, n_hits=vectors.count() * k, stored=stored)
+    found = with_text(top_k(index, vectors, k), index)
     return found.select("query_id", "rank", "chunk_id", "doc_id", "text", "score")
 
 
 def passages_for(
-    queries: DataFrame, index: DataFrame, embed: Callable, k: int, stored: bool = False
+    queries: DataFrame, index: DataFrame, embed: Callable, k: int
 ) -> DataFrame:
     """``query_id, passages`` of each query that has any."""
-    return collect_passages(retrieve(queries, index, embed, k, stored), "query_id")
+    return collect_passages(retrieve(queries, index, embed, k), "query_id")
 
 
 def build_bundles(
@@ -47,7 +44,6 @@ def build_bundles(
     index: DataFrame,
     embed: Callable,
     k: int = BUNDLE_K,
-    stored: bool = False,
 ) -> DataFrame:
     """One bundle per leaf: id, query terms and its k best passages.
 
@@ -55,7 +51,7 @@ def build_bundles(
     The leaf's difficulty is not carried over.
     """
     queries = leaves.select(F.col("id").alias("query_id"), F.col("label").alias("text"))
-    passages = passages_for(queries, index, embed, k, stored)
+    passages = passages_for(queries, index, embed, k)
     synonyms = F.col("synonyms") if "synonyms" in leaves.columns else None
     named = leaves.select("id", query_terms(F.col("label"), synonyms).alias("query_terms"))
     none = F.array().cast(schemas.BUNDLE["passages"].dataType)

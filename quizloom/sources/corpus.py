@@ -17,7 +17,9 @@ def read_corpus(
     text_col: str = "Text",
     id_col: str | None = None,
 ) -> DataFrame:
-    """``doc_id, text`` of a corpus; without an id column, scan position is the id.
+    """``doc_id, text`` of a corpus; without an id column, the position is the id.
+
+    Positions count through the files by path.
 
     Only the named columns are read. Text that is not a string becomes NULL, which
     the length filter drops.
@@ -27,7 +29,7 @@ def read_corpus(
     text = F.col(text_col) if is_text else F.lit(None).cast("string")
     if id_col is not None:
         return rows.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    return row_positions(rows.select(text.alias("text")), "doc_id").select("doc_id", "text")
+    return row_positions(rows, "doc_id").select("doc_id", text.alias("text"))
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -48,6 +50,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    """Files are kept small, as a lookup of few chunks opens only the files they are in."""
-    rows = index.select(*schemas.INDEX.names).write.mode("overwrite")
-    rows.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+    """Files hold ranges of ids in order, so a lookup of few ids skips most row groups."""
+    rows = index.select(*schemas.INDEX.names)
+    ordered = rows.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id")
+    writer = ordered.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+    writer.parquet(path)

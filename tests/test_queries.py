@@ -12,7 +12,7 @@ if not os.path.isdir(SF_DIR):
     pytest.skip("no driver tables", allow_module_level=True)
 
 from quizloom.checks.oracle import ORACLE  # noqa: E402
-from quizloom.checks.queries import QUERIES  # noqa: E402
+from quizloom.checks.registry import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
