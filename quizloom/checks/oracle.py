@@ -513,7 +513,7 @@ FROM runs""",
     "question_sets_without_id": f"""
 WITH {SEVERAL}
 SELECT pos, block AS q_raw, 1::BIGINT AS rows_of_key, true AS has_key FROM ({_blocks(_F1, 0)})""",
-    "prompt_files": """
+    "prompt_files": r"""
 SELECT 'mcq_' || lower(n_name) AS prompt_id, 'for ' || n_name AS template,
        'v' || CASE WHEN n_regionkey = 1 THEN 2 ELSE 1 END || '.' || n_nationkey AS version,
        CASE n_regionkey WHEN 0 THEN '(?P<b>Q\d{,3})' WHEN 1 THEN '(Q\d+)(.+?)Answer'
