@@ -12,6 +12,8 @@ BITS = 18
 # Texts are hashed in blocks, so that a very long one needs no more memory.
 BLOCK_CHARS = 1 << 20
 WORD_CACHE = 1 << 19
+# Rows that a fit works on at a time.
+FIT_ROWS = 512
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0x100000001B3)
 
@@ -112,23 +114,41 @@ def fit_logistic(
     if len(y) == 0 or y.min() == y.max():
         rate = (y.sum() + 1) / (len(y) + 2)
         return np.zeros(len(scale)), float(np.log(rate / (1 - rate)))
-    used, flat = np.unique(np.concatenate(slots), return_inverse=True)
     lengths = np.array([len(s) for s in slots])
-    row = np.repeat(np.arange(len(slots)), lengths)
-    norm = 1 / np.sqrt(np.maximum(np.bincount(row, scale[used][flat] ** 2, len(slots)), 1e-12))
-    value = (scale[used][flat] * norm[row]).astype(np.float32)
+    flat = np.concatenate(slots).astype(np.int32, copy=False)
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    # Rows are worked on in blocks, so that only the slots themselves are held for all.
+    blocks = [
+        (lo, min(lo + FIT_ROWS, len(slots))) for lo in range(0, len(slots), FIT_ROWS)
+    ]
+
+    def row_sums(values: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(slots))
+        for lo, hi in blocks:
+            rows = np.repeat(np.arange(hi - lo), lengths[lo:hi])
+            out[lo:hi] = np.bincount(rows, values[flat[starts[lo] : starts[hi]]], hi - lo)
+        return out
+
+    def slot_sums(values: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(scale))
+        for lo, hi in blocks:
+            repeated = np.repeat(values[lo:hi], lengths[lo:hi])
+            out += np.bincount(flat[starts[lo] : starts[hi]], repeated, len(scale))
+        return out
+
+    norm = 1 / np.sqrt(np.maximum(row_sums(scale**2), 1e-12))
     share = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) if balance else np.ones(len(y))
     share = share / len(y)
 
     def loss(point):
-        margin = np.bincount(row, value * point[flat], len(slots)) + point[-1]
+        margin = norm * row_sums(scale * point[:-1]) + point[-1]
         sign = 2 * y - 1
         total = share @ np.logaddexp(0, -sign * margin) + l2 / 2 * point[:-1] @ point[:-1]
         slope = share * (1 / (1 + np.exp(-margin)) - y)
-        inner = np.bincount(flat, value * slope[row], len(used)) + l2 * point[:-1]
+        inner = scale * slot_sums(norm * slope) + l2 * point[:-1]
         return total, np.append(inner, slope.sum())
 
-    point = np.zeros(len(used) + 1)
+    point = np.zeros(len(scale) + 1)
     total, slope = loss(point)
     past: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(steps):
@@ -159,6 +179,4 @@ def fit_logistic(
         point, total, slope = trial, new_total, new_slope
         if done:
             break
-    weights = np.zeros(len(scale))
-    weights[used] = point[:-1]
-    return weights, float(point[-1])
+    return point[:-1], float(point[-1])

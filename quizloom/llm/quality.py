@@ -31,7 +31,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 3
 
 ORDERS = (2, 3, 4)
-SAMPLE = 6_000
+SAMPLE = 4_000
 # Documents with a smaller probability of being good go. The label sets the odds; a low
 # threshold leaves the doubtful ones in.
 THRESHOLD = 0.3
@@ -120,10 +120,11 @@ def train_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE)
     chosen = labelled_sample(labels.select("doc_id", "quality"), "quality", sample)
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     schema = "y INT, part INT, slots ARRAY<INT>"
-    table = rows.select("text", "y").mapInArrow(_training_slots, schema).toPandas()
-    slots = [np.asarray(s, dtype=np.int32) for s in table["slots"]] or [np.empty(0, np.int32)]
-    y = table["y"].to_numpy() if len(table) else np.zeros(0)
-    fit = table["part"].to_numpy() != 0 if len(table) else np.zeros(0, bool)
+    table = rows.select("text", "y").mapInArrow(_training_slots, schema).toArrow()
+    y, fit = table["y"].to_numpy(), table["part"].to_numpy() != 0
+    # Views of the table's own memory; the sample is held once.
+    slots = [s.values.to_numpy() for chunk in table["slots"].chunks for s in chunk]
+    slots = slots or [np.empty(0, np.int32)]
     ones = np.ones(1 << BITS)
     weights, intercept = fit_logistic([s for s, f in zip(slots, fit) if f] or slots, y[fit], ones, L2)
     model = QualityModel(weights, intercept, 1.0, 0.0)
