@@ -476,7 +476,11 @@ WITH {SEVERAL}
 SELECT 'Set.' || doc_id || '.json' AS file_name, 'Set.' || doc_id AS taxonomy_id, pos, block AS q_raw
 FROM ({_blocks(_F1, 0)})""",
     "review_sheet_csv": f"""
-WITH {PARSED} SELECT {_SHEET}, CAST(answer_number AS VARCHAR) AS "Answer Number" FROM parsed""",
+WITH {PARSED}
+SELECT row_number() OVER (ORDER BY md5('{SEED}:' || file_path || '#' || pos), file_path || '#' || pos) - 1
+         AS position,
+       {_SHEET}, CAST(answer_number AS VARCHAR) AS "Answer Number"
+FROM parsed""",
     "leaf_store": f"""
 WITH {FLAT}
 SELECT leaf_id AS id, topic AS label, difficulty FROM (

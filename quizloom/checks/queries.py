@@ -16,7 +16,7 @@ from quizloom.operators import bundles as bundle_ops
 from quizloom.operators import panel
 from quizloom.operators.columns import with_computed
 from quizloom.operators.joins import salted_join
-from quizloom.operators.numbering import shuffled_positions
+from quizloom.operators.numbering import row_positions, shuffled_positions
 from quizloom.operators.similarity import top_k
 from quizloom.operators.storage import materialise, shared_folder
 from quizloom.operators.upsert import merge_fields, read_store, upsert_counts, write_store
@@ -555,12 +555,16 @@ def question_set_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_sheet_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The review sheet written as CSV and read back as text."""
+    """The review sheet written as CSV and read back, with the order of its lines."""
     path = _new_folder(spark)
     files.write_sheet(review.review_sheet(inputs.questions(spark, sf_dir), inputs.SEED), path)
-    csv = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    sheet = csv.csv(path)
-    return sheet.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in sheet.columns])
+    lines = row_positions(spark.read.option("lineSep", "\r\n").text(path), "place")
+    header = lines.filter("place = 0").first()["value"].split(",")
+    schema = ", ".join(f"`{name}` STRING" for name in header)
+    row = F.from_csv("value", schema, {"quote": '"', "escape": '"'})
+    sheet = lines.filter("place > 0").select((F.col("place") - 1).alias("position"), row.alias("row"))
+    cells = [F.coalesce(F.col("row")[c], F.lit("")).alias(c) for c in header]
+    return sheet.select("position", *cells)
 
 
 def leaf_store(spark: SparkSession, sf_dir: str) -> DataFrame:

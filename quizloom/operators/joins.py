@@ -3,19 +3,17 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of any width, such as prompt templates, that may be broadcast.
-LOOKUP_ROWS = 10_000
-# Rows of a key and a number that may be broadcast.
-NARROW_ROWS = 100_000
+# Bytes of a table that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 100_000
+# Parts over which rows without a key are spread; they have no partner anywhere.
+KEYLESS_PARTS = 1 << 12
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """True if the table has at most that many rows.
-
-    A count runs in parallel; a limit would send its rows from every task to one.
-    """
-    return df.count() <= rows
+def fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """True if the rows, written out, have at most that many bytes. Summed in parallel."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    return (df.agg(F.sum(width)).first()[0] or 0) <= limit
 
 
 def salted_join(
@@ -30,8 +28,10 @@ def salted_join(
 
     Keys with more than ``hot_rows`` facts are split into as many parts as they have
     multiples of it, by a hash of ``spread_by``; their lookup row is copied once per
-    part. All other keys join as they are. ``facts`` is read more than once, so pass
-    stored rows.
+    part. Facts without a key are spread as well. All other keys join as they are.
+    ``facts`` is read more than once, so pass stored rows. Spark itself splits hot keys
+    only of joins whose both sides it has just shuffled; use this where a side comes
+    partitioned already.
     """
     parts = (
         facts.groupBy(key)
@@ -39,12 +39,15 @@ def salted_join(
         .filter(F.col("_n") > hot_rows)
         .select(key, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts"))
     )
-    if at_most(parts, NARROW_ROWS):
+    if fits(parts):
         parts = F.broadcast(parts)
     split_facts = (
         facts.join(parts, key, "left")
         .withColumn(
-            "_salt", F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_parts")), F.lit(0))
+            "_salt",
+            F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(KEYLESS_PARTS)))
+            .when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(spread_by), F.col("_parts")))
+            .otherwise(0),
         )
         .drop("_parts")
     )
@@ -66,9 +69,9 @@ def lookup_join(
     key: str,
     spread_by: Column,
     how: str = "inner",
-    max_broadcast_rows: int = LOOKUP_ROWS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join with a lookup of unique keys: broadcast if counted small, else salted."""
-    if at_most(lookup, max_broadcast_rows):
+    """Join with a lookup of unique keys: broadcast if its bytes are few, else salted."""
+    if fits(lookup, max_broadcast_bytes):
         return facts.join(F.broadcast(lookup), key, how)
     return salted_join(facts, lookup, key, spread_by, how)

@@ -79,20 +79,6 @@ def write_document(document: DataFrame, path: str) -> None:
     document.coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_sheet(sheet: DataFrame, path: str) -> None:
-    """Standard CSV with a header; quotes are doubled and empty cells stay empty.
-
-    Lines end with a line feed: with another line separator Spark's writer would also
-    rewrite the line feeds inside texts.
-    """
-    (
-        sheet.write.mode("overwrite")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("nullValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+def write_sheet(lines: DataFrame, path: str) -> None:
+    """Ordered CSV lines as text; lines end with CR LF, and cells keep their line feeds."""
+    lines.write.mode("overwrite").option("lineSep", "\r\n").text(path)

@@ -53,7 +53,7 @@ def test_skewed_joins(spark, join, how):
     if join == "salted":
         found = salted_join(facts, lookup, "k", F.col("id"), how, hot_rows=20)
     else:
-        limit = 100 if join == "broadcast" else 5
-        found = lookup_join(facts, lookup, "k", F.col("id"), how, max_broadcast_rows=limit)
+        limit = 10_000 if join == "broadcast" else 5
+        found = lookup_join(facts, lookup, "k", F.col("id"), how, max_broadcast_bytes=limit)
     rows = lambda df: sorted(map(tuple, df.select("id", "k", "v").collect()), key=str)
     assert rows(found) == rows(expected)

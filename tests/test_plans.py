@@ -277,9 +277,11 @@ def test_review_sheet_csv(spark, tmp_path):
         sheet = review.review_sheet(q.repartition(parts), seed=3)
         path = str(tmp_path / f"sheet{parts}")
         files.write_sheet(sheet.coalesce(1), path)
-        (name,) = glob.glob(f"{path}/part-*.csv")
+        (name,) = glob.glob(f"{path}/part-*")
         with open(name, encoding="utf-8", newline="") as f:
-            orders.add(tuple(map(tuple, csv.reader(f))))
+            text = f.read()
+        assert text.endswith("\r\n")
+        orders.add(tuple(map(tuple, csv.reader(text.splitlines(keepends=True)))))
     (rows,) = orders
     header = ("Question Text", "Option 1", "Option 2", "Option 3", "Answer Text", "Answer Number")
     assert rows[0] == header
@@ -288,7 +290,16 @@ def test_review_sheet_csv(spark, tmp_path):
         ("b", "only", "", "", "Error: Invalid Answer Index", "7"),
         ("d", "x", "y", "", "x", "1"),
     }
-    assert review.review_sheet(q.limit(0)).count() == 0
+    empty = review.review_sheet(q.limit(0)).collect()
+    assert [r["line"] for r in empty] == ["Question Text,Answer Text,Answer Number"]
+
+
+def test_a_very_wide_question_costs_data_not_schema(spark):
+    stray = "\n".join(f"stray {i}" for i in range(3000))
+    q = questions_of(spark, [f"Q1. a\n(1) x\n{stray}\nAnswer: 1", "Q2. b\n(1) x\nAnswer: 1"])
+    sheet = review.review_sheet(q)
+    assert sheet.columns == ["line"]
+    assert {len(r["line"].split(",")) for r in sheet.collect()} == {3004}
 
 
 def test_question_files(spark, tmp_path):
