@@ -16,7 +16,7 @@ unbounded group. Chains are merged into classes by alternating star steps.
 
 Defined results: words are runs of other characters than white space; a text with fewer
 words than ``n`` has all its words as its only n-gram; texts without words (and NULL)
-have none, resemble nothing and stay alone. A NULL doc_id is larger than any other. Rows that repeat both doc_id and
+have the empty set, are copies of each other and resemble nothing else. A NULL doc_id is larger than any other. Rows that repeat both doc_id and
 text are copies of each other.
 """
 
@@ -132,7 +132,7 @@ def _order() -> Column:
 def sketches(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """``uid, id, key, digest, buckets``: a stored row per document.
 
-    ``digest`` stands for the n-gram set and is NULL where it is empty.
+    ``digest`` stands for the n-gram set. The empty set is in no bucket.
     """
 
     def sketch(batches):
@@ -144,12 +144,8 @@ def sketches(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 grams = grams_of(text.as_py() or "")
                 uids.append(uid)
                 uid += 1
-                if len(grams):
-                    digests.append(hashlib.md5(grams.tobytes()).digest())
-                    buckets.append(minhash(grams))
-                else:
-                    digests.append(None)
-                    buckets.append(None)
+                digests.append(hashlib.md5(grams.tobytes()).digest())
+                buckets.append(minhash(grams) if len(grams) else np.empty(0, dtype=np.int64))
             yield pa.RecordBatch.from_pydict(
                 {
                     "uid": pa.array(np.asarray(uids, dtype=np.int64)),
@@ -368,15 +364,14 @@ def near_duplicates(
     """
     bands, rows = choose_bands(similarity, recall)
     sketched = sketches(documents.select("doc_id", "text"), n, bands, rows)
-    worded = sketched.filter("digest IS NOT NULL")
     same = materialise(
-        worded.groupBy("digest").agg(
+        sketched.groupBy("digest").agg(
             F.min("uid").alias("uid"),
             F.min(F.struct("id", "key")).alias("first"),
             F.count("*").alias("n_copies"),
         )
     )
-    members = worded.join(same.select("uid"), "uid", "left_semi")
+    members = sketched.join(same.select("uid"), "uid", "left_semi")
     members = materialise(members.select("uid", "id", "key", "buckets"))
     found = find_links(documents, members, n, similarity, block_members)
     links = found.groupBy("uid").agg(F.sum("links").alias("n_links"))
@@ -397,15 +392,13 @@ def near_duplicates(
         "n_links",
         "n_copies",
     )
-    joined = sketched.select("id", "key", "digest").join(classes, "digest", "left")
-    alone = F.col("digest").isNull()
-    class_id = F.coalesce("class_id", "id")
+    joined = sketched.select("id", "key", "digest").join(classes, "digest")
     return joined.select(
         F.when(F.col("id") != _LAST, F.col("id")).alias("doc_id"),
-        F.when(class_id != _LAST, class_id).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
-        (alone | ((F.col("id") == F.col("class_id")) & (F.col("key") == F.col("best")))).alias("kept"),
+        F.when(F.col("class_id") != _LAST, F.col("class_id")).alias("class_id"),
+        "n_links",
+        "n_copies",
+        ((F.col("id") == F.col("class_id")) & (F.col("key") == F.col("best"))).alias("kept"),
         "key",
     )
 
@@ -413,7 +406,7 @@ def near_duplicates(
 def near_dedup(documents: DataFrame, **settings) -> DataFrame:
     """Only one document of each class, with the input's columns.
 
-    Repeated rows of the document that stays count once; those without words all stay.
+    Repeated rows of the document that stays count once.
     """
     found = near_duplicates(documents, **settings).filter("kept")
     stay = found.select(_order().alias("_id"), F.col("key").alias("_key")).distinct()

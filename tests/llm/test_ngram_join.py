@@ -32,19 +32,18 @@ def brute(rows):
                 label = [new if x == old else x for x in label]
     place = {s: i for i, s in enumerate(sets)}
     size = Counter(grams(t) for _, t in rows)
+    label.append(-1)
+    place[frozenset()] = len(sets)
+    links.append(0)
     first = {}
     for d, t in rows:
-        if grams(t):
-            k = label[place[grams(t)]]
-            first[k] = min(first.get(k, LAST), LAST if d is None else d)
+        k = label[place[grams(t)]]
+        first[k] = min(first.get(k, LAST), LAST if d is None else d)
     out = []
     for d, t in rows:
         s = grams(t)
-        if s:
-            c = first[label[place[s]]]
-            out.append((d, None if c == LAST else c, links[place[s]], size[s]))
-        else:
-            out.append((d, d, 0, 1))
+        c = first[label[place[s]]]
+        out.append((d, None if c == LAST else c, links[place[s]], size[s]))
     return sorted(out, key=repr)
 
 
