@@ -11,7 +11,7 @@ from quizloom.llm.text import WORD_RE
 BITS = 18
 # Texts are hashed in blocks, so that a very long one needs no more memory.
 BLOCK_CHARS = 1 << 20
-WORD_CACHE = 1 << 19
+WORD_CACHE = 1 << 17
 # Rows that a fit works on at a time.
 FIT_ROWS = 512
 _MIX = np.uint64(0x9E3779B97F4A7C15)

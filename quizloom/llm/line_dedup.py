@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quizloom.llm.tasks import releasing
 from quizloom.llm.text import SPACES, UPPER, with_fields
 from quizloom.operators.storage import materialise, new_folder
 
@@ -187,4 +188,4 @@ def line_dedup(
     )
     added = {"n_lines": "long", "n_dropped": "long", "kept_sha256": "string"}
     schema = with_fields(base.select(*rest, "text").schema, added)
-    return rows.mapInArrow(_rebuild, schema)
+    return rows.mapInArrow(releasing(_rebuild), schema)

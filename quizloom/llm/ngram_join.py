@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quizloom.llm.tasks import releasing
 from quizloom.llm.text import WORD_RE
 from quizloom.operators.storage import materialise
 
@@ -42,7 +43,7 @@ BLOCK_MEMBERS = 2048
 _LAST = (1 << 63) - 1
 # A bucket's number: its band, then this many bits of the band's hash.
 _HASH_BITS = 57
-_WORD_CACHE = 1 << 19
+_WORD_CACHE = 1 << 17
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -158,7 +159,7 @@ def sketches(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 
     texts = documents.select(_order().alias("id"), _text_key().alias("key"), "text")
     schema = "uid BIGINT, id BIGINT, key STRING, digest BINARY, buckets ARRAY<BIGINT>"
-    return materialise(texts.mapInArrow(sketch, schema))
+    return materialise(texts.mapInArrow(releasing(sketch), schema))
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
@@ -284,7 +285,7 @@ def _gram_sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     texts = documents.select(_order().alias("id"), _text_key().alias("key"), "text")
     found = texts.join(wanted, ["id", "key"]).select("uid", "text", "buckets")
     schema = "uid BIGINT, grams BINARY, buckets BINARY"
-    return found.mapInArrow(gram_sets, schema).dropDuplicates(["uid"])
+    return found.mapInArrow(releasing(gram_sets), schema).dropDuplicates(["uid"])
 
 
 def find_links(
@@ -314,7 +315,7 @@ def find_links(
     together = dealt.join(sets, "uid").select(*_GROUP, *_MEMBER)
     sorted_rows = together.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "uid")
     compared = sorted_rows.mapInArrow(
-        _compare_groups(similarity), "uid BIGINT, root BIGINT, links BIGINT"
+        releasing(_compare_groups(similarity)), "uid BIGINT, root BIGINT, links BIGINT"
     )
     return materialise(compared)
 

@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quizloom.llm.tasks import releasing
 from quizloom.llm.text import with_fields
 from quizloom.operators.storage import materialise
 
@@ -45,7 +46,7 @@ END_ID = 0
 # one by one and remembered. Python splits at a few control characters more.
 _WORD = re.compile(r"[^ \t\n\r]+")
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
-_CACHE_WORDS = 1 << 20
+_CACHE_WORDS = 1 << 18
 _CACHE_CHARS = 64
 # Letters that are a single unit for the vocabulary's splitter and composed as they are;
 # one closing mark is a unit of its own.
@@ -172,9 +173,12 @@ def token_pieces(
             if with_ids:
                 out["ids"] = pa.array(ids, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(out)
+        # The letters stay for the worker's next task; whole words would take too much.
+        encoder.clear()
 
     schema = PIECES + (", ids ARRAY<INT>" if with_ids else "")
-    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(cut, schema)
+    rows = documents.select(F.col("doc_id").cast("bigint"), "text")
+    return rows.mapInArrow(releasing(cut), schema)
 
 
 def linear_groups(lengths: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.llm.hashed import BITS, NGrams, fit_logistic, labelled_sample
+from quizloom.llm.tasks import releasing
 from quizloom.llm.text import SPACES, WORD_RE, with_fields
 
 # Limits of the base rules and the characters that count as symbols.
@@ -120,7 +121,7 @@ def train_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE)
     chosen = labelled_sample(labels.select("doc_id", "quality"), "quality", sample)
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     schema = "y INT, part INT, slots ARRAY<INT>"
-    table = rows.select("text", "y").mapInArrow(_training_slots, schema).toArrow()
+    table = rows.select("text", "y").mapInArrow(releasing(_training_slots), schema).toArrow()
     y, fit = table["y"].to_numpy(), table["part"].to_numpy() != 0
     # Views of the table's own memory; the sample is held once.
     slots = [s.values.to_numpy() for chunk in table["slots"].chunks for s in chunk]
@@ -190,4 +191,4 @@ def judge_quality(
                 columns[name] = pa.array([r[i] for r in rows], _ARROW[kind])
             yield pa.RecordBatch.from_pydict(columns)
 
-    return base.mapInArrow(judge, with_fields(base.schema, RESULT))
+    return base.mapInArrow(releasing(judge), with_fields(base.schema, RESULT))
