@@ -1,7 +1,6 @@
 """One query per operator, over whole tables, and its DuckDB equivalent where SQL has one."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quizloom.llm import (
     exact_dedup,
