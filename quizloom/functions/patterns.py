@@ -1,6 +1,7 @@
 """Templates' own patterns, written for Python, in the dialect that runs them here."""
 
 import re
+import warnings
 
 _CLASS_ESCAPES = {"[": r"\[", "&": r"\&", "~": r"\~"}
 
@@ -14,7 +15,10 @@ def to_java(pattern: str) -> tuple[str, int]:
     patterns that are not valid or use what Java has no form for.
     """
     try:
-        compiled = re.compile(pattern)
+        with warnings.catch_warnings():
+            # Python warns of what its classes might mean one day.
+            warnings.simplefilter("ignore", FutureWarning)
+            compiled = re.compile(pattern)
     except (re.error, OverflowError) as error:
         raise ValueError(f"{error}") from None
     out, at, in_class = [], 0, False
