@@ -2,7 +2,8 @@
 
 Each text is the first layer of a worklist. A layer is scanned for secrets, then its
 encoded stretches are unwrapped: URL escapes, Unicode escapes, base64 and compressed
-data (gzip, zlib, bzip2, Zstandard) inside base64. Every unwrapped stretch is a new layer
+data (gzip, zlib, bzip2, Zstandard) inside base64. Escapes are decoded in place, so that
+plain and decoded text of their lines are scanned together. Every unwrapped stretch is a new layer
 with its own positions mapped back to the text, until no layer yields another. A layer whose content was
 seen before in the same document at the same place is not unwrapped again, so content that
 decodes to itself ends.
@@ -44,9 +45,9 @@ MIN_VALUE = 6
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-_WORD = re.compile(r"\S+")
 _URL = re.compile(r"%[0-9A-Fa-f]{2}")
 _URL_PART = re.compile(r"(?:%[0-9A-Fa-f]{2})+|[^%]+|%")
+_UNREADABLE = re.compile("[\udc80-\udcff]")
 _ESCAPE = re.compile(
     r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})"
     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
@@ -55,6 +56,8 @@ _BASE64 = re.compile(
     r"(?:[A-Za-z0-9+/_-]{40,}\r?\n)+[A-Za-z0-9+/_-]*={0,2}|[A-Za-z0-9+/_-]{16,}={0,2}"
 )
 _BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_WRAPPED_END = re.compile(r"[A-Za-z0-9+/_-]{40}\r?\Z")
+_WRAPPED_LINES = re.compile(r"(?:[A-Za-z0-9+/_-]{40,}\r?\n)*")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -70,19 +73,25 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return found
 
 
+def _readable(raw: bytes) -> tuple[str, list[int]]:
+    """Text of any bytes and the bytes of each character; an unreadable byte is one ``�``."""
+    text = raw.decode("utf-8", "surrogateescape")
+    widths = [1 if "\udc80" <= c <= "\udcff" else len(c.encode()) for c in text]
+    return _UNREADABLE.sub("�", text), widths
+
+
 def _url_layer(piece: str):
     """Decoded text and the (start, end) in ``piece`` of each of its characters."""
     out, places = [], []
     for m in _URL_PART.finditer(piece):
         part = m.group()
         if len(part) > 2 and part[0] == "%":
-            raw = bytes.fromhex(part.replace("%", ""))
+            text, widths = _readable(bytes.fromhex(part.replace("%", "")))
             at = m.start()
-            for char in raw.decode("utf-8", "replace"):
-                width = 3 * (len(char.encode()) if char != "�" else 1)
-                out.append(char)
-                places.append((at, min(at + width, m.end())))
-                at = min(at + width, m.end() - 3)
+            for width in widths:
+                places.append((at, at + 3 * width))
+                at += 3 * width
+            out.append(text)
         else:
             out.append(part)
             places += [(i, i + 1) for i in range(m.start(), m.end())]
@@ -172,6 +181,25 @@ def _base64_layer(piece: str):
     return text, places, path
 
 
+def _escaped_lines(text: str, mark: re.Pattern) -> tuple[int, int]:
+    """Place of the lines from the first escape to the last.
+
+    Neighbouring lines of a wrapped base64 block belong to it: the block may have escapes
+    in some of its lines only. No secret crosses a line end otherwise.
+    """
+    first = last = None
+    for last in mark.finditer(text):
+        first = first or last
+    if first is None:
+        return 0, 0
+    start = text.rfind("\n", 0, first.start()) + 1
+    while start and _WRAPPED_END.search(text, max(0, start - 42), start - 1):
+        start = text.rfind("\n", 0, start - 1) + 1
+    line = text.find("\n", last.end()) + 1 or len(text)
+    line = _WRAPPED_LINES.match(text, line).end()
+    return start, text.find("\n", line) + 1 or len(text)
+
+
 def _layers(text: str):
     """``(start, end, layer, places, name)`` of the encoded stretches of a text."""
     marks = []
@@ -180,10 +208,9 @@ def _layers(text: str):
     if "\\" in text or "&#" in text:
         marks.append((_ESCAPE, _escape_layer, "unicode"))
     for mark, unwrap, name in marks:
-        if mark.search(text):
-            for m in _WORD.finditer(text):
-                if mark.search(m.group()):
-                    yield m.start(), m.end(), *unwrap(m.group()), name
+        start, end = _escaped_lines(text, mark)
+        if start < end:
+            yield start, end, *unwrap(text[start:end]), name
     for m in _BASE64.finditer(text):
         found = list(_base64_at(m.start(), m.group()))
         if not found and "\n" in m.group():
@@ -213,11 +240,16 @@ def all_spans(text: str) -> tuple[list, list]:
     plain = set(base)
     deeper = set()
     seen = set()
-    work = deque([(text, None, "")])
+    # Layer, places in the text, way; for escapes also places in the layer around it and
+    # that layer's spans, which are not found again.
+    work = deque([(text, None, "", None, plain)])
     while work:
-        layer, places, way = work.popleft()
+        layer, places, way, around, known = work.popleft()
+        found = base if places is None else base_spans(layer)
         if places is not None:
-            for start, kind, end in base_spans(layer):
+            for start, kind, end in found:
+                if around and (around[start][0], kind, around[end - 1][1]) in known:
+                    continue
                 span = (places[start][0], kind, places[end - 1][1])
                 if span not in plain:
                     deeper.add((span[0], f"{kind}@{way}", span[2]))
@@ -235,11 +267,21 @@ def all_spans(text: str) -> tuple[list, list]:
             if mark in seen:
                 continue
             seen.add(mark)
+            own = [(start + a, start + b) for a, b in inner_places]
             if places is None:
-                mapped = [(start + a, start + b) for a, b in inner_places]
+                mapped = own
             else:
-                mapped = [(places[start + a][0], places[start + b - 1][1]) for a, b in inner_places]
-            work.append((inner, mapped, f"{way}+{name}" if way else name))
+                mapped = [(places[a][0], places[b - 1][1]) for a, b in own]
+            escapes = name in ("url", "unicode")
+            work.append(
+                (
+                    inner,
+                    mapped,
+                    f"{way}+{name}" if way else name,
+                    own if escapes else None,
+                    set(found) if escapes else None,
+                )
+            )
     return base, sorted(deeper)
 
 

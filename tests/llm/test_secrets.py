@@ -4,6 +4,7 @@ import hashlib
 import re
 import urllib.parse
 
+import pytest
 from helpers import edge_documents, empty_documents
 from hypothesis import given
 from hypothesis import strategies as st
@@ -69,6 +70,33 @@ def test_unicode_escapes_and_wrapped_base64():
     assert "assign@base64" in spans(f"x\n{raw}\ny")[1]
 
 
+@pytest.mark.parametrize(
+    "text,way",
+    [
+        (r"\u0070assword = hunter22", "unicode"),
+        ("password%3A hunter22", "url"),
+        (r"api_key = \x68\x75\x6e\x74\x65\x72\x32\x32", "unicode"),
+        (r"pass%77ord \u003d hunter22", "url+unicode"),
+        ("%E2%82%70assword = hunter22", "url"),
+    ],
+)
+def test_escapes_are_read_with_their_neighbours(text, way):
+    secret = text[text.index("%70") :] if "%70" in text else text
+    for before in ("", "é one\n\ntoken=abcdef "):
+        start = len(before) + len(text) - len(secret)
+        base, deeper = all_spans(f"{before}{text}, on\nlast")
+        assert deeper == [(start, f"assign@{way}", start + len(secret))]
+        assert len(base) == bool(before)
+    packed = base64.b64encode(f"see {text}, on".encode()).decode()
+    assert f"assign@base64+{way}" in spans(f"a {packed} b")[1]
+
+
+def test_escapes_in_some_lines_of_wrapped_base64():
+    raw = base64.encodebytes((" filler>" * 20 + SECRET + " tail" * 40).encode()).decode().splitlines()
+    raw[0] = "%" + f"{ord(raw[0][0]):02x}" + raw[0][1:]
+    assert "assign@url+base64" in spans("x\n" + "\n".join(raw) + "\ny")[1]
+
+
 def test_layers_end():
     text = SECRET
     for _ in range(6):
