@@ -3,26 +3,35 @@
 Each text is the first layer of a worklist. A layer is scanned for secrets, then its
 encoded stretches are unwrapped: URL escapes, Unicode escapes, base64 and compressed
 data (gzip, zlib, bzip2, Zstandard) inside base64. Escapes are decoded in place, so that
-plain and decoded text of their lines are scanned together. Every unwrapped stretch is a new layer
-with its own positions mapped back to the text, until no layer yields another. A layer whose content was
-seen before in the same document at the same place is not unwrapped again, so content that
-decodes to itself ends.
+plain and decoded text of their lines are scanned together. Every unwrapped stretch is a
+new layer with its own positions mapped back to the text, until no layer yields another.
+A layer whose content was seen before in the same document at the same place is not
+unwrapped again, so content that decodes to itself ends.
 
 A document is handled by itself, in Arrow batches, without any shuffle.
 
-Defined results: NULL text is the empty text and has no spans. Compressed data that
-grows beyond ``MAX_LAYER`` bytes is not unpacked; its place is reported as a span of kind ``oversized``,
-so that nothing is passed over in silence. Other columns stay; columns of the input with
-a name of a result column are replaced.
+Decoded bytes are scanned whatever they are: a byte that is not UTF-8 is one character
+that no pattern has, and runs of UTF-16 and UTF-32 are layers of their own. All members of
+compressed data are unpacked, and what a damaged or cut member yields before its error
+counts.
+
+Defined results: NULL text is the empty text and has no spans. Unpacked content is scanned
+in blocks of ``MAX_LAYER`` bytes, cut where neither a secret nor an encoded stretch can go
+on. Where no such place exists, blocks overlap, and a span of kind ``oversized`` says that
+an encoded stretch longer than a block was not unwrapped as one. Other columns stay;
+columns of the input with a name of a result column are replaced.
 """
 
 import base64
-import binascii
+import bisect
 import bz2
 import hashlib
 import re
 import zlib
+from array import array
 from collections import deque
+from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -30,7 +39,9 @@ from pyspark.sql import DataFrame
 
 from quizloom.llm.text import with_fields
 
-MAX_LAYER = 64 << 20
+# Bytes of unpacked content that are held and scanned at a time.
+MAX_LAYER = 8 << 20
+_CHUNK = 1 << 16
 
 # The kinds of secrets and the shortest match that counts.
 KINDS = ("assign", "access", "hex")
@@ -46,8 +57,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 _URL = re.compile(r"%[0-9A-Fa-f]{2}")
-_URL_PART = re.compile(r"(?:%[0-9A-Fa-f]{2})+|[^%]+|%")
-_UNREADABLE = re.compile("[\udc80-\udcff]")
+_URLS = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(
     r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})"
     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
@@ -56,6 +66,20 @@ _BASE64 = re.compile(
     r"(?:[A-Za-z0-9+/_-]{40,}\r?\n)+[A-Za-z0-9+/_-]*={0,2}|[A-Za-z0-9+/_-]{16,}={0,2}"
 )
 _BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# The first bytes of the formats.
+_PACKED = re.compile(
+    rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|\x28\xb5\x2f\xfd"
+    rb"|BZh[1-9](?:1AY&SY|\x17\x72\x45\x38\x50\x90)"
+)
+_SKIPPABLE = re.compile(rb"[\x50-\x5f]\x2a\x4d\x18")
+# Low byte first or high byte first, by what stands before; two or four bytes a character.
+_WIDE = {n: re.compile(rb"(?:[\t-\r\x20-\xff]\0{%d}){8,}[\t-\r\x20-\xff]?" % (n - 1)) for n in (2, 4)}
+# Ends of blocks: after a byte of no secret and no encoded stretch, or after a line
+# that no wrapped block goes on from.
+_CUTS = (
+    re.compile(rb"(?s).*[^A-Za-z0-9+/_.=:\"'\x20\r\n%\\&#;{}\0-]"),
+    re.compile(rb"(?s).*[^A-Za-z0-9+/_\r\0-][A-Za-z0-9+/_-]{0,39}\r?\n"),
+)
 _WRAPPED_END = re.compile(r"[A-Za-z0-9+/_-]{40}\r?\Z")
 _WRAPPED_LINES = re.compile(r"(?:[A-Za-z0-9+/_-]{40,}\r?\n)*")
 
@@ -74,111 +98,201 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 
 def _readable(raw: bytes) -> tuple[str, list[int]]:
-    """Text of any bytes and the bytes of each character; an unreadable byte is one ``�``."""
+    """Text of any bytes and the bytes of each character; an unreadable byte is a lone surrogate."""
     text = raw.decode("utf-8", "surrogateescape")
-    widths = [1 if "\udc80" <= c <= "\udcff" else len(c.encode()) for c in text]
-    return _UNREADABLE.sub("�", text), widths
+    return text, [
+        1 if c < "\x80" or "\udc80" <= c <= "\udcff"
+        else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
+        for c in text
+    ]
 
 
 def _url_layer(piece: str):
-    """Decoded text and the (start, end) in ``piece`` of each of its characters."""
-    out, places = [], []
-    for m in _URL_PART.finditer(piece):
-        part = m.group()
-        if len(part) > 2 and part[0] == "%":
-            text, widths = _readable(bytes.fromhex(part.replace("%", "")))
-            at = m.start()
-            for width in widths:
-                places.append((at, at + 3 * width))
-                at += 3 * width
-            out.append(text)
-        else:
-            out.append(part)
-            places += [(i, i + 1) for i in range(m.start(), m.end())]
+    """Decoded text and ``(place, start, end)`` of each decoded character in ``piece``."""
+    out, places, size, at = [], [], 0, 0
+    for m in _URLS.finditer(piece):
+        text, widths = _readable(bytes.fromhex(m.group().replace("%", "")))
+        out += [piece[at : m.start()], text]
+        size += m.start() - at
+        at = m.start()
+        for width in widths:
+            places.append((size, at, at + 3 * width))
+            size, at = size + 1, at + 3 * width
+    out.append(piece[at:])
     return "".join(out), places
 
 
 def _escape_layer(piece: str):
-    out, places, at = [], [], 0
+    out, places, size, at = [], [], 0, 0
     for m in _ESCAPE.finditer(piece):
         digits = m.group(1) or m.group(2) or m.group(3) or m.group(4)
         code = int(digits, 16) if digits else int(m.group(5))
-        out.append(piece[at : m.start()])
-        places += [(i, i + 1) for i in range(at, m.start())]
         if code > 0x10FFFF or 0xD800 <= code < 0xE000:
-            out.append(m.group())
-            places += [(i, i + 1) for i in range(m.start(), m.end())]
-        else:
-            out.append(chr(code))
-            places.append((m.start(), m.end()))
-        at = m.end()
+            continue
+        out += [piece[at : m.start()], chr(code)]
+        size += m.start() - at
+        places.append((size, *m.span()))
+        size, at = size + 1, m.end()
     out.append(piece[at:])
-    places += [(i, i + 1) for i in range(at, len(piece))]
     return "".join(out), places
 
 
-def _printable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
+class _Text:
+    """Places of the text itself."""
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        return start, end
+
+
+class _Fixed:
+    """Places of unpacked content: all of it stands for one stretch."""
+
+    def __init__(self, start: int, end: int):
+        self._place = start, end
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        return self._place
+
+
+class _Escapes:
+    """Places of a layer of escapes; characters between decoded ones follow each other."""
+
+    def __init__(self, around, start: int, places: list[tuple[int, int, int]]):
+        self._around, self._start = around, start
+        self._at = array("q", [p[0] for p in places])
+        self._starts = array("q", [start + p[1] for p in places])
+        self._ends = array("q", [start + p[2] for p in places])
+
+    def _char(self, i: int) -> tuple[int, int]:
+        k = bisect.bisect_right(self._at, i) - 1
+        if k < 0:
+            return self._start + i, self._start + i + 1
+        if self._at[k] == i:
+            return self._starts[k], self._ends[k]
+        place = self._ends[k] + i - self._at[k] - 1
+        return place, place + 1
+
+    def outside(self, start: int, end: int) -> tuple[int, int]:
+        """Place in the layer around this one."""
+        return self._char(start)[0], self._char(end - 1)[1]
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        places = self
+        while isinstance(places, _Escapes):
+            start, end = places.outside(start, end)
+            places = places._around
+        return places.span(start, end)
+
+
+class _Decoded:
+    """Places of a base64 layer: characters have the place of their groups of four.
+
+    ``bounds`` gives the first byte of each character and the end; both it and the
+    positions of wrapped groups are only worked out if something was found.
+    """
 
+    def __init__(self, around, start: int, piece: str, bounds):
+        self._around, self._start, self._piece, self._bounds = around, start, piece, bounds
+        self._kept = None
 
-class Oversized(Exception):
-    """Compressed data that unpacks to more than a layer may hold."""
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        if self._kept is None:
+            self._bounds = self._bounds()
+            piece = self._piece
+            if "\n" in piece:
+                self._kept = array("q", [i for i, c in enumerate(piece) if c not in "\r\n="])
+            else:
+                self._kept = range(len(piece.rstrip("=")))
+        first = self._bounds[start] * 4 // 3
+        last = min(-(-self._bounds[end] * 4 // 3), len(self._kept)) - 1
+        start, end = self._kept[first], self._kept[last] + 1
+        return self._around.span(self._start + start, self._start + end)
 
 
-def _unpacked(raw: bytes) -> bytes | None:
-    """Content of compressed data, NULL where it is none."""
-    # The first bytes of the formats.
-    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-        worker = zlib.decompressobj(47)
-    elif raw[:3] == b"BZh":
-        worker = bz2.BZ2Decompressor()
-    elif raw[:4] == b"\x28\xb5\x2f\xfd":
-        worker = zstandard.ZstdDecompressor().stream_reader(raw)
+def _texts(raw: bytes):
+    """``(text, bounds, name)`` of the readings of some bytes; see ``_Decoded``."""
+    if raw.isascii():
+        yield raw.decode("ascii"), lambda: range(len(raw) + 1), ""
     else:
-        return None
-    try:
-        if hasattr(worker, "read"):
-            content = worker.read(MAX_LAYER + 1)
+        text = raw.decode("utf-8", "surrogateescape")
+        yield text, lambda: array("q", accumulate(_readable(raw)[1], initial=0)), ""
+    for width, pattern in _WIDE.items():
+        text, bounds = [], array("q")
+        for m in pattern.finditer(raw) if b"\0" in raw else ():
+            start, end = m.span()
+            high_first = start >= width - 1 and not any(raw[start - width + 1 : start])
+            if not high_first:
+                end -= (end - start) % width
+            text += [raw[start:end:width].decode("latin-1"), "�"]
+            bounds.extend(range(start, end, width))
+            bounds.append(end)
+        if text:
+            bounds.append(len(raw))
+            yield "".join(text), lambda bounds=bounds: bounds, f"utf{width * 8}"
+
+
+def _members(raw: bytes, end: list[int]):
+    """Content of the compressed members that follow each other from ``end[0]`` on.
+
+    Moves ``end[0]`` behind each member that is whole. Ends at data that is no member.
+    """
+    while m := _PACKED.match(raw, end[0]):
+        at, step, limits = m.start(), _CHUNK, (_CHUNK,)
+        if raw.startswith(b"BZh", at):
+            worker = bz2.BZ2Decompressor()
+        elif raw.startswith(b"\x28\xb5", at):
+            # Its output cannot be limited; its input can.
+            worker, step, limits = zstandard.ZstdDecompressor().decompressobj(), 256, ()
         else:
-            content = worker.decompress(raw, MAX_LAYER + 1)
-    except (zlib.error, OSError, zstandard.ZstdError):
-        return None
-    if len(content) > MAX_LAYER:
-        raise Oversized
-    return content
-
-
-def _base64_layer(piece: str):
-    """Layer inside base64: characters keep the place of their groups of four."""
-    kept = [i for i, c in enumerate(piece) if c not in "\r\n="]
-    clean = "".join(piece[i] for i in kept).replace("-", "+").replace("_", "/")
+            worker = zlib.decompressobj(47)
+        try:
+            while not worker.eof and at < len(raw):
+                piece = raw[at : at + step]
+                at += len(piece)
+                while True:
+                    content = worker.decompress(piece, *limits)
+                    yield content
+                    piece = getattr(worker, "unconsumed_tail", b"")
+                    if worker.eof or not limits or not piece and len(content) < _CHUNK:
+                        break
+        except (zlib.error, OSError, zstandard.ZstdError):
+            return
+        if not worker.eof:
+            return
+        at -= len(worker.unused_data)
+        while skipped := _SKIPPABLE.match(raw, at):
+            at = skipped.end() + 4 + int.from_bytes(raw[skipped.end() : skipped.end() + 4], "little")
+        if raw.startswith(b"\0", at):
+            at = len(raw) - len(raw[at:].lstrip(b"\0"))
+        end[0] = at
+
+
+def _blocks(chunks):
+    """``(block, whole)`` of content; ``whole`` is false where something may be cut."""
+    held = bytearray()
+    for chunk in chunks:
+        held += chunk
+        while len(held) >= MAX_LAYER:
+            at = max((m.end() for cut in _CUTS if (m := cut.match(held))), default=0)
+            yield bytes(held[: at or len(held)]), at > 0
+            del held[: at or len(held) - MAX_LAYER // 8]
+    if held:
+        yield bytes(held), True
+
+
+def _unpacked(raw: bytes):
+    """Blocks of the compressed content in some bytes."""
+    end = [0]
+    if _PACKED.match(raw):
+        yield from _blocks(_members(raw, end))
+
+
+def _base64_bytes(piece: str) -> bytes:
+    clean = piece.replace("\r", "").replace("\n", "").rstrip("=")
+    clean = clean.replace("-", "+").replace("_", "/")
     if len(clean) % 4 == 1:
-        clean, kept = clean[:-1], kept[:-1]
-    try:
-        raw = base64.b64decode(clean + "=" * (-len(clean) % 4))
-    except binascii.Error:
-        return None
-    path, packed = "base64", False
-    content = _unpacked(raw)
-    while content is not None and content != raw:
-        raw, packed, path = content, True, path + "+packed"
-        content = _unpacked(raw)
-    text = _printable(raw)
-    if text is None:
-        return None
-    if packed:
-        return text, [(0, len(piece))] * len(text), path
-    places, byte = [], 0
-    for char in text:
-        end = byte + len(char.encode())
-        first, last = byte * 4 // 3, min(-(-end * 4 // 3), len(kept)) - 1
-        places.append((kept[first], kept[last] + 1))
-        byte = end
-    return text, places, path
+        clean = clean[:-1]
+    return base64.b64decode(clean + "=" * (-len(clean) % 4))
 
 
 def _escaped_lines(text: str, mark: re.Pattern) -> tuple[int, int]:
@@ -200,8 +314,8 @@ def _escaped_lines(text: str, mark: re.Pattern) -> tuple[int, int]:
     return start, text.find("\n", line) + 1 or len(text)
 
 
-def _layers(text: str):
-    """``(start, end, layer, places, name)`` of the encoded stretches of a text."""
+def _escapes(text: str):
+    """``(start, end, layer, places, name)`` of the escapes of a text."""
     marks = []
     if "%" in text:
         marks.append((_URL, _url_layer, "url"))
@@ -211,23 +325,126 @@ def _layers(text: str):
         start, end = _escaped_lines(text, mark)
         if start < end:
             yield start, end, *unwrap(text[start:end]), name
-    for m in _BASE64.finditer(text):
-        found = list(_base64_at(m.start(), m.group()))
-        if not found and "\n" in m.group():
-            # No wrapped block after all: its lines may be encoded one by one.
-            for line in _BASE64_LINE.finditer(m.group()):
-                found += _base64_at(m.start() + line.start(), line.group())
-        yield from found
 
 
-def _base64_at(start: int, piece: str):
-    try:
-        found = _base64_layer(piece)
-    except Oversized:
-        yield start, start + len(piece), None, None, "oversized"
-    else:
-        if found:
-            yield start, start + len(piece), *found
+def _base64_pieces(text: str):
+    """``(start, piece, is_line)``: base64 candidates, and the lines of wrapped ones.
+
+    No wrapped block may it be after all: its lines may be encoded one by one.
+    """
+    for m in _BASE64.finditer(text):
+        yield m.start(), m.group(), False
+        if "\n" in m.group():
+            for line in _BASE64_LINE.finditer(m.group()):
+                yield m.start() + line.start(), line.group(), True
+
+
+def _without_parts(spans: set, parts: set) -> list:
+    """Spans and those of ``parts`` that are no part of a span of the same kind and way."""
+    out = set(spans)
+    by_kind = {}
+    for start, kind, end in sorted(spans):
+        starts, ends = by_kind.setdefault(kind, ([], []))
+        starts.append(start)
+        ends.append(max(end, ends[-1]) if ends else end)
+    for start, kind, end in parts:
+        starts, ends = by_kind.get(kind, ([], []))
+        before = bisect.bisect_right(starts, start)
+        if not before or ends[before - 1] < end or "+packed" in kind:
+            out.add((start, kind, end))
+    return sorted(out)
+
+
+@dataclass
+class _Layer:
+    text: str
+    places: object
+    way: str = ""
+    # For escapes: the spans of the layer around it, which are not found again.
+    known: set | None = None
+    # Comes from a line of a wrapped block, which is read as a whole as well.
+    of_line: bool = False
+
+
+class _Scan:
+    """The worklist of a text. Unpacked blocks are made when their turn comes."""
+
+    def __init__(self, text: str):
+        self.base = base_spans(text)
+        self.plain = set(self.base)
+        self.deeper, self.parts = set(), set()
+        self.seen = set()
+        self.work = deque([_Layer(text, _Text())])
+
+    def run(self) -> list:
+        # A block and all it has inside are done before the next block is made.
+        stack = [self.work]
+        while stack:
+            self.work = stack[-1]
+            if not self.work:
+                stack.pop()
+                continue
+            item = self.work.popleft()
+            if isinstance(item, _Layer):
+                self._layer(item)
+                continue
+            block = next(item, None)
+            if block is not None:
+                self.work.appendleft(item)
+                self.work = deque()
+                stack.append(self.work)
+                self._bytes(*block)
+        return _without_parts(self.deeper, self.parts)
+
+    def _is_new(self, place: tuple[int, int], content: bytes) -> bool:
+        mark = (place, hashlib.sha256(content).digest())
+        new = mark not in self.seen
+        self.seen.add(mark)
+        return new
+
+    def _layer(self, layer: _Layer) -> None:
+        text, places, way = layer.text, layer.places, layer.way
+        found = base_spans(text) if way else self.base
+        if way:
+            spans = self.parts if layer.of_line else self.deeper
+            for start, kind, end in found:
+                if layer.known:
+                    first, last = places.outside(start, end)
+                    if (first, kind, last) in layer.known:
+                        continue
+                start, end = places.span(start, end)
+                if (start, kind, end) not in self.plain:
+                    spans.add((start, f"{kind}@{way}", end))
+        way = f"{way}+" if way else ""
+        for start, end, inner, inner_places, name in _escapes(text):
+            if inner and inner != text[start:end]:
+                if self._is_new(places.span(start, end), inner.encode("utf-8", "surrogatepass")):
+                    mapped = _Escapes(places, start, inner_places)
+                    self.work.append(
+                        _Layer(inner, mapped, way + name, set(found), layer.of_line)
+                    )
+        for start, piece, is_line in _base64_pieces(text):
+            raw = _base64_bytes(piece)
+            around = places, start, piece
+            place = places.span(start, start + len(piece))
+            self._bytes(raw, place, f"{way}base64", around, layer.of_line or is_line)
+
+    def _bytes(self, raw, place, way, around=None, of_line=False, whole=True) -> None:
+        """Layers of some bytes; ``around`` says where they are decoded from."""
+        if not whole:
+            self.deeper.add((place[0], "oversized", place[1]))
+        if not raw or not self._is_new(place, raw):
+            return
+        for text, bounds, name in _texts(raw):
+            mapped = _Decoded(*around, bounds) if around else _Fixed(*place)
+            self.work.append(
+                _Layer(text, mapped, f"{way}+{name}" if name else way, of_line=of_line)
+            )
+        if _PACKED.search(raw):
+            self.work.append(
+                (block, place, f"{way}+packed", None, of_line, whole)
+                for block, whole in _unpacked(raw)
+            )
 
 
 def all_spans(text: str) -> tuple[list, list]:
@@ -236,53 +453,8 @@ def all_spans(text: str) -> tuple[list, list]:
     The kind of a span from a layer is followed by ``@`` and the way to it, such as
     ``assign@url+base64``.
     """
-    base = base_spans(text)
-    plain = set(base)
-    deeper = set()
-    seen = set()
-    # Layer, places in the text, way; for escapes also places in the layer around it and
-    # that layer's spans, which are not found again.
-    work = deque([(text, None, "", None, plain)])
-    while work:
-        layer, places, way, around, known = work.popleft()
-        found = base if places is None else base_spans(layer)
-        if places is not None:
-            for start, kind, end in found:
-                if around and (around[start][0], kind, around[end - 1][1]) in known:
-                    continue
-                span = (places[start][0], kind, places[end - 1][1])
-                if span not in plain:
-                    deeper.add((span[0], f"{kind}@{way}", span[2]))
-        for start, end, inner, inner_places, name in _layers(layer):
-            if places is not None:
-                outer = (places[start][0], places[end - 1][1])
-            else:
-                outer = (start, end)
-            if inner is None:
-                deeper.add((outer[0], name, outer[1]))
-                continue
-            if inner == layer[start:end] or not inner:
-                continue
-            mark = (outer, hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest())
-            if mark in seen:
-                continue
-            seen.add(mark)
-            own = [(start + a, start + b) for a, b in inner_places]
-            if places is None:
-                mapped = own
-            else:
-                mapped = [(places[a][0], places[b - 1][1]) for a, b in own]
-            escapes = name in ("url", "unicode")
-            work.append(
-                (
-                    inner,
-                    mapped,
-                    f"{way}+{name}" if way else name,
-                    own if escapes else None,
-                    set(found) if escapes else None,
-                )
-            )
-    return base, sorted(deeper)
+    scan = _Scan(text)
+    return scan.base, scan.run()
 
 
 def _order(span) -> tuple:

@@ -1,14 +1,21 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import io
+import random
 import re
+import tarfile
 import urllib.parse
+import zlib
 
 import pytest
+import zstandard
 from helpers import edge_documents, empty_documents
 from hypothesis import given
 from hypothesis import strategies as st
 
+from quizloom.llm import secrets
 from quizloom.llm.secrets import all_spans, base_spans, joined, scan_secrets
 
 SECRET = "password=abcdef123456"
@@ -97,6 +104,74 @@ def test_escapes_in_some_lines_of_wrapped_base64():
     assert "assign@url+base64" in spans("x\n" + "\n".join(raw) + "\ny")[1]
 
 
+@pytest.mark.parametrize(
+    "raw,way",
+    [
+        (f"a\xa0{SECRET} tail".encode(), "base64"),
+        (f"\ufeffa\u3000\u200b{SECRET}\f\0\x1b".encode(), "base64"),
+        (f"été {SECRET} été".encode("latin-1"), "base64"),
+        (f"été {SECRET} \u0119".encode("utf-16"), "base64+utf16"),
+        (f"été {SECRET} \u0119".encode("utf-16-be"), "base64+utf16"),
+        (f"été {SECRET}".encode("utf-32-le"), "base64+utf32"),
+    ],
+)
+def test_any_bytes_are_read(raw, way):
+    start, end = spans(f"x {base64.b64encode(raw).decode()} y")[1][f"assign@{way}"]
+    width = len(raw.split(SECRET[0].encode(), 1)[0])
+    assert start == 2 + width * 4 // 3
+    assert end <= 2 + -(-len(raw) * 4 // 3)
+
+
+def packed_spans(raw):
+    return spans(base64.b64encode(raw).decode())[1]
+
+
+def test_tar_and_all_members():
+    tar = io.BytesIO()
+    with tarfile.open(fileobj=tar, mode="w:gz") as files:
+        info = tarfile.TarInfo("a")
+        info.size = len(SECRET)
+        files.addfile(info, io.BytesIO(SECRET.encode()))
+    assert "assign@base64+packed" in packed_spans(tar.getvalue())
+    for pack in (gzip.compress, zlib.compress, bz2.compress, zstandard.compress):
+        # The second member begins inside the secret.
+        both = pack(b"first passw") + pack(b"ord=abcdef123456")
+        assert "assign@base64+packed" in packed_spans(both)
+        many = b"".join(pack(bytes([c])) for c in SECRET.encode())
+        assert "assign@base64+packed" in packed_spans(many + b"rest")
+        nested = gzip.compress(pack(SECRET.encode()) + b"\0")
+        assert "assign@base64+packed+packed" in packed_spans(nested)
+    cut = gzip.compress(SECRET.encode() + b" " + random.Random(1).randbytes(9000))[:-2000]
+    assert "assign@base64+packed" in packed_spans(cut)
+    skippable = b"\x50\x2a\x4d\x18\x02\0\0\0ab"
+    assert "assign@base64+packed" in packed_spans(
+        zstandard.compress(b"x") + skippable + zstandard.compress(SECRET.encode())
+    )
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, zstandard.compress])
+def test_large_content_is_scanned_in_blocks(monkeypatch, pack):
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1 << 16)
+    inner = base64.encodebytes(b"filler " * 700 + SECRET.encode() + b" tail" * 700)
+    for at in range(60_000, 66_000, 700):
+        content = b"lorem, " * (at // 7) + SECRET.encode() + b", ipsum" * 30_000 + b" \n"
+        found = packed_spans(pack(content))
+        # Zstandard keeps rare text as it is.
+        assert "assign@base64+packed" in found and "oversized" not in found
+        wrapped = b"lorem, " * (at // 7) + b"\n" + inner + b" ipsum," * 9000
+        found = packed_spans(pack(wrapped))
+        assert "assign@base64+packed+base64" in found and "oversized" not in found
+    run = b"Z" * 300_000 + b" " + SECRET.encode()
+    assert set(packed_spans(pack(run))) >= {"assign@base64+packed", "oversized"}
+
+
+def test_many_nested_members_end():
+    raw = SECRET.encode()
+    for _ in range(600):
+        raw = gzip.compress(raw, 0)
+    assert "assign@base64" + "+packed" * 600 in packed_spans(raw)
+
+
 def test_layers_end():
     text = SECRET
     for _ in range(6):
