@@ -11,8 +11,9 @@ unwrapped again, so content that decodes to itself ends.
 A document is handled by itself, in Arrow batches, without any shuffle.
 
 Decoded bytes are scanned whatever they are: a byte that is not UTF-8 is one character
-that no pattern has, and runs of UTF-16 and UTF-32 are layers of their own. All members of
-compressed data are unpacked, and what a damaged or cut member yields before its error
+that no pattern has, and runs of UTF-16 and UTF-32 are layers of their own. A stretch of
+base64 characters is decoded from each of its first four, as it may begin with other text.
+All members of compressed data that begin anywhere are unpacked, and what a damaged or cut member yields before its error
 counts.
 
 Defined results: NULL text is the empty text and has no spans. Unpacked content is scanned
@@ -191,8 +192,9 @@ class _Decoded:
     positions of wrapped groups are only worked out if something was found.
     """
 
-    def __init__(self, around, start: int, piece: str, bounds):
+    def __init__(self, around, start: int, piece: str, shift: int, bounds):
         self._around, self._start, self._piece, self._bounds = around, start, piece, bounds
+        self._shift = shift
         self._kept = None
 
     def span(self, start: int, end: int) -> tuple[int, int]:
@@ -203,8 +205,8 @@ class _Decoded:
                 self._kept = array("q", [i for i, c in enumerate(piece) if c not in "\r\n="])
             else:
                 self._kept = range(len(piece.rstrip("=")))
-        first = self._bounds[start] * 4 // 3
-        last = min(-(-self._bounds[end] * 4 // 3), len(self._kept)) - 1
+        first = self._shift + self._bounds[start] * 4 // 3
+        last = min(self._shift - (-self._bounds[end] * 4 // 3), len(self._kept)) - 1
         start, end = self._kept[first], self._kept[last] + 1
         return self._around.span(self._start + start, self._start + end)
 
@@ -281,18 +283,33 @@ def _blocks(chunks):
 
 
 def _unpacked(raw: bytes):
-    """Blocks of the compressed content in some bytes."""
+    """Blocks of the compressed content that begins anywhere in some bytes."""
     end = [0]
-    if _PACKED.match(raw):
+    while m := _PACKED.search(raw, end[0]):
+        end[0] = m.start()
         yield from _blocks(_members(raw, end))
+        end[0] = max(end[0], m.start() + 1)
 
 
-def _base64_bytes(piece: str) -> bytes:
+def _base64_bytes(piece: str):
+    """Bytes of a piece from each of its first four characters on.
+
+    What is encoded may begin anywhere in the piece, after other text of the same
+    characters, and may end before it; one of the four then has all of it.
+    """
     clean = piece.replace("\r", "").replace("\n", "").rstrip("=")
     clean = clean.replace("-", "+").replace("_", "/")
-    if len(clean) % 4 == 1:
-        clean = clean[:-1]
-    return base64.b64decode(clean + "=" * (-len(clean) % 4))
+    for shift in range(4):
+        rest = clean[shift:]
+        if len(rest) % 4 == 1:
+            rest = rest[:-1]
+        yield shift, base64.b64decode(rest + "=" * (-len(rest) % 4))
+
+
+def _may_have(text: str) -> bool:
+    return bool(
+        base_spans(text) or _URL.search(text) or _ESCAPE.search(text) or _BASE64_LINE.search(text)
+    )
 
 
 def _escaped_lines(text: str, mark: re.Pattern) -> tuple[int, int]:
@@ -424,23 +441,25 @@ class _Scan:
                         _Layer(inner, mapped, way + name, set(found), layer.of_line)
                     )
         for start, piece, is_line in _base64_pieces(text):
-            raw = _base64_bytes(piece)
-            around = places, start, piece
             place = places.span(start, start + len(piece))
-            self._bytes(raw, place, f"{way}base64", around, layer.of_line or is_line)
+            for shift, raw in _base64_bytes(piece):
+                around = places, start, piece, shift
+                self._bytes(raw, place, f"{way}base64", around, layer.of_line or is_line)
 
     def _bytes(self, raw, place, way, around=None, of_line=False, whole=True) -> None:
         """Layers of some bytes; ``around`` says where they are decoded from."""
         if not whole:
             self.deeper.add((place[0], "oversized", place[1]))
-        if not raw or not self._is_new(place, raw):
+        texts = [found for found in _texts(raw) if _may_have(found[0])]
+        packed = _PACKED.search(raw)
+        if not (texts or packed) or not self._is_new(place, raw):
             return
-        for text, bounds, name in _texts(raw):
+        for text, bounds, name in texts:
             mapped = _Decoded(*around, bounds) if around else _Fixed(*place)
             self.work.append(
                 _Layer(text, mapped, f"{way}+{name}" if name else way, of_line=of_line)
             )
-        if _PACKED.search(raw):
+        if packed:
             self.work.append(
                 (block, place, f"{way}+packed", None, of_line, whole)
                 for block, whole in _unpacked(raw)

@@ -172,6 +172,37 @@ def test_many_nested_members_end():
     assert "assign@base64" + "+packed" * 600 in packed_spans(raw)
 
 
+@pytest.mark.parametrize("before", ["example.com/path/", "session-", "blob_", "a/b-c_d", "xy", "Q"])
+def test_base64_after_other_text(before):
+    for raw, way in (
+        (f"{SECRET} tail".encode(), ""),
+        (gzip.compress(f"{SECRET} tail".encode()), "+packed"),
+        (zlib.compress(f"{SECRET} tail".encode()), "+packed"),
+        (base64.b64encode(f"{SECRET} tail".encode()), "+base64"),
+    ):
+        text = f"é {before}{base64.b64encode(raw).decode().rstrip('=')}/more"
+        start, end = spans(text)[1][f"assign@base64{way}"]
+        if not way:
+            assert text[:start] == f"é {before}" and end == start + -(-len(SECRET) * 4 // 3)
+
+
+@pytest.mark.parametrize("after", ["word and", "-----END", "\nword"])
+def test_wrapped_base64_with_a_full_last_line(after):
+    for raw in (b" filler" * 6 + SECRET.encode() + b" tail tail" * 5, gzip.compress(SECRET.encode() * 9 + random.Random(1).randbytes(60))):
+        raw += b" " * (-len(raw) % 57)
+        block = base64.encodebytes(raw).decode()
+        label = "assign@base64+packed" if raw[:1] == b"\x1f" else "assign@base64"
+        assert label in spans(f"x\n{block}{after}")[1]
+    lines = "\n".join(base64.b64encode((c * 31 + SECRET).encode()).decode().rstrip("=") for c in "ab,") + "\n"
+    found = [text for text in all_spans(lines)[1] if text[1] == "assign@base64"]
+    assert len({lines[:start].count("\n") for start, _, _ in found}) == 3
+
+
+def test_parts_of_a_span_are_not_listed():
+    raw = b" filler" * 6 + SECRET.encode() + b" tail tail" * 5
+    assert len(all_spans(base64.encodebytes(raw).decode())[1]) == 1
+
+
 def test_layers_end():
     text = SECRET
     for _ in range(6):
