@@ -6,9 +6,11 @@ become other valid dates, octets stay octets. The map is one to one, and depends
 value and the key alone, so a value that occurs in several documents, also with other
 separators, gets the same pseudonym everywhere. Whoever has the key can undo it.
 
-Kinds: ``email`` (the part before the @), ``ip`` (IPv4), ``date`` (year-month-day,
-day.month.year, month/day/year or, where that is no date, day/month/year), ``ssn``,
-``phone`` (ten digits), ``card`` (13 to 19 digits with a right check digit).
+Kinds: ``email`` (the part before the @), ``ip`` (IPv4), ``date`` (year-month-day, also
+with slashes or dots, day.month.year, month/day/year or, where that is no date,
+day/month/year), ``ssn``, ``phone`` (ten digits, also after a 1, or + with a country code
+and 8 to 15 digits in any groups; the code stays), ``card`` (13 to 19 digits with a right
+check digit).
 What looks like one of them but is not valid stays as it is.
 
 All of it is column expressions; no row depends on another and nothing is shuffled.
@@ -32,14 +34,22 @@ _DATE = (
     r"(?<![0-9.-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?!-?[0-9])"
     r"|(?<![0-9.])[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}(?!\.?[0-9])"
     r"|(?<![0-9/])[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(?!/?[0-9])"
+    r"|(?<![0-9/])[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}(?!/?[0-9])"
+    r"|(?<![0-9.])[0-9]{4}\.[0-9]{1,2}\.[0-9]{1,2}(?!\.?[0-9])"
 )
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])"
+_GROUPED_CARD = r"[0-9]{4}(?:[\x20-][0-9]{4}){3}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}"
+# After a + a country code and groups of any size; ten digits after the code 1.
 _PHONE = (
-    r"\([0-9]{3}\)\x20?[0-9]{3}[-.\x20][0-9]{4}(?![0-9])"
-    r"|(?<![0-9-])[0-9]{3}[-.\x20][0-9]{3}[-.\x20][0-9]{4}(?![0-9])"
+    rf"(?<![0-9+])\+(?!(?:{_IP}|{_DATE}|{_GROUPED_CARD})(?![0-9]))"
+    r"(?:1(?:[-./()\x20\xA0]{0,3}[0-9]){10}|[2-9](?:[-./()\x20\xA0]{0,3}[0-9]){7,14})(?![0-9])"
+    r"|\([0-9]{3}\)\x20?[0-9]{3}[-.\x20][0-9]{4}(?![0-9])"
+    r"|(?<![0-9-])(?:1[-./\x20])?[0-9]{3}[-.\x20][0-9]{3}[-.\x20][0-9]{4}(?![0-9])"
 )
+# Country codes of two digits; 1 and 7 have one, all others three.
+_TWO_DIGIT_CODES = "^(?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 _CARD = (
-    r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9])"
+    rf"(?<![0-9])(?:[0-9]{{13,19}}|{_GROUPED_CARD})(?![0-9])"
 )
 PATTERN = "|".join((_EMAIL, _IP, _DATE, _SSN, _PHONE, _CARD))
 
@@ -151,12 +161,14 @@ def _card(key: str, value: Column) -> Column:
 
 
 def _phone(key: str, value: Column) -> Column:
-    """Area codes and exchanges that begin with 2 to 9, as they should, still do so after.
+    """National digits permuted; a country code, its trunk zero or a leading 1 stay.
 
-    Numbers that begin otherwise are permuted among themselves.
+    Of ten digits, area codes and exchanges that begin with 2 to 9, as they should, still do
+    so after; numbers that begin otherwise are permuted among themselves. So are numbers of
+    another length that begin with a zero.
     """
 
-    def permute(digits):
+    def of_ten(digits):
         area = _number(F.substr(digits, F.lit(1), F.lit(3)))
         rest = _number(F.substr(digits, F.lit(4), F.lit(7)))
         area_low, areas = [F.when(area < 200, a).otherwise(b) for a, b in ((0, 200), (200, 800))]
@@ -165,13 +177,42 @@ def _phone(key: str, value: Column) -> Column:
             for a, b in ((0, 2_000_000), (2_000_000, 8_000_000))
         ]
         pair = feistel(key, "phone", area - area_low, rest - rest_low, areas, rests)
-        new = _let(
+        return _let(
             pair,
             lambda p: F.concat(
                 _padded(p["l"] + area_low, F.lit(3)), _padded(p["r"] + rest_low, F.lit(7))
             ),
         )
-        return _let(new, lambda n: _refill(value, n))
+
+    def of_any(digits):
+        half = F.floor(F.length(digits) / 2).cast("int")
+        others = F.length(digits) - half
+        left = _number(F.substr(digits, F.lit(1), half))
+        right = F.substr(digits, half + 1, others)
+        least = F.pow(F.lit(10.0), half - 1).cast("bigint")
+        low = F.when(left < least, 0).otherwise(least)
+        lefts = F.when(left < least, least).otherwise(least * 9)
+        rights = F.pow(F.lit(10.0), others).cast("bigint")
+        pair = feistel(key, "phone", left - low, right, lefts, rights)
+        return _let(
+            pair, lambda p: F.concat(_padded(p["l"] + low, half), _padded(p["r"], others))
+        )
+
+    def permute(digits):
+        code = (
+            F.when(digits.rlike("^[17]"), 1).when(digits.rlike(_TWO_DIGIT_CODES), 2).otherwise(3)
+        )
+        trunk = value.rlike(r"^\+[0-9]{1,3}[-./\x20\xA0]?\(0\)").cast("int")
+        kept = F.when(value.startswith("+"), code + trunk).otherwise(F.length(digits) - 10)
+
+        def build(n):
+            national = F.substr(digits, n + 1, F.length(digits))
+            new = _let(
+                national, lambda d: F.when(F.length(d) == 10, of_ten(d)).otherwise(of_any(d))
+            )
+            return F.concat(F.substr(digits, F.lit(1), n), new)
+
+        return _let(_let(kept, build), lambda n: _refill(value, n))
 
     return _let(_digits(value), permute)
 
@@ -256,6 +297,8 @@ def _date(key: str, value: Column) -> Column:
 
     return (
         F.when(value.contains("-"), as_form("yyyy-MM-dd", "yyyy-M-d"))
+        .when(value.rlike(r"^[0-9]{4}/"), as_form("yyyy/MM/dd", "yyyy/M/d"))
+        .when(value.rlike(r"^[0-9]{4}\."), as_form("yyyy.MM.dd", "yyyy.M.d"))
         .when(value.contains("."), as_form("dd.MM.yyyy", "d.M.yyyy"))
         .otherwise(F.coalesce(as_form("MM/dd/yyyy", "M/d/yyyy"), as_form("dd/MM/yyyy", "d/M/yyyy")))
     )

@@ -131,6 +131,47 @@ def test_equal_values_stay_linked(spark):
     assert len(digits) == 1 and luhn(digits.pop())
 
 
+def pseudonyms(spark, values):
+    rows = [(i, f"a {v}, b") for i, v in enumerate(values)]
+    found = pseudonymise(spark.createDataFrame(rows, "doc_id INT, text STRING"), KEY)
+    return {values[r.doc_id]: (r.text[2:-3], {k for k in KINDS if r[f"n_{k}"]}) for r in found.collect()}
+
+
+def test_phones_with_country_codes(spark):
+    plain = "555-123-4567"
+    same = ["+1-555-123-4567", "1-555-123-4567", "1 555 123 4567", "+15551234567", "+1 (555) 123-4567",
+            "+1 55 51 23 45 67", "1.555.123.4567"]
+    foreign = [["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946-0958"], ["+33 1 42 68 53 00", "+33142685300"],
+               ["+4722123456", "+47 22 12 34 56"], ["+358 9 1234567", "+35891234567"], ["+8613812345678"]]
+    others = ["+4111 1111 1111 1111", "+2024-01-02", "+70.123.182.155", "1-800-555-1234"]
+    found = pseudonyms(spark, [plain, *same, *sum(foreign, []), *others])
+    national = re.sub("[^0-9]", "", brute(plain))
+    for value in same:
+        assert found[value] == (refill(value, "1" + national), {"phone"})
+    for group, code in zip(foreign, ("44", "33", "47", "358", "86")):
+        new = set()
+        for value in group:
+            text, kinds = found[value]
+            assert kinds == {"phone"} and text != value
+            assert re.sub("[0-9]", "0", text) == re.sub("[0-9]", "0", value)
+            assert text.startswith(f"+{code}") and ("(0)" in text) == ("(0)" in value)
+            new.add(re.sub("[^0-9]", "", text.replace("(0)", "")))
+        assert len(new) == 1
+    assert [found[v][1] for v in others] == [{"card"}, {"date"}, {"ip"}, {"phone"}]
+
+
+def test_dates_with_the_year_first(spark):
+    found = pseudonyms(spark, ["2020-03-04", "2020/03/04", "2020.03.04", "2020/3/4", "2020/13/40", "2020.3.4.5"])
+    new = brute("2020-03-04")
+    day = datetime.date.fromisoformat(new)
+    assert found["2020-03-04"] == (new, {"date"})
+    assert found["2020/03/04"] == (new.replace("-", "/"), {"date"})
+    assert found["2020.03.04"] == (new.replace("-", "."), {"date"})
+    assert found["2020/3/4"] == (f"{day.year}/{day.month}/{day.day}", {"date"})
+    assert found["2020/13/40"] == ("2020/13/40", set())
+    assert found["2020.3.4.5"] == ("2020.3.4.5", set())
+
+
 @pytest.mark.parametrize("lefts,rights", [(7, 11), (1, 5), (16, 16)])
 def test_permutation(spark, lefts, rights):
     pairs = spark.range(lefts * rights).select(
