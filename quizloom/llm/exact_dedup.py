@@ -5,7 +5,8 @@ smallest doc_id that holds it and the number of rows that do. Records live in bu
 named by the leading bits of their hash. A directory of 2^depth slots points to the
 buckets; it doubles, splitting overfull buckets by one more bit, until every bucket
 holds at most ``capacity`` records. Bucket files are written in key ranges, so that a
-task owns whole ranges of hashes and chains the records that share one.
+task owns whole ranges of hashes. The directory orders the stored records and no more:
+owners and counts come from the grouping that precedes it.
 
 Everything is DataFrame code. Copies are collapsed by the map side of the grouping, so
 a text that a third of all rows hold costs each task one record. Texts are compared
