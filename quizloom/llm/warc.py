@@ -36,8 +36,9 @@ MIN_DEDUP_BYTES = 0
 # Payload bytes in one archive, held in memory until its dictionary is built.
 ARCHIVE_BYTES = 32 << 20
 DICTIONARY_BYTES = 64 << 10
-# Of an archive, evenly chosen records of at most this many bytes train the dictionary.
+# Of an archive, evenly spaced slices of at most this many bytes train the dictionary.
 TRAINING_BYTES = 4 << 20
+SLICE_BYTES = 16 << 10
 LEVEL = 3
 _LAST = (1 << 63) - 1
 _READ_BYTES = 256 << 10
@@ -120,18 +121,36 @@ def page_record(page_id, url, payload: bytes, first_id, is_first: bool, date: st
     return _record("response" if is_first else "revisit", fields, block)
 
 
-def build_dictionary(records: list[bytes]):
-    """Dictionary of evenly chosen records, None where there are too few to learn from."""
+def _training_slices(records: list[bytes]) -> list[bytes]:
+    """Evenly spaced slices of all records, ``TRAINING_BYTES`` at most."""
     total = sum(map(len, records))
-    step = max(1, -(-total // TRAINING_BYTES))
-    sample = records[::step]
-    size = min(DICTIONARY_BYTES, total // 8)
-    if len(sample) < 8 or size < 1024:
+    size = max(64, min(SLICE_BYTES, total // 16))
+    slices = [r[at : at + size] for r in records for at in range(0, len(r), size)]
+    limit, sample, past, taken = min(total, TRAINING_BYTES), [], 0, 0
+    for piece in slices:
+        # Taken as soon as the sample has no more than its share of the bytes passed.
+        past += len(piece)
+        if taken + len(piece) <= past * limit // total:
+            sample.append(piece)
+            taken += len(piece)
+    return sample
+
+
+def build_dictionary(records: list[bytes]):
+    """Dictionary of evenly spaced slices; their plain bytes where training finds nothing.
+
+    None only for records of fewer than 64 bytes in all.
+    """
+    size = min(DICTIONARY_BYTES, sum(map(len, records)) // 8)
+    if size < 8:
         return None
+    sample = _training_slices(records)
     try:
         return zstandard.train_dictionary(size, sample, k=256, d=8)
     except zstandard.ZstdError:
-        return None
+        return zstandard.ZstdCompressionDict(
+            b"".join(sample)[:size], dict_type=zstandard.DICT_TYPE_RAWCONTENT
+        )
 
 
 def archive_bytes(records: list[bytes]) -> bytes:

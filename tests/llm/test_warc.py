@@ -1,9 +1,11 @@
 import hashlib
+import random
 import struct
 
 import pytest
 import zstandard
 
+from quizloom.llm import warc
 from quizloom.llm.warc import (
     DICTIONARY_MAGIC,
     archive_bytes,
@@ -73,3 +75,27 @@ def test_empty_and_damaged(spark):
         f.write(data[:-3])
     with pytest.raises(Exception, match="archive ends inside a record"):
         read_archives(spark, archives).collect()
+
+
+@pytest.mark.parametrize(
+    "pages",
+    [
+        [b"<p>short</p>"],
+        [random.Random(i).randbytes(3000).hex().encode() for i in range(3)],
+        [random.Random(i).randbytes(600_000).hex().encode() for i in range(8)],
+        [b"a" * 40_000] * 20,
+    ],
+)
+def test_few_or_large_records_have_a_dictionary(pages):
+    records = [warc.page_record(i, None, p, i, True, "2024-01-01T00:00:00Z") for i, p in enumerate(pages)]
+    assert sum(map(len, warc._training_slices(records))) <= warc.TRAINING_BYTES
+    data = warc.archive_bytes(records)
+    magic, size = struct.unpack("<II", data[:8])
+    assert magic == warc.DICTIONARY_MAGIC and 8 <= size <= warc.DICTIONARY_BYTES
+    worker = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data[8 : 8 + size]))
+    at = 8 + size
+    for record in records:
+        frame = worker.decompressobj()
+        assert frame.decompress(data[at:]) == record
+        at = len(data) - len(frame.unused_data)
+    assert at == len(data)
