@@ -1,16 +1,20 @@
 """One query per operator, over whole tables, and its DuckDB equivalent where SQL has one."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quizloom.llm import (
     exact_dedup,
+    fim,
     line_dedup,
     mixing,
     ngram_join,
     packing,
     pii,
     quality,
+    resample,
     secrets,
+    spotsigs,
     toxicity,
     warc,
 )
@@ -88,6 +92,33 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = _table(spark, sf_dir, "benchmark").select("text")
+    return resample.resample(documents, target).select(
+        "doc_id", "n_features", "weight", "score", "rank"
+    )
+
+
+def op12_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spotsigs.compare_neighbours(documents)
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    output, form = F.col("output"), F.col("form")
+    return fim.fill_in_middle(documents).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(fim.restored(output, form), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii": op2_pii,
@@ -99,8 +130,12 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
     "op10_ngram_join": op10_ngram_join,
+    "op11_resample": op11_resample,
+    "op12_spotsigs": op12_spotsigs,
+    "op13_fim": op13_fim,
 }
 
+
 def _sql_weights(level: str) -> str:
     cases = "".join(f" WHEN {level} = '{k}' THEN {w}" for k, w in mixing.WEIGHTS[level].items())
     return f"CASE{cases} ELSE {mixing.OTHER} END" if cases else str(mixing.OTHER)
@@ -229,4 +264,92 @@ ORACLE = {
                    (whole + CASE WHEN part > 0 AND upto <= part THEN 1 ELSE 0 END)::BIGINT
                )) AS epoch
         FROM reading""",
+    "op11_resample": rf"""
+        WITH crc_table AS (
+            SELECT list(crc ORDER BY i) AS entries FROM (
+                SELECT i, list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+                       ) AS crc
+                FROM range(256) t(i)
+            )
+        ), texts AS (
+            SELECT true AS own, doc_id, text, coalesce(doc_id::VARCHAR, '') AS id,
+                   row_number() OVER () AS row
+            FROM documents
+            UNION ALL SELECT false, NULL, text, '', 0 FROM benchmark
+        ), words AS (
+            SELECT own, row, unnest(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '{resample.WORD_PATTERN}')) AS word
+            FROM texts
+        ), bytes AS (
+            SELECT word, hex(encode(word)) AS digits FROM (SELECT DISTINCT word FROM words)
+        ), coded AS (
+            SELECT word, xor(list_reduce(
+                       [4294967295::UBIGINT] || [('0x' || substr(digits, 2 * i + 1, 2))::UBIGINT
+                                                 FOR i IN range(length(digits) // 2)],
+                       lambda c, b: xor(entries[(xor(c, b) & 255)::BIGINT + 1], c >> 8)
+                   ), 4294967295) % {resample.BUCKETS} AS bucket
+            FROM bytes, crc_table
+        ), used AS (SELECT own, row, bucket FROM words JOIN coded USING (word)),
+        sums AS (
+            SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t
+            FROM used GROUP BY bucket
+        ), totals AS (SELECT sum(s)::DOUBLE AS all_s, sum(t)::DOUBLE AS all_t FROM sums),
+        gains AS (
+            SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + {resample.BUCKETS}))
+                       / ((s + 1)::DOUBLE * (all_t + {resample.BUCKETS}))))::BIGINT AS gain
+            FROM sums, totals
+        ), weights AS (
+            SELECT row, count(*) AS n_features, sum(gain)::BIGINT AS weight
+            FROM used JOIN gains USING (bucket) WHERE own GROUP BY row
+        ), scored AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                       (('0x' || substr(sha256('{resample.SEED}:' || id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                       / 4294967296)))::BIGINT AS score
+            FROM texts LEFT JOIN weights USING (row) WHERE own
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= {resample.MIN_WORDS}
+                                         ORDER BY score DESC, doc_id) AS place,
+                   count(*) OVER (PARTITION BY n_features >= {resample.MIN_WORDS})
+                       * {resample.PERCENT} // 100 AS draws
+            FROM scored
+        )
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN n_features >= {resample.MIN_WORDS} AND place <= draws THEN place END AS rank
+        FROM ranked""",
+    "op13_fim": rf"""
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''),
+                       '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens,
+                   sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS digits
+            FROM documents
+        ), hashed AS (
+            SELECT *, len(tokens) AS n, ('0x' || substr(digits, 1, 8))::BIGINT AS h1,
+                   ('0x' || substr(digits, 9, 8))::BIGINT AS h2,
+                   ('0x' || substr(digits, 17, 8))::BIGINT AS h3,
+                   ('0x' || substr(digits, 25, 8))::BIGINT AS h4
+            FROM cut
+        ), formed AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                             OR h3 % 100 >= {fim.FIM_PERCENT} THEN 'plain'
+                        WHEN h4 % 100 < {fim.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+            FROM hashed
+        ), parts AS (
+            SELECT *, array_to_string(tokens[:low], '') AS prefix,
+                   array_to_string(tokens[low + 1:high], '') AS middle,
+                   array_to_string(tokens[high + 1:], '') AS suffix
+            FROM formed
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t
+                          WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                          ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM parts""",
 }

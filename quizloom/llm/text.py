@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -33,3 +33,22 @@ def with_fields(schema: StructType, fields: dict[str, str]) -> StructType:
     for name, kind in fields.items():
         longer.add(name, kind)
     return longer
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def others(df: DataFrame, *replaced: str) -> list[Column]:
+    """All columns of ``df`` but those named like a result column."""
+    out = {name.lower() for name in replaced}
+    return [F.col(quoted(c)) for c in df.columns if c.lower() not in out]
