@@ -34,7 +34,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents' index, stored as in real use."""
     path = new_folder(spark, "index")
-    write_index(embed_corpus(corpus(spark, sf_dir), embed), path)
+    write_index(embed_corpus(corpus(spark, sf_dir), embed), path, in_order=True)
     return read_index(spark, path)
 
 

@@ -11,3 +11,11 @@ def with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
     regex over a whole text would run for each of them. A one-row generator is not.
     """
     return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, made longer until it is none of the ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

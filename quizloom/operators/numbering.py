@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quizloom.operators.ranges import cut_ranges
 from quizloom.operators.storage import materialise
 
 BUCKET_WIDTH = 1 << 8
@@ -74,6 +75,7 @@ def dense_ids(
 
 # Bytes of a table with one row per scan split that may be broadcast.
 SPLIT_TABLE_BYTES = 128 << 20
+SPLITS_PER_RANGE = 1 << 12
 
 
 def row_positions(df: DataFrame, out: str) -> DataFrame:
@@ -83,7 +85,8 @@ def row_positions(df: DataFrame, out: str) -> DataFrame:
     running number in its task is taken relative to the first of its split, and splits
     are ordered by path and offset. The input is scanned twice, the first time without
     its columns. Rows are not shuffled as long as the table of splits, a path and three
-    numbers each, is small enough to be broadcast; its size is checked.
+    numbers each, is small enough to be broadcast; its size is checked. Should the second
+    scan cut the files otherwise than the first, it fails.
     """
     split = [
         F.col("_metadata.file_path").alias("_path"),
@@ -93,18 +96,26 @@ def row_positions(df: DataFrame, out: str) -> DataFrame:
     splits = numbered.groupBy("_path", "_block").agg(
         F.count("*").alias("_rows"), F.min("_running").alias("_first")
     )
-    before = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = materialise(
-        splits.select(
-            "_path", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-        )
+    splits = materialise(splits)
+    # A window over each range of splits, on top of the rows in all lower ranges.
+    ranges = cut_ranges(splits, ["_path", "_block"], SPLITS_PER_RANGE, F.col("_rows"))
+    ranged = splits.withColumn("_range", ranges.number())
+    before = Window.partitionBy("_range").orderBy("_path", "_block")
+    lower = F.sum("_rows").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    starts = ranged.select(
+        "_path",
+        "_block",
+        "_first",
+        (ranges.start(F.col("_range")) + F.coalesce(lower, F.lit(0))).alias("_start"),
     )
-    size = starts.agg(F.sum(F.octet_length("_path") + 24)).first()[0] or 0
+    size = splits.agg(F.sum(F.octet_length("_path") + 24)).first()[0] or 0
     if size <= SPLIT_TABLE_BYTES:
         starts = F.broadcast(starts)
+    changed = F.raise_error(F.concat(F.lit("other splits than before of "), F.col("_path")))
+    start = F.coalesce("_start", changed.cast("bigint"))
     return (
-        numbered.join(starts, ["_path", "_block"])
-        .withColumn(out, F.col("_start") + F.col("_running") - F.col("_first"))
+        numbered.join(starts, ["_path", "_block"], "left")
+        .withColumn(out, start + F.col("_running") - F.col("_first"))
         .drop("_path", "_block", "_running", "_first", "_start")
     )
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.functions.text import has_min_words
-from quizloom.operators.numbering import dense_ids
+from quizloom.operators.ranges import KeyRanges, cut_ranges, place_in_partition
 from quizloom.operators.storage import is_complete, materialise
-from quizloom.sources.corpus import read_index, write_index
+from quizloom.sources.corpus import ROWS_PER_FILE, read_index, write_index
 
 MIN_WORDS = 20
 
@@ -18,27 +18,51 @@ def usable_documents(corpus: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     return corpus.filter(has_min_words(F.col("text"), min_words))
 
 
-def chunk_corpus(corpus: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``chunk_id, doc_id, text`` of the usable documents, ids dense in doc order."""
-    numbers = chunk_ids(corpus, min_words)
-    return corpus.select("doc_id", "text").join(numbers, "doc_id").select(
-        "chunk_id", "doc_id", "text"
-    )
-
-
 def chunk_ids(corpus: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, chunk_id`` of the usable documents.
+    """``doc_id, chunk_id`` of the usable documents, ids dense in the order of doc_id.
 
     One scan reads the texts and stores the ids of those with enough words; everything
     after that works on ids.
     """
-    kept = materialise(usable_documents(corpus.select("doc_id", "text"), min_words).select("doc_id"))
-    return dense_ids(kept, "doc_id", "chunk_id").select("doc_id", "chunk_id")
+    ids = _usable_ids(corpus, min_words)
+    return _numbered(ids, cut_ranges(ids, ["doc_id"], ROWS_PER_FILE)).select("doc_id", "chunk_id")
+
+
+def _usable_ids(corpus: DataFrame, min_words: int) -> DataFrame:
+    return materialise(usable_documents(corpus.select("doc_id", "text"), min_words).select("doc_id"))
+
+
+def _numbered(rows: DataFrame, ranges: KeyRanges, *ties: str) -> DataFrame:
+    """Add ``chunk_id``: rows of all lower ranges and the row's place in its own.
+
+    Each range becomes one partition, so its rows leave in the order of their ids.
+    """
+    ordered = ranges.gather(rows, "_range", *ties)
+    number = ranges.start(F.col("_range")) + place_in_partition()
+    return ordered.withColumn("chunk_id", number).drop("_range")
+
+
+def chunk_corpus(corpus: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``chunk_id, doc_id, text`` of the usable documents, in the order of their ids.
+
+    No text is joined with its number. Bounds of id ranges and the rows in each are found
+    on ids alone; texts then move once, to their range, where their place is their number.
+    """
+    return embed_corpus(corpus, None, min_words)
 
 
-def embed_corpus(corpus: DataFrame, embed: Callable, min_words: int = MIN_WORDS) -> DataFrame:
-    chunks = chunk_corpus(corpus, min_words)
-    return chunks.withColumn("embedding", embed(F.col("text")))
+def embed_corpus(corpus: DataFrame, embed: Callable | None, min_words: int = MIN_WORDS) -> DataFrame:
+    """The chunks with the ``embedding`` of each text, in the order of their ids.
+
+    Texts are embedded in the tasks that read them, before they move, each once.
+    """
+    corpus = corpus.select("doc_id", "text")
+    ranges = cut_ranges(_usable_ids(corpus, min_words), ["doc_id"], ROWS_PER_FILE)
+    rows = usable_documents(corpus, min_words)
+    if embed is not None:
+        rows = rows.withColumn("embedding", embed(F.col("text")))
+    numbered = _numbered(rows, ranges, "text")
+    return numbered.select("chunk_id", "doc_id", "text", *rows.columns[2:])
 
 
 def build_index(
@@ -51,5 +75,5 @@ def build_index(
     """
     spark = corpus.sparkSession
     if not is_complete(spark, path):
-        write_index(embed_corpus(corpus, embed, min_words), path)
+        write_index(embed_corpus(corpus, embed, min_words), path, in_order=True)
     return read_index(spark, path)

@@ -60,14 +60,15 @@ def evaluate_rag(
         "response", F.when(~failed, F.coalesce("reply.raw", F.lit("")))
     )
     triple = (F.col("query"), F.col("response"), F.col("context"))
-    graded = answered.select(
+    # Stored, so that graders are asked once however often the result is used.
+    graded = materialise(answered.select(
         "query_id.*",
         "query",
         "response",
         "reply.error",
         F.when(~failed, faithful(*triple)).alias("f"),
         F.when(~failed, relevant(*triple)).alias("r"),
-    )
+    ))
     return graded.select(
         "file_path",
         "pos",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quizloom import schemas
 from quizloom.operators.numbering import row_positions
-
+from quizloom.operators.ranges import MAX_RANGES
 
 ROWS_PER_FILE = 1 << 15
 
@@ -49,9 +49,18 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.INDEX).parquet(path)
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """Files hold ranges of ids in order, so a lookup of few ids skips most row groups."""
+def write_index(index: DataFrame, path: str, in_order: bool = False) -> None:
+    """Files hold ranges of ids in order, so a lookup of few ids skips most row groups.
+
+    Ids are dense, so a row's file follows from its id: no row is computed before it is
+    written but for its id, and none twice. ``in_order`` says that partitions hold ranges
+    of ids in order already, as :func:`quizloom.plans.index.embed_corpus` makes them.
+    """
     rows = index.select(*schemas.INDEX.names)
-    ordered = rows.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id")
-    writer = ordered.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+    if not in_order:
+        last = rows.agg(F.max("chunk_id")).first()[0] or 0
+        width = max(ROWS_PER_FILE, -(-(last + 1) // MAX_RANGES))
+        file = F.expr(f"CAST(chunk_id div {width} AS INT)")
+        rows = rows.repartitionById(last // width + 1, file).sortWithinPartitions("chunk_id")
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
     writer.parquet(path)
