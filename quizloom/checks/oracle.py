@@ -320,8 +320,22 @@ SELECT doc_id, dim, round(CAST(w AS DOUBLE), 6) AS w FROM e_cells""",
     "topk_retrieval_grid": _TOPK,
     "topk_few_vectors": f"""
 WITH own AS (
-  SELECT vec_id AS query_id, vec_id AS chunk_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings
-), few AS (SELECT * FROM own WHERE label = 0), {_hits("own", "few", 1000)}
+  SELECT vec_id AS query_id, vec_id AS chunk_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), first AS (SELECT * FROM own ORDER BY query_id LIMIT 10), {_hits("first", "own", "(SELECT count(*) FROM own)")}
+SELECT query_id, rank, chunk_id, round(score, 6) AS score FROM hits""",
+    "topk_groups": f"""
+WITH own AS (
+  SELECT vec_id AS query_id, vec_id AS chunk_id,
+         list_transform(embedding, lambda e, i:
+           CAST(CAST(e + CASE WHEN i - 1 = label THEN 20 ELSE 0 END AS FLOAT) AS DOUBLE)) AS v
+  FROM embeddings
+), {_hits("own", "own", 2)}
+SELECT query_id, rank, chunk_id, round(score, 6) AS score, true AS groups_skipped FROM hits""",
+    "topk_equal_queries": f"""
+WITH own AS (SELECT vec_id AS chunk_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+few AS (
+  SELECT doc_id AS query_id, v FROM documents JOIN own ON chunk_id = doc_id % 10
+), {_hits("few", "own", 3)}
 SELECT query_id, rank, chunk_id, round(score, 6) AS score FROM hits""",
     "score_check": f"""
 WITH {_OWN_HITS}

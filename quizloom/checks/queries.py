@@ -17,7 +17,7 @@ from quizloom.operators import panel
 from quizloom.operators.columns import with_computed
 from quizloom.operators.joins import salted_join
 from quizloom.operators.numbering import row_positions, shuffled_positions
-from quizloom.operators.similarity import top_k
+from quizloom.operators.similarity import skipped_groups, top_k
 from quizloom.operators.storage import materialise, shared_folder
 from quizloom.operators.upsert import merge_fields, read_store, upsert_counts, write_store
 from quizloom.plans import generate, index, rag, retrieval, review, seeding
@@ -87,14 +87,29 @@ def topk_retrieval_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_few_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All vectors of one label, fewer than k, against all queries."""
-    vectors = inputs.table(spark, sf_dir, "embeddings").filter("label = 0")
-    found = top_k(
-        vectors.select(F.col("vec_id").alias("chunk_id"), "embedding"),
-        _own_queries(spark, sf_dir),
-        k=1000,
-    )
-    return _hits(found)
+    """More rows wanted than there are vectors: all of them, ranked, for ten queries."""
+    vectors = _vectors(spark, sf_dir)
+    first = _own_queries(spark, sf_dir).orderBy("query_id").limit(10)
+    return _hits(top_k(vectors, first, k=vectors.count() + 1))
+
+
+def topk_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors drawn apart by their labels, so that whole groups of them are ruled out."""
+    apart = F.transform("embedding", lambda x, i: x + F.when(i == F.col("label"), 20).otherwise(0))
+    table = inputs.table(spark, sf_dir, "embeddings")
+    vectors = table.select(F.col("vec_id").alias("chunk_id"), apart.cast("array<float>").alias("embedding"))
+    queries = vectors.withColumnRenamed("chunk_id", "query_id")
+    ruled_out = skipped_groups(vectors, queries, k=2).first()["skipped"] > 0
+    return _hits(top_k(vectors, queries, k=2)).withColumn("groups_skipped", F.lit(ruled_out))
+
+
+def topk_equal_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document searches with one of ten vectors, so most queries are equal."""
+    vectors = _vectors(spark, sf_dir)
+    few = vectors.filter("chunk_id < 10").withColumnRenamed("chunk_id", "v")
+    documents = inputs.table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 10).alias("v"))
+    queries = documents.join(F.broadcast(few), "v").select(F.col("doc_id").alias("query_id"), "embedding")
+    return _hits(top_k(vectors, queries, k=3))
 
 
 def score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,33 +125,35 @@ def score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def retrieve_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = materialise(top_k(_vectors(spark, sf_dir), _own_queries(spark, sf_dir), k=4))
-    chunks = index.chunk_corpus(inputs.corpus(spark, sf_dir))
-    found = bundle_ops.with_text(hits, chunks)
+def _text_hits(spark, sf_dir) -> DataFrame:
+    """Hits of all vectors with the documents whose chunks they name."""
+    hits = top_k(_vectors(spark, sf_dir), _own_queries(spark, sf_dir), k=4)
+    return hits.join(index.chunk_ids(inputs.corpus(spark, sf_dir)), "chunk_id")
+
+
+def _with_documents(found: DataFrame) -> DataFrame:
     return found.select(
         "query_id", _long("rank").alias("rank"), "chunk_id", "doc_id", "text"
     )
 
 
+def retrieve_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = inputs.corpus(spark, sf_dir)
+    return _with_documents(bundle_ops.with_text(_text_hits(spark, sf_dir), corpus, "doc_id"))
+
+
 def retrieve_with_text_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with more winners than are broadcast at a time."""
-    hits = top_k(_vectors(spark, sf_dir), _own_queries(spark, sf_dir), k=4)
-    chunks = index.chunk_corpus(inputs.corpus(spark, sf_dir))
-    found = bundle_ops.with_text(hits, chunks, id_bytes=1 << 11)
-    return found.select(
-        "query_id", _long("rank").alias("rank"), "chunk_id", "doc_id", "text"
-    )
+    """The same with more winners than are broadcast: their ids go as bitmaps."""
+    corpus = inputs.corpus(spark, sf_dir)
+    hits = _text_hits(spark, sf_dir)
+    return _with_documents(bundle_ops.with_text(hits, corpus, "doc_id", id_bytes=1 << 11))
 
 
 def retrieve_with_text_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through the join that splits chunks many queries found."""
-    hits = materialise(top_k(_vectors(spark, sf_dir), _own_queries(spark, sf_dir), k=4))
-    chunks = index.chunk_corpus(inputs.corpus(spark, sf_dir))
-    found = salted_join(hits, chunks, "chunk_id", F.col("query_id"), hot_rows=5)
-    return found.select(
-        "query_id", _long("rank").alias("rank"), "chunk_id", "doc_id", "text"
-    )
+    """The same through the join that splits documents many queries found."""
+    hits = materialise(_text_hits(spark, sf_dir))
+    found = salted_join(hits, inputs.corpus(spark, sf_dir), "doc_id", F.col("query_id"), hot_rows=5)
+    return _with_documents(found)
 
 
 def _bundles(spark, sf_dir) -> DataFrame:
@@ -644,6 +661,8 @@ QUERIES = {
         topk_retrieval,
         topk_retrieval_grid,
         topk_few_vectors,
+        topk_groups,
+        topk_equal_queries,
         score_check,
         retrieve_with_text,
         retrieve_with_text_ranges,

@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -64,3 +65,18 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
+
+
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and bytes of the data files of a stored table, by name."""
+    fs, hadoop_path = _file_system(spark, path)
+    found = [s for s in fs.listStatus(hadoop_path) if s.isFile()]
+    files = [(s.getPath().toString(), s.getLen()) for s in found if s.getPath().getName()[0] not in "._"]
+    return sorted(files)
+
+
+def open_path(path: str) -> tuple[FileSystem, str]:
+    """File system and name of a path, for tasks that read shared files by themselves."""
+    if "://" in path:
+        return FileSystem.from_uri(path)
+    return LocalFileSystem(), path.removeprefix("file:")

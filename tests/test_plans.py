@@ -13,6 +13,7 @@ from quizloom.functions.models import model_grader, text_model
 from quizloom.functions.vectors import embedder, hash_embedder
 from quizloom.operators.upsert import write_store
 from quizloom.functions.patterns import to_java
+from quizloom.operators import bundles
 from quizloom.operators.bundles import with_text
 from quizloom.plans import generate, review
 from quizloom.plans.benchmark import build_benchmark
@@ -84,19 +85,6 @@ def test_retrieve_and_bundles(spark, corpus):
     assert [b["passages"] for b in empty] == [[], []]
 
 
-def files_opened(plan):
-    """Files that the scan with the text column read."""
-    name = plan.nodeName()
-    if name.startswith("AdaptiveSparkPlan"):
-        return files_opened(plan.executedPlan())
-    if "QueryStage" in name:
-        return files_opened(plan.plan())
-    if name.startswith("Scan parquet") and "text#" in plan.toString():
-        return plan.metrics().get("numFiles").get().value()
-    children = plan.children()
-    return sum(files_opened(children.apply(i)) for i in range(children.size()))
-
-
 def test_texts_of_the_winners(spark, tmp_path):
     path = str(tmp_path / "chunks")
     rows = spark.range(100).select(
@@ -114,6 +102,34 @@ def test_texts_of_the_winners(spark, tmp_path):
     )
 
 
+def scans(plan):
+    """Scans of a table with texts in an executed plan."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return scans(plan.executedPlan())
+    if "QueryStage" in name:
+        return scans(plan.plan())
+    if name.startswith("Scan parquet"):
+        return int("text#" in plan.toString())
+    children = plan.children()
+    return sum(scans(children.apply(i)) for i in range(children.size()))
+
+
+@pytest.mark.parametrize("per_file", [1, 1 << 10])
+def test_winners_as_bitmaps(spark, tmp_path, monkeypatch, per_file):
+    monkeypatch.setattr(bundles, "BITMAPS_PER_FILE", per_file)
+    ids = [0, 1, 7, 8, 32_766, 32_767, 32_768, 65_535, 65_536, 10**6, 2**40]
+    rows = [(i + d, i, f"text {i + d}") for i in ids for d in (0, 1, 2) if i + d not in ids or d == 0]
+    path = str(tmp_path / "chunks")
+    spark.createDataFrame(rows, "chunk_id LONG, doc_id LONG, text STRING").write.parquet(path)
+    hits = spark.createDataFrame([(f"q{q}", i) for i in ids for q in range(3)], "query_id STRING, chunk_id LONG")
+    found = with_text(hits, spark.read.parquet(path), id_bytes=8)
+    got = sorted((r["query_id"], r["chunk_id"], r["text"]) for r in found.collect())
+    assert got == sorted((f"q{q}", i, f"text {i}") for i in ids for q in range(3))
+    # One scan of the texts, however many winners.
+    assert scans(found._jdf.queryExecution().executedPlan()) == 1
+
+
 def generator():
     def reply(prompt):
         if "apple" in prompt.split("|")[0]:
