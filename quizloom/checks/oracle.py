@@ -560,3 +560,7 @@ SELECT file_path, pos, count(*) FILTER (choice = correct) AS correct_models,
        count(*) FILTER (choice IS NULL) AS unanswered_models, count(*) AS debug_rows
 FROM marked GROUP BY ALL""",
 }
+
+# Runs that find everything in the journal end as the runs before them.
+ORACLE["generation_resumed"] = ORACLE["generated_questions"]
+ORACLE["panel_asked_again"] = ORACLE["panel_asked"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quizloom import schemas
 from quizloom.checks import inputs
 from quizloom.functions import mcq
+from quizloom.functions.journal import ReplyJournal
 from quizloom.functions.models import text_model
 from quizloom.functions.taxonomy import leaf_label, query_terms
 from quizloom.functions.text import has_min_words, strip, word_count
@@ -18,7 +19,7 @@ from quizloom.operators.columns import with_computed
 from quizloom.operators.joins import salted_join
 from quizloom.operators.numbering import row_positions, shuffled_positions
 from quizloom.operators.similarity import skipped_groups, top_k
-from quizloom.operators.storage import materialise, shared_folder
+from quizloom.operators.storage import materialise, new_folder, shared_folder
 from quizloom.operators.upsert import merge_fields, read_store, upsert_counts, write_store
 from quizloom.plans import generate, index, rag, retrieval, review, seeding
 from quizloom.plans.panel import Judge, ask_panel, grade_responses
@@ -317,7 +318,7 @@ def stub_generator():
     return generate_text
 
 
-def _generated(spark, sf_dir):
+def _generated(spark, sf_dir, generator=None):
     bundles_ = _document_bundles(spark, sf_dir)
     done = inputs.table(spark, sf_dir, "labels").select(
         F.col("doc_id").cast("string").alias("taxonomy_id")
@@ -325,7 +326,7 @@ def _generated(spark, sf_dir):
     return generate.generate_questions(
         bundles_,
         inputs.prompts(spark, sf_dir),
-        text_model(stub_generator),
+        generator or text_model(stub_generator),
         done,
         prompt_id="mcq_asia",
     )
@@ -355,6 +356,23 @@ def generated_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _failing_generator():
+    def generate_text(prompt):
+        raise TimeoutError("no reply")
+
+    return generate_text
+
+
+def generation_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose model fails every call, after one whose replies are in the journal."""
+    journal = ReplyJournal(new_folder(spark, "journal"))
+    for make in (stub_generator, _failing_generator):
+        sets, _ = _generated(spark, sf_dir, text_model(make, name="stub", journal=journal))
+    return sets.select("taxonomy_id", F.posexplode("mcqs").alias("pos", "q_raw")).select(
+        "taxonomy_id", _long("pos").alias("pos"), "q_raw"
+    )
+
+
 def generation_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, status = _generated(spark, sf_dir)
     return generate.status_lines(status)
@@ -521,6 +539,24 @@ def panel_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.select("file_path", _long("pos").alias("pos"), "model", "raw")
 
 
+def _failing_judge():
+    def judge(prompt):
+        raise ConnectionError("reset")
+
+    return judge
+
+
+def panel_asked_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A panel that fails every call, after one whose replies are in the journal."""
+    journal = ReplyJournal(new_folder(spark, "journal"))
+    q = inputs.questions(spark, sf_dir)
+    makers = [_stub_judge(i) for i in range(len(inputs.PANEL) - 1)]
+    for clients in (makers, [lambda: _failing_judge()] * len(makers)):
+        judges = [Judge(m, make) for m, make in zip(inputs.PANEL, clients)]
+        asked = ask_panel(q, judges, inputs.INSTRUCTIONS, journal=journal)
+    return asked.select("file_path", _long("pos").alias("pos"), "model", "raw")
+
+
 def panel_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary written as one JSON object and read back."""
     path = _new_folder(spark)
@@ -679,6 +715,7 @@ QUERIES = {
         prompt_render,
         skip_existing,
         generated_questions,
+        generation_resumed,
         generation_status,
         generation_counts,
         batch_inference,
@@ -696,6 +733,7 @@ QUERIES = {
         panel_summary,
         panel_debug,
         panel_asked,
+        panel_asked_again,
         panel_document,
         index_files,
         bundle_files,

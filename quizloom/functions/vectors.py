@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quizloom.functions.batches import BATCH_BYTES, by_bytes
 from quizloom.schemas import EMBEDDING
 
 DEFAULT_DIM = 64
@@ -22,38 +23,38 @@ def inner_product(left: Column, right: Column) -> Column:
 
 
 def embedder(
-    make_client: Callable[[], Callable[[list], Sequence]], batch_size: int | None = None
+    make_client: Callable[[], Callable[[list], Sequence]],
+    batch_size: int | None = None,
+    batch_bytes: int = BATCH_BYTES,
 ) -> Callable:
     """Column function text -> vector backed by an embedding client.
 
     ``make_client`` runs once per task and returns a function from a list of texts
     to one equally long vector per text. NULL texts get a NULL vector and are never
     sent to the client. Calls are marked nondeterministic, or a filter on the vectors
-    would make Catalyst embed every text twice. ``batch_size`` limits the texts per call;
-    without it a call gets a whole Arrow batch.
+    would make Catalyst embed every text twice. A call gets at most ``batch_size`` texts, if
+    given, and ``batch_bytes`` of text in all, but one text at least.
     """
 
     @F.arrow_udf(EMBEDDING)
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         client = make_client()
         for batch in batches:
-            texts = batch.to_pylist()
-            present = [t for t in texts if t is not None]
-            step = batch_size or max(1, len(present))
-            parts = [client(present[at : at + step]) for at in range(0, len(present), step)]
-            vectors = np.concatenate(parts).astype(np.float32) if parts else None
-            yield _list_array([t is not None for t in texts], vectors)
+            present = np.asarray(batch.is_valid())
+            slices = by_bytes((batch.drop_null(),), batch_bytes, batch_size)
+            parts = [np.asarray(client(texts), dtype=np.float32) for (texts,) in slices]
+            yield _list_array(present, np.concatenate(parts) if parts else None)
 
     return embed.asNondeterministic()
 
 
-def _list_array(present: list, vectors: np.ndarray | None) -> pa.Array:
+def _list_array(present: np.ndarray, vectors: np.ndarray | None) -> pa.Array:
     width = 0 if vectors is None else vectors.shape[1]
     lengths = np.where(present, width, 0)
     offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), type=pa.int32())
     flat = np.empty(0, np.float32) if vectors is None else vectors.reshape(-1)
     return pa.ListArray.from_arrays(
-        offsets, pa.array(flat), mask=pa.array(~np.asarray(present, dtype=bool))
+        offsets, pa.array(flat), mask=pa.array(~present)
     )
 
 

@@ -20,9 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def new_name(name: str) -> str:
+    return f"quizloom-{name}-{uuid.uuid4().hex}"
+
+
 def new_folder(spark: SparkSession, name: str = "table") -> str:
     """A path in the shared folder that nothing else uses; the folder is not made."""
-    return f"{shared_folder(spark)}/quizloom-{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{new_name(name)}"
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

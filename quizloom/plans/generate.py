@@ -10,6 +10,7 @@ from quizloom.functions.mcq import extract_blocks, extract_blocks_with, reply_fa
 from quizloom.functions.patterns import to_java
 from quizloom.functions.prompts import render, template_tokens, unknown_fields
 from quizloom.functions.taxonomy import leaf_label
+from quizloom.operators.asking import ask
 from quizloom.operators.bundles import context
 from quizloom.operators.columns import with_computed
 from quizloom.operators.joins import lookup_join
@@ -113,17 +114,12 @@ def generate_replies(rendered: DataFrame, generator: Callable) -> DataFrame:
     """Ask the generator for every prompt; ``raw`` is set exactly if it succeeded.
 
     Replies are stored before use, so a bundle is asked for once; only a task that is run
-    again, after a loss say, asks again for its own bundles. A reply that
+    again, after a loss say, asks again for its own bundles. A generator with a journal
+    is asked only for what no earlier task or run got. A reply that
     only reports an error is a failure, not an empty question set.
     """
-    asked = rendered.select(
-        "taxonomy_id",
-        "parser_regex",
-        "pattern_groups",
-        "problem",
-        generator(F.col("prompt")).alias("reply"),
-    )
-    stored = materialise(asked)
+    narrow = rendered.select("taxonomy_id", "parser_regex", "pattern_groups", "problem", "prompt")
+    stored = materialise(ask(narrow, generator, [F.col("prompt")], "reply").drop("prompt"))
     raw = F.col("reply.raw")
     failed = F.col("problem").isNotNull() | F.col("reply.error").isNotNull() | reply_failed(raw)
     error = F.coalesce("problem", "reply.error", raw, F.lit("no reply"))

@@ -6,9 +6,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quizloom.functions.journal import ReplyJournal
 from quizloom.functions.mcq import judge_prompt
 from quizloom.functions.models import judge_panel
 from quizloom.operators import panel
+from quizloom.operators.asking import known_of_panel
 from quizloom.operators.storage import materialise
 from quizloom.sources.questions import write_document, write_ordered
 
@@ -57,9 +59,13 @@ def ask_panel(
     instructions: str,
     workers: int | None = None,
     partitions: int | None = None,
+    journal: ReplyJournal | None = None,
 ) -> DataFrame:
     """Every enabled judge's reply to every gradable question, stored once.
 
+    With a ``journal``, replies are kept as they come; judges are asked only what they have
+    not answered in an earlier task or run.
+
     Work is spread by question, not by model: a panel of eight models would otherwise
     make eight large tasks. Pairing questions with models is a narrow explode.
     """
@@ -68,8 +74,12 @@ def ask_panel(
     if partitions is not None:
         keyed = keyed.repartition(partitions, *panel.KEY)
     prompts = keyed.select(*panel.KEY, judge_prompt(F.col("q_raw"), instructions).alias("prompt"))
-    ask = judge_panel({j.name: j.make_client for j in enabled}, workers)
-    replies = prompts.select(*panel.KEY, F.explode(ask(F.col("prompt"))).alias("reply"))
+    ask = judge_panel({j.name: j.make_client for j in enabled}, workers, journal)
+    known = None
+    if journal is not None:
+        prompts = known_of_panel(prompts, journal, F.col("prompt"), ask.models, "known")
+        known = F.col("known")
+    replies = prompts.select(*panel.KEY, F.explode(ask(F.col("prompt"), known)).alias("reply"))
     return materialise(replies.select(*panel.KEY, "reply.model", "reply.raw"))
 
 
@@ -79,9 +89,10 @@ def evaluate_panel(
     instructions: str,
     workers: int | None = None,
     partitions: int | None = None,
+    journal: ReplyJournal | None = None,
 ) -> PanelResult:
     """Ask the panel and hold what is needed for its reports."""
-    responses = ask_panel(questions, judges, instructions, workers, partitions)
+    responses = ask_panel(questions, judges, instructions, workers, partitions, journal)
     return PanelResult(questions, responses, [j.name for j in judges if j.enabled])
 
 

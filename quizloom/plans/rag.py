@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quizloom.functions.mcq import question_stem
 from quizloom.functions.models import faithfulness_by_overlap, relevancy_by_overlap
+from quizloom.operators.asking import ask
 from quizloom.operators.bundles import context
 from quizloom.operators.columns import with_computed
 from quizloom.operators.storage import materialise
@@ -40,6 +41,7 @@ def evaluate_rag(
     A question whose answer failed has no response and no grades, and says why in
     ``error``; so does one whose grading failed.
     """
+    by_models = faithful is not None or relevant is not None
     faithful = faithful or faithfulness_by_overlap()
     relevant = relevant or relevancy_by_overlap()
     stems = materialise(question_stems(questions, limit))
@@ -52,23 +54,23 @@ def evaluate_rag(
         F.col("text").alias("query"),
         F.coalesce(context(F.col("passages")), F.lit("")).alias("context"),
     )
-    answered = materialise(
-        read.withColumn("reply", answerer(F.col("query"), F.col("context")))
-    )
+    answered = materialise(ask(read, answerer, [F.col("query"), F.col("context")], "reply"))
     failed = F.col("reply.error").isNotNull()
     answered = answered.withColumn(
         "response", F.when(~failed, F.coalesce("reply.raw", F.lit("")))
     )
     triple = (F.col("query"), F.col("response"), F.col("context"))
-    # Stored, so that graders are asked once however often the result is used.
-    graded = materialise(answered.select(
+    graded = answered.select(
         "query_id.*",
         "query",
         "response",
         "reply.error",
         F.when(~failed, faithful(*triple)).alias("f"),
         F.when(~failed, relevant(*triple)).alias("r"),
-    ))
+    )
+    if by_models:
+        # Graders are asked once however often the result is used.
+        graded = materialise(graded)
     return graded.select(
         "file_path",
         "pos",
