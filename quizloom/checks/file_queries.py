@@ -3,14 +3,27 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quizloom import schemas
 from quizloom.checks import inputs
-from quizloom.checks.queries import _long, _several_mcqs, _stub_judge, rag_questions, stub_answerer
+from quizloom.checks.queries import (
+    _long,
+    _several_mcqs,
+    _stub_judge,
+    rag_questions,
+    stub_answerer,
+    stub_generator,
+)
 from quizloom.functions import mcq
 from quizloom.functions.models import text_model
+from quizloom.operators.numbering import row_positions
+from quizloom.operators.ranges import cut_ranges
 from quizloom.operators.storage import new_folder
+from quizloom.operators.upsert import write_store
 from quizloom.plans import rag, seeding
+from quizloom.plans.benchmark import build_benchmark, stored_sets
 from quizloom.plans.panel import Judge, evaluate_panel
 from quizloom.sources import corpus, questions
+from quizloom.sources.files import write_texts
 
 
 def failing_answerer():
@@ -53,10 +66,17 @@ def question_sets_without_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _documents_as_files(rows: DataFrame, name, suffix: str) -> DataFrame:
+    """``name, text`` of a JSON file per row; JSON is YAML too."""
+    return rows.select(
+        F.concat(name.cast("string"), F.lit(suffix)).alias("name"), F.to_json(F.struct("*")).alias("text")
+    )
+
+
 def prompt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as template files with odd patterns, versions and fields, in two loads."""
-    nations = inputs.table(spark, sf_dir, "nation")
-    region = F.col("n_regionkey")
+    """Suppliers as template files with odd patterns, versions and fields, in two loads."""
+    suppliers = inputs.table(spark, sf_dir, "supplier")
+    key, region = F.col("s_suppkey"), F.col("s_suppkey") % 4
     pattern = (
         F.when(region == 0, r"(?P<b>Q\d{,3})")
         .when(region == 1, r"(Q\d+)(.+?)Answer")
@@ -64,22 +84,22 @@ def prompt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     def documents(load: int, **fields) -> DataFrame:
-        version = F.concat(F.lit(f"v{load}."), F.col("n_nationkey").cast("string"))
-        return nations.select(
+        version = F.concat(F.lit(f"v{load}."), key.cast("string"))
+        return suppliers.select(
             region.alias("region"),
-            F.concat(F.lit("mcq_"), F.lower("n_name")).alias("prompt_id"),
+            F.concat(F.lit("mcq_"), key.cast("string")).alias("prompt_id"),
             version.alias("version"),
             *[value.alias(name) for name, value in fields.items()],
         )
 
     store = new_folder(spark, "prompts")
     first = documents(
-        1, template=F.concat(F.lit("for "), F.col("n_name")), parser_regex=pattern
+        1, template=F.concat(F.lit("for "), F.col("s_name")), parser_regex=pattern
     )
     second = documents(2, note=F.lit("again")).filter("region = 1")
-    for rows in (first, second):
+    for rows, suffix in ((first, ".json"), (second, ".yaml")):
         folder = new_folder(spark, "prompt-files")
-        rows.write.option("maxRecordsPerFile", 1).json(folder)
+        write_texts(_documents_as_files(rows, F.col("prompt_id"), suffix), folder)
         seeding.seed_prompts(spark, folder, store)
     stored = seeding.read_prompt_store(spark, store)
     return stored.select(
@@ -92,20 +112,73 @@ def prompt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prompt_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as template files of which three in five cannot be loaded, and why."""
+    suppliers = inputs.table(spark, sf_dir, "supplier")
+    kind, name = F.col("s_suppkey") % 5, F.col("s_name")
+    text = (
+        F.when(kind == 0, F.concat(F.lit("\n{broken "), name))
+        .when(kind == 1, F.concat(F.lit("prompt_id: x\ntemplate: [1, '"), name, F.lit("'")))
+        .when(kind == 2, F.to_json(F.struct(name.alias("template"))))
+        .otherwise(F.to_json(F.struct(name.alias("prompt_id"), name.alias("template"))))
+    )
+    suffix = F.when(kind.isin(1, 4), ".yaml").otherwise(".json")
+    files = suppliers.select(F.concat(F.col("s_suppkey").cast("string"), suffix).alias("name"), text.alias("text"))
+    folder, rejects = new_folder(spark, "prompt-files"), new_folder(spark, "rejects")
+    write_texts(files, folder)
+    seeding.seed_prompts(spark, folder, new_folder(spark, "prompts"), rejects)
+    found = spark.read.parquet(rejects)
+    return found.select(F.substring_index("path", "/", -1).alias("name"), "place", "reason")
+
+
+def prompt_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One template found by its id in a store of all parts."""
+    p = inputs.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("prompt_id"),
+        F.col("p_name").alias("template"),
+        F.col("p_type").alias("prompt_type"),
+    )
+    for name in schemas.PROMPT.names:
+        if name not in p.columns:
+            p = p.withColumn(name, F.lit(None).cast(schemas.PROMPT[name].dataType))
+    store = new_folder(spark, "prompts")
+    write_store(p.select(*schemas.PROMPT.names), store)
+    return seeding.get_prompt(spark, store, "part-7").select("prompt_id", "template", "prompt_type")
+
+
+# Part keys that one taxonomy file covers.
+KEYS_PER_FILE = 1_000
+
+
 def taxonomy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A taxonomy file per brand, loaded into a leaf store."""
+    """A taxonomy file per brand and range of part keys, loaded into a leaf store.
+
+    Every other range is written as YAML.
+    """
     parts = inputs.table(spark, sf_dir, "part")
     size = F.col("p_size")
-    item = F.struct(
-        F.concat_ws(".", "p_name", F.col("p_partkey").cast("string")).alias("topic"),
-        F.when(size > 33, "H").when(size > 16, "M").otherwise("E").alias("difficulty"),
+    topic = F.concat_ws(".", "p_name", F.col("p_partkey").cast("string"))
+    difficulty = F.when(size > 33, "H").when(size > 16, "M").otherwise("E")
+    section = F.expr(f"p_partkey div {KEYS_PER_FILE}").alias("section")
+    item = F.struct(topic.alias("topic"), difficulty.alias("difficulty"))
+    documents = parts.groupBy("p_brand", section).agg(F.collect_list(item).alias("items"))
+    lines = F.transform(
+        "items",
+        lambda i: F.concat(F.lit("    - topic: '"), i["topic"], F.lit("'\n      difficulty: "), i["difficulty"]),
+    )
+    as_yaml = F.concat(
+        F.lit("domain: Parts\ncategories:\n  '"), "p_brand", F.lit("':\n"), F.array_join(lines, "\n"), F.lit("\n")
     )
-    brands = parts.groupBy("p_brand").agg(F.collect_list(item).alias("items"))
-    documents = brands.select(
-        F.lit("Parts").alias("domain"), F.create_map("p_brand", "items").alias("categories")
+    categories = F.create_map("p_brand", "items").alias("categories")
+    as_json = F.to_json(F.struct(F.lit("Parts").alias("domain"), categories))
+    odd = F.col("section") % 2 == 1
+    suffix = F.when(odd, ".json").otherwise(".yaml")
+    files = documents.select(
+        F.concat("p_brand", F.lit("-"), F.col("section").cast("string"), suffix).alias("name"),
+        F.when(odd, as_json).otherwise(as_yaml).alias("text"),
     )
     folder, store = new_folder(spark, "taxonomies"), new_folder(spark, "leaves")
-    documents.write.option("maxRecordsPerFile", 1).json(folder)
+    write_texts(files, folder)
     seeding.seed_taxonomies(spark, folder, store)
     return seeding.read_leaves(spark, store)
 
@@ -126,12 +199,11 @@ def chunk_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A corpus in three files of different sizes; ids follow file name and row."""
+    """A corpus without ids in many files of different sizes; ids follow file name and row."""
     path = new_folder(spark, "corpus")
-    documents = inputs.table(spark, sf_dir, "documents")
-    for part in range(3):
-        rows = documents.filter(F.col("n_chars") % 3 == part).select("doc_id", "text")
-        rows.coalesce(1).sortWithinPartitions("doc_id").write.parquet(f"{path}/part={part}")
+    documents = inputs.table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranges = cut_ranges(documents.select("doc_id"), ["doc_id"], 128)
+    ranges.gather(documents, "range").drop("range").write.parquet(path)
     found = corpus.read_corpus(spark, path, text_col="text")
     return found.select(F.col("doc_id").alias("position"), "text")
 
@@ -160,15 +232,55 @@ def panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def panel_files_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The question report as its files, by name, have it: in the order of file and place."""
+    judges = [Judge(m, _stub_judge(i)) for i, m in enumerate(inputs.PANEL[:2])]
+    result = evaluate_panel(inputs.questions(spark, sf_dir), judges, inputs.INSTRUCTIONS)
+    folder = new_folder(spark, "panel")
+    result.write(folder)
+    schema = result.per_question().schema
+    lines = row_positions(spark.read.text(f"{folder}/questions"), "line")
+    rows = lines.select("line", F.from_json("value", schema).alias("q"))
+    return rows.select("line", "q.file_path", _long(F.col("q.pos")).alias("pos"))
+
+
+def benchmark_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run over the documents and the leaves of all parts, in two batches."""
+    folder, leaves, prompts = (new_folder(spark, n) for n in ("run", "leaves", "prompts"))
+    flat = seeding.flatten_leaves(inputs.taxonomies(spark, sf_dir))
+    write_store(seeding.upsert_leaves(spark.createDataFrame([], schemas.STORED_LEAF), flat), leaves)
+    templates = inputs.prompts(spark, sf_dir).withColumn("extra", F.lit(None).cast("map<string,string>"))
+    write_store(templates.select(*schemas.PROMPT.names), prompts)
+    build_benchmark(
+        spark,
+        inputs.corpus(spark, sf_dir),
+        folder,
+        leaves,
+        prompts,
+        "mcq_asia",
+        inputs.embed,
+        text_model(stub_generator),
+        batches=2,
+    )
+    sets = stored_sets(spark, f"{folder}/questions")
+    return sets.select("taxonomy_id", F.posexplode("mcqs").alias("pos", "q_raw")).select(
+        "taxonomy_id", _long("pos").alias("pos"), "q_raw"
+    )
+
+
 FILE_QUERIES = {
     f.__name__: f
     for f in (
         rag_eval_failures,
         question_sets_without_id,
         prompt_files,
+        prompt_rejects,
+        prompt_lookup,
         taxonomy_files,
         chunk_files,
         corpus_positions,
         panel_files,
+        panel_files_order,
+        benchmark_run,
     )
 }

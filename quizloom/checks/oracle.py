@@ -531,14 +531,26 @@ FROM runs""",
     "question_sets_without_id": f"""
 WITH {SEVERAL}
 SELECT pos, block AS q_raw, 1::BIGINT AS rows_of_key, true AS has_key FROM ({_blocks(_F1, 0)})""",
+    # The odd patterns of the template files.
     "prompt_files": r"""
-SELECT 'mcq_' || lower(n_name) AS prompt_id, 'for ' || n_name AS template,
-       'v' || CASE WHEN n_regionkey = 1 THEN 2 ELSE 1 END || '.' || n_nationkey AS version,
-       CASE n_regionkey WHEN 0 THEN '(?P<b>Q\d{,3})' WHEN 1 THEN '(Q\d+)(.+?)Answer'
+SELECT 'mcq_' || s_suppkey AS prompt_id, 'for ' || s_name AS template,
+       'v' || CASE WHEN s_suppkey % 4 = 1 THEN 2 ELSE 1 END || '.' || s_suppkey AS version,
+       CASE s_suppkey % 4 WHEN 0 THEN '(?P<b>Q\d{,3})' WHEN 1 THEN '(Q\d+)(.+?)Answer'
             WHEN 2 THEN 'Q(\d' END AS parser_regex,
-       CAST(n_regionkey AS VARCHAR) AS region,
-       CASE WHEN n_regionkey = 1 THEN 'again' END AS note
-FROM nation""",
+       CAST(s_suppkey % 4 AS VARCHAR) AS region,
+       CASE WHEN s_suppkey % 4 = 1 THEN 'again' END AS note
+FROM supplier""",
+    # What the JSON and YAML readers say.
+    "prompt_rejects": """
+SELECT s_suppkey || CASE s_suppkey % 5 WHEN 1 THEN '.yaml' ELSE '.json' END AS name,
+       CASE s_suppkey % 5 WHEN 0 THEN '2:2' WHEN 1 THEN '2:' || (length(s_name) + 17) END AS place,
+       CASE s_suppkey % 5 WHEN 0 THEN 'Expecting property name enclosed in double quotes'
+            WHEN 1 THEN 'expected '','' or '']'', but got ''<stream end>' || chr(39)
+            ELSE 'no prompt_id' END AS reason
+FROM supplier WHERE s_suppkey % 5 <= 2""",
+    "prompt_lookup": """
+SELECT 'part-' || p_partkey AS prompt_id, p_name AS template, p_type AS prompt_type
+FROM part WHERE p_partkey = 7""",
     "taxonomy_files": """
 SELECT 'Parts.' || p_brand || '.' || replace(p_name, ' ', '') || '.' || p_partkey AS id,
        p_name || '.' || p_partkey AS label,
@@ -547,7 +559,26 @@ SELECT 'Parts.' || p_brand || '.' || replace(p_name, ' ', '') || '.' || p_partke
 SELECT doc_id AS chunk_id, doc_id, text, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total
 FROM documents LEFT JOIN embeddings ON vec_id = doc_id""",
     "corpus_positions": """
-SELECT row_number() OVER (ORDER BY n_chars % 3, doc_id) - 1 AS position, text FROM documents""",
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, text FROM documents""",
+    "panel_files_order": f"""
+WITH {KEYED}
+SELECT row_number() OVER (ORDER BY file_path, pos) - 1 AS line, file_path, pos FROM keyed
+WHERE correct IS NOT NULL""",
+    "benchmark_run": f"""
+WITH {LEAVES}, {CHUNKS}, {_embedded("ce", "chunks", "chunk_id")}, {_embedded("qe", "leaves", "id", "label")},
+qv AS (SELECT id AS query_id, v FROM qe),
+{_hits("qv", "ce", 4)}, contexts AS (
+  SELECT id AS taxonomy_id, string_split(id, '.')[-1] AS label,
+         string_agg(text, {NL} || {NL} ORDER BY rank) AS context
+  FROM leaves JOIN hits ON id = query_id JOIN chunks USING (chunk_id) GROUP BY id
+), runs AS (
+  SELECT taxonomy_id, length({_filled("ASIA", "context", 3, "'H'", "label")}) AS n FROM contexts
+)
+SELECT taxonomy_id, CAST(pos AS BIGINT) AS pos,
+       CASE pos WHEN 0 THEN 'Q1. About ' || n || '?' || {NL} || '(1) yes' || {NL} || '(2) no' || {NL} || 'Answer: 2'
+                ELSE 'Q2. Is ' || n || ' odd?' || {NL} || '(1) yes' || {NL} || '(2) no' || {NL}
+                     || 'Answer: ' || (2 - n % 2) END AS q_raw
+FROM runs, range(2) r(pos) WHERE n % 5 > 1""",
     "panel_files": f"""
 WITH {KEYED}, panel(i, model) AS (VALUES {_ASKED_ROWS}),
 asked AS (

@@ -1,9 +1,10 @@
 """Question generation from context bundles."""
 
 from collections.abc import Callable
+from itertools import islice
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.functions.mcq import extract_blocks, extract_blocks_with, reply_failed
@@ -14,13 +15,15 @@ from quizloom.operators.asking import ask
 from quizloom.operators.bundles import context
 from quizloom.operators.columns import with_computed
 from quizloom.operators.joins import lookup_join
-from quizloom.operators.storage import materialise
+from quizloom.operators.storage import materialise, new_folder
 
 QUESTIONS = 3
 OPTIONS = 8
 DEFAULT_DIFFICULTY = "H"
 FIELDS = ["n", "diff_tag", "leaf_label", "context", "options"]
 SUCCESS, SKIPPED, FAILED = "Success", "Skipped", "Failed"
+PATTERNS_AT_ONCE = 10_000
+_RUNNABLE = "_pattern STRING, _runnable STRING, pattern_groups INT, pattern_problem STRING"
 
 
 def pending_bundles(bundles: DataFrame, done: DataFrame) -> DataFrame:
@@ -44,31 +47,37 @@ def with_template(bundles: DataFrame, prompts: DataFrame) -> DataFrame:
     return lookup_join(bundles, templates, "prompt_id", F.col("taxonomy_id"), how="left")
 
 
+def _runnable(spark: SparkSession, pattern: str) -> tuple:
+    """The pattern in the dialect that runs it and its groups, or why there is none."""
+    try:
+        runnable, groups = to_java(pattern)
+        spark._jvm.java.util.regex.Pattern.compile(f"(?sdU){runnable}")
+        return pattern, runnable, groups, None
+    except ValueError as error:
+        return pattern, None, None, f"unusable pattern: {error}"
+    except Py4JJavaError as error:
+        return pattern, None, None, f"unusable pattern: {error.java_exception.getDescription()}"
+
+
 def with_runnable_patterns(prompts: DataFrame) -> DataFrame:
     """Replace ``parser_regex`` by a pattern that Spark can run.
 
-    Adds ``pattern_groups``, and ``pattern_problem`` where there is no such pattern. The
-    distinct patterns of the templates are few; each is compiled once, by the dialect
-    that will run it.
+    Adds ``pattern_groups``, and ``pattern_problem`` where there is no such pattern. Each
+    distinct pattern is compiled once, by the dialect that will run it, which only the
+    driver can ask for a reason; it holds ``PATTERNS_AT_ONCE`` of them at a time.
     """
     spark = prompts.sparkSession
-    compiler = spark._jvm.java.util.regex.Pattern
-    rows = []
-    for (pattern,) in prompts.select("parser_regex").distinct().collect():
-        if pattern is None:
-            continue
-        try:
-            runnable, groups = to_java(pattern)
-            compiler.compile(f"(?sdU){runnable}")
-            rows.append((pattern, runnable, groups, None))
-        except ValueError as error:
-            rows.append((pattern, None, None, f"unusable pattern: {error}"))
-        except Py4JJavaError as error:
-            reason = error.java_exception.getDescription()
-            rows.append((pattern, None, None, f"unusable pattern: {reason}"))
-    known = spark.createDataFrame(
-        rows, "_pattern STRING, _runnable STRING, pattern_groups INT, pattern_problem STRING"
-    )
+    distinct = prompts.select("parser_regex").filter(F.col("parser_regex").isNotNull()).distinct()
+    patterns = (row[0] for row in distinct.toLocalIterator())
+    known, path = None, new_folder(spark, "patterns")
+    while known is None or len(part) == PATTERNS_AT_ONCE:
+        part = list(islice(patterns, PATTERNS_AT_ONCE))
+        rows = spark.createDataFrame([_runnable(spark, p) for p in part], _RUNNABLE)
+        if known is None and len(part) < PATTERNS_AT_ONCE:
+            known = rows
+        else:
+            rows.write.mode("append").parquet(path)
+            known = spark.read.schema(rows.schema).parquet(path)
     joined = prompts.join(known, prompts["parser_regex"] == known["_pattern"], "left")
     columns = [c if c != "parser_regex" else F.col("_runnable").alias(c) for c in prompts.columns]
     return joined.select(*columns, "pattern_groups", "pattern_problem")

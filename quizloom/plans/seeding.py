@@ -15,7 +15,13 @@ from quizloom.operators.upsert import (
     upsert_counts,
     write_store,
 )
-from quizloom.sources.documents import one_row_or_error, read_prompts, read_taxonomies
+from quizloom.sources.documents import (
+    accepted,
+    one_row_or_error,
+    read_prompts,
+    read_taxonomies,
+    rejected,
+)
 
 LOAD_ORDER = ["format_rank", "path", "cat_pos", "item_pos"]
 
@@ -59,11 +65,9 @@ def seed_taxonomies(
     Every document and leaf is checked before anything is written, so a faulty file
     changes nothing.
     """
-    docs = read_taxonomies(spark, folder)
-    doc = F.col("doc")
-    broken = docs.filter(doc["domain"].isNull() | doc["categories"].isNull())
-    _raise_if_any(broken.select("path"), "unreadable taxonomy")
-    leaves = materialise(flatten_leaves(docs, legacy))
+    docs = materialise(read_taxonomies(spark, folder))
+    _raise_if_any(rejected(docs), "unreadable taxonomy")
+    leaves = materialise(flatten_leaves(accepted(docs), legacy))
     lacking = leaves.filter(F.col("topic").isNull() | F.col("difficulty").isNull())
     _raise_if_any(lacking.select("load_order.path"), "leaf without topic or difficulty")
     processed = leaves.count()
@@ -76,7 +80,9 @@ def seed_taxonomies(
 def _raise_if_any(rows: DataFrame, what: str) -> None:
     first = rows.first()
     if first is not None:
-        raise ValueError(f"{what} in {first[0]}")
+        path, *rest = first
+        why = " ".join(str(r) for r in rest if r is not None)
+        raise ValueError(f"{what} in {path}" + (f": {why}" if why else ""))
 
 
 def pipeline_leaves(stored: DataFrame) -> DataFrame:
@@ -111,17 +117,23 @@ def latest_prompts(prompts: DataFrame) -> DataFrame:
     return latest.join(extra, "prompt_id", "left")
 
 
-def seed_prompts(spark: SparkSession, folder: str, store: str) -> dict[str, int]:
+def seed_prompts(
+    spark: SparkSession, folder: str, store: str, rejects: str | None = None
+) -> dict[str, int]:
     """Load a folder of templates; returns upserted, modified and skipped counts.
 
     Documents are stored with all their fields. Files that do not parse and templates
-    without an id are skipped.
+    without an id are skipped; ``rejects`` names a folder for a table of them, with path,
+    place and reason of each.
     """
     docs = read_prompts(spark, folder)
     order = F.struct("format_rank", "path").alias("load_order")
-    found = materialise(docs.select("doc.*", order))
-    valid = valid_prompts(found)
-    skipped = found.count() - valid.count()
+    found = materialise(docs.select("doc.*", order, "path", "problem"))
+    bad = rejected(found)
+    if rejects is not None:
+        bad.write.mode("overwrite").parquet(rejects)
+    skipped = bad.count()
+    valid = valid_prompts(accepted(found).drop("path"))
     incoming = materialise(latest_prompts(valid))
     stored = read_store(spark, store, schemas.PROMPT)
     counts = upsert_counts(stored, incoming, "prompt_id").first().asDict()

@@ -51,6 +51,9 @@ QUESTION = _row(file_path=_TEXT, taxonomy_id=_TEXT, pos=_INT, q_raw=_TEXT)
 PARSED_MCQ = _row(question=_TEXT, options=_TEXTS, answer_text=_TEXT, answer_number=_LONG)
 RESPONSE = _row(file_path=_TEXT, pos=_INT, model=_TEXT, raw=_TEXT)
 STATUS = _row(taxonomy_id=_TEXT, status=_TEXT, error=_TEXT)
+# Where and why a file is no document, and a YAML text as JSON or what is wrong with it.
+PROBLEM = _row(place=_TEXT, reason=_TEXT)
+CONVERTED = _row(text=_TEXT, place=_TEXT, reason=_TEXT)
 REPLY = _row(raw=_TEXT, error=_TEXT)
 PANEL_REPLIES = ArrayType(_row(model=_TEXT, raw=_TEXT))
 GRADE = _row(passing=BooleanType(), score=_DOUBLE, error=_TEXT)

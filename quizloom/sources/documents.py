@@ -5,35 +5,98 @@ position inside the file. The order is part of the rows, not of the scan.
 """
 
 import json
+from collections.abc import Iterator
+from fnmatch import fnmatch
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quizloom import schemas
+from quizloom.functions.batches import by_bytes
+from quizloom.operators.columns import with_computed
+from quizloom.operators.storage import data_files
 from quizloom.sources.json_text import parse, read_texts
 
 
-@F.pandas_udf(T.StringType())
-def _yaml_to_json(texts: pd.Series) -> pd.Series:
+NOT_A_DOCUMENT = "not a document of the expected form"
+
+
+@F.arrow_udf(schemas.CONVERTED)
+def _yaml_to_json(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """A YAML text as JSON, or where and why it is not YAML."""
     import yaml
 
     def convert(text):
         try:
-            return json.dumps(yaml.safe_load(text), ensure_ascii=False, default=str)
-        except yaml.YAMLError:
-            return None
+            return json.dumps(yaml.safe_load(text or ""), ensure_ascii=False, default=str), None, None
+        except yaml.MarkedYAMLError as error:
+            mark = error.problem_mark
+            return None, mark and f"{mark.line + 1}:{mark.column + 1}", error.problem
+        except (yaml.YAMLError, ValueError, RecursionError) as error:
+            return None, None, f"{type(error).__name__}: {error}".splitlines()[0]
+
+    yield from _converted(batches, convert, ["text", "place", "reason"])
+
+
+@F.arrow_udf(schemas.PROBLEM)
+def _json_problem(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Where and why a text is not JSON; NULLs for one that is, and for NULL."""
+
+    def convert(text):
+        if text is None:
+            return None, None
+        try:
+            json.loads(text)
+            return None, None
+        except json.JSONDecodeError as error:
+            return f"{error.lineno}:{error.colno}", error.msg
+        except RecursionError:
+            return None, "nested too deeply"
+
+    yield from _converted(batches, convert, ["place", "reason"])
+
+
+def _converted(batches, convert, names) -> Iterator[pa.Array]:
+    for batch in batches:
+        rows = [convert(text) for (texts,) in by_bytes((batch,)) for text in texts]
+        columns = zip(*rows) if rows else [[]] * len(names)
+        yield pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in columns], names=names)
+
+
+def _read(spark, path, as_doc, check, yaml_rank: int, json_rank: int) -> DataFrame:
+    """One row per file: ``path, format_rank, doc, problem``.
+
+    ``problem`` says where and why a file is not a document, or what ``check``, a column
+    function of the document, has against it. It is NULL for all others, whose ``doc`` is
+    not NULL. Only files that do not parse are looked at for a reason.
+    """
+    yaml_files = with_computed(_folder_files(spark, path, "*.yaml", yaml_rank), "json", _yaml_to_json("text"))
+    json_files = _folder_files(spark, path, "*.json", json_rank)
+    as_yaml = yaml_files.withColumn("text", F.col("json.text")).withColumn(
+        "found", F.when(F.col("json.text").isNull(), F.struct("json.place", "json.reason"))
+    ).drop("json")
+    files = as_yaml.unionByName(json_files.withColumn("found", F.lit(None).cast(schemas.PROBLEM)))
+    read = with_computed(files, "doc", as_doc(F.col("text")))
+    unread = F.col("doc").isNull()
+    why = _json_problem(F.when(unread & F.col("found").isNull(), F.col("text")))
+    named = with_computed(read, "why", why)
+    reason = F.coalesce("found.reason", "why.reason", F.lit(NOT_A_DOCUMENT))
+    place = F.coalesce("found.place", "why.place")
+    against = check(F.col("doc"))
+    problem = F.when(unread, F.struct(place.alias("place"), reason.alias("reason"))).when(
+        against.isNotNull(), F.struct(F.lit(None).cast("string").alias("place"), against.alias("reason"))
+    )
+    return named.select("path", "format_rank", "doc", problem.alias("problem"))
+
 
-    return texts.map(convert)
+def accepted(documents: DataFrame) -> DataFrame:
+    return documents.filter(F.col("problem").isNull()).drop("problem")
 
 
-def _read(spark, path, as_doc, yaml_rank: int, json_rank: int) -> DataFrame:
-    """One row per file; ``doc`` is NULL where the file does not parse."""
-    yaml_files = _files(spark, path, "*.yaml", yaml_rank)
-    json_files = _files(spark, path, "*.json", json_rank)
-    files = yaml_files.withColumn("text", _yaml_to_json("text")).unionByName(json_files)
-    return files.select("path", "format_rank", as_doc(F.col("text")).alias("doc"))
+def rejected(documents: DataFrame) -> DataFrame:
+    """``path, place, reason`` of the files that are left out; ``place`` is line and column."""
+    return documents.filter(F.col("problem").isNotNull()).select("path", "problem.*")
 
 
 def _files(spark, path, pattern, rank) -> DataFrame:
@@ -41,21 +104,42 @@ def _files(spark, path, pattern, rank) -> DataFrame:
     return files.select("text", "path", F.lit(rank).alias("format_rank"))
 
 
+def _folder_files(spark, path, pattern, rank) -> DataFrame:
+    """Files of a folder; Spark's readers pass over empty ones, which are added here."""
+    files = _files(spark, path, pattern, rank)
+    names = [name for name, size in data_files(spark, path) if not size and fnmatch(name, pattern)]
+    empty = spark.createDataFrame([("", name, rank) for name in names], files.schema)
+    return files.unionByName(empty) if names else files
+
+
+def _taxonomy(text: Column) -> Column:
+    return parse(text, schemas.TAXONOMY)
+
+
+def _taxonomy_lacks(doc: Column) -> Column:
+    return F.when(doc["domain"].isNull(), "no domain").when(doc["categories"].isNull(), "no categories")
+
+
 def read_taxonomies(spark: SparkSession, path: str) -> DataFrame:
-    """All ``*.yaml``, then all ``*.json`` taxonomies of a folder."""
-    return _read(spark, path, lambda text: parse(text, schemas.TAXONOMY), yaml_rank=0, json_rank=1)
+    """All ``*.yaml``, then all ``*.json`` taxonomies of a folder; ``path, format_rank, doc, problem``."""
+    return _read(spark, path, _taxonomy, _taxonomy_lacks, yaml_rank=0, json_rank=1)
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """A single YAML taxonomy file."""
     files = _files(spark, path, "*", 0)
-    doc = parse(_yaml_to_json("text"), schemas.TAXONOMY)
+    doc = parse(_yaml_to_json("text")["text"], schemas.TAXONOMY)
     return files.select("path", "format_rank", doc.alias("doc"))
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    """All ``*.json``, then all ``*.yaml`` templates of a folder, with all their fields."""
-    return _read(spark, path, _prompt, yaml_rank=1, json_rank=0)
+    """All ``*.json``, then all ``*.yaml`` templates of a folder, with all their fields;
+    ``path, format_rank, doc, problem``."""
+    return _read(spark, path, _prompt, _prompt_lacks, yaml_rank=1, json_rank=0)
+
+
+def _prompt_lacks(doc: Column) -> Column:
+    return F.when(doc["prompt_id"].isNull(), "no prompt_id")
 
 
 def _prompt(text: Column) -> Column:
@@ -76,4 +160,3 @@ def one_row_or_error(rows: DataFrame, key: str, value: str) -> DataFrame:
     if found.isEmpty():
         raise ValueError(f"no {key} {value!r} in the store")
     return found
-

@@ -3,6 +3,7 @@ import glob
 import gzip
 import json
 import sys
+import warnings
 
 import pytest
 from pyspark import cloudpickle
@@ -222,10 +223,23 @@ def test_patterns_mean_the_same(spark, pattern, text):
     java, groups = to_java(pattern)
     row = spark.createDataFrame([(text, java)], "t STRING, p STRING")
     found = row.select(F.regexp_extract_all("t", F.concat(F.lit("(?sdU)"), "p"), F.lit(0))).first()[0]
-    assert found == [m.group() for m in re.finditer(pattern, text, re.DOTALL)]
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", FutureWarning)
+        expected = [m.group() for m in re.finditer(pattern, text, re.DOTALL)]
+    assert found == expected
     assert groups == re.compile(pattern).groups
 
 
+@pytest.mark.parametrize("at_once", [1, 2, 3, 100])
+def test_patterns_are_compiled_in_parts(spark, monkeypatch, at_once):
+    monkeypatch.setattr(generate, "PATTERNS_AT_ONCE", at_once)
+    rows = [("a", r"Q\d+"), ("b", "(x)(y)"), ("c", "(open"), ("d", None), ("e", r"Q\d+")]
+    df = spark.createDataFrame(rows, "prompt_id STRING, parser_regex STRING")
+    found = {r.prompt_id: r for r in generate.with_runnable_patterns(df).collect()}
+    assert {k: r.pattern_groups for k, r in found.items()} == {"a": 0, "b": 2, "c": None, "d": None, "e": 0}
+    assert [k for k, r in found.items() if r.pattern_problem] == ["c"]
+
+
 def test_patterns_without_a_form():
     for pattern in ("(", "(a)(?(1)b|c)"):
         with pytest.raises(ValueError):

@@ -5,7 +5,9 @@ import pytest
 from quizloom import schemas
 from quizloom.operators.upsert import read_store
 from quizloom.plans import seeding
+from quizloom.sources import documents
 from quizloom.sources.documents import read_taxonomies, read_taxonomy
+from quizloom.sources.files import write_texts
 
 yaml = pytest.importorskip("yaml")
 
@@ -132,3 +134,52 @@ def test_hot_leaf_id(spark):
         topics = {r["leaf_id"]: r["topic"] for r in merged}
         assert len(merged) == len(topics) == 402
         assert (topics["hot"], topics["only"]) == ("t597", "o")
+
+
+def test_rejects_are_named(spark, tmp_path):
+    folder, store, rejects = tmp_path / "p", str(tmp_path / "store"), str(tmp_path / "rejects")
+    put(folder, "a.json", prompt("one", template="T1"))
+    put(folder, "b.json", "{\n  \"prompt_id\": oops}")
+    put(folder, "c.yaml", "prompt_id: x\ntemplate: [1, 2")
+    put(folder, "d.json", {"template": "no id"})
+    put(folder, "e.yaml", "just words")
+    put(folder, "f.json", "[1, 2]")
+    put(folder, "g.json", "")
+    put(folder, "h.yaml", "a: b: c")
+    counts = seeding.seed_prompts(spark, str(folder), store, rejects)
+    assert counts == {"upserted": 1, "modified": 0, "skipped": 7}
+    found = {r.path.rsplit("/", 1)[1]: (r.place, r.reason) for r in spark.read.parquet(rejects).collect()}
+    assert found == {
+        "b.json": ("2:16", "Expecting value"),
+        "c.yaml": ("2:16", "expected ',' or ']', but got '<stream end>'"),
+        "d.json": (None, "no prompt_id"),
+        "e.yaml": (None, documents.NOT_A_DOCUMENT),
+        "f.json": (None, documents.NOT_A_DOCUMENT),
+        "g.json": ("1:1", "Expecting value"),
+        "h.yaml": ("1:5", "mapping values are not allowed here"),
+    }
+
+
+@pytest.mark.parametrize(
+    "name, text, reason",
+    [
+        ("t.json", '{"domain": "D"}', "no categories"),
+        ("t.yaml", "categories: {}", "no domain"),
+        ("t.json", '{"domain"', "1:10 Expecting ':' delimiter"),
+    ],
+)
+def test_faulty_taxonomy_is_named_with_its_reason(spark, tmp_path, name, text, reason):
+    put(tmp_path / "t", name, text)
+    with pytest.raises(ValueError, match=f"{name}: {reason}"):
+        seeding.seed_taxonomies(spark, str(tmp_path / "t"), str(tmp_path / "store"))
+
+
+def test_files_written_by_tasks(spark, tmp_path):
+    folder = str(tmp_path / "files")
+    rows = [(f"{i}.txt", None if i == 3 else f"text é\n{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "name STRING, text STRING").repartition(3)
+    for _ in range(2):
+        assert write_texts(df, folder) == 20
+    names = sorted(p.name for p in (tmp_path / "files").iterdir())
+    assert names == sorted(name for name, _ in rows)
+    assert all((tmp_path / "files" / name).read_text() == (text or "") for name, text in rows)
