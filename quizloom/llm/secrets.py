@@ -1,8 +1,9 @@
 """Secret scans of texts and of everything encoded inside them.
 
 Each text is the first layer of a worklist. A layer is scanned for secrets, then its
-encoded stretches are unwrapped: URL escapes, Unicode escapes, base64 and compressed
-data (gzip, zlib, bzip2, Zstandard) inside base64. Escapes are decoded in place, so that
+encoded stretches are unwrapped: URL escapes, Unicode and string escapes, base64, also
+wrapped, indented or quoted, and compressed data (gzip, zlib, bzip2, xz, Zstandard, zip)
+inside base64 or escaped bytes. Escapes are decoded in place, so that
 plain and decoded text of their lines are scanned together. Every unwrapped stretch is a
 new layer with its own positions mapped back to the text, until no layer yields another.
 A layer whose content was seen before in the same document at the same place is not
@@ -27,18 +28,21 @@ import base64
 import bisect
 import bz2
 import hashlib
+import lzma
 import re
+import struct
 import zlib
 from array import array
 from collections import deque
 from dataclasses import dataclass
 from itertools import accumulate
+from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from quizloom.llm.text import with_fields
+from quizloom.llm.text import hide, with_fields
 
 # Bytes of unpacked content that are held and scanned at a time.
 MAX_LAYER = 8 << 20
@@ -58,20 +62,35 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 _URL = re.compile(r"%[0-9A-Fa-f]{2}")
-_URLS = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(
-    r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})"
-    r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
+# A sign that begins escapes and was escaped many times over is peeled in one step.
+_URLS = re.compile(r"%(?:25){4,}|(?:%[0-9A-Fa-f]{2})+")
+_CODE = (
+    r"&(?:#38;|#[xX]26;){4,}|\\(?:u005[cC]|x5[cC]){4,}"
+    r"|\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})"
+    r"|&#[xX]([0-9A-Fa-f]{1,6});|\\U([0-9A-Fa-f]{8})|%u([0-9A-Fa-f]{4})"
+    r"|&#([0-9]{1,7});|\\([0-3][0-7]{2})"
 )
+_CODES = re.compile(_CODE)
+_ESCAPE = re.compile(_CODE + r"|\\([\"'/\\bfnrt])")
+# What the letters of string escapes stand for; others stand for themselves.
+_LETTERS = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t"}
+_STRING_ESCAPE = re.compile(r"\\[\"'/\\bfnrt]")
+# Lines of base64 that a string holds with its line ends escaped.
+_ESCAPED_END = re.compile(r"[A-Za-z0-9+/_-]{32}(?:\\r)?\\n")
+_WORD = re.compile(r"[^\s\"'<>]{24,}")
+_HEX_BYTE = re.compile(rb"\\x([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(
-    r"(?:[A-Za-z0-9+/_-]{40,}\r?\n)+[A-Za-z0-9+/_-]*={0,2}|[A-Za-z0-9+/_-]{16,}={0,2}"
+    r"(?:[A-Za-z0-9+/_-]{32,}\r?\n[\x20\t>]*)+[A-Za-z0-9+/_-]*={0,2}|[A-Za-z0-9+/_-]{16,}={0,2}"
 )
+# What may stand between the lines of a wrapped block.
+_BETWEEN = "\r\n \t>="
+_JOINED = str.maketrans("", "", "\r\n \t>")
 _BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # The first bytes of the formats.
 _PACKED = re.compile(
     rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|\x28\xb5\x2f\xfd"
-    rb"|BZh[1-9](?:1AY&SY|\x17\x72\x45\x38\x50\x90)"
-)
+    rb"|BZh[1-9](?:1AY&SY|\x17\x72\x45\x38\x50\x90)|\xfd7zXZ\0|PK\x03\x04.{4}\x08\0"
+, re.DOTALL)
 _SKIPPABLE = re.compile(rb"[\x50-\x5f]\x2a\x4d\x18")
 # Low byte first or high byte first, by what stands before; two or four bytes a character.
 _WIDE = {n: re.compile(rb"(?:[\t-\r\x20-\xff]\0{%d}){8,}[\t-\r\x20-\xff]?" % (n - 1)) for n in (2, 4)}
@@ -79,10 +98,10 @@ _WIDE = {n: re.compile(rb"(?:[\t-\r\x20-\xff]\0{%d}){8,}[\t-\r\x20-\xff]?" % (n
 # that no wrapped block goes on from.
 _CUTS = (
     re.compile(rb"(?s).*[^A-Za-z0-9+/_.=:\"'\x20\r\n%\\&#;{}\0-]"),
-    re.compile(rb"(?s).*[^A-Za-z0-9+/_\r\0-][A-Za-z0-9+/_-]{0,39}\r?\n"),
+    re.compile(rb"(?s).*[^A-Za-z0-9+/_\r\0-][A-Za-z0-9+/_-]{0,31}\r?\n"),
 )
-_WRAPPED_END = re.compile(r"[A-Za-z0-9+/_-]{40}\r?\Z")
-_WRAPPED_LINES = re.compile(r"(?:[A-Za-z0-9+/_-]{40,}\r?\n)*")
+_WRAPPED_END = re.compile(r"[A-Za-z0-9+/_-]{32}\r?\Z")
+_WRAPPED_LINES = re.compile(r"(?:[\x20\t>]*[A-Za-z0-9+/_-]{32,}\r?\n)*")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -112,10 +131,16 @@ def _url_layer(piece: str):
     """Decoded text and ``(place, start, end)`` of each decoded character in ``piece``."""
     out, places, size, at = [], [], 0, 0
     for m in _URLS.finditer(piece):
-        text, widths = _readable(bytes.fromhex(m.group().replace("%", "")))
-        out += [piece[at : m.start()], text]
+        out.append(piece[at : m.start()])
         size += m.start() - at
         at = m.start()
+        if m.group().startswith("%2525"):
+            out.append("%25")
+            places += [(size + i, *m.span()) for i in range(3)]
+            size, at = size + 3, m.end()
+            continue
+        text, widths = _readable(bytes.fromhex(m.group().replace("%", "")))
+        out.append(text)
         for width in widths:
             places.append((size, at, at + 3 * width))
             size, at = size + 1, at + 3 * width
@@ -126,8 +151,21 @@ def _url_layer(piece: str):
 def _escape_layer(piece: str):
     out, places, size, at = [], [], 0, 0
     for m in _ESCAPE.finditer(piece):
-        digits = m.group(1) or m.group(2) or m.group(3) or m.group(4)
-        code = int(digits, 16) if digits else int(m.group(5))
+        *hexes, decimal, octal, letter = m.groups()
+        digits = next(filter(None, hexes), None)
+        if m.lastindex is None:
+            sign = "&#38;" if m.group()[0] == "&" else "\\u005c"
+            out += [piece[at : m.start()], sign]
+            size += m.start() - at
+            places += [(size + i, *m.span()) for i in range(len(sign))]
+            size, at = size + len(sign), m.end()
+            continue
+        if digits:
+            code = int(digits, 16)
+        elif letter:
+            code = ord(_LETTERS.get(letter, letter))
+        else:
+            code = int(decimal) if decimal else int(octal, 8)
         if code > 0x10FFFF or 0xD800 <= code < 0xE000:
             continue
         out += [piece[at : m.start()], chr(code)]
@@ -155,34 +193,65 @@ class _Fixed:
         return self._place
 
 
-class _Escapes:
-    """Places of a layer of escapes; characters between decoded ones follow each other."""
+class _Runs:
+    """Places of characters of which some stand for stretches and all others follow on."""
 
-    def __init__(self, around, start: int, places: list[tuple[int, int, int]]):
-        self._around, self._start = around, start
-        self._at = array("q", [p[0] for p in places])
-        self._starts = array("q", [start + p[1] for p in places])
-        self._ends = array("q", [start + p[2] for p in places])
+    def __init__(self, first: int, entries: list[tuple[int, int, int]]):
+        self.first = first
+        self.at = array("q", [e[0] for e in entries])
+        self.starts = array("q", [e[1] for e in entries])
+        self.ends = array("q", [e[2] for e in entries])
 
-    def _char(self, i: int) -> tuple[int, int]:
-        k = bisect.bisect_right(self._at, i) - 1
+    def char(self, i: int) -> tuple[int, int]:
+        k = bisect.bisect_right(self.at, i) - 1
         if k < 0:
-            return self._start + i, self._start + i + 1
-        if self._at[k] == i:
-            return self._starts[k], self._ends[k]
-        place = self._ends[k] + i - self._at[k] - 1
+            return self.first + i, self.first + i + 1
+        if self.at[k] == i:
+            return self.starts[k], self.ends[k]
+        place = self.ends[k] + i - self.at[k] - 1
         return place, place + 1
 
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        return self.char(start)[0], self.char(end - 1)[1]
+
+    def inside(self, outer: "_Runs") -> "_Runs":
+        """The same characters in the places of the layer around ``outer``."""
+        entries, here, there = [], 0, self.first
+
+        def copied(upto: int | None) -> None:
+            low = bisect.bisect_left(outer.at, there)
+            high = len(outer.at) if upto is None else bisect.bisect_left(outer.at, upto)
+            for k in range(low, high):
+                entries.append((here + outer.at[k] - there, outer.starts[k], outer.ends[k]))
+
+        for at, start, end in zip(self.at, self.starts, self.ends):
+            copied(start)
+            entries.append((at, *outer.span(start, end)))
+            here, there = at + 1, end
+        copied(None)
+        return _Runs(outer.char(self.first)[0], entries)
+
+
+class _Escapes:
+    """Places of a layer of escapes; characters between decoded ones follow each other.
+
+    Layers of escapes inside each other keep their places in what is around them all, so
+    a place costs the same however deep its layer is.
+    """
+
+    def __init__(self, around, start: int, places: list[tuple[int, int, int]]):
+        self._local = _Runs(start, [(at, start + first, start + last) for at, first, last in places])
+        if isinstance(around, _Escapes):
+            self._around, self._runs = around._around, self._local.inside(around._runs)
+        else:
+            self._around, self._runs = around, self._local
+
     def outside(self, start: int, end: int) -> tuple[int, int]:
         """Place in the layer around this one."""
-        return self._char(start)[0], self._char(end - 1)[1]
+        return self._local.span(start, end)
 
     def span(self, start: int, end: int) -> tuple[int, int]:
-        places = self
-        while isinstance(places, _Escapes):
-            start, end = places.outside(start, end)
-            places = places._around
-        return places.span(start, end)
+        return self._around.span(*self._runs.span(start, end))
 
 
 class _Decoded:
@@ -202,7 +271,7 @@ class _Decoded:
             self._bounds = self._bounds()
             piece = self._piece
             if "\n" in piece:
-                self._kept = array("q", [i for i, c in enumerate(piece) if c not in "\r\n="])
+                self._kept = array("q", [i for i, c in enumerate(piece) if c not in _BETWEEN])
             else:
                 self._kept = range(len(piece.rstrip("=")))
         first = self._shift + self._bounds[start] * 4 // 3
@@ -242,6 +311,12 @@ def _members(raw: bytes, end: list[int]):
         at, step, limits = m.start(), _CHUNK, (_CHUNK,)
         if raw.startswith(b"BZh", at):
             worker = bz2.BZ2Decompressor()
+        elif raw.startswith(b"\xfd7zXZ", at):
+            worker = lzma.LZMADecompressor()
+        elif raw.startswith(b"PK", at):
+            # A deflated member of a zip archive, behind its own header.
+            at += 30 + sum(struct.unpack("<HH", raw[at + 26 : at + 30].ljust(4, b"\0")))
+            worker = zlib.decompressobj(-15)
         elif raw.startswith(b"\x28\xb5", at):
             # Its output cannot be limited; its input can.
             worker, step, limits = zstandard.ZstdDecompressor().decompressobj(), 256, ()
@@ -257,7 +332,7 @@ def _members(raw: bytes, end: list[int]):
                     piece = getattr(worker, "unconsumed_tail", b"")
                     if worker.eof or not limits or not piece and len(content) < _CHUNK:
                         break
-        except (zlib.error, OSError, zstandard.ZstdError):
+        except (zlib.error, lzma.LZMAError, OSError, zstandard.ZstdError):
             return
         if not worker.eof:
             return
@@ -297,7 +372,7 @@ def _base64_bytes(piece: str):
     What is encoded may begin anywhere in the piece, after other text of the same
     characters, and may end before it; one of the four then has all of it.
     """
-    clean = piece.replace("\r", "").replace("\n", "").rstrip("=")
+    clean = piece.translate(_JOINED).rstrip("=")
     clean = clean.replace("-", "+").replace("_", "/")
     for shift in range(4):
         rest = clean[shift:]
@@ -308,10 +383,21 @@ def _base64_bytes(piece: str):
 
 def _may_have(text: str) -> bool:
     return bool(
-        base_spans(text) or _URL.search(text) or _ESCAPE.search(text) or _BASE64_LINE.search(text)
+        base_spans(text) or _URL.search(text) or _BASE64_LINE.search(text) or _has_escapes(text)
     )
 
 
+def _has_escapes(text: str) -> bool:
+    """True for escapes of codes, and for string escapes where they can hide something."""
+    if "\\" not in text:
+        return ("&#" in text or "%u" in text) and bool(_CODES.search(text))
+    if _CODES.search(text):
+        return True
+    lowered = text.lower()
+    hides = any(name in lowered for name in ASSIGN_NAMES) or _ESCAPED_END.search(text)
+    return bool(hides and _STRING_ESCAPE.search(text))
+
+
 def _escaped_lines(text: str, mark: re.Pattern) -> tuple[int, int]:
     """Place of the lines from the first escape to the last.
 
@@ -324,7 +410,7 @@ def _escaped_lines(text: str, mark: re.Pattern) -> tuple[int, int]:
     if first is None:
         return 0, 0
     start = text.rfind("\n", 0, first.start()) + 1
-    while start and _WRAPPED_END.search(text, max(0, start - 42), start - 1):
+    while start and _WRAPPED_END.search(text, max(0, start - 34), start - 1):
         start = text.rfind("\n", 0, start - 1) + 1
     line = text.find("\n", last.end()) + 1 or len(text)
     line = _WRAPPED_LINES.match(text, line).end()
@@ -336,7 +422,7 @@ def _escapes(text: str):
     marks = []
     if "%" in text:
         marks.append((_URL, _url_layer, "url"))
-    if "\\" in text or "&#" in text:
+    if _has_escapes(text):
         marks.append((_ESCAPE, _escape_layer, "unicode"))
     for mark, unwrap, name in marks:
         start, end = _escaped_lines(text, mark)
@@ -344,6 +430,23 @@ def _escapes(text: str):
             yield start, end, *unwrap(text[start:end]), name
 
 
+def _escaped_bytes(text: str):
+    """``(start, end, bytes, name)`` of words whose escapes give compressed data."""
+    if "%" not in text and "\\x" not in text:
+        return
+    for m in _WORD.finditer(text):
+        word = m.group()
+        if "%" in word:
+            raw, name = unquote_to_bytes(word.encode("utf-8", "surrogateescape")), "url"
+        elif "\\x" in word:
+            raw = _HEX_BYTE.sub(lambda h: bytes.fromhex(h.group(1).decode()), word.encode("utf-8", "surrogateescape"))
+            name = "unicode"
+        else:
+            continue
+        if _PACKED.search(raw):
+            yield *m.span(), raw, name
+
+
 def _base64_pieces(text: str):
     """``(start, piece, is_line)``: base64 candidates, and the lines of wrapped ones.
 
@@ -440,6 +543,10 @@ class _Scan:
                     self.work.append(
                         _Layer(inner, mapped, way + name, set(found), layer.of_line)
                     )
+        for start, end, raw, name in _escaped_bytes(text):
+            place = places.span(start, end)
+            if self._is_new(place, raw):
+                self.work.append(self._blocks_of(raw, place, f"{way}{name}+packed", layer.of_line))
         for start, piece, is_line in _base64_pieces(text):
             place = places.span(start, start + len(piece))
             for shift, raw in _base64_bytes(piece):
@@ -460,10 +567,11 @@ class _Scan:
                 _Layer(text, mapped, f"{way}+{name}" if name else way, of_line=of_line)
             )
         if packed:
-            self.work.append(
-                (block, place, f"{way}+packed", None, of_line, whole)
-                for block, whole in _unpacked(raw)
-            )
+            self.work.append(self._blocks_of(raw, place, f"{way}+packed", of_line))
+
+    def _blocks_of(self, raw: bytes, place, way: str, of_line: bool):
+        """Arguments of ``_bytes`` for all that is unpacked from some bytes, made on demand."""
+        return ((block, place, way, None, of_line, whole) for block, whole in _unpacked(raw))
 
 
 def all_spans(text: str) -> tuple[list, list]:
@@ -516,5 +624,5 @@ def scan_secrets(documents: DataFrame) -> DataFrame:
 
     ``spans`` lists ``kind:start:end`` in code points of the text, end exclusive.
     """
-    base = documents.drop(*RESULT)
-    return base.mapInArrow(_scan, with_fields(base.schema, RESULT))
+    base, show = hide(documents, "text")
+    return show(base.mapInArrow(_scan, with_fields(base.schema, RESULT)), *RESULT)

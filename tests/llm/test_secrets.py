@@ -1,3 +1,7 @@
+import json
+import lzma
+import time
+import zipfile
 import base64
 import bz2
 import gzip
@@ -222,3 +226,78 @@ def test_edge_rows(spark):
     expected = joined([(s, k, e) for s, k, e in brute_base(text)])
     assert row.base_sha256 == hashlib.sha256(expected.encode()).hexdigest()
     assert scan_secrets(empty_documents(spark)).count() == 0
+
+
+PLAIN = b"some text password=hunter22abc and more of it to compress " * 3
+ZIPPED = gzip.compress(bytes(range(256)) * 2 + PLAIN)
+
+
+def zip_archive(content):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("a.txt", content)
+        archive.writestr("b.txt", b"nothing here " * 9)
+    return out.getvalue()
+
+
+def wrapped(width, lead=""):
+    encoded = base64.b64encode(ZIPPED).decode()
+    return "\n".join(lead + encoded[i : i + width] for i in range(0, len(encoded), width))
+
+
+@pytest.mark.parametrize(
+    "text, way",
+    [
+        (urllib.parse.quote_from_bytes(gzip.compress(PLAIN)), "url+packed"),
+        ("".join(f"\\x{c:02x}" for c in gzip.compress(PLAIN)), "unicode+packed"),
+        (wrapped(64, "    "), "base64+packed"),
+        (wrapped(64, "> "), "base64+packed"),
+        (wrapped(76, "\t"), "base64+packed"),
+        (wrapped(32), "base64+packed"),
+        (json.dumps({"k": wrapped(64)}), "unicode+base64+packed"),
+        (base64.b64encode(zip_archive(PLAIN)).decode(), "base64+packed"),
+        (base64.b64encode(lzma.compress(PLAIN)).decode(), "base64+packed"),
+        (r"\U00000070assword = hunter22", "unicode"),
+        ("%u0070assword=hunter22", "unicode"),
+        (r"\160assword=hunter22", "unicode"),
+        (r"{\"password\":\"hunter22\"}", "unicode"),
+        (json.dumps(json.dumps(json.dumps({"password": "hunter22"}))), "unicode+unicode"),
+        ("pass%" + "25" * 50 + "77ord=hunter22", "url+url+url"),
+        ("pass&" + "#38;" * 50 + "#119;ord=hunter22", "unicode+unicode+unicode"),
+    ],
+)
+def test_layers_of_all_kinds(text, way):
+    base, deeper = secrets.all_spans("before\n" + text + "\nafter")
+    found = [(start, end) for start, kind, end in deeper if kind == f"assign@{way}"]
+    assert found
+    assert all(7 <= start < end <= 7 + len(text) for start, end in found)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["%" + "25" * 3000 + "41", "&" + "#38;" * 3000 + "#65;", "\\" + "u005c" * 3000 + "u0041", "\\" * 20_000],
+)
+def test_signs_escaped_many_times_end_soon(text):
+    began = time.process_time()
+    secrets.all_spans(" ".join([text] * 5))
+    assert time.process_time() - began < 1
+
+
+def test_places_of_nested_escapes_are_exact():
+    """Composed places against those found by following every character."""
+    inner = "a password=hunter22 z"
+    once = "".join(f"%{ord(c):02x}" if i % 3 == 0 else c for i, c in enumerate(inner))
+    twice = "".join(f"&#{ord(c)};" if i % 4 == 0 else c for i, c in enumerate(once))
+    lead = "x " * 5
+    _, deeper = secrets.all_spans(lead + twice)
+    start, kind, end = next(s for s in deeper if s[1] == "assign@unicode+url")
+    sizes = [len(f"&#{ord(c)};") if i % 4 == 0 else 1 for i, c in enumerate(once)]
+    ends = [sum(sizes[: i + 1]) for i in range(len(once))]
+    starts = [0, *ends]
+    place, at = [], 0
+    for i, c in enumerate(inner):
+        width = 3 if i % 3 == 0 else 1
+        place.append((starts[at], ends[at + width - 1]))
+        at += width
+    first, last = inner.index("password"), inner.index(" z") - 1
+    assert (start, end) == (len(lead) + place[first][0], len(lead) + place[last][1])
