@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizloom.llm.text import single_spaced
+from quizloom.llm.text import hide, single_spaced
 from quizloom.operators.storage import materialise, new_folder
 
 CAPACITY = 1 << 16
@@ -117,28 +117,24 @@ def mark_copies(documents: DataFrame, index: HashIndex) -> DataFrame:
     their own record of the chain. The join is a plain one: Spark splits the partition
     of a text that very many rows hold.
     """
+    documents, show = hide(documents, "doc_id", "text")
     norm = single_spaced(F.col("text"))
     found = index.records.select(
         F.col("h").alias("_h"), F.col("text_sha256").alias("_sha"), "keep", F.col("group_size").alias("_n")
     )
-    own = ("keep_id", "group_size", "kept", "text_sha256")
-    rows = documents.select(
-        *[c for c in documents.columns if c not in own],
-        F.xxhash64(norm).alias("_h"),
-        F.sha2(norm, 256).alias("_sha"),
-    )
+    rows = documents.select("*", F.xxhash64(norm).alias("_h"), F.sha2(norm, 256).alias("_sha"))
     keep = F.when(F.col("keep") != _LAST, F.col("keep"))
-    return (
+    marked = (
         rows.join(found, ["_h", "_sha"])
         .withColumn("keep_id", keep)
         .withColumn("group_size", F.col("_n"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .withColumn("text_sha256", F.col("_sha"))
-        .drop("_h", "_sha", "_n", "keep")
     )
+    return show(marked, "keep_id", "group_size", "kept", "text_sha256")
 
 
 def exact_dedup(documents: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Only the rows that stay, with the input's columns."""
-    marked = mark_copies(documents, build_index(documents, capacity))
-    return marked.filter("kept").select(*documents.columns)
+    hidden, show = hide(documents, "doc_id", "text")
+    return show(mark_copies(hidden, build_index(documents, capacity)).filter("kept"))

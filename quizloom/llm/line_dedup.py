@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.llm.tasks import releasing
-from quizloom.llm.text import SPACES, UPPER, with_fields
+from quizloom.llm.text import SPACES, UPPER, hide, with_fields
 from quizloom.operators.storage import new_folder
 
 MIN_CHARS = 10
@@ -60,6 +60,7 @@ class LineRuns:
     spark: SparkSession
     fanout: int = FANOUT
     levels: list[list[DataFrame]] = field(default_factory=list)
+    tables: list[str] = field(default_factory=list)
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
@@ -71,11 +72,20 @@ class LineRuns:
         table = f"{name}_{uuid.uuid4().hex}"
         writer = rows.repartition(buckets, "h").write.format("parquet").option("path", path)
         writer.bucketBy(buckets, "h").sortBy("h").saveAsTable(table)
+        self.tables.append(table)
         return self.spark.table(table), path
 
-    def merge(self, lines: DataFrame) -> DataFrame:
+    def close(self) -> None:
+        """Take the runs out of the catalog."""
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables.clear()
+
+    def merge(self, lines: DataFrame, last: bool = False) -> DataFrame:
         """Add a batch of ``id, h``. Returns ``h, owner`` of the keys that cost a line.
 
+        After the ``last`` batch nothing reads the runs, so they are not compacted again.
+
         Those are the keys an earlier batch owns and those that several documents of
         this batch hold. All ids must be above those of earlier batches.
         """
@@ -92,7 +102,8 @@ class LineRuns:
             (~fresh | (F.col("low") != F.col("high"))).alias("shared"),
         )
         table, path = self.store(merged, "line_batch")
-        self._push(0, table.filter("fresh").select("h", "owner"))
+        if not last:
+            self._push(0, table.filter("fresh").select("h", "owner"))
         # Read back as plain files: a bucketed side would keep Spark from splitting
         # the partition of a line that very many documents hold.
         plain = self.spark.read.schema(merged.schema).parquet(path)
@@ -134,9 +145,11 @@ def dropped_keys(
     runs = LineRuns(spark, fanout)
     verdicts = None
     for batch in range(len(bounds) + 1):
-        shared = runs.merge(stored.filter(F.col("batch") == batch).select("id", "h"))
+        own = stored.filter(F.col("batch") == batch).select("id", "h")
+        shared = runs.merge(own, last=batch == len(bounds))
         shared = shared.withColumn("batch", F.lit(batch))
         verdicts = shared if verdicts is None else verdicts.unionByName(shared)
+    runs.close()
     lost = stored.join(verdicts, ["batch", "h"]).filter("id != owner")
     return lost.groupBy("id").agg(F.collect_set("h").alias("drop"))
 
@@ -177,9 +190,8 @@ def line_dedup(
     document with the smallest doc_id. Columns of the input with one of the three new
     names are replaced.
     """
-    new = ("n_lines", "n_dropped", "kept_sha256")
-    base = documents.drop(*new)
-    drops = dropped_keys(documents, min_chars, batches, fanout)
+    base, show = hide(documents, "doc_id", "text")
+    drops = dropped_keys(base, min_chars, batches, fanout)
     rest = [c for c in base.columns if c != "text"]
     rows = (
         base.withColumn("_id", F.coalesce("doc_id", F.lit(_LAST)))
@@ -188,4 +200,4 @@ def line_dedup(
     )
     added = {"n_lines": "long", "n_dropped": "long", "kept_sha256": "string"}
     schema = with_fields(base.select(*rest, "text").schema, added)
-    return rows.mapInArrow(releasing(_rebuild), schema)
+    return show(rows.mapInArrow(releasing(_rebuild), schema), *added)

@@ -25,7 +25,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizloom.llm.text import word_count
+from quizloom.llm.text import hide, word_count
 from quizloom.operators.storage import materialise
 
 SEED = 20_251
@@ -201,10 +201,8 @@ def mix(
     """
     if any(w <= 0 for level in weights.values() for w in level.values()):
         raise ValueError("weights must be positive")
-    added = ("domain", "epoch")
-    base = documents.drop(*added).withColumn(
-        "domain", source_domain(F.col("source")) if domain is None else domain
-    )
+    where = source_domain(F.col("source")) if domain is None else domain
+    base, show = hide(documents.withColumn("domain", where), "doc_id", "text", *LEVELS)
     leaf = F.to_json(F.struct(*LEVELS), {"ignoreNullFields": "false"})
     rows = materialise(
         base.select(
@@ -222,7 +220,6 @@ def mix(
     budgets = materialise(leaf_budgets(leaves, budget, weights, max_epochs=max_epochs))
     ends = materialise(prefix_ends(rows.select("leaf", "row", "tokens"), budgets, seed, range_rows))
     own = ends.select(F.col("leaf").alias("_leaf"), "whole", "ranges", "last", "edge")
-    columns = base.columns
     marked = base.withColumn("_leaf", leaf).join(own, "_leaf")
     marked = marked.withColumn("_order", _epoch_order(seed, F.col("whole"), _row_digest()))
     read = F.coalesce(
@@ -236,4 +233,4 @@ def mix(
         ),
         F.when(read, F.array("whole")).otherwise(F.array().cast("array<bigint>")),
     )
-    return marked.select(*columns, F.explode(epochs).alias("epoch"))
+    return show(marked.select(*base.columns, F.explode(epochs).alias("epoch")), "domain", "epoch")

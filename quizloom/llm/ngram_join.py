@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.llm.tasks import releasing
-from quizloom.llm.text import WORD_RE
+from quizloom.llm.text import WORD_RE, hide
 from quizloom.operators.storage import materialise
 
 N = 5
@@ -409,8 +409,9 @@ def near_dedup(documents: DataFrame, **settings) -> DataFrame:
 
     Repeated rows of the document that stays count once.
     """
+    documents, show = hide(documents, "doc_id", "text")
     found = near_duplicates(documents, **settings).filter("kept")
     stay = found.select(_order().alias("_id"), F.col("key").alias("_key")).distinct()
     rows = documents.withColumn("_id", _order()).withColumn("_key", _text_key())
     kept = rows.join(stay, ["_id", "_key"])
-    return kept.dropDuplicates(["_id", "_key"]).select(*documents.columns)
+    return show(kept.dropDuplicates(["_id", "_key"]))

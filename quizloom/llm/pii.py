@@ -22,6 +22,7 @@ overlap. Other columns stay; columns of the input with a name of a count are rep
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quizloom.llm.text import hide
 from quizloom.operators.columns import with_computed
 
 KINDS = ("email", "ip", "date", "ssn", "phone", "card")
@@ -366,8 +367,7 @@ def _kind_and_pseudonym(key: str, value: Column) -> Column:
 
 def pseudonymise(documents: DataFrame, key: str) -> DataFrame:
     """``documents`` with personal values in ``text`` replaced, and ``n_<kind>`` counts."""
-    base = documents.drop(*[f"n_{kind}" for kind in KINDS])
-    columns = base.columns
+    base, show = hide(documents, "text")
     # Texts without a digit or an @ have no values; most never reach the long pattern.
     has = base.withColumn("_has", F.coalesce(F.col("text").rlike("[0-9@]"), F.lit(False)))
     matches = F.when(F.col("_has"), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
@@ -388,5 +388,6 @@ def pseudonymise(documents: DataFrame, key: str) -> DataFrame:
         of_kind = F.filter("_new", lambda m: m["kind"] == kind)
         return F.coalesce(F.size(of_kind), F.lit(0)).cast("bigint").alias(f"n_{kind}")
 
-    counts = [count(kind) for kind in KINDS]
-    return mapped.select(*[text.alias("text") if c == "text" else F.col(c) for c in columns], *counts)
+    columns = [text.alias("text") if c == "text" else F.col(c) for c in base.columns]
+    counted = mapped.select(*columns, *[count(kind) for kind in KINDS])
+    return show(counted, *[f"n_{kind}" for kind in KINDS])

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.hashed import BITS, NGrams, fit_logistic, labelled_sample
 from quizloom.llm.tasks import releasing
-from quizloom.llm.text import SPACES, WORD_RE, with_fields
+from quizloom.llm.text import SPACES, WORD_RE, hide, with_fields
 
 # Limits of the base rules and the characters that count as symbols.
 MIN_WORDS = 50
@@ -174,7 +174,7 @@ def judge_quality(
 
     Documents that fail the base rules have no probability.
     """
-    base = documents.drop(*RESULT)
+    base, show = hide(documents, "text")
 
     def judge(batches):
         ngrams = new_ngrams()
@@ -191,4 +191,4 @@ def judge_quality(
                 columns[name] = pa.array([r[i] for r in rows], _ARROW[kind])
             yield pa.RecordBatch.from_pydict(columns)
 
-    return base.mapInArrow(releasing(judge), with_fields(base.schema, RESULT))
+    return show(base.mapInArrow(releasing(judge), with_fields(base.schema, RESULT)), *RESULT)

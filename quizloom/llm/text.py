@@ -1,6 +1,7 @@
 """Text rules that the operators share."""
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,3 +53,21 @@ def others(df: DataFrame, *replaced: str) -> list[Column]:
     """All columns of ``df`` but those named like a result column."""
     out = {name.lower() for name in replaced}
     return [F.col(quoted(c)) for c in df.columns if c.lower() not in out]
+
+
+def hide(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable]:
+    """``df`` whose columns but the ``needed`` ones have names that clash with nothing, and a
+    function that gives rows made of it their names back, in the order of ``df``.
+
+    The function takes the names of result columns, which come last; columns of ``df`` with
+    such a name are left out.
+    """
+    names = {c: c if c.lower() in needed else f"user_column_{i}" for i, c in enumerate(df.columns)}
+    hidden = df.select(*[F.col(quoted(c)).alias(name) for c, name in names.items()])
+
+    def show(rows: DataFrame, *added: str) -> DataFrame:
+        new = {name.lower() for name in added}
+        own = [F.col(name).alias(c) for c, name in names.items() if c.lower() not in new]
+        return rows.select(*own, *[F.col(name) for name in added])
+
+    return hidden, show

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.llm.hashed import NGrams, fit_logistic, labelled_sample
-from quizloom.llm.text import with_fields
+from quizloom.llm.text import hide, with_fields
 
 ORDERS = (3, 4, 5, 6)
 BITS = 20
@@ -135,7 +135,7 @@ def score_toxicity(
     documents: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD
 ) -> DataFrame:
     """``documents`` with ``held_out``, ``score`` in 0..1 and ``predicted`` 0 or 1."""
-    base = documents.drop("held_out", "score", "predicted")
+    base, show = hide(documents, "doc_id", "text")
 
     def score(batches):
         ngrams = _ngrams(model.orders, model.squares > 0)
@@ -146,6 +146,7 @@ def score_toxicity(
             yield pa.RecordBatch.from_pydict(columns)
 
     scored = base.mapInArrow(score, with_fields(base.schema, {"score": "double"}))
-    return scored.withColumn("held_out", held_out(F.col("doc_id"))).withColumn(
+    scored = scored.withColumn("held_out", held_out(F.col("doc_id"))).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )
+    return show(scored, "held_out", "score", "predicted")
