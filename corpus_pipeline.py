@@ -3,26 +3,37 @@
 Each stage takes the documents its predecessor kept and returns documents of the same
 columns; the last returns the packed pieces. Between stages documents are stored as
 tables in the shared folder, so a lost executor costs one stage's work at most.
+
+Stages read ``doc_id, text, lang, source``; any other column passes through untouched,
+whatever its name, but for ``n_chars``, which follows the text. NULL text is the empty text,
+which the quality rules reject, as they do very short texts. Rows without a doc_id count as
+the last document. Repeated rows are judged alike; one of them is left by the n-gram join.
+Ties go to the smaller doc_id. Empty tables give empty tables.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.llm import line_dedup, mixing, ngram_join, packing, quality
+from quizloom.llm.text import hide
 from quizloom.operators.storage import materialise
 
+# Columns that the stages read; all others are carried along.
+READ = ("doc_id", "text", "lang", "source")
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; trained on the labelled ones among them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality.train_quality(docs, labels)
-    judged = quality.judge_quality(docs, model)
-    return judged.filter("kept").select(*docs.columns)
+    hidden, show = hide(docs, *READ)
+    return show(quality.judge_quality(hidden, model).filter("kept"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document has."""
-    kept = line_dedup.line_dedup(docs).select(*docs.columns)
+    hidden, show = hide(docs, *READ)
+    kept = show(line_dedup.line_dedup(hidden))
     return kept.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
@@ -33,7 +44,8 @@ def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents by target weights; one read in two epochs is there twice."""
-    return mixing.mix(docs).select(*docs.columns)
+    hidden, show = hide(docs, *READ)
+    return show(mixing.mix(hidden))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
