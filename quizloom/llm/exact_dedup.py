@@ -1,16 +1,18 @@
 """Exact deduplication by an extendible-hash index on shared files.
 
-The index has one record per distinct normalised text: its hash, its SHA-256, the
-smallest doc_id that holds it and the number of rows that do. Records live in buckets
-named by the leading bits of their hash. A directory of 2^depth slots points to the
-buckets; it doubles, splitting overfull buckets by one more bit, until every bucket
-holds at most ``capacity`` records. Bucket files are written in key ranges, so that a
-task owns whole ranges of hashes. The directory orders the stored records and no more:
-owners and counts come from the grouping that precedes it.
-
-Everything is DataFrame code. Copies are collapsed by the map side of the grouping, so
-a text that a third of all rows hold costs each task one record. Texts are compared
-byte by byte, by grouping on the text itself next to its hash.
+Hashes come first: a grouping of hashes alone finds those that occur more than once. A
+directory of 2^depth slots points to buckets named by leading bits of the hash; it
+doubles, splitting overfull buckets by one more bit, until every bucket holds at most
+``capacity`` hashes. Texts move only if their hash is repeated: to the task that owns
+their bucket, which walks the chain of each hash in byte order, compares neighbours byte
+by byte and starts a new link where they differ. The index has one record per distinct
+normalised text: hash, link in its chain, SHA-256 (of chained texts only), the smallest
+doc_id that holds it and the number of rows that do.
+
+Everything is DataFrame code. A text that a third of all rows hold is collapsed by each
+task before it moves, and by ``SALTS`` tasks before its owner sees it. The scan leaves
+out texts of unrepeated hashes by a bit table of fixed size, the only thing broadcast
+besides the directory; texts that it lets through for nothing are chains of one row.
 
 Defined results: NULL text is the empty text. A NULL doc_id is larger than any other
 and is never the one that stays unless all its copies have none; it then stays as NULL. Rows
@@ -19,6 +21,7 @@ same values. Other columns are passed through untouched; an empty table gives an
 one.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,7 +31,12 @@ from quizloom.llm.text import hide, single_spaced
 from quizloom.operators.storage import materialise, new_folder
 
 CAPACITY = 1 << 16
+# Bounds the directory at 2^20 slots.
 MAX_DEPTH = 20
+# Tasks that share the copies of one text before its owner gets them.
+SALTS = 8
+# The bit table has at most 2^20 words of 64 bits.
+WORD_BITS = 20
 _LAST = (1 << 63) - 1
 
 
@@ -39,6 +47,7 @@ class HashIndex:
     records: DataFrame
     directory: DataFrame
     depth: int
+    hash_of: Callable[[Column], Column]
 
 
 def _prefix(h: Column, bits: int) -> Column:
@@ -84,50 +93,103 @@ def grow_directory(
     return materialise(directory), depth
 
 
+def _may_repeat(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows whose ``h`` is among the repeated ones, and a few others.
+
+    The table has a word per value of the hash's low bits, so its size is bounded.
+    """
+    word = F.col("h").bitwiseAND((1 << WORD_BITS) - 1)
+    bit = F.shiftright("h", WORD_BITS).bitwiseAND(63).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    words = repeated.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("mask"))
+    found = rows.withColumn("word", word).join(F.broadcast(words), "word")
+    return found.filter(F.getbit("mask", bit) == 1).drop("word", "mask")
+
+
+def _in_bucket(rows: DataFrame, directory: DataFrame, depth: int) -> DataFrame:
+    """``rows`` with the ``bucket`` and ``bits`` of their slot."""
+    return rows.withColumn("slot", _prefix(F.col("h"), depth)).join(
+        F.broadcast(directory), "slot"
+    ).drop("slot")
+
+
+def _chains(placed: DataFrame) -> DataFrame:
+    """A record per distinct text, made by the task that owns its bucket.
+
+    A chain has at most ``SALTS`` rows a text. Chains of one row were no repeated hash.
+    """
+    owned = placed.repartition("bits", "bucket")
+    chain = Window.partitionBy("bits", "bucket", "h")
+    walk = chain.orderBy("norm")
+    differs = ~F.col("norm").eqNullSafe(F.lag("norm").over(walk))
+    walked = (
+        owned.withColumn("total", F.sum("n").over(chain))
+        .filter("total > 1")
+        .withColumn("link", F.sum(differs.cast("int")).over(walk))
+    )
+    return walked.groupBy("bits", "bucket", "h", "link").agg(
+        F.first("text_sha256").alias("text_sha256"),
+        F.min("keep").alias("keep"),
+        F.sum("n").alias("group_size"),
+    )
+
+
 def build_index(
-    documents: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH
+    documents: DataFrame,
+    capacity: int = CAPACITY,
+    max_depth: int = MAX_DEPTH,
+    hash_of: Callable[[Column], Column] = F.xxhash64,
 ) -> HashIndex:
     """Index of all distinct normalised texts of ``documents``."""
     spark = documents.sparkSession
-    norm = single_spaced(F.col("text"))
     order = F.coalesce(F.col("doc_id"), F.lit(_LAST))
-    grouped = (
-        documents.select(order.alias("id"), norm.alias("norm"))
-        .groupBy(F.xxhash64("norm").alias("h"), "norm")
-        .agg(F.min("id").alias("keep"), F.count("*").alias("group_size"))
+    texts = documents.select(order.alias("id"), single_spaced(F.col("text")).alias("norm"))
+    rows = texts.withColumn("h", hash_of(F.col("norm")))
+    counts = materialise(rows.groupBy("h").agg(F.min("id").alias("keep"), F.count("*").alias("n")))
+    directory, depth = grow_directory(counts.select("h"), capacity, max_depth)
+    collapsed = (
+        _may_repeat(rows, counts.filter("n > 1"))
+        .groupBy(F.pmod("id", F.lit(SALTS)).alias("salt"), "h", "norm")
+        .agg(F.min("id").alias("keep"), F.count("*").alias("n"))
+        .withColumn("text_sha256", F.sha2("norm", 256))
     )
-    texts = materialise(
-        grouped.select("h", F.sha2("norm", 256).alias("text_sha256"), "keep", "group_size")
+    chained = materialise(_chains(_in_bucket(collapsed, directory, depth)))
+    single = _in_bucket(counts.filter("n = 1"), directory, depth).select(
+        "bits",
+        "bucket",
+        "h",
+        F.lit(1).cast("bigint").alias("link"),
+        F.lit(None).cast("string").alias("text_sha256"),
+        "keep",
+        F.col("n").alias("group_size"),
     )
-    directory, depth = grow_directory(texts.select("h"), capacity, max_depth)
-    placed = texts.withColumn("slot", _prefix(F.col("h"), depth)).join(directory, "slot").drop("slot")
+    records = chained.unionByName(single)
     path = new_folder(spark, "hash-index")
-    placed.repartitionByRange("bucket", "h").sortWithinPartitions("bucket", "h", "keep").write.parquet(
-        path
-    )
-    stored = spark.read.schema(placed.schema).parquet(path)
-    chain = Window.partitionBy("h").orderBy("keep", "text_sha256")
-    return HashIndex(stored.withColumn("link", F.row_number().over(chain)), directory, depth)
+    placed = records.repartition("bits", "bucket").sortWithinPartitions("bits", "bucket", "h", "link")
+    placed.write.parquet(path)
+    stored = spark.read.schema(records.schema).parquet(path)
+    return HashIndex(stored, directory, depth, hash_of)
 
 
 def mark_copies(documents: DataFrame, index: HashIndex) -> DataFrame:
     """``documents`` with keep_id, group_size, kept and text_sha256.
 
-    Rows look up their text by hash and SHA-256, so texts that merely share a hash find
-    their own record of the chain. The join is a plain one: Spark splits the partition
-    of a text that very many rows hold.
+    Rows look up their link by hash and SHA-256; those without a link of several rows
+    have no copies. The join is a plain one: Spark splits the partition of a text that
+    very many rows hold.
     """
     documents, show = hide(documents, "doc_id", "text")
     norm = single_spaced(F.col("text"))
-    found = index.records.select(
+    found = index.records.filter("group_size > 1").select(
         F.col("h").alias("_h"), F.col("text_sha256").alias("_sha"), "keep", F.col("group_size").alias("_n")
     )
-    rows = documents.select("*", F.xxhash64(norm).alias("_h"), F.sha2(norm, 256).alias("_sha"))
-    keep = F.when(F.col("keep") != _LAST, F.col("keep"))
+    rows = documents.select("*", index.hash_of(norm).alias("_h"), F.sha2(norm, 256).alias("_sha"))
+    own = F.when(F.col("_n").isNull(), F.col("doc_id"))
+    keep = own.otherwise(F.when(F.col("keep") != _LAST, F.col("keep")))
     marked = (
-        rows.join(found, ["_h", "_sha"])
+        rows.join(found, ["_h", "_sha"], "left")
         .withColumn("keep_id", keep)
-        .withColumn("group_size", F.col("_n"))
+        .withColumn("group_size", F.coalesce("_n", F.lit(1).cast("bigint")))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .withColumn("text_sha256", F.col("_sha"))
     )

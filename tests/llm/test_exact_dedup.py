@@ -5,7 +5,7 @@ from collections import defaultdict
 from helpers import edge_documents, empty_documents
 from pyspark.sql import functions as F
 
-from quizloom.llm.exact_dedup import build_index, exact_dedup, grow_directory, mark_copies
+from quizloom.llm.exact_dedup import _may_repeat, build_index, exact_dedup, grow_directory, mark_copies
 
 COLUMNS = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -45,6 +45,29 @@ def test_small_buckets_split(spark):
     assert sorted((tuple(r) for r in marked.select(*COLUMNS).collect()), key=repr) == brute(rows)
 
 
+def test_colliding_hashes_are_chained(spark):
+    """With very few hash values, or one, only the bytes tell texts apart."""
+    rows = [(i, f"text {i % 30}" if i % 3 else "hot  text") for i in range(300)] + [(None, "text 1")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    for hash_of in (lambda c: F.lit(7).cast("bigint"), lambda c: F.xxhash64(c) % 3):
+        index = build_index(docs, hash_of=hash_of)
+        assert index.records.agg(F.max("link")).first()[0] > 1
+        assert index.records.count() == len({t for _, t in rows})
+        marked = mark_copies(docs, index)
+        assert sorted((tuple(r) for r in marked.select(*COLUMNS).collect()), key=repr) == brute(rows)
+
+
+def test_only_texts_of_repeated_hashes_move(spark):
+    rows = [(i, f"only text {i}") for i in range(500)] + [(i, "copy") for i in range(500, 520)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    repeated = hashed.groupBy("h").count().filter("count > 1")
+    assert 20 <= _may_repeat(hashed, repeated).count() < 25
+    index = build_index(docs)
+    assert index.records.count() == 501
+    assert index.records.filter("text_sha256 IS NOT NULL").count() == 1
+
+
 def test_directory_points_every_slot(spark):
     """Skewed hashes deepen one side; the bound on bits ends the doubling."""
     hashes = spark.range(64).selectExpr("id AS h").union(spark.range(4).selectExpr("shiftleft(id, 62) AS h"))
