@@ -27,6 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quizloom.llm.bits import may_be_among
 from quizloom.llm.text import hide, single_spaced
 from quizloom.operators.storage import materialise, new_folder
 
@@ -35,8 +36,6 @@ CAPACITY = 1 << 16
 MAX_DEPTH = 20
 # Tasks that share the copies of one text before its owner gets them.
 SALTS = 8
-# The bit table has at most 2^20 words of 64 bits.
-WORD_BITS = 20
 _LAST = (1 << 63) - 1
 
 
@@ -93,19 +92,6 @@ def grow_directory(
     return materialise(directory), depth
 
 
-def _may_repeat(rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """The rows whose ``h`` is among the repeated ones, and a few others.
-
-    The table has a word per value of the hash's low bits, so its size is bounded.
-    """
-    word = F.col("h").bitwiseAND((1 << WORD_BITS) - 1)
-    bit = F.shiftright("h", WORD_BITS).bitwiseAND(63).cast("int")
-    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
-    words = repeated.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("mask"))
-    found = rows.withColumn("word", word).join(F.broadcast(words), "word")
-    return found.filter(F.getbit("mask", bit) == 1).drop("word", "mask")
-
-
 def _in_bucket(rows: DataFrame, directory: DataFrame, depth: int) -> DataFrame:
     """``rows`` with the ``bucket`` and ``bits`` of their slot."""
     return rows.withColumn("slot", _prefix(F.col("h"), depth)).join(
@@ -148,7 +134,7 @@ def build_index(
     counts = materialise(rows.groupBy("h").agg(F.min("id").alias("keep"), F.count("*").alias("n")))
     directory, depth = grow_directory(counts.select("h"), capacity, max_depth)
     collapsed = (
-        _may_repeat(rows, counts.filter("n > 1"))
+        may_be_among(rows, counts.filter("n > 1"))
         .groupBy(F.pmod("id", F.lit(SALTS)).alias("salt"), "h", "norm")
         .agg(F.min("id").alias("keep"), F.count("*").alias("n"))
         .withColumn("text_sha256", F.sha2("norm", 256))

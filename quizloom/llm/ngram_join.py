@@ -6,13 +6,16 @@ members with an equal band share a bucket. How many bands of how many rows follo
 the recall asked for at the similarity threshold. Members of a bucket are compared on
 their full sets.
 
-What is shuffled are band hashes, and the sets of those documents alone that share a
-bucket with another. Buckets with the same members count once. No pair is ever a row:
+What is shuffled are band hashes, and the texts and sets of those documents that share a
+bucket with another. The scan leaves out nearly all other texts by a bit table of fixed
+size, as long as there are at most some ten million such documents; past that it lets
+more and more texts through to the join that follows. Buckets with the same members
+count once. No pair is ever a row:
 a task compares the members of a bucket in memory and returns one row per member, its
 number of links and a neighbour chain to its cluster; a pair is counted only in the
-first band that both share. A bucket with more than ``BLOCK_MEMBERS`` members is
-compared block by block in several tasks, so nothing is left out and no task holds an
-unbounded group. Chains are merged into classes by alternating star steps.
+first band that both share. A bucket with more than ``BLOCK_MEMBERS`` members, or with
+sets of more than ``BLOCK_BYTES``, is compared block by block in several tasks, so nothing
+is left out and no task holds an unbounded group. Chains are merged into classes by alternating star steps.
 
 Defined results: words are runs of other characters than white space; a text with fewer
 words than ``n`` has all its words as its only n-gram; texts without words (and NULL)
@@ -30,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quizloom.llm.bits import may_be_among
 from quizloom.llm.tasks import releasing
 from quizloom.llm.text import WORD_RE, hide
 from quizloom.operators.storage import materialise
@@ -40,6 +44,8 @@ RECALL = 0.99995
 # Hash functions that a signature may have.
 MAX_HASHES = 384
 BLOCK_MEMBERS = 2048
+# Of sets; blocks are drawn by a hash and hold this much on average.
+BLOCK_BYTES = 32 << 20
 _LAST = (1 << 63) - 1
 # A bucket's number: its band, then this many bits of the band's hash.
 _HASH_BITS = 57
@@ -131,21 +137,23 @@ def _order() -> Column:
 
 
 def sketches(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """``uid, id, key, digest, buckets``: a stored row per document.
+    """``uid, id, key, digest, size, buckets``: a stored row per document.
 
-    ``digest`` stands for the n-gram set. The empty set is in no bucket.
+    ``digest`` stands for the n-gram set, ``size`` counts its members. The empty set is in
+    no bucket.
     """
 
     def sketch(batches):
         grams_of, minhash = GramHasher(n), MinHasher(bands, rows)
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            uids, digests, buckets = array("q"), [], []
+            uids, digests, sizes, buckets = array("q"), [], array("q"), []
             for text in batch.column("text"):
                 grams = grams_of(text.as_py() or "")
                 uids.append(uid)
                 uid += 1
                 digests.append(hashlib.md5(grams.tobytes()).digest())
+                sizes.append(len(grams))
                 buckets.append(minhash(grams) if len(grams) else np.empty(0, dtype=np.int64))
             yield pa.RecordBatch.from_pydict(
                 {
@@ -153,23 +161,25 @@ def sketches(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     "id": batch.column("id"),
                     "key": batch.column("key"),
                     "digest": pa.array(digests, pa.binary()),
+                    "size": pa.array(np.asarray(sizes, dtype=np.int64)),
                     "buckets": pa.array(buckets, pa.list_(pa.int64())),
                 }
             )
 
     texts = documents.select(_order().alias("id"), _text_key().alias("key"), "text")
-    schema = "uid BIGINT, id BIGINT, key STRING, digest BINARY, buckets ARRAY<BIGINT>"
+    schema = "uid BIGINT, id BIGINT, key STRING, digest BINARY, size BIGINT, buckets ARRAY<BIGINT>"
     return materialise(texts.mapInArrow(releasing(sketch), schema))
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """The ``uid, bucket`` of buckets with several members, one bucket per member list.
+    """``uid, bucket, members, grams`` of buckets with several members, one per member list.
 
+    ``rows`` are ``uid, size, bucket``; ``grams`` sums the sizes of a bucket's members.
     Lists are told apart by their length and two sums of member hashes. Of buckets with
     equal lists the lowest band stays, as it is there that their pairs are counted.
     """
-    several = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    together = materialise(rows.join(several, "bucket"))
+    several = rows.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("size").alias("grams"))
+    together = materialise(rows.drop("size").join(several.filter("members > 1"), "bucket"))
     lists = together.groupBy("bucket", "members").agg(
         F.bit_xor(F.xxhash64("uid")).alias("first"),
         F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("second"),
@@ -283,24 +293,19 @@ def _gram_sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             )
 
     texts = documents.select(_order().alias("id"), _text_key().alias("key"), "text")
+    row_hash = F.xxhash64("id", "key")
+    texts = may_be_among(texts.withColumn("h", row_hash), wanted.select(row_hash.alias("h")))
     found = texts.join(wanted, ["id", "key"]).select("uid", "text", "buckets")
     schema = "uid BIGINT, grams BINARY, buckets BINARY"
     return found.mapInArrow(releasing(gram_sets), schema).dropDuplicates(["uid"])
 
 
-def find_links(
-    documents: DataFrame, members: DataFrame, n: int, similarity: float, block_members: int
-) -> DataFrame:
-    """``uid, root, links`` per member and bucket; a stored table.
-
-    ``members`` are ``uid, id, key, buckets`` of documents with different n-gram sets.
-    """
-    shared = shared_buckets(members.select("uid", F.explode("buckets").alias("bucket")))
-    wanted = members.join(shared.select("uid").distinct(), "uid", "left_semi")
-    sets = materialise(_gram_sets(documents, wanted, n))
-    blocks = F.ceil(F.col("members") / block_members).cast("int")
+def deal(shared: DataFrame, block_members: int, block_bytes: int) -> DataFrame:
+    """``bucket, low, high, block, uid``: each member once per pair of blocks it is in."""
+    most = F.greatest(F.col("members") / block_members, F.col("grams") * 8 / block_bytes)
+    blocks = F.least(F.ceil(most), F.col("members")).cast("int")
     block = F.pmod(F.xxhash64("uid"), blocks).cast("int")
-    dealt = (
+    return (
         shared.withColumn("blocks", blocks)
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -312,6 +317,25 @@ def find_links(
             "uid",
         )
     )
+
+
+def find_links(
+    documents: DataFrame,
+    members: DataFrame,
+    n: int,
+    similarity: float,
+    block_members: int,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """``uid, root, links`` per member and bucket; a stored table.
+
+    ``members`` are ``uid, id, key, size, buckets`` of documents with different n-gram sets.
+    """
+    shared = shared_buckets(members.select("uid", "size", F.explode("buckets").alias("bucket")))
+    wanted = members.drop("size").join(shared.select("uid").distinct(), "uid", "left_semi")
+    wanted = materialise(wanted)
+    sets = materialise(_gram_sets(documents, wanted, n))
+    dealt = deal(shared, block_members, block_bytes)
     together = dealt.join(sets, "uid").select(*_GROUP, *_MEMBER)
     sorted_rows = together.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "uid")
     compared = sorted_rows.mapInArrow(
@@ -355,6 +379,7 @@ def near_duplicates(
     similarity: float = SIMILARITY,
     recall: float = RECALL,
     block_members: int = BLOCK_MEMBERS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``doc_id, class_id, n_links, n_copies, kept`` and ``key``, a row per document.
 
@@ -373,8 +398,8 @@ def near_duplicates(
         )
     )
     members = sketched.join(same.select("uid"), "uid", "left_semi")
-    members = materialise(members.select("uid", "id", "key", "buckets"))
-    found = find_links(documents, members, n, similarity, block_members)
+    members = materialise(members.select("uid", "id", "key", "size", "buckets"))
+    found = find_links(documents, members, n, similarity, block_members, block_bytes)
     links = found.groupBy("uid").agg(F.sum("links").alias("n_links"))
     labels = connected(found.select(F.col("uid").alias("a"), F.col("root").alias("b")))
     classes = (

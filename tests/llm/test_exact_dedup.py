@@ -5,7 +5,8 @@ from collections import defaultdict
 from helpers import edge_documents, empty_documents
 from pyspark.sql import functions as F
 
-from quizloom.llm.exact_dedup import _may_repeat, build_index, exact_dedup, grow_directory, mark_copies
+from quizloom.llm.bits import may_be_among
+from quizloom.llm.exact_dedup import build_index, exact_dedup, grow_directory, mark_copies
 
 COLUMNS = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -62,7 +63,7 @@ def test_only_texts_of_repeated_hashes_move(spark):
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
     hashed = docs.select("doc_id", F.xxhash64("text").alias("h"))
     repeated = hashed.groupBy("h").count().filter("count > 1")
-    assert 20 <= _may_repeat(hashed, repeated).count() < 25
+    assert 20 <= may_be_among(hashed, repeated).count() < 25
     index = build_index(docs)
     assert index.records.count() == 501
     assert index.records.filter("text_sha256 IS NOT NULL").count() == 1

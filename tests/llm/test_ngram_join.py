@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from helpers import edge_documents, empty_documents
 
-from quizloom.llm.ngram_join import choose_bands, connected, near_dedup, near_duplicates
+from quizloom.llm.ngram_join import choose_bands, connected, deal, near_dedup, near_duplicates
 from quizloom.llm.text import WORD_RE
 
 LAST = (1 << 63) - 1
@@ -98,6 +98,34 @@ def test_a_large_loose_group(spark):
     assert all(g[2] <= w[2] for g, w in zip(got, want))
 
 
+def test_blocks_are_bounded_by_bytes(spark):
+    """Long texts share a block with few others, and no pair is lost by it."""
+    shared = spark.range(400).selectExpr(
+        "id AS uid", "1L AS bucket", "400L AS members", "400 * 250000L AS grams"
+    )
+    dealt = deal(shared, 2048, 32 << 20)
+    sizes = [r["count"] for r in dealt.groupBy("bucket", "low", "high").count().collect()]
+    # 2 MB a set, so 24 blocks of 16.8 sets on average: 24 * 25 / 2 groups of one or two.
+    assert len(sizes) == 300 and max(sizes) <= 2 * 16 * 3
+    assert deal(shared, 2048, 1 << 40).count() == 400
+    rows = corpus(5, 4, 20)
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert found(near_duplicates(docs, recall=0.99999, block_bytes=1000)) == brute(rows)
+
+
+def test_recall_at_the_default(spark):
+    """Links found with the registered settings against all pairs, many near the limit."""
+    rows = corpus(3, 60, 60)
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got, want = found(near_duplicates(docs)), brute(rows)
+    total = sum(w[2] for w in want)
+    assert total > 5000
+    assert all(g[2] <= w[2] for g, w in zip(got, want))
+    recall = sum(g[2] for g in got) / total
+    print(f"recall {recall:.6f} of {total // 2} links")
+    assert recall >= 0.9995
+
+
 def test_edge_rows(spark):
     docs = edge_documents(spark, "class_id")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
