@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +44,13 @@ SHARD_PIECES = 40_000
 END_ID = 0
 
 # The vocabulary drops white space and never joins across it, so words can be encoded
-# one by one and remembered. Python splits at a few control characters more.
-_WORD = re.compile(r"[^ \t\n\r]+")
-_NOT_SPACE = "\x1c\x1d\x1e\x1f"
+# one by one and remembered. Texts are cut at ASCII white space only: any other stays in
+# its word, which the whole tokenizer then reads.
 _CACHE_WORDS = 1 << 18
+_CACHE_LETTERS = 1 << 19
 _CACHE_CHARS = 64
+# Texts that are split and looked up together; a longer text is worked on by itself.
+BLOCK_BYTES = 8 << 20
 # Letters that are a single unit for the vocabulary's splitter and composed as they are;
 # one closing mark is a unit of its own.
 _PLAIN = re.compile(
@@ -108,13 +111,34 @@ class WordEncoder(dict):
             self[word] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        for cache in (self, self._letters):
-            if len(cache) > _CACHE_WORDS:
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the ends of the texts among them.
+
+        Each distinct word is looked up once.
+        """
+        for cache, most in ((self, _CACHE_WORDS), (self._letters, _CACHE_LETTERS)):
+            if len(cache) > most:
                 cache.clear()
-        odd = any(c in text for c in _NOT_SPACE)
-        words = _WORD.findall(text) if odd else text.split()
-        return b"".join(map(self.__getitem__, words))
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        flat = words.flatten().dictionary_encode()
+        known = [self[word] for word in flat.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids = np.frombuffer(b"".join(known), dtype="<u4")
+        which = flat.indices.to_numpy()
+        size = sizes[which]
+        ends = np.cumsum(size)
+        places = np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - size), size)
+        places += np.arange(len(places))
+        return ids[places], np.append(0, ends)[words.offsets.to_numpy()[1:]]
+
+
+def _blocks(batch: pa.RecordBatch):
+    """Neighbouring rows of about ``BLOCK_BYTES`` of text."""
+    bytes_ = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    number = (np.cumsum(bytes_, dtype=np.int64) - bytes_) // BLOCK_BYTES
+    starts = np.flatnonzero(np.diff(number, prepend=-1)).tolist()
+    for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(start, end - start)
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -147,11 +171,12 @@ def token_pieces(
     def cut(batches):
         encoder = _encoder(tokenizer)
         unit = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in (block for batch in batches for block in _blocks(batch)):
             columns = {name: array("q") for name in ("piece", "start", "length", "crc", "unit")}
             docs, ids = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                tokens = encoder.encode(text.as_py() or "") + END_ID.to_bytes(4, "little")
+            all_ids, ends = encoder.encode_all(batch.column("text"))
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), np.split(all_ids, ends[:-1])):
+                tokens = own.tobytes() + END_ID.to_bytes(4, "little")
                 for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
                     part = tokens[at : at + 4 * capacity]
                     docs.append(doc_id)

@@ -1,12 +1,14 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import edge_documents, empty_documents
 from tokenizers import Tokenizer
 
 from quizloom.llm.packing import (
     WordEncoder,
+    _blocks,
     configurations,
     default_tokenizer,
     linear_groups,
@@ -25,9 +27,23 @@ ODD = [
 
 def test_words_give_the_whole_texts_ids():
     encoder, whole = WordEncoder(default_tokenizer()), Tokenizer.from_file(default_tokenizer())
-    for text in [*ODD, *ODD]:
-        ids = np.frombuffer(encoder.encode(text), dtype="<u4").tolist()
-        assert ids == whole.encode(text, add_special_tokens=False).ids
+    random = np.random.default_rng(11)
+    marks = [*"ab Zé.,'<|>#\t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2028\u3000\u200b\u0130ß́Ａ日9", "endoftext"]
+    mixed = ["".join(random.choice(marks, random.integers(0, 40))) for _ in range(400)]
+    texts = [*ODD, None, *ODD, *mixed]
+    ids, ends = encoder.encode_all(pa.array(texts, pa.string()))
+    assert len(ends) == len(texts) and ends[-1] == len(ids)
+    for text, own in zip(texts, np.split(ids, ends[:-1])):
+        assert own.tolist() == whole.encode(text or "", add_special_tokens=False).ids
+
+
+def test_blocks_hold_all_rows(monkeypatch):
+    monkeypatch.setattr("quizloom.llm.packing.BLOCK_BYTES", 10)
+    rows = ["", "a" * 25, None, "b", "", "c" * 9, "d", "e" * 30, "", None]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(rows, pa.string())})
+    blocks = [block.column("text").to_pylist() for block in _blocks(batch)]
+    assert sum(blocks, []) == rows and len(blocks) > 3
+    assert list(_blocks(batch.slice(0, 0))) == []
 
 
 def check_packing(rows, capacity):
