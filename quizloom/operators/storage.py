@@ -1,11 +1,18 @@
 """Paths, completed writes and materialised intermediate results."""
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders named since the innermost open block of ``scratch`` began.
+_named: ContextVar[list[str] | None] = ContextVar("named", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the session's checkpoint folder.
 
@@ -26,7 +33,28 @@ def new_name(name: str) -> str:
 
 def new_folder(spark: SparkSession, name: str = "table") -> str:
     """A path in the shared folder that nothing else uses; the folder is not made."""
-    return f"{shared_folder(spark)}/{new_name(name)}"
+    path = f"{shared_folder(spark)}/{new_name(name)}"
+    named = _named.get()
+    if named is not None:
+        named.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A block whose intermediate tables are removed when it ends, also by an error.
+
+    DataFrames made inside may read such tables, so use them up before the end: write them
+    to a folder of your own, collect them, or return them by ``materialise_alone``.
+    """
+    named: list[str] = []
+    token = _named.set(named)
+    try:
+        yield
+    finally:
+        _named.reset(token)
+        for path in named:
+            delete_folder(spark, path)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
@@ -49,6 +77,18 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_alone(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """``materialise(make())`` without the tables that ``make`` and its plan have stored.
+
+    The table itself lives as long as the block of ``scratch`` around the call, if any.
+    """
+    path = new_folder(spark)
+    with scratch(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quizloom.functions.text import has_min_words
 from quizloom.operators.ranges import KeyRanges, cut_ranges, place_in_partition
-from quizloom.operators.storage import is_complete, materialise
+from quizloom.operators.storage import is_complete, materialise, scratch
 from quizloom.sources.corpus import ROWS_PER_FILE, read_index, write_index
 
 MIN_WORDS = 20
@@ -75,5 +75,6 @@ def build_index(
     """
     spark = corpus.sparkSession
     if not is_complete(spark, path):
-        write_index(embed_corpus(corpus, embed, min_words), path, in_order=True)
+        with scratch(spark):
+            write_index(embed_corpus(corpus, embed, min_words), path, in_order=True)
     return read_index(spark, path)

@@ -17,6 +17,7 @@ from quizloom.functions.patterns import to_java
 from quizloom.operators import bundles
 from quizloom.operators.bundles import with_text
 from quizloom.plans import generate, review
+from quizloom.operators.storage import child_folders, shared_folder
 from quizloom.plans.benchmark import build_benchmark
 from quizloom.plans.index import build_index, embed_corpus
 from quizloom.plans.rag import evaluate_rag, question_stems
@@ -164,7 +165,9 @@ def test_whole_run_and_resume(spark, corpus, tmp_path):
     prompts = [("p", None, None, template, None, "1.0", None)]
     write_store(spark.createDataFrame(prompts, schemas.PROMPT), prompt_store)
 
+    before = set(child_folders(spark, shared_folder(spark)))
     assert build_benchmark(spark, **args) == {"success": 1, "skipped": 0, "failed": 2}
+    assert set(child_folders(spark, shared_folder(spark))) == before
     args.update(generator=text_model(lambda: lambda prompt: "none"), batches=3)
     again = build_benchmark(spark, **args)
     assert again == {"success": 2, "skipped": 1, "failed": 0}
