@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quizloom.llm import line_dedup, mixing, ngram_join, packing, quality
 from quizloom.llm.text import hide
-from quizloom.operators.storage import materialise
+from quizloom.operators.storage import materialise_alone
 
 # Columns that the stages read; all others are carried along.
 READ = ("doc_id", "text", "lang", "source")
@@ -66,7 +66,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the last stage. What a stage stores for itself goes when its documents are
+    written; in a block of ``scratch`` around the use of the rows the documents go too."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        docs = materialise_alone(spark, lambda: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
