@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 from collections import Counter
@@ -109,6 +110,89 @@ def test_quality_verdicts(spark):
         assert row.kept == (not row.base_failed and bool(good))
 
 
+def plain_slots(text, orders, bits, words=False):
+    """Slots by whole numbers, one n-gram at a time."""
+    found, top = set(), 1 << 64
+    step, mix = 0x100000001B3, 0x9E3779B97F4A7C15
+
+    def add(code, kind):
+        found.add(((code ^ (kind << 56)) * mix % top) >> (64 - bits))
+
+    for n in orders:
+        for at in range(len(text) - n + 1):
+            code = 0
+            for c in text[at : at + n]:
+                code = (code * step + ord(c) + 1) % top
+            add(code, n)
+    if words:
+        codes = [zlib.crc32(w.encode()) + 1 for w in WORD_RE.findall(text)]
+        for code in codes:
+            add(code, 11)
+        for a, b in zip(codes, codes[1:]):
+            add((a * step + b) % top, 12)
+    return found
+
+
+def logistic(x):
+    return 1 / (1 + math.exp(-x))
+
+
+def mixed_rows(seed, n):
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        text, y = words(r, r.randrange(45, 75)), r.randrange(2)
+        if y or r.random() < 0.3:
+            text.insert(r.randrange(40), r.choice(["Vexoil", "krumpaz", "ZWOGGE", "naïf ☃ 😀"]))
+        rows.append((i, " ".join(text), y))
+    return [*rows, (n, "", 0), (n + 1, None, 0), (n + 2, "É" * 70, 1)]
+
+
+def test_toxicity_scores_by_brute_force(spark):
+    rows = mixed_rows(9, 150)
+    docs, labels = labelled(spark, rows)
+    model = train_toxicity(docs, labels, min_documents=2, min_ratio=0.5)
+    slots = {i: plain_slots((t or "").lower(), (3, 4, 5, 6), 20) for i, t, _ in rows}
+    used = [(i, y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    totals = Counter(y for _, y in used)
+    counts = Counter((s, y) for i, y in used for s in slots[i])
+    ratio = {}
+    for s in {s for s, _ in counts}:
+        if counts[s, 0] + counts[s, 1] >= 2:
+            toxic, clean = ((counts[s, y] + 1) / (totals[y] + 2) for y in (1, 0))
+            if abs(math.log(toxic / clean)) >= 0.5:
+                ratio[s] = math.log(toxic / clean)
+    assert set(np.flatnonzero(model.squares).tolist()) == set(ratio)
+    assert all(abs(model.squares[s] - v * v) < 1e-9 for s, v in ratio.items())
+    for row in score_toxicity(docs, model).collect():
+        own = [s for s in slots[row.doc_id] if s in ratio]
+        norm = math.sqrt(max(sum(ratio[s] ** 2 for s in own), 1e-12))
+        score = logistic(sum(model.weights[s] for s in own) / norm + model.intercept)
+        assert abs(row.score - score) < 1e-9
+        assert row.predicted == (row.score >= 0.7)
+
+
+def test_quality_scores_by_brute_force(spark):
+    rows = mixed_rows(10, 150)
+    docs, labels = labelled(spark, rows)
+    model = train_quality(docs, labels)
+    kept = 0
+    for row in judge_quality(docs, model).collect():
+        text = row.text or ""
+        counts = brute_counts(text)
+        failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+        assert row.base_failed == failed
+        if failed:
+            assert row.probability is None and not row.kept
+            continue
+        own = plain_slots(text, (2, 3, 4), 18, words=True)
+        margin = sum(model.weights[s] for s in own) / math.sqrt(len(own)) + model.intercept
+        assert abs(row.probability - logistic(model.slope * margin + model.shift)) < 1e-9
+        assert row.kept == (row.probability >= 0.3)
+        kept += row.kept
+    assert 0 < kept < len(rows)
+
+
 def test_features_of_blocks_and_fit(monkeypatch):
     text = "some text that is cut into blocks " * 20
     whole = set(NGrams((2, 3), words=True)(text).tolist())
