@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from quizloom import schemas
 from quizloom.functions.batches import by_bytes
 from quizloom.operators.columns import with_computed
-from quizloom.operators.storage import data_files
+from quizloom.operators.storage import empty_files
 from quizloom.sources.json_text import parse, read_texts
 
 
+# Tasks that read the files of a folder, per core and format.
+TASKS_PER_CORE = 8
 NOT_A_DOCUMENT = "not a document of the expected form"
 
 
@@ -71,8 +73,10 @@ def _read(spark, path, as_doc, check, yaml_rank: int, json_rank: int) -> DataFra
     function of the document, has against it. It is NULL for all others, whose ``doc`` is
     not NULL. Only files that do not parse are looked at for a reason.
     """
-    yaml_files = with_computed(_folder_files(spark, path, "*.yaml", yaml_rank), "json", _yaml_to_json("text"))
-    json_files = _folder_files(spark, path, "*.json", json_rank)
+    empty = empty_files(spark, path)
+    yaml_texts = _folder_files(spark, path, "*.yaml", yaml_rank, empty)
+    yaml_files = with_computed(yaml_texts, "json", _yaml_to_json("text"))
+    json_files = _folder_files(spark, path, "*.json", json_rank, empty)
     as_yaml = yaml_files.withColumn("text", F.col("json.text")).withColumn(
         "found", F.when(F.col("json.text").isNull(), F.struct("json.place", "json.reason"))
     ).drop("json")
@@ -104,12 +108,17 @@ def _files(spark, path, pattern, rank) -> DataFrame:
     return files.select("text", "path", F.lit(rank).alias("format_rank"))
 
 
-def _folder_files(spark, path, pattern, rank) -> DataFrame:
-    """Files of a folder; Spark's readers pass over empty ones, which are added here."""
+def _folder_files(spark, path, pattern, rank, empty) -> DataFrame:
+    """Files of a folder; Spark's readers pass over the ``empty`` ones, which are added here.
+
+    Spark reads few files in a task, as it takes the opening of one for megabytes. A task here
+    goes on to the next files with the same Python process, and writes one file of rows.
+    """
     files = _files(spark, path, pattern, rank)
-    names = [name for name, size in data_files(spark, path) if not size and fnmatch(name, pattern)]
-    empty = spark.createDataFrame([("", name, rank) for name in names], files.schema)
-    return files.unionByName(empty) if names else files
+    files = files.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    names = [name for name in empty if fnmatch(name, pattern)]
+    rows = spark.createDataFrame([("", name, rank) for name in names], files.schema)
+    return files.unionByName(rows) if names else files
 
 
 def _taxonomy(text: Column) -> Column:

@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame
 
 from quizloom.operators.storage import open_path
 
+# Tasks that write files, per core.
+TASKS_PER_CORE = 2
+
 
 def write_texts(rows: DataFrame, folder: str) -> int:
     """Write each row's ``text`` as the file ``name`` in the shared folder; returns their number.
 
     A file appears whole or not at all; a task that is run again writes it anew. Nothing of a
-    text passes through the driver. NULL is an empty file.
+    text passes through the driver. NULL is an empty file. The rows are dealt out first, as
+    many small ones can lie in one partition.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -28,5 +32,7 @@ def write_texts(rows: DataFrame, folder: str) -> int:
                 system.move(hidden, f"{root}/{name.as_py()}")
             yield pa.RecordBatch.from_pydict({"files": [batch.num_rows]})
 
-    written = rows.select("name", "text").mapInArrow(write, "files BIGINT")
+    tasks = TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism
+    dealt = rows.select("name", "text").repartition(tasks)
+    written = dealt.mapInArrow(write, "files BIGINT")
     return written.groupBy().sum("files").first()[0] or 0

@@ -183,3 +183,32 @@ def test_files_written_by_tasks(spark, tmp_path):
     names = sorted(p.name for p in (tmp_path / "files").iterdir())
     assert names == sorted(name for name, _ in rows)
     assert all((tmp_path / "files" / name).read_text() == (text or "") for name, text in rows)
+
+
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path):
+    """The number of tasks is bounded however many files a folder has; none is lost."""
+    for i in range(1300):
+        put(tmp_path / "t", f"{i}.json", f'{{"prompt_id": "p{i}", "template": "t"}}')
+    put(tmp_path / "t", "void.yaml", "")
+    read = documents.read_prompts(spark, str(tmp_path / "t"))
+    assert read.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism + 5
+    rows = read.collect()
+    assert {r["doc"]["prompt_id"] for r in rows if r["problem"] is None} == {f"p{i}" for i in range(1300)}
+    bad = [r["path"].rsplit("/", 1)[1] for r in rows if r["problem"] is not None]
+    assert bad == ["void.yaml"]
+
+
+def test_files_are_written_by_several_tasks(spark, tmp_path):
+    """Also rows that lie in one partition."""
+    rows = spark.range(2000).coalesce(1).selectExpr("cast(id as string) name", "'x' text")
+    folder = str(tmp_path / "out")
+    group = "several-writers"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert write_texts(rows, folder) == 2000
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(list((tmp_path / "out").iterdir())) == 2000
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) > 1
