@@ -14,6 +14,8 @@ from quizloom.functions.batches import BATCH_BYTES, by_bytes
 from quizloom.schemas import EMBEDDING
 
 DEFAULT_DIM = 64
+# Words whose buckets a task of the hash embedder remembers.
+CACHED_WORDS = 1 << 16
 
 
 def inner_product(left: Column, right: Column) -> Column:
@@ -41,7 +43,8 @@ def embedder(
         client = make_client()
         for batch in batches:
             present = np.asarray(batch.is_valid())
-            slices = by_bytes((batch.drop_null(),), batch_bytes, batch_size)
+            texts_only = batch.drop_null() if batch.null_count else batch
+            slices = by_bytes((texts_only,), batch_bytes, batch_size)
             parts = [np.asarray(client(texts), dtype=np.float32) for (texts,) in slices]
             yield _list_array(present, np.concatenate(parts) if parts else None)
 
@@ -66,7 +69,7 @@ def hash_embedder(dim: int = DEFAULT_DIM) -> Callable:
     """
 
     def make_client():
-        @functools.lru_cache(maxsize=1 << 20)
+        @functools.lru_cache(maxsize=CACHED_WORDS)
         def bucket(word):
             return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
 

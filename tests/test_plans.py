@@ -3,8 +3,10 @@ import glob
 import gzip
 import json
 import sys
+import tracemalloc
 import warnings
 
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -374,3 +376,17 @@ def test_corpus_and_chunk_sources(spark, tmp_path):
     with gzip.open(meta, "wt") as f:
         f.write(json.dumps({"chunk_id": 0, "doc_id": 4, "text": "t"}) + "\n")
     assert [tuple(r) for r in read_chunks(spark, str(meta)).collect()] == [(0, 4, "t")]
+
+
+def test_hash_embedder_forgets_words():
+    """What a task holds does not grow with the number of different words."""
+    texts = (pa.array([" ".join(f"word{b}x{i}y{j}" for j in range(100)) for i in range(100)]) for b in range(30))
+    tracemalloc.start()
+    try:
+        for vectors in hash_embedder(8).func(texts):
+            assert len(vectors) == 100
+            del vectors
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 30 << 20
