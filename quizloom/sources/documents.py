@@ -5,8 +5,8 @@ position inside the file. The order is part of the rows, not of the scan.
 """
 
 import json
+import re
 from collections.abc import Iterator
-from fnmatch import fnmatch
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +22,22 @@ from quizloom.sources.json_text import parse, read_texts
 # Tasks that read the files of a folder, per core and format.
 TASKS_PER_CORE = 8
 NOT_A_DOCUMENT = "not a document of the expected form"
+# Characters with which libyaml, some ten times as fast, accepts no text that PyYAML's own
+# parser reads otherwise or rejects: no tags, anchors, block scalars, directives, question
+# marks, tabs, nor other line breaks than newlines.
+_PLAIN = re.compile(
+    r"[\n \"-$'()+-=@-{}~\xa0-\u2027\u202a-\ud7ff\ue000-\ufefe\uff00-\ufffd\U00010000-\U0010ffff]*"
+)
+# Texts that may be nested deeper are left to the latter, which has a limit.
+_FLAT = 50
+_DEEP_LINE = re.compile(rf"^[ :-]{{{_FLAT}}}", re.MULTILINE)
+
+
+def _is_simple(text: str) -> bool:
+    """True if both YAML parsers read the text alike, should the quick one accept it."""
+    if text.count("[") + text.count("{") > _FLAT or not _PLAIN.fullmatch(text):
+        return False
+    return _DEEP_LINE.search(text) is None
 
 
 @F.arrow_udf(schemas.CONVERTED)
@@ -29,9 +45,19 @@ def _yaml_to_json(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """A YAML text as JSON, or where and why it is not YAML."""
     import yaml
 
+    quick = getattr(yaml, "CSafeLoader", None)
+
+    def load(text):
+        if quick is not None and _is_simple(text):
+            try:
+                return yaml.load(text, quick)
+            except (yaml.YAMLError, ValueError):
+                pass  # The reason, and its words, come from the other parser.
+        return yaml.safe_load(text)
+
     def convert(text):
         try:
-            return json.dumps(yaml.safe_load(text or ""), ensure_ascii=False, default=str), None, None
+            return json.dumps(load(text or ""), ensure_ascii=False, default=str), None, None
         except yaml.MarkedYAMLError as error:
             mark = error.problem_mark
             return None, mark and f"{mark.line + 1}:{mark.column + 1}", error.problem
@@ -74,9 +100,10 @@ def _read(spark, path, as_doc, check, yaml_rank: int, json_rank: int) -> DataFra
     not NULL. Only files that do not parse are looked at for a reason.
     """
     empty = empty_files(spark, path)
-    yaml_texts = _folder_files(spark, path, "*.yaml", yaml_rank, empty)
+    listed = read_texts(spark, path, "*.{json,yaml}", file_per_row=True)
+    yaml_texts = _folder_files(listed, ".yaml", yaml_rank, empty)
     yaml_files = with_computed(yaml_texts, "json", _yaml_to_json("text"))
-    json_files = _folder_files(spark, path, "*.json", json_rank, empty)
+    json_files = _folder_files(listed, ".json", json_rank, empty)
     as_yaml = yaml_files.withColumn("text", F.col("json.text")).withColumn(
         "found", F.when(F.col("json.text").isNull(), F.struct("json.place", "json.reason"))
     ).drop("json")
@@ -103,20 +130,21 @@ def rejected(documents: DataFrame) -> DataFrame:
     return documents.filter(F.col("problem").isNotNull()).select("path", "problem.*")
 
 
-def _files(spark, path, pattern, rank) -> DataFrame:
-    files = read_texts(spark, path, pattern, file_per_row=True)
+def _ranked(files, rank) -> DataFrame:
     return files.select("text", "path", F.lit(rank).alias("format_rank"))
 
 
-def _folder_files(spark, path, pattern, rank, empty) -> DataFrame:
-    """Files of a folder; Spark's readers pass over the ``empty`` ones, which are added here.
+def _folder_files(listed, suffix, rank, empty) -> DataFrame:
+    """Files of a format; Spark's readers pass over the ``empty`` ones, which are added here.
 
+    The folder has been listed once for all formats; names are looked at before files are.
     Spark reads few files in a task, as it takes the opening of one for megabytes. A task here
     goes on to the next files with the same Python process, and writes one file of rows.
     """
-    files = _files(spark, path, pattern, rank)
+    spark = listed.sparkSession
+    files = _ranked(listed.filter(F.col("name").endswith(suffix)), rank)
     files = files.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
-    names = [name for name in empty if fnmatch(name, pattern)]
+    names = [name for name in empty if name.endswith(suffix)]
     rows = spark.createDataFrame([("", name, rank) for name in names], files.schema)
     return files.unionByName(rows) if names else files
 
@@ -136,7 +164,7 @@ def read_taxonomies(spark: SparkSession, path: str) -> DataFrame:
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """A single YAML taxonomy file."""
-    files = _files(spark, path, "*", 0)
+    files = _ranked(read_texts(spark, path, "*", file_per_row=True), 0)
     doc = parse(_yaml_to_json("text")["text"], schemas.TAXONOMY)
     return files.select("path", "format_rank", doc.alias("doc"))
 

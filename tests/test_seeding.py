@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -212,3 +213,58 @@ def test_files_are_written_by_several_tasks(spark, tmp_path):
     tracker = spark.sparkContext.statusTracker()
     stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
     assert max(s.numTasks for s in stages if s) > 1
+
+
+def test_a_folder_is_listed_without_a_call_for_each_file(spark, tmp_path, monkeypatch):
+    """Calls from Python to the JVM do not grow with the files; empty ones are still found."""
+    client = spark._jvm._gateway_client
+    send, calls = client.send_command, []
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: calls.append(1) or send(*a, **k))
+    needed = []
+    for count in (20, 420):
+        folder = tmp_path / f"t{count}"
+        for i in range(count):
+            put(folder, f"{i}.json", f'{{"prompt_id": "p{i}"}}')
+        for name in ("void.json", "void.yaml", "_void.yaml", "void.txt"):
+            put(folder, name, "")
+        calls.clear()
+        read = documents.read_prompts(spark, str(folder))
+        needed.append(len(calls))
+        bad = [r["path"] for r in read.filter("problem IS NOT NULL").collect()]
+        assert sorted(bad) == [f"file:{folder}/void.json", f"file:{folder}/void.yaml"]
+    assert needed[1] < needed[0] + 100
+
+
+def test_yaml_is_read_as_by_its_own_parser(spark, tmp_path):
+    """Also texts that libyaml takes and PyYAML does not, or takes otherwise."""
+    alike = ["a: 'b''s'\nc:\n- 1.50\n- {d: yes, e: [~, 0x1F]}\n", '{"a": "\\u00e9 \\n", "b": 012}', "é: – § x # y"]
+    alike += ["", "a: 2001-01-01", "<<: {a: 1}\nb: 2", "---\na: 1e3\n", "a: b\n c\n\n d\n"]
+    apart = ["a: [b?c]", "a: |#\n  x", "a: !", "a:\tb", "a: b\r\nc: d", "- " * 60 + "x", "[" * 60 + "]" * 60]
+    assert all(documents._is_simple(text) for text in alike)
+    assert not any(documents._is_simple(text) for text in apart)
+    rows = spark.createDataFrame(list(enumerate(alike + apart + ["a: b: c", "a: [1"])), "i INT, text STRING")
+    found = rows.select("text", documents._yaml_to_json("text").alias("y")).select("text", "y.*").collect()
+    for row in found:
+        try:
+            value = yaml.safe_load(row["text"])
+        except yaml.MarkedYAMLError as error:
+            mark = error.problem_mark
+            assert (row[1], row[2], row[3]) == (None, f"{mark.line + 1}:{mark.column + 1}", error.problem)
+        else:
+            assert (row[1], row[3]) == (json.dumps(value, ensure_ascii=False, default=str), None)
+
+
+def test_the_quick_parser_agrees_on_random_texts():
+    r = random.Random(7)
+    parts = [*"ab 1:-,'\"[]{}#\\\n\n  `.~=/<é–", "\n  ", "\n- ", ": ", "- ", " #", "''", "---", "<<: ", "{a: b}", "\\x41"]
+    read = 0
+    for _ in range(6000):
+        text = "".join(r.choice(parts) for _ in range(r.randrange(1, 12)))
+        if documents._is_simple(text):
+            try:
+                quick = yaml.load(text, yaml.CSafeLoader)
+            except (yaml.YAMLError, ValueError):
+                continue
+            assert repr(quick) == repr(yaml.safe_load(text)), text
+            read += 1
+    assert read > 1000
