@@ -6,10 +6,11 @@ members with an equal band share a bucket. How many bands of how many rows follo
 the recall asked for at the similarity threshold. Members of a bucket are compared on
 their full sets.
 
-What is shuffled are band hashes, and the texts and sets of those documents that share a
-bucket with another. The scan leaves out nearly all other texts by a bit table of fixed
-size, as long as there are at most some ten million such documents; past that it lets
-more and more texts through to the join that follows. Buckets with the same members
+What is shuffled are band hashes, once each, and the texts of those documents that share a
+bucket with another; a text is a third of its set, so sets are made again where they are
+compared. Bit tables of fixed size leave out nearly all other texts and bands, as long as
+there are at most some ten million such documents or buckets; past that they let
+more and more through to the joins that follow. Buckets with the same members
 count once. No pair is ever a row:
 a task compares the members of a bucket in memory and returns one row per member, its
 number of links and a neighbour chain to its cluster; a pair is counted only in the
@@ -171,6 +172,12 @@ def sketches(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return materialise(texts.mapInArrow(releasing(sketch), schema))
 
 
+def _may_share(rows: DataFrame, others: DataFrame, name: str) -> DataFrame:
+    """The rows whose column ``name`` may be among that of ``others``."""
+    hashed = F.xxhash64(name).alias("h")
+    return may_be_among(rows.select("*", hashed), others.select(hashed)).drop("h")
+
+
 def shared_buckets(rows: DataFrame) -> DataFrame:
     """``uid, bucket, members, grams`` of buckets with several members, one per member list.
 
@@ -178,8 +185,10 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     Lists are told apart by their length and two sums of member hashes. Of buckets with
     equal lists the lowest band stays, as it is there that their pairs are counted.
     """
-    several = rows.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("size").alias("grams"))
-    together = materialise(rows.drop("size").join(several.filter("members > 1"), "bucket"))
+    counted = rows.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("size").alias("grams"))
+    several = materialise(counted.filter("members > 1"))
+    placed = _may_share(rows.drop("size"), several, "bucket")
+    together = materialise(placed.join(several, "bucket"))
     lists = together.groupBy("bucket", "members").agg(
         F.bit_xor(F.xxhash64("uid")).alias("first"),
         F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("second"),
@@ -190,10 +199,10 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
 
 def _compare(group: dict, similarity: float):
     """Links between the members of one bucket or of two of its blocks."""
-    sets = [np.frombuffer(g, dtype="<u8") for g in group["grams"]]
+    sets = group["grams"]
     count = len(sets)
     band = group["bucket"] >> _HASH_BITS
-    earlier = np.stack([np.frombuffer(b, dtype="<i8")[:band] for b in group["buckets"]])
+    earlier = np.array(group["earlier"], dtype=np.int64)
     size = np.array([len(s) for s in sets])
     block = np.array(group["block"])
     crossing = group["low"] != group["high"]
@@ -241,19 +250,22 @@ def _compare(group: dict, similarity: float):
 
 
 _GROUP = ("bucket", "low", "high")
-_MEMBER = ("uid", "block", "grams", "buckets")
+_MEMBER = ("uid", "block", "earlier", "text")
 _LINKS = pa.schema([("uid", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
 
 
-def _compare_groups(similarity: float):
-    """Rows come sorted by group; a group may go on in the next batch."""
+def _compare_groups(n: int, similarity: float):
+    """Rows come sorted by group; a group may go on in the next batch.
+
+    Sets are made here from the texts, so only those of one group are held.
+    """
 
     def result(group):
         uid, root, links = _compare(group, similarity)
         return pa.RecordBatch.from_pydict({"uid": uid, "root": root, "links": links}, schema=_LINKS)
 
     def compare(batches):
-        group = None
+        grams_of, group = GramHasher(n), None
         done, rows = [], 0
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in (*_GROUP, *_MEMBER)]
@@ -265,9 +277,10 @@ def _compare_groups(similarity: float):
                         if rows > 10_000:
                             yield from pa.Table.from_batches(done).combine_chunks().to_batches()
                             done, rows = [], 0
-                    group = dict(zip(_GROUP, row[:3])) | {c: [] for c in _MEMBER}
-                for name, value in zip(_MEMBER, row[3:]):
+                    group = dict(zip(_GROUP, row[:3])) | {c: [] for c in (*_MEMBER[:-1], "grams")}
+                for name, value in zip(_MEMBER[:-1], row[3:]):
                     group[name].append(value)
+                group["grams"].append(grams_of(row[-1]))
         if group is not None:
             done.append(result(group))
         if done:
@@ -276,28 +289,16 @@ def _compare_groups(similarity: float):
     return compare
 
 
-def _gram_sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``uid, grams, buckets`` of the wanted documents, the last two as packed bytes."""
-
-    def gram_sets(batches):
-        grams_of = GramHasher(n)
-        for batch in batches:
-            sets = [grams_of(t.as_py() or "").tobytes() for t in batch.column("text")]
-            packed = [np.asarray(b, dtype="<i8").tobytes() for b in batch.column("buckets").to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "uid": batch.column("uid"),
-                    "grams": pa.array(sets, pa.binary()),
-                    "buckets": pa.array(packed, pa.binary()),
-                }
-            )
+def _member_texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``uid, text, buckets`` of the wanted documents, repeated rows of one once.
 
+    Wanted documents have different sets, so none shares both id and key with another.
+    """
     texts = documents.select(_order().alias("id"), _text_key().alias("key"), "text")
     row_hash = F.xxhash64("id", "key")
     texts = may_be_among(texts.withColumn("h", row_hash), wanted.select(row_hash.alias("h")))
-    found = texts.join(wanted, ["id", "key"]).select("uid", "text", "buckets")
-    schema = "uid BIGINT, grams BINARY, buckets BINARY"
-    return found.mapInArrow(releasing(gram_sets), schema).dropDuplicates(["uid"])
+    found = texts.join(wanted, ["id", "key"]).dropDuplicates(["id", "key"])
+    return found.select("uid", "text", "buckets")
 
 
 def deal(shared: DataFrame, block_members: int, block_bytes: int) -> DataFrame:
@@ -332,14 +333,17 @@ def find_links(
     ``members`` are ``uid, id, key, size, buckets`` of documents with different n-gram sets.
     """
     shared = shared_buckets(members.select("uid", "size", F.explode("buckets").alias("bucket")))
-    wanted = members.drop("size").join(shared.select("uid").distinct(), "uid", "left_semi")
-    wanted = materialise(wanted)
-    sets = materialise(_gram_sets(documents, wanted, n))
+    uids = shared.select("uid").distinct()
+    wanted = materialise(_may_share(members.drop("size"), shared, "uid").join(uids, "uid", "left_semi"))
+    texts = materialise(_member_texts(documents, wanted))
     dealt = deal(shared, block_members, block_bytes)
-    together = dealt.join(sets, "uid").select(*_GROUP, *_MEMBER)
+    # Only the bands before a group's own are looked at there.
+    band = F.shiftright("bucket", _HASH_BITS).cast("int")
+    earlier = F.slice("buckets", F.lit(1), band).alias("earlier")
+    together = dealt.join(texts, "uid").select(*_GROUP, "uid", "block", earlier, "text")
     sorted_rows = together.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "uid")
     compared = sorted_rows.mapInArrow(
-        releasing(_compare_groups(similarity)), "uid BIGINT, root BIGINT, links BIGINT"
+        releasing(_compare_groups(n, similarity)), "uid BIGINT, root BIGINT, links BIGINT"
     )
     return materialise(compared)
 

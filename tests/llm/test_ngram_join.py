@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from helpers import edge_documents, empty_documents
 
 from quizloom.llm.ngram_join import choose_bands, connected, deal, near_dedup, near_duplicates
 from quizloom.llm.text import WORD_RE
+from quizloom.operators.storage import open_path, shared_folder
 
 LAST = (1 << 63) - 1
 
@@ -113,6 +115,29 @@ def test_blocks_are_bounded_by_bytes(spark):
     assert found(near_duplicates(docs, recall=0.99999, block_bytes=1000)) == brute(rows)
 
 
+def test_what_is_stored_is_bounded_by_the_texts(spark):
+    """Not by their sets of n-grams, which are larger; repeated rows of a member count once."""
+    r = random.Random(6)
+    vocabulary = [f"{a}{b}" for a in "abcde" for b in "stuvwxyz"]
+    rows = []
+    for i in range(60):
+        text = [r.choice(vocabulary) for _ in range(1500)]
+        for j in range(3):
+            rows.append((10 * i + j, " ".join([*text[:-1], f"end{j}"])))
+    rows.append(rows[0])
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+
+    def stored():
+        root = Path(open_path(shared_folder(spark))[1])
+        return sum(p.stat().st_size for p in root.rglob("*.parquet"))
+
+    before = stored()
+    got = sorted(found(near_duplicates(docs)))
+    assert [g for g in got if g[0] >= 10] == [(d, d - d % 10, 2, 1) for d, _ in rows[:-1] if d >= 10]
+    assert got[:4] == [(0, 0, 2, 2), (0, 0, 2, 2), (1, 0, 2, 1), (2, 0, 2, 1)]
+    assert stored() - before < 1.5 * sum(len(text) for _, text in rows)
+
+
 def test_recall_at_the_default(spark):
     """Links found with the registered settings against all pairs, many near the limit."""
     rows = corpus(3, 60, 60)
