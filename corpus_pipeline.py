@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quizloom.llm import line_dedup, mixing, ngram_join, packing, quality
 from quizloom.llm.text import hide
-from quizloom.operators.storage import materialise_alone
+from quizloom.operators.storage import materialise, materialise_alone  # noqa: F401 - one for callers of single stages
 
 # Columns that the stages read; all others are carried along.
 READ = ("doc_id", "text", "lang", "source")
