@@ -46,11 +46,11 @@ END_ID = 0
 # The vocabulary drops white space and never joins across it, so words can be encoded
 # one by one and remembered. Texts are cut at ASCII white space only: any other stays in
 # its word, which the whole tokenizer then reads.
-_CACHE_WORDS = 1 << 18
-_CACHE_LETTERS = 1 << 19
+_CACHE_WORDS = 1 << 14
+_CACHE_LETTERS = 1 << 18
 _CACHE_CHARS = 64
 # Texts that are split and looked up together; a longer text is worked on by itself.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Letters that are a single unit for the vocabulary's splitter and composed as they are;
 # one closing mark is a unit of its own.
 _PLAIN = re.compile(
@@ -94,8 +94,7 @@ class WordEncoder(dict):
             if not letters.isascii():
                 spelled = letters.encode().decode("latin-1").translate(self._bytes)
             ids = _packed([token.id for token in self._model.tokenize(spelled)])
-            if len(letters) <= _CACHE_CHARS:
-                self._letters[letters] = ids
+            _remember(self._letters, letters, ids, _CACHE_LETTERS)
         return ids
 
     def __missing__(self, word: str) -> bytes:
@@ -107,8 +106,7 @@ class WordEncoder(dict):
                 ids += self[mark]
         else:
             ids = _packed(self._tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(word) <= _CACHE_CHARS:
-            self[word] = ids
+        _remember(self, word, ids, _CACHE_WORDS)
         return ids
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -116,9 +114,6 @@ class WordEncoder(dict):
 
         Each distinct word is looked up once.
         """
-        for cache, most in ((self, _CACHE_WORDS), (self._letters, _CACHE_LETTERS)):
-            if len(cache) > most:
-                cache.clear()
         words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         flat = words.flatten().dictionary_encode()
         known = [self[word] for word in flat.dictionary.to_numpy(zero_copy_only=False).tolist()]
@@ -141,6 +136,14 @@ def _blocks(batch: pa.RecordBatch):
         yield batch.slice(start, end - start)
 
 
+def _remember(cache: dict[str, bytes], word: str, ids: bytes, most: int) -> None:
+    """Keep the ids of a word; a full cache starts anew, also in the middle of a block."""
+    if len(word) <= _CACHE_CHARS:
+        if len(cache) >= most:
+            cache.clear()
+        cache[word] = ids
+
+
 def _packed(ids: list[int]) -> bytes:
     packed = array("I", ids)
     if sys.byteorder == "big":

@@ -37,6 +37,18 @@ def test_words_give_the_whole_texts_ids():
         assert own.tolist() == whole.encode(text or "", add_special_tokens=False).ids
 
 
+def test_caches_stay_bounded_in_a_block_of_many_words(monkeypatch):
+    monkeypatch.setattr("quizloom.llm.packing._CACHE_WORDS", 50)
+    monkeypatch.setattr("quizloom.llm.packing._CACHE_LETTERS", 70)
+    encoder, whole = WordEncoder(default_tokenizer()), Tokenizer.from_file(default_tokenizer())
+    letters = ["".join(chr(97 + int(d)) for d in str(i)) for i in range(1000)]
+    texts = [" ".join(letters), ". ".join(letters), " ".join(map(str, range(1000)))]
+    ids, ends = encoder.encode_all(pa.array(texts, pa.string()))
+    for text, own in zip(texts, np.split(ids, ends[:-1])):
+        assert own.tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(encoder) <= 50 and len(encoder._letters) <= 70
+
+
 def test_blocks_hold_all_rows(monkeypatch):
     monkeypatch.setattr("quizloom.llm.packing.BLOCK_BYTES", 10)
     rows = ["", "a" * 25, None, "b", "", "c" * 9, "d", "e" * 30, "", None]
