@@ -16,7 +16,7 @@ from quizloom import schemas
 from quizloom.functions.batches import by_bytes
 from quizloom.operators.columns import with_computed
 from quizloom.operators.storage import empty_files
-from quizloom.sources.json_text import parse, read_texts
+from quizloom.sources.json_text import parse, read_small_files, read_texts
 
 
 # Tasks that read the files of a folder, per core and format.
@@ -100,7 +100,7 @@ def _read(spark, path, as_doc, check, yaml_rank: int, json_rank: int) -> DataFra
     not NULL. Only files that do not parse are looked at for a reason.
     """
     empty = empty_files(spark, path)
-    listed = read_texts(spark, path, "*.{json,yaml}", file_per_row=True)
+    listed = read_small_files(spark, path, "*.{json,yaml}")
     yaml_texts = _folder_files(listed, ".yaml", yaml_rank, empty)
     yaml_files = with_computed(yaml_texts, "json", _yaml_to_json("text"))
     json_files = _folder_files(listed, ".json", json_rank, empty)

@@ -9,8 +9,10 @@ from quizloom.plans import seeding
 from quizloom.sources import documents
 from quizloom.sources.documents import read_taxonomies, read_taxonomy
 from quizloom.sources.files import write_texts
+from quizloom.sources.json_text import read_texts
 
 yaml = pytest.importorskip("yaml")
+folder_files = documents._folder_files
 
 
 def taxonomy(domain, **categories):
@@ -268,3 +270,17 @@ def test_the_quick_parser_agrees_on_random_texts():
             assert repr(quick) == repr(yaml.safe_load(text)), text
             read += 1
     assert read > 1000
+
+
+def test_small_files_are_read_as_bytes_and_give_the_same_texts(spark, tmp_path, monkeypatch):
+    odd = [b"\xef\xbb\xbf{}", b"a\r\nb\rc\n", b"\xff\xfe bad \xc3", "ü\u2028😀\x00z".encode(), b" ", b"\x1f\x8b\x08"]
+    for i, content in enumerate(odd):
+        (tmp_path / f"{i}.{'json' if i % 2 else 'yaml'}").write_bytes(content)
+    pattern, seen = "*.{json,yaml}", []
+    monkeypatch.setattr(documents, "_folder_files", lambda listed, *a: seen.append(listed) or folder_files(listed, *a))
+    documents.read_prompts(spark, str(tmp_path))
+    whole = read_texts(spark, str(tmp_path), pattern, file_per_row=True)
+    columns = ["path", "name", "hex(text) AS bytes"]
+    assert sorted(seen[0].selectExpr(*columns).collect()) == sorted(whole.selectExpr(*columns).collect())
+    assert seen[0].count() == len(odd)
+    assert "binaryFile" in seen[0]._jdf.queryExecution().toString()
